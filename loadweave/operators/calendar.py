@@ -101,34 +101,52 @@ def meter_level(meter_id: Column) -> Column:
     return (_d("0.7", "decimal(3,2)") + (digest % 60).cast("decimal(2,0)") / 100).cast("decimal(3,2)")
 
 
-def expected_load(slots: DataFrame) -> DataFrame:
-    """Expected kWh, export and kW of rows with meter columns and calendar columns; no noise."""
-    kind, hour = F.col("meter_type"), F.col("hour_local")
+def load_scale(meters: DataFrame) -> DataFrame:
+    """What the meter alone contributes: base kWh of its type, and base times its own level."""
+    kind = F.col("meter_type")
     base = (
         F.when(kind == "RES", _d(BASE_KWH["RES"])).when(kind == "SMB", _d(BASE_KWH["SMB"]))
         .otherwise(_d(BASE_KWH["CNI"]))
     )
-    weekend = F.col("day_type") == "WEEKEND"
-    day_factor = (
-        F.when(weekend & (kind == "CNI"), _d(WEEKEND_CNI)).when(weekend, _d(WEEKEND_OTHER))
-        .otherwise(_d("1.0"))
+    return meters.withColumn("base_kwh", base).withColumn(
+        "level_kwh", (F.col("base_kwh") * meter_level(F.col("meter_id"))).cast("decimal(7,3)")
     )
-    season_factor = (
+
+
+def load_factors(calendar: DataFrame) -> DataFrame:
+    """What the slot alone contributes; weekends differ for commercial meters."""
+    hour, weekend = F.col("hour_local"), F.col("day_type") == "WEEKEND"
+    season = (
         F.when(F.col("season") == "SUMMER", _d(SEASON_FACTORS["SUMMER"]))
         .when(F.col("season") == "WINTER", _d(SEASON_FACTORS["WINTER"])).otherwise(_d("1.0"))
     )
-    hour_factor = (
+    of_hour = (
         F.when(hour.between(17, 20), _d(PEAK_FACTOR)).when(hour.between(7, 9), _d(MORNING_FACTOR))
         .when(hour.between(0, 5), _d(NIGHT_FACTOR)).otherwise(_d("1.0"))
     )
-    level = meter_level(F.col("meter_id"))
-    distance_from_noon = F.abs(hour.cast("decimal(3,1)") - _d("12.5"))
-    export = F.when(
-        F.col("has_der") & hour.between(9, 16),
-        base * _d("0.2") * (_d("4.0") - distance_from_noon),
-    ).otherwise(_d("0.0"))
+
+    def factor(weekend_factor: str) -> Column:
+        return (F.when(weekend, _d(weekend_factor)).otherwise(_d("1.0")) * season * of_hour).cast("decimal(6,3)")
+
+    sun = _d("4.0") - F.abs(hour.cast("decimal(3,1)") - _d("12.5"))
+    return calendar.select(
+        "ts_utc", season.alias("season_factor"), factor(WEEKEND_CNI).alias("factor_cni"),
+        factor(WEEKEND_OTHER).alias("factor_other"),
+        F.when(hour.between(9, 16), _d("0.2") * sun).otherwise(_d("0.0")).alias("sun_factor"),
+    )
+
+
+def expected_load(slots: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Expected kWh, export and kW of rows with ``load_scale`` columns and a slot; no noise.
+
+    Factors are worked out once per meter and once per calendar slot; a row only multiplies them.
+    """
+    rows = slots.join(load_factors(calendar), F.col("read_ts") == F.col("ts_utc"))
+    factor = F.when(F.col("meter_type") == "CNI", F.col("factor_cni")).otherwise(F.col("factor_other"))
+    export = F.when(F.col("has_der"), F.col("base_kwh") * F.col("sun_factor")).otherwise(_d("0.0"))
     return (
-        slots.withColumn("expected_kwh", (base * level * day_factor * season_factor * hour_factor).cast("decimal(14,4)"))
+        rows.withColumn("expected_kwh", (F.col("level_kwh") * factor).cast("decimal(14,4)"))
         .withColumn("expected_kwh_received", export.cast("decimal(14,4)"))
-        .withColumn("expected_kw", (base * level * season_factor * _d("4.5")).cast("decimal(10,4)"))
+        .withColumn("expected_kw", (F.col("level_kwh") * F.col("season_factor") * _d("4.5")).cast("decimal(10,4)"))
+        .drop("ts_utc", "season_factor", "factor_cni", "factor_other", "sun_factor")
     )

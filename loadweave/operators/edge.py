@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import mean
+from loadweave.operators.calendar import expected_load, load_scale
 
 
 def partial_meters(reads: DataFrame, meters: DataFrame, last_ts: Column, expected: int = 96) -> DataFrame:
@@ -135,28 +136,22 @@ def gap_fill(
     Missing slots come from one row per meter and day holding the slots it did report (96 at most),
     so nothing of the size meters x slots is built before the gaps are known.
     """
-    from loadweave.operators.calendar import expected_load
-
     per_day = 24 * 60 // minutes
     number = (F.hour("read_ts") * 60 + F.minute("read_ts")) / minutes
     seen = reads.groupBy("meter_id", F.to_date("read_ts").alias("day")).agg(
         F.collect_set(F.floor(number).cast("int")).alias("reported")
     )
     days = F.expr(f"sequence(date'{first}', date'{last}', interval 1 day)")
-    wanted = meters.select(
-        "meter_id", "meter_type", "has_der", "utility_territory", "timezone", F.explode(days).alias("day")
-    )
+    about = ["meter_id", "meter_type", "has_der", "utility_territory", "timezone", "base_kwh", "level_kwh"]
+    wanted = load_scale(meters).select(*about, F.explode(days).alias("day"))
     slots = F.expr(f"sequence(0, {per_day - 1})")
     missing = F.array_except(slots, F.coalesce("reported", F.expr("cast(array() as array<int>)")))
     gaps = (
         wanted.join(seen, ["meter_id", "day"], "left")
-        .select("meter_id", "meter_type", "has_der", "utility_territory", "timezone", "day",
-                F.explode(missing).alias("slot"))
+        .select(*about, "day", F.explode(missing).alias("slot"))
         .withColumn("read_ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * minutes))
     )
-    dated = gaps.join(calendar.select("ts_utc", "day_type", "season", "hour_local"),
-                      F.col("read_ts") == F.col("ts_utc"))
-    return expected_load(dated).select(
+    return expected_load(gaps, calendar).select(
         "meter_id", "read_ts",
         F.convert_timezone(F.lit("UTC"), F.col("timezone"), F.col("read_ts")).alias("read_local_ts"),
         F.col("expected_kwh").alias("kwh_delivered"),

@@ -19,12 +19,14 @@ def land(
 ) -> DataFrame:
     """Raw landing rows: the payload as VARIANT beside where and when it arrived.
 
-    Text that is no JSON lands too, as a VARIANT string, so that quarantine can show it.
+    Text that is no JSON lands too, as a VARIANT string, so that quarantine can show it. The value
+    comes out of a generator because filters on extracted fields would otherwise be pushed below the
+    parse and repeat it for every field they test.
     """
     own = {"payload_text", "raw_payload", "source_file", "schema_version", "ingested_at", payload}
     text = F.col(payload)
     return df.select(
-        F.coalesce(F.try_parse_json(text), text.cast("variant")).alias("raw_payload"),
+        F.explode(F.array(F.coalesce(F.try_parse_json(text), text.cast("variant")))).alias("raw_payload"),
         (source_file if source_file is not None else F.col("source_file")).alias("source_file"),
         F.lit(schema_version).alias("schema_version"),
         (ingested_at if ingested_at is not None else F.col("ingested_at")).alias("ingested_at"),

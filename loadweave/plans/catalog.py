@@ -134,7 +134,7 @@ def shared_anomalies(m: Marts) -> DataFrame:
 
 @query("normalize_reads")
 def normalize_reads(m: Marts) -> DataFrame:
-    typed = ingest.normalise(ingest.land(m.feed.payloads), m.feed.meters, extra=["event_id"])
+    typed = ingest.normalise(ingest.land(m.feed.payloads), m.feed.lookup.meters, extra=["event_id"])
     return ingest.last_write_wins(typed, ["meter_id", "read_ts"], ["ingested_at", "event_id"]).select(*READ_COLUMNS)
 
 
@@ -216,12 +216,9 @@ def billing_periods(m: Marts) -> DataFrame:
 
 @query("load_profile")
 def load_profile(m: Marts) -> DataFrame:
-    kinds = m.feed.meters.select("meter_id", "meter_type", "has_der")
-    slots = m.calendar.select("ts_utc", "day_type", "season", "hour_local")
-    dated = m.reads.select("meter_id", "read_ts", "kwh_delivered").join(kinds, "meter_id").join(
-        slots, F.col("read_ts") == F.col("ts_utc")
-    )
-    return calendar.expected_load(dated).select(
+    kinds = m.feed.lookup.meters.select("meter_id", "meter_type", "has_der")
+    rows = m.reads.select("meter_id", "read_ts", "kwh_delivered").join(calendar.load_scale(kinds), "meter_id")
+    return calendar.expected_load(rows, m.calendar).select(
         "meter_id", "read_ts", "kwh_delivered", "expected_kwh", "expected_kwh_received", "expected_kw"
     )
 
@@ -396,7 +393,7 @@ def _landed_stream(m: Marts, work: str, batches: int = 3) -> DataFrame:
     """Bronze on disk, then a stream of typed reads over it in a few batches."""
     pipeline.land_bronze(m.feed.payloads, f"{work}/bronze")
     files = -(-tables.data_files(m.spark, f"{work}/bronze") // batches)
-    meters = m.feed.accounts.select("meter_id", "utility_territory", "timezone")
+    meters = m.feed.lookup.meters.select("meter_id", "utility_territory", "timezone")
     return pipeline.normalised_stream(pipeline.bronze_stream(m.spark, f"{work}/bronze", files), meters)
 
 
@@ -492,7 +489,7 @@ def metric_by_bucket(m: Marts) -> DataFrame:
 
 @query("asof_link")
 def asof_link(m: Marts) -> DataFrame:
-    versions = m.feed.links.select("meter_id", "customer_id", "effective_from", "effective_to", "is_current")
+    versions = m.feed.lookup.links.select("meter_id", "customer_id", "effective_from", "effective_to", "is_current")
     return tariff.as_of(m.reads.select("meter_id", "read_ts", "kwh_delivered"), versions, "meter_id").select(
         "meter_id", "read_ts", "kwh_delivered", "customer_id", "effective_from", "is_current"
     )
@@ -581,7 +578,7 @@ def gap_fill(m: Marts) -> DataFrame:
 def anomaly_eval(m: Marts) -> DataFrame:
     """Scores of commercial meters against their tamper reports, four hours each."""
     start = F.date_trunc("hour", "event_ts").cast("timestamp_ntz")
-    series = m.feed.meters.filter(F.col("meter_type") == "CNI").select("meter_id")
+    series = m.feed.lookup.meters.filter(F.col("meter_type") == "CNI").select("meter_id")
     labels = m.feed.meter_events.filter(
         (F.col("event_type") == "TAMPER") & (F.col("event_ts") >= ntz(m.detect_from))
     ).join(series, "meter_id", "left_semi").select(
@@ -609,7 +606,7 @@ def charges_by_day(m: Marts) -> DataFrame:
 
 @query("charges_by_customer")
 def charges_by_customer(m: Marts) -> DataFrame:
-    current = m.feed.links.filter("is_current").select("meter_id", "customer_id")
+    current = m.feed.lookup.links.filter("is_current").select("meter_id", "customer_id")
     return tou.charges_by(m.charges.join(current, "meter_id"), "customer_id", "rate_plan_id")
 
 
@@ -617,7 +614,7 @@ def charges_by_customer(m: Marts) -> DataFrame:
 def charges_by_period(m: Marts) -> DataFrame:
     """Charges by billing period; reads are priced per meter and day before they meet the periods."""
     per_day = tou.charges_by(m.charges, "meter_id", F.to_date("read_ts").alias("day"))
-    periods = m.cycles.select("meter_id", "billing_period_id", "start_date", "end_date")
+    periods = m.known_cycles.select("meter_id", "billing_period_id", "start_date", "end_date")
     inside = per_day.join(periods, "meter_id").filter(F.col("day").between(F.col("start_date"), F.col("end_date")))
     return inside.groupBy("billing_period_id", "meter_id").agg(
         F.sum("intervals").alias("intervals"), F.sum("kwh").alias("kwh"),

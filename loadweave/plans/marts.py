@@ -97,7 +97,7 @@ class Marts:
 
     @cached_property
     def placed(self) -> DataFrame:
-        return topology.feeder_of(self.feed.meters, self.feed.service_points)
+        return self.feed.lookup.placed
 
     @cached_property
     def topology(self) -> DataFrame:
@@ -139,11 +139,12 @@ class Marts:
 
     @cached_property
     def channel_reads(self) -> DataFrame:
-        return channels.unpivot(self.reads, self.feed.meters)
+        return channels.unpivot(self.reads, self.feed.lookup.meters)
 
     @cached_property
     def channel_hourly(self) -> DataFrame:
-        return channels.channel_hourly(self.channel_reads, self.meter_channels, self.per_hour)
+        rules = channels.instantiate_channels(self.feed.lookup.meters, self.catalog)
+        return channels.channel_hourly(self.channel_reads, rules, self.per_hour)
 
     @cached_property
     def channel_daily(self) -> DataFrame:
@@ -170,20 +171,20 @@ class Marts:
 
     @cached_property
     def tagged(self) -> DataFrame:
-        return tou.tag(self.reads, self.feed.links, self.feed.customers, self.calendar, self.windows)
+        f = self.feed.lookup
+        return tou.tag(self.reads, f.links, f.customers, self.calendar, self.windows)
 
     @cached_property
     def tagged_local(self) -> DataFrame:
-        return tou.tag(
-            self.reads, self.feed.links, self.feed.customers, self.wall_calendar, self.windows, tz_mode="meter"
-        )
+        f = self.feed.lookup
+        return tou.tag(self.reads, f.links, f.customers, self.wall_calendar, self.windows, tz_mode="meter")
 
     @cached_property
     def charges(self) -> DataFrame:
         return tou.charge(self.tagged)
 
     def charges_between(self, first, last) -> DataFrame:
-        f = self.feed
+        f = self.feed.lookup
         return tou.charge(
             tou.tag(self.reads_between(first, last), f.links, f.customers, self.calendar, self.windows)
         )
@@ -197,16 +198,24 @@ class Marts:
             F.sum(F.col("value").cast("decimal(14,4)")).cast("decimal(14,4)").alias("sent_kwh")
         )
 
+    def _cycles(self, feed: MeterFeed) -> DataFrame:
+        accounts = feed.metered_accounts.select("cis_account_id", "service_point_id", "meter_no", "meter_id")
+        return calendar.billing_cycles(accounts, self.month_start, self.anchor, CYCLE)
+
     @cached_property
     def cycles(self) -> DataFrame:
-        accounts = self.feed.metered_accounts.select("cis_account_id", "service_point_id", "meter_no", "meter_id")
-        return calendar.billing_cycles(accounts, self.month_start, self.anchor, CYCLE)
+        """Cycles of every meter."""
+        return self._cycles(self.feed)
 
     @cached_property
-    def periods(self) -> DataFrame:
+    def known_cycles(self) -> DataFrame:
+        """The same, to be looked up from facts."""
+        return self._cycles(self.feed.lookup)
+
+    def _with_billed(self, cycles: DataFrame) -> DataFrame:
         number = F.col("meter_no")
         cycle = (F.regexp_extract("bill_cycle", r"(\d+)$", 1).cast("int") - 1).alias("cycle")
-        joined = self.cycles.select("*", cycle).join(self.billed, ["meter_no", "cycle"], "left")
+        joined = cycles.select("*", cycle).join(self.billed, ["meter_no", "cycle"], "left")
         billed = (
             F.when(number % 20 == 0, F.lit(None).cast("decimal(14,4)"))
             .when(number % 20 == 1, F.lit(0).cast("decimal(14,4)"))
@@ -217,16 +226,20 @@ class Marts:
             billed.alias("cis_billed_kwh"),
         )
 
+    @cached_property
+    def periods(self) -> DataFrame:
+        return self._with_billed(self.cycles)
+
     @cached_property
     def consumption(self) -> DataFrame:
         # The billed quantity plays no part here, so the plain cycles do.
         return billing.consumption(
-            self.cycles.drop("meter_no", "meter_id"), self.feed.meters, self.daily
+            self.known_cycles.drop("meter_no", "meter_id"), self.feed.lookup.meters, self.daily
         )
 
     @cached_property
     def reconciliation(self) -> DataFrame:
-        return billing.reconcile(self.consumption, self.periods)
+        return billing.reconcile(self.consumption, self._with_billed(self.known_cycles))
 
     # -- quality ------------------------------------------------------------------------------
 
@@ -260,7 +273,7 @@ class Marts:
     def week_shape(self) -> DataFrame:
         since = self.last_slot - dt.timedelta(days=7)
         recent = self.reads_between(since, self.span[1])
-        return edge.load_shape(recent, self.feed.meters, ntz(since))
+        return edge.load_shape(recent, self.feed.lookup.meters, ntz(since))
 
     @cached_property
     def mismatches(self) -> DataFrame:
@@ -298,7 +311,7 @@ class Marts:
         return anomaly.detect(self.feeder_recent, self.feeder_baseline, "feeder_id", reference.HOLIDAYS)
 
     def _meter_load(self, reads: DataFrame) -> DataFrame:
-        commercial = self.feed.meters.filter(F.col("meter_type") == "CNI").select("meter_id")
+        commercial = self.feed.lookup.meters.filter(F.col("meter_type") == "CNI").select("meter_id")
         return reads.join(commercial, "meter_id", "left_semi").groupBy(
             "meter_id", hour_floor("read_ts").alias("ts")
         ).agg(F.sum("kwh_delivered").cast("decimal(18,4)").alias("kwh"))
@@ -336,13 +349,13 @@ class Marts:
             moved,
             F.array(version(own, "2023-01-01", "2024-01-16"), version(F.lit("S-TOU"), "2024-01-16", None)),
         ).otherwise(F.array(version(own, "2023-01-01", None)))
-        return self.feed.metered_accounts.filter(~F.col("is_vacant")).select(
+        return self.feed.accounts.filter(~F.col("is_vacant")).select(
             "meter_id", "customer_id", F.explode(history).alias("v")
         ).select("meter_id", "customer_id", "v.*")
 
     @cached_property
     def rated(self) -> DataFrame:
-        return tariff.rated_reads(self.reads, self.assignments, self.cycles, self.calendar)
+        return tariff.rated_reads(self.reads, self.assignments, self.known_cycles, self.calendar)
 
     @cached_property
     def components(self) -> DataFrame:

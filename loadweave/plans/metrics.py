@@ -104,8 +104,8 @@ def standard_model(m: Marts) -> MetricModel:
         "billing": lambda: m.consumption,
         "charge_line": lambda: m.charges,
         "anomalies": lambda: m.feeder_events,
-        "meter": lambda: m.feed.meters,
-        "service_point": lambda: m.feed.service_points,
+        "meter": lambda: m.feed.lookup.meters,
+        "service_point": lambda: m.feed.lookup.service_points,
         "sla": lambda: m.sla,
     }
     edges = [

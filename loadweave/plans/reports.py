@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import hour_floor, pct, ratio
 from loadweave.operators import anomaly, edge, quality, topology
+from loadweave.operators.channels import unpivot
 from loadweave.plans.marts import Marts, ntz
 from loadweave.sources import reference
 from loadweave.sources.reference import TERRITORIES
@@ -313,7 +314,7 @@ def audit_recent(m: Marts) -> DataFrame:
 
 def _partial(m: Marts) -> DataFrame:
     day_back = m.last_slot - dt.timedelta(days=1)
-    return edge.partial_meters(m.reads_between(day_back, m.span[1]), m.feed.meters, ntz(m.last_slot), m.per_day)
+    return edge.partial_meters(m.reads_between(day_back, m.span[1]), m.feed.lookup.meters, ntz(m.last_slot), m.per_day)
 
 
 def partial_meters(m: Marts) -> DataFrame:
@@ -327,10 +328,8 @@ def edge_kpi(m: Marts) -> DataFrame:
         n_rows().alias("partial_meters_24h"), F.count_if(severe).alias("severe_meters_24h")
     )
     week = m.reads_between(week_back, m.span[1])
-    from loadweave.operators.channels import unpivot
-
     status = F.col("vee_status")
-    rows = unpivot(week, m.feed.meters).agg(
+    rows = unpivot(week, m.feed.lookup.meters).agg(
         F.count_if(status == "ESTIMATED").alias("estimated_7d"), F.count_if(status == "FAILED").alias("failed_7d")
     )
     copies = m.duplicates.agg(n_rows().alias("duplicates_resolved"))
@@ -367,10 +366,8 @@ def vee_distribution(m: Marts) -> DataFrame:
 
 
 def vee_trend(m: Marts) -> DataFrame:
-    from loadweave.operators.channels import unpivot
-
     since = m.last_slot - dt.timedelta(days=14)
-    rows = unpivot(m.reads_between(since, m.span[1]), m.feed.meters)
+    rows = unpivot(m.reads_between(since, m.span[1]), m.feed.lookup.meters)
     status = F.col("vee_status")
     return rows.groupBy(F.to_date("read_ts").alias("day")).agg(
         *[F.count_if(status == s).alias(s.lower()) for s in ("VALID", "ESTIMATED", "FAILED")]
@@ -384,9 +381,7 @@ def estimation_methods(m: Marts) -> DataFrame:
 
 
 def premise_mismatch_report(m: Marts) -> DataFrame:
-    where = m.placed.select("meter_id", "service_point_id").join(
-        m.feed.service_points.select("service_point_id", "utility_territory", "feeder_id"), "service_point_id", "left"
-    ).drop("service_point_id")
+    where = m.placed.select("meter_id", "utility_territory", "feeder_id")
     return m.mismatches.join(where, "meter_id", "left").orderBy("rank").limit(25).select(
         "rank", "meter_id", "current_type", "suggested_type", "avg_eve_kwh", "avg_day_kwh", "avg_night_kwh",
         "avg_overall", "confidence", F.col("utility_territory").alias("territory"), "feeder_id",

@@ -23,7 +23,9 @@ def build_session(app: str = "loadweave", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**RUNTIME, "spark.ui.showConsoleProgress": "false", **conf}
+    # Call-site tracking of Python columns only serves error messages, and costs most of the planning.
+    quiet = {"spark.ui.showConsoleProgress": "false", "spark.python.sql.dataFrameDebugging.enabled": "false"}
+    settings = {**RUNTIME, **quiet, **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

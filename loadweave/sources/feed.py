@@ -12,26 +12,26 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loadweave.functions import add_seconds, as_decimal, seconds_between, slot_floor
 from loadweave.operators.ingest import last_write_wins
 from loadweave.sources.reference import SEGMENTS, TERRITORY_ZONES
 
 
-def padded(prefix: str, number: Column, width: int) -> Column:
-    """Zero-padded id that never truncates a longer number."""
-    text = number.cast("string")
-    return F.concat(
-        F.lit(prefix), F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
-    )
+def padded(prefix: str, number: str, width: int) -> str:
+    """SQL of a zero-padded id that never truncates a longer number."""
+    text = f"cast({number} as string)"
+    return f"concat('{prefix}', if(length({text}) < {width}, lpad({text}, {width}, '0'), {text}))"
+
 
+def coordinate(number: str, base: int, step: int, span: int) -> str:
+    """SQL that spreads a number over a coordinate range in hundredths of a degree."""
+    return f"cast({base} + cast(({number} * {step}) % {span} as decimal(9,2)) / 100 as decimal(9,6))"
 
-def territory_of(region: Column) -> Column:
-    return F.when(region == 0, "NE").when(region == 1, "SE").when(region == 2, "MW").otherwise("W")
 
+def lookup(key: str, table: dict[str, str]) -> str:
+    return f"case {key} " + " ".join(f"when '{k}' then '{v}'" for k, v in table.items()) + " end"
 
-def coordinate(number: Column, base: int, step: int, span: int) -> Column:
-    """Spread a number over a coordinate range in hundredths of a degree."""
-    return as_decimal(F.lit(base) + ((number * step) % span).cast("decimal(9,2)") / 100, 9, 6)
+
+TERRITORY = "case {} when 0 then 'NE' when 1 then 'SE' when 2 then 'MW' else 'W' end"
 
 
 def _slot(t: dt.datetime) -> dt.datetime:
@@ -40,23 +40,24 @@ def _slot(t: dt.datetime) -> dt.datetime:
 
 def event_columns(events: DataFrame) -> DataFrame:
     """One transmitted read per event, compact: nothing that the meter's dimensions determine."""
-    late = F.col("event_id") % 50 == 0
-    delay = F.when(late, F.lit(1800) + (F.col("event_id") * 7919) % 12600).otherwise(F.lit(5))
-    return events.select(
-        "user_id",
-        slot_floor("ts").alias("read_ts"),
-        "event_id",
-        add_seconds(F.col("ts"), delay).alias("ingested_at"),
-        "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    delay = "if(event_id % 50 = 0, 1800 + (event_id * 7919) % 12600, 5)"
+    return events.selectExpr(
+        "user_id", "window(ts, '15 minutes').start as read_ts", "event_id",
+        f"ts + make_dt_interval(0, 0, 0, {delay}) as ingested_at", "value",
+        "cast(get_json_object(props, '$.k') as int) as k",
     )
 
 
 class MeterFeed:
-    """Lazy frames over one data folder."""
+    """Lazy frames over one data folder.
+
+    A meter is an account that ever transmitted, and finding those takes a pass over the facts.
+    Frames that are only looked up from facts need no such pass, as every read has its account:
+    ``lookup`` gives the same dimensions over all accounts for that purpose.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, only_metered: bool = True):
+        self.spark, self.root, self.only_metered = spark, root.rstrip("/"), only_metered
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -67,61 +68,51 @@ class MeterFeed:
 
     # -- dimensions ---------------------------------------------------------------------------
 
+    @cached_property
+    def lookup(self) -> MeterFeed:
+        twin = MeterFeed(self.spark, self.root, only_metered=False)
+        twin.accounts = self.accounts
+        return twin
+
     @cached_property
     def accounts(self) -> DataFrame:
         """Everything a meter number determines, for every customer row."""
-        c = self.table("customer")
-        n = self.table("nation")
-        u = F.col("c_custkey")
-        region, nation = F.col("n_regionkey"), F.col("n_nationkey")
-        premise = (
-            F.when(F.col("c_mktsegment") == "MACHINERY", "CNI")
-            .when(F.col("c_mktsegment") == "AUTOMOBILE", "SMB")
-            .otherwise("RES")
+        joined = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        base = joined.selectExpr(
+            "c_custkey as meter_no", "n_regionkey", "n_nationkey",
+            "case c_mktsegment when 'MACHINERY' then 'CNI' when 'AUTOMOBILE' then 'SMB' else 'RES' end as premise_type",
+            TERRITORY.format("n_regionkey") + " as utility_territory",
         )
-        zone = F.create_map([F.lit(x) for pair in TERRITORY_ZONES.items() for x in pair])
-        segment = F.create_map([F.lit(x) for pair in SEGMENTS.items() for x in pair])
-        return (
-            c.join(n, c.c_nationkey == n.n_nationkey)
-            .select(
-                u.alias("meter_no"),
-                padded("MTR-", u, 6).alias("meter_id"),
-                padded("SP-", u, 6).alias("service_point_id"),
-                padded("ADDR-", u, 6).alias("address_id"),
-                padded("CUST-", u, 6).alias("customer_id"),
-                padded("CIS-", u, 6).alias("cis_account_id"),
-                premise.alias("premise_type"),
-                (u % 10 == 3).alias("has_der"),
-                territory_of(region).alias("utility_territory"),
-                padded("SUB-", region, 4).alias("substation_id"),
-                padded("FDR-", nation, 5).alias("feeder_id"),
-                (nation * 4 + u % 4).alias("transformer_no"),
-                padded("XFM-", nation * 4 + u % 4, 6).alias("transformer_id"),
-                coordinate(u, 30, 37, 1500).alias("lat"),
-                coordinate(u, -120, 53, 4500).alias("lon"),
-                F.when(u % 10 < 4, "RP-FLAT").when(u % 10 < 9, "RP-TOU3").otherwise("RP-CPP")
-                .alias("rate_plan_id"),
-                (u % 16 == 15).alias("is_vacant"),
-                F.date_sub(F.lit("2024-01-01").cast("date"), (F.lit(365) + (u * 37) % 3286).cast("int"))
-                .alias("install_date"),
-            )
-            .withColumn("timezone", zone[F.col("utility_territory")])
-            .withColumn("segment", segment[F.col("premise_type")])
+        u, xfm = "meter_no", "(n_nationkey * 4 + meter_no % 4)"
+        return base.selectExpr(
+            u, padded("MTR-", u, 6) + " as meter_id", padded("SP-", u, 6) + " as service_point_id",
+            padded("ADDR-", u, 6) + " as address_id", padded("CUST-", u, 6) + " as customer_id",
+            padded("CIS-", u, 6) + " as cis_account_id", "premise_type", "meter_no % 10 = 3 as has_der",
+            "utility_territory", padded("SUB-", "n_regionkey", 4) + " as substation_id",
+            padded("FDR-", "n_nationkey", 5) + " as feeder_id", f"{xfm} as transformer_no",
+            padded("XFM-", xfm, 6) + " as transformer_id",
+            coordinate(u, 30, 37, 1500) + " as lat", coordinate(u, -120, 53, 4500) + " as lon",
+            "case when meter_no % 10 < 4 then 'RP-FLAT' when meter_no % 10 < 9 then 'RP-TOU3' else 'RP-CPP' end as rate_plan_id",
+            "meter_no % 16 = 15 as is_vacant",
+            "date_sub(date'2024-01-01', cast(365 + (meter_no * 37) % 3286 as int)) as install_date",
+            lookup("utility_territory", TERRITORY_ZONES) + " as timezone",
+            lookup("premise_type", SEGMENTS) + " as segment",
         )
 
     @cached_property
     def metered_accounts(self) -> DataFrame:
-        """Accounts that ever transmitted; the semi join sees each meter number once per task."""
-        seen = self.events.select(F.col("user_id").alias("meter_no")).distinct()
+        """Accounts that ever transmitted; tasks reduce the facts to distinct meter numbers first."""
+        if not self.only_metered:
+            return self.accounts
+        seen = self.events.selectExpr("user_id as meter_no").distinct()
         return self.accounts.join(seen, "meter_no", "left_semi")
 
     @cached_property
     def meters(self) -> DataFrame:
-        return self.metered_accounts.select(
-            "meter_id", "service_point_id", F.col("premise_type").alias("meter_type"), "has_der",
-            "install_date", F.lit("ACTIVE").alias("status"), "utility_territory", "timezone",
-            F.concat(F.lit("FW-"), (F.col("meter_no") % 4 + 1).cast("string"), F.lit(".0"))
-            .alias("firmware_version"),
+        return self.metered_accounts.selectExpr(
+            "meter_id", "service_point_id", "premise_type as meter_type", "has_der", "install_date",
+            "'ACTIVE' as status", "utility_territory", "timezone",
+            "concat('FW-', cast(meter_no % 4 + 1 as string), '.0') as firmware_version",
         )
 
     @cached_property
@@ -131,68 +122,56 @@ class MeterFeed:
             "utility_territory", "lat", "lon",
         )
 
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Meter to network position, the pre-joined topology that facts look up."""
+        return self.metered_accounts.select(
+            "meter_id", "service_point_id", "feeder_id", "transformer_id", "lat", "lon", "utility_territory"
+        )
+
     @cached_property
     def customers(self) -> DataFrame:
-        return self.metered_accounts.filter(~F.col("is_vacant")).select(
+        return self.metered_accounts.filter("not is_vacant").selectExpr(
             "customer_id", "cis_account_id", "segment", "rate_plan_id",
-            F.lit("2023-01-01").cast("date").alias("start_date"),
-            F.lit(None).cast("date").alias("end_date"),
+            "date'2023-01-01' as start_date", "cast(null as date) as end_date",
         )
 
     @cached_property
     def transformers(self) -> DataFrame:
-        number = F.col("transformer_no")
-        return (
-            self.accounts.select("transformer_no", "transformer_id", "feeder_id").distinct().select(
-                "transformer_id", "feeder_id",
-                F.when(number % 4 == 0, 25).when(number % 4 == 1, 50).when(number % 4 == 2, 100)
-                .otherwise(250).cast("decimal(8,2)").alias("kva_rating"),
-                F.when(number % 2 == 0, "SINGLE").otherwise("THREE").alias("phase"),
-            )
+        return self.accounts.select("transformer_no", "transformer_id", "feeder_id").distinct().selectExpr(
+            "transformer_id", "feeder_id",
+            "cast(case transformer_no % 4 when 0 then 25 when 1 then 50 when 2 then 100 else 250 end as decimal(8,2)) as kva_rating",
+            "if(transformer_no % 2 = 0, 'SINGLE', 'THREE') as phase",
         )
 
     @cached_property
     def feeders(self) -> DataFrame:
-        nation, region = F.col("n_nationkey"), F.col("n_regionkey")
-        return self.table("nation").select(
-            padded("FDR-", nation, 5).alias("feeder_id"),
-            padded("SUB-", region, 4).alias("substation_id"),
-            territory_of(region).alias("utility_territory"),
-            F.when(nation % 3 == 0, 4.16).when(nation % 3 == 1, 13.2).otherwise(34.5)
-            .cast("decimal(6,2)").alias("voltage_kv"),
+        return self.table("nation").selectExpr(
+            padded("FDR-", "n_nationkey", 5) + " as feeder_id", padded("SUB-", "n_regionkey", 4) + " as substation_id",
+            TERRITORY.format("n_regionkey") + " as utility_territory",
+            "cast(case n_nationkey % 3 when 0 then 4.16 when 1 then 13.2 else 34.5 end as decimal(6,2)) as voltage_kv",
         )
 
     @cached_property
     def substations(self) -> DataFrame:
-        region = F.col("r_regionkey")
-        return self.table("region").select(
-            padded("SUB-", region, 4).alias("substation_id"),
-            F.concat(F.lit("Substation "), F.col("r_name")).alias("substation_name"),
-            territory_of(region).alias("utility_territory"),
-            coordinate(region, 30, 37, 1500).alias("lat"),
-            coordinate(region, -120, 53, 4500).alias("lon"),
+        return self.table("region").selectExpr(
+            padded("SUB-", "r_regionkey", 4) + " as substation_id", "concat('Substation ', r_name) as substation_name",
+            TERRITORY.format("r_regionkey") + " as utility_territory",
+            coordinate("r_regionkey", 30, 37, 1500) + " as lat", coordinate("r_regionkey", -120, 53, 4500) + " as lon",
         )
 
     @cached_property
     def links(self) -> DataFrame:
         """Service-point history: every seventh meter changed customer on 2024-01-15."""
-        moved = F.col("meter_no") % 7 == 0
-        ntz = lambda text: F.lit(text).cast("timestamp_ntz")
-        current = F.struct(
-            F.when(moved, ntz("2024-01-15")).otherwise(ntz("2023-01-01")).alias("effective_from"),
-            F.lit(None).cast("timestamp_ntz").alias("effective_to"),
-            F.lit(True).alias("is_current"),
-        )
-        closed = F.struct(
-            ntz("2023-01-01").alias("effective_from"),
-            ntz("2024-01-15").alias("effective_to"),
-            F.lit(False).alias("is_current"),
+        change, start = "timestamp_ntz'2024-01-15 00:00:00'", "timestamp_ntz'2023-01-01 00:00:00'"
+        current = (
+            f"named_struct('effective_from', if(meter_no % 7 = 0, {change}, {start}), "
+            "'effective_to', cast(null as timestamp_ntz), 'is_current', true)"
         )
-        spans = F.when(moved, F.array(closed, current)).otherwise(F.array(current))
-        return self.metered_accounts.select(
-            "meter_id", "service_point_id",
-            F.when(~F.col("is_vacant"), F.col("customer_id")).alias("customer_id"),
-            F.explode(spans).alias("span"),
+        closed = f"named_struct('effective_from', {start}, 'effective_to', {change}, 'is_current', false)"
+        return self.metered_accounts.selectExpr(
+            "meter_id", "service_point_id", "if(not is_vacant, customer_id, null) as customer_id",
+            f"explode(if(meter_no % 7 = 0, array({closed}, {current}), array({current}))) as span",
         ).select("meter_id", "service_point_id", "customer_id", "span.*")
 
     # -- facts --------------------------------------------------------------------------------
@@ -200,26 +179,18 @@ class MeterFeed:
     def _typed(self, compact: DataFrame) -> DataFrame:
         """Join the meter's dimensions to compact reads and spell out the canonical columns."""
         a = self.accounts.select("meter_no", "meter_id", "utility_territory", "timezone", "has_der")
-        k, value = F.col("k"), F.col("value")
-        status = F.when(k == 0, "FAILED").when(k.isin(1, 2), "ESTIMATED").otherwise("VALID")
-        flag = F.when(k == 0, "F").when(k.isin(1, 2), "E").otherwise("A")
-        return compact.join(a, compact.user_id == a.meter_no).select(
-            "meter_id",
-            "read_ts",
-            F.convert_timezone(F.lit("UTC"), F.col("timezone"), F.col("read_ts")).alias("read_local_ts"),
-            as_decimal(value, 14, 4).alias("kwh_delivered"),
-            F.when(F.col("has_der"), as_decimal(value / 10, 14, 4))
-            .otherwise(as_decimal(F.lit(0), 14, 4)).alias("kwh_received"),
-            as_decimal(value * 4, 10, 4).alias("demand_kw"),
-            as_decimal(F.lit(234) + (F.col("event_id") * 31) % 13, 6, 2).alias("voltage_v"),
-            flag.alias("quality_flag"),
-            status.alias("vee_status"),
-            F.when(status == "ESTIMATED", "LOAD_PROFILE").alias("estimation_method"),
-            "event_id",
-            "utility_territory",
-            F.concat(F.lit("feed-"), F.date_format("ingested_at", "yyyyMMdd")).alias("source_file"),
-            "ingested_at",
-            seconds_between(F.col("read_ts"), F.col("ingested_at")).alias("ingestion_lag_sec"),
+        return compact.join(a, compact.user_id == a.meter_no).selectExpr(
+            "meter_id", "read_ts", "convert_timezone('UTC', timezone, read_ts) as read_local_ts",
+            "cast(value as decimal(14,4)) as kwh_delivered",
+            "if(has_der, cast(value / 10 as decimal(14,4)), cast(0 as decimal(14,4))) as kwh_received",
+            "cast(value * 4 as decimal(10,4)) as demand_kw",
+            "cast(234 + (event_id * 31) % 13 as decimal(6,2)) as voltage_v",
+            "case when k = 0 then 'F' when k in (1, 2) then 'E' else 'A' end as quality_flag",
+            "case when k = 0 then 'FAILED' when k in (1, 2) then 'ESTIMATED' else 'VALID' end as vee_status",
+            "if(k in (1, 2), 'LOAD_PROFILE', null) as estimation_method",
+            "event_id", "utility_territory",
+            "concat('feed-', date_format(ingested_at, 'yyyyMMdd')) as source_file",
+            "ingested_at", "timestampdiff(SECOND, read_ts, ingested_at) as ingestion_lag_sec",
         )
 
     @cached_property
@@ -260,7 +231,7 @@ class MeterFeed:
         kind = F.col("event_type")
         return self.events.filter(kind.isin("error", "signup", "purchase", "click")).select(
             F.col("event_id").cast("string").alias("event_id"),
-            padded("MTR-", F.col("user_id"), 6).alias("meter_id"),
+            F.expr(padded("MTR-", "user_id", 6)).alias("meter_id"),
             F.col("ts").alias("event_ts"),
             F.when(kind == "error", "OUTAGE").when(kind == "signup", "RESTORE")
             .when(kind == "purchase", "TAMPER").otherwise("COMMS_LOSS").alias("event_type"),

@@ -31,7 +31,7 @@ EVENTS = T.StructType([
 ])
 
 LANDED = T.StructType([
-    T.StructField("payload_text", T.StringType()),
+    T.StructField("raw_payload", T.VariantType()),
     T.StructField("source_file", T.StringType()),
     T.StructField("schema_version", T.StringType()),
     T.StructField("ingested_at", T.TimestampNTZType()),

@@ -36,11 +36,8 @@ def keep_state_on_disk(spark: SparkSession) -> None:
 
 
 def land_bronze(payloads: DataFrame, path: str) -> None:
-    """Append payload text to the bronze table, one directory per ingestion day."""
-    rows = payloads.select(
-        "payload_text", "source_file", F.lit("v1").alias("schema_version"), "ingested_at", "event_id",
-        F.to_date("ingested_at").alias("ingest_date"),
-    )
+    """Append payloads to the bronze table as VARIANT, one directory per ingestion day."""
+    rows = land(payloads).withColumn("ingest_date", F.to_date("ingested_at"))
     tables.write_partitioned(rows, path, "ingest_date")
 
 
@@ -48,7 +45,7 @@ def bronze_stream(spark: SparkSession, path: str, files_per_batch: int | None =
     reader = spark.readStream.schema(LANDED)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return land(reader.parquet(path))
+    return reader.parquet(path)
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
