@@ -6,7 +6,7 @@ alone, so it grows with the number of series and never fits one series in one ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import as_decimal, pct
 from loadweave.sources.reference import FLAT_RATE_PER_KWH
@@ -47,21 +47,30 @@ def fit_baseline(
         .groupBy(series, "day_type", "hour")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("kwh").alias("s"), F.sum(F.col("kwh") * F.col("kwh")).alias("q"))
     )
-    totals = [F.sum(c).alias(c) for c in ("n", "s", "q")]
-    by_hour = fine.groupBy(series, "hour").agg(*totals)
-    by_series = by_hour.groupBy(series).agg(*totals)
+    # One row per series holding its cells (72 at most), then every cell of every series with what
+    # training saw of it. Hour and series totals are windows over these few rows, already in place
+    # after the shuffle by series, so the load itself is read and shuffled once.
+    cell = F.concat_ws("|", "day_type", "hour")
+    moments = F.struct(
+        F.col("n"), F.col("s").cast("decimal(18,4)").alias("s"), F.col("q").cast("decimal(27,8)").alias("q")
+    )
+    packed = fine.groupBy(series).agg(
+        F.map_from_entries(F.collect_list(F.struct(cell.alias("cell"), moments.alias("m")))).alias("cells")
+    )
+    grid = packed.select(
+        series, "cells", F.explode(F.array(*[F.lit(d) for d in DAY_TYPES])).alias("day_type")
+    ).select("*", F.explode(F.expr("sequence(0, 23)")).alias("hour"))
+    seen = grid.select(series, "day_type", "hour", F.try_element_at("cells", cell).alias("l1"))
 
-    def level(df: DataFrame, tag: str, keys: list[str]) -> DataFrame:
-        return df.select(*keys, F.struct("n", "s", "q").alias(tag))
+    def total(*keys: str) -> Column:
+        w = Window.partitionBy(*keys)
+        return F.struct(
+            F.sum("l1.n").over(w).alias("n"),
+            F.sum("l1.s").over(w).cast("decimal(18,4)").alias("s"),
+            F.sum("l1.q").over(w).cast("decimal(27,8)").alias("q"),
+        )
 
-    # Every series gets every cell; which combinations training saw does not matter afterwards.
-    grid = by_series.select(
-        series, F.struct("n", "s", "q").alias("l3"),
-        F.explode(F.array(*[F.lit(d) for d in DAY_TYPES])).alias("day_type"),
-    ).select("*", F.explode(F.expr("sequence(0, 23)")).alias("hour"))
-    cells = grid.join(level(by_hour, "l2", [series, "hour"]), [series, "hour"], "left").join(
-        level(fine, "l1", [series, "day_type", "hour"]), [series, "day_type", "hour"], "left"
-    )
+    cells = seen.withColumn("l2", total(series, "hour")).withColumn("l3", total(series))
     chosen = (
         F.when(F.col("l1.n") >= min_points, F.col("l1"))
         .when(F.col("l2.n") >= min_points, F.col("l2"))
@@ -118,7 +127,8 @@ def transformer_attribution(
         .groupBy("transformer_id", "feeder_id", "kva_rating")
         .agg(F.countDistinct("service_point_id").alias("meters"), F.sum("kwh").alias("kwh"))
     )
-    feeders = shares.groupBy("feeder_id").agg(F.sum("kwh").alias("feeder_kwh"))
+    # The window holds one row per transformer of a feeder.
+    of_feeder = F.sum("kwh").over(Window.partitionBy("feeder_id"))
     flagged = events.filter("is_anomaly").groupBy("feeder_id").agg(
         F.count(F.lit(1)).alias("feeder_anomaly_hours"),
         F.sum(excess_kwh(events)).alias("excess"),
@@ -126,7 +136,7 @@ def transformer_attribution(
     )
     share = F.col("kwh").cast("double") / F.nullif(F.col("feeder_kwh").cast("double"), F.lit(0.0))
     excess = F.col("excess").cast("double")
-    return shares.join(feeders, "feeder_id").join(flagged, "feeder_id").select(
+    return shares.withColumn("feeder_kwh", of_feeder).join(flagged, "feeder_id").select(
         "transformer_id", "feeder_id", F.col("kva_rating").alias("kva"), "meters", "feeder_anomaly_hours",
         F.round(share * 100, 4).alias("share_pct"),
         F.round(share * excess, 4).alias("est_excess_kwh"),

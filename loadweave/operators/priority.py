@@ -26,19 +26,18 @@ def _lookup(key: Column, table: dict[str, float], default: float) -> Column:
 def peak_exposure(load: DataFrame, calendar: DataFrame, cycle_days: int, first: str) -> DataFrame:
     """How often an hour of day and weekday holds the feeder's highest load of its cycle.
 
-    The peak of a cycle is an argmax aggregate (earliest hour on ties), joined back to the hours.
+    The peak is the first hour of the cycle's highest load; a window holds the hours of one cycle.
     """
     cycle = F.floor(F.datediff(F.to_date("ts"), F.lit(first).cast("date")) / cycle_days).cast("int")
     dated = load.join(
         calendar.select("ts_utc", "hour_local", "day_of_week", "season"), F.col("ts") == F.col("ts_utc")
     ).withColumn("cycle", cycle)
-    earliest = F.struct(F.col("kwh"), -F.unix_micros(F.col("ts").cast("timestamp")))
-    peaks = dated.groupBy("feeder_id", "cycle").agg(F.max_by("ts", earliest).alias("peak_ts"))
-    return dated.join(peaks, ["feeder_id", "cycle"]).groupBy(
+    by_load = Window.partitionBy("feeder_id", "cycle").orderBy(F.desc("kwh"), "ts")
+    return dated.withColumn("place", F.row_number().over(by_load)).groupBy(
         "feeder_id", "hour_local", "day_of_week", "season"
     ).agg(
         F.count(F.lit(1)).alias("hours"),
-        F.count_if(F.col("ts") == F.col("peak_ts")).alias("peaks"),
+        F.count_if(F.col("place") == 1).alias("peaks"),
     ).withColumn("exposure", ratio(F.col("peaks"), F.col("hours")))
 
 

@@ -171,11 +171,18 @@ def rated_reads(
 
 
 def _component_join(rated: DataFrame, parts: DataFrame) -> DataFrame:
-    p = parts.withColumnRenamed("schedule_id", "component_schedule")
+    """Reads with the components of their schedule, day type and minute.
+
+    Components of all days are spelled out per day type, so schedule and day are plain join keys.
+    """
+    days = F.when(F.col("component_day") == "ALL", F.array(F.lit("WEEKDAY"), F.lit("WEEKEND"), F.lit("HOLIDAY")))
+    p = parts.withColumn("component_day", F.explode(F.coalesce(days, F.array("component_day")))).withColumnRenamed(
+        "schedule_id", "component_schedule"
+    )
     return rated.join(
         p,
         (F.col("component_schedule") == F.col("schedule_id"))
-        & ((F.col("component_day") == "ALL") | (F.col("component_day") == F.col("day_type")))
+        & (F.col("component_day") == F.col("day_type"))
         & F.col("local_minute").between(F.col("start_minute"), F.col("end_minute")),
     ).drop("component_schedule")
 

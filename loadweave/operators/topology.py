@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from loadweave.functions import hour_floor, mean, pct, ratio
+from loadweave.functions import hour_floor, pct, ratio
 
 
 def meter_topology(
@@ -72,8 +72,10 @@ def transformer_hours(hours: DataFrame, placed: DataFrame) -> DataFrame:
         .agg(F.sum("kwh_delivered").alias("kwh"))
         .withColumn("hour", F.hour("ts"))
     )
-    usual = load.groupBy("transformer_id", "hour").agg(mean("kwh", 6).alias("usual_kwh"))
-    return load.join(usual, ["transformer_id", "hour"]).select(
+    # One row per day in each window.
+    same_hour = Window.partitionBy("transformer_id", "hour")
+    usual = (F.sum("kwh").over(same_hour) / F.count("kwh").over(same_hour)).cast("decimal(18,6)")
+    return load.withColumn("usual_kwh", usual).select(
         "transformer_id", "feeder_id", "ts", "kwh", "usual_kwh",
         (F.col("kwh") - F.col("usual_kwh")).alias("deviation_kwh"),
         ratio(F.col("kwh") - F.col("usual_kwh"), F.col("usual_kwh")).alias("deviation_ratio"),

@@ -527,6 +527,8 @@ def export_credit(m: Marts) -> DataFrame:
 
 @query("period_charges")
 def period_charges(m: Marts) -> DataFrame:
+    """Five kinds of charges read the rated reads, so those are written once."""
+    m.rated = tables.snapshot(m.rated, fresh_folder(m.spark, "rated"))
     return tariff.period_charges(
         m.energy_components, m.demand_components, m.fixed_components, m.rider_components, m.export_components
     )
@@ -585,7 +587,8 @@ def anomaly_eval(m: Marts) -> DataFrame:
         F.col("event_id").alias("label_id"), "meter_id", start.alias("start_ts"),
         (start + F.expr("interval 3 hours")).alias("end_ts"),
     )
-    return anomaly.evaluate(m.meter_events, labels, "meter_id")
+    scored = tables.snapshot(m.meter_events, fresh_folder(m.spark, "meter-scores"))
+    return anomaly.evaluate(scored, labels, "meter_id")
 
 
 @query("retention")
