@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import mean
 from loadweave.operators.calendar import expected_load, load_scale
+from loadweave.sources.reference import DUPLICATE_RESOLUTION
 
 
 def partial_meters(reads: DataFrame, meters: DataFrame, last_ts: Column, expected: int = 96) -> DataFrame:
@@ -56,7 +57,7 @@ def duplicate_audit(transmitted: DataFrame) -> DataFrame:
             F.col("first.received").alias("received_first"), F.col("kept.received").alias("received_second"),
             F.timestamp_diff("MINUTE", F.date_trunc("minute", "first.received"),
                              F.date_trunc("minute", "kept.received")).alias("gap_min"),
-            F.lit("last-write-wins (kept VALUE_SECOND)").alias("resolution"),
+            F.lit(DUPLICATE_RESOLUTION).alias("resolution"),
             F.lit("KWH_DEL").alias("channel_code"),
         )
     )

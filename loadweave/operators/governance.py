@@ -46,3 +46,15 @@ def published_daily(days: DataFrame) -> DataFrame:
 
 def published_anomalies(events: DataFrame) -> DataFrame:
     return events.filter("is_anomaly")
+
+
+def register_views(
+    consumed: DataFrame, days: DataFrame, events: DataFrame, role: str, mapping: DataFrame
+) -> None:
+    """Make the published projections available to SQL under the rights of ``role``."""
+    visible = apply_row_policy(days, role, mapping)
+    # Billing rows carry no territory of their own; their meters' visibility decides.
+    meters = visible.select("meter_id").distinct()
+    published_billing(consumed.join(meters, "meter_id", "left_semi"), role).createOrReplaceTempView("cis_billing_consumption")
+    published_daily(visible).createOrReplaceTempView("meter_daily_kwh")
+    published_anomalies(events).createOrReplaceTempView("published_feeder_anomalies")

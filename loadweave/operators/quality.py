@@ -9,7 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loadweave.functions import pct, seconds_between
-from loadweave.sources.reference import ON_TIME_LIMIT_SEC, SLA_THRESHOLD_PCT, VERY_LATE_LIMIT_SEC
+from loadweave.sources.reference import (
+    ON_TIME_LIMIT_SEC, SLA_BREACH_MESSAGE, SLA_THRESHOLD_PCT, VERY_LATE_LIMIT_SEC,
+)
 from loadweave.sources.schemas import RUN_AUDIT
 
 
@@ -94,7 +96,7 @@ def breach_alerts(
         F.lit("ALERT").alias("status"),
         F.lit(0).cast("bigint").alias("rows_processed"),
         F.lit(1).cast("bigint").alias("error_count"),
-        F.lit("SLA breach: ingestion < 95% within 15-min window").alias("message"),
+        F.lit(SLA_BREACH_MESSAGE).alias("message"),
     )
 
 

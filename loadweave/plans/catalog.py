@@ -438,6 +438,31 @@ def incremental_refresh(m: Marts) -> DataFrame:
     return marts.read("daily").select(*cols).unionByName(marts.read("monthly").select(*cols))
 
 
+@query("refreshed_billing")
+def refreshed_billing(m: Marts) -> DataFrame:
+    """Billing consumption kept current behind the merge, with the rollups it rests on."""
+    work = fresh_folder(m.spark, "refreshed-billing")
+    f = m.feed
+    dims = refresh.Dimensions(
+        f.lookup.meters, channels.instantiate_channels(f.lookup.meters, m.catalog), f.lookup.links,
+        f.lookup.customers, m.calendar, m.windows, m.known_cycles.drop("meter_no", "meter_id"),
+    )
+    marts = refresh.MartTables(m.spark, f"{work}/marts", m.per_hour, m.per_day, dims, wider=("billing",))
+    pipeline.merge_stream(_landed_stream(m, work, batches=2), marts.canonical, f"{work}/merge", marts.refresh)
+    return marts.read("billing").drop("part_date")
+
+
+@query("channel_backfill")
+def channel_backfill(m: Marts) -> DataFrame:
+    """The channel backfill of the whole span, run twice, counted per channel and day."""
+    path = f"{fresh_folder(m.spark, 'channels')}/channel_reads"
+    for _ in range(2):
+        refresh.backfill_channels(m.reads, m.feed.lookup.meters, path, m.first_day, m.anchor)
+    return m.spark.read.parquet(path).groupBy("channel_code", "read_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("value").alias("value")
+    )
+
+
 # -- governance and metrics -----------------------------------------------------------------------
 
 

@@ -26,19 +26,33 @@ def data_files(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getFileCount() if fs.exists(p) else 0
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
-    """Write one directory per value of ``by``.
+def drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _laid_out(df: DataFrame, by: str, cluster: Sequence[str]) -> DataFrame:
+    """Rows of a partition together, in cluster order.
 
     Rebalancing sends a partition's rows to few tasks, and splits a partition that is too big for one,
-    so a day that holds a third of the table is still written by many tasks.
+    so a day that holds a third of the table is still written by many tasks. Order inside the files
+    lets scans skip row groups by their minimum and maximum.
     """
-    df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(path)
+    spread = df.hint("rebalance", by)
+    return spread.sortWithinPartitions(by, *cluster) if cluster else spread
+
+
+def write_partitioned(
+    df: DataFrame, path: str, by: str, mode: str = "append", cluster: Sequence[str] = ()
+) -> None:
+    """Write one directory per value of ``by``."""
+    _laid_out(df, by, cluster).write.mode(mode).partitionBy(by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
     """Replace exactly the partitions that occur in ``df``; all others stay as they are."""
     (
-        df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        _laid_out(df, by, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(by).parquet(path)
     )
 
@@ -77,7 +91,7 @@ def upsert(
         kept = last_write_wins(merged, keys=[*keys, by], newest=newest)
         write_partitioned(kept, staging, by, mode="overwrite")
     merged = spark.read.schema(T.StructType(fields)).parquet(staging)
-    replace_partitions(merged, path, by)
+    replace_partitions(merged, path, by, cluster=keys)
     return touched(merged, by)
 
 

@@ -87,6 +87,8 @@ def merge_stream(
         days = tables.upsert(batch, path, staging, READ_KEYS, NEWEST, by="read_date")
         if after_batch is not None and days:
             after_batch(days)
+        # This batch only began after the one before it was committed; its staging copy is done with.
+        tables.drop(batch.sparkSession, f"{work}/staging/{query_id}/{batch_id - 1}")
 
     drain(reads.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint"))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loadweave.operators import rollups
+from loadweave.operators import billing, channels, quality, rollups, tou
 from loadweave.sources import tables
 
 # How long each mart may lag behind its source, in minutes; callers schedule by it.
@@ -17,14 +17,38 @@ TARGET_LAG_MIN = {
 }
 
 
+@dataclass
+class Dimensions:
+    """What the marts beyond the rollups look up."""
+
+    meters: DataFrame
+    meter_channels: DataFrame
+    links: DataFrame
+    customers: DataFrame
+    calendar: DataFrame
+    windows: DataFrame
+    periods: DataFrame
+
+
+WIDER = ("channels", "charges", "sla", "dq", "billing")
+
+
 @dataclass
 class MartTables:
-    """Materialised canonical reads and rollups below one folder."""
+    """Materialised canonical reads and marts below one folder.
+
+    With ``dims``, channel rollups, charges, arrival and quality metrics and billing are kept as well,
+    or those of them that ``wider`` names.
+    Every mart is partitioned by the day, month or period start its rows belong to, and a refresh
+    replaces whole partitions, so repeating one changes nothing.
+    """
 
     spark: SparkSession
     root: str
     expected_per_hour: int = 4
     expected_per_day: int = 96
+    dims: Dimensions | None = None
+    wider: tuple[str, ...] = WIDER
 
     @property
     def canonical(self) -> str:
@@ -36,28 +60,69 @@ class MartTables:
     def read(self, mart: str) -> DataFrame:
         return self.spark.read.parquet(self.path(mart))
 
+    def _store(self, mart: str, df: DataFrame, day: str, part: str = "part_date") -> None:
+        tables.replace_partitions(df.withColumn(part, F.to_date(day)), self.path(mart), part)
+
+    def _days(self, mart: str, days: list[dt.date]) -> DataFrame:
+        """A stored mart's partitions of the touched days."""
+        return self.read(mart).filter(F.col("part_date").isin(days)).drop("part_date")
+
     def refresh(self, days: list[dt.date]) -> None:
-        """Recompute hours and days of the touched days, then the months they lie in.
+        """Recompute what the touched days reach: days, then their months and billing periods.
 
         Each level reads the one below from its table, so its rounding is the stored one, and each
         scan is limited to the partitions concerned.
         """
         reads = self.read("canonical").filter(F.col("read_date").isin(days))
-        hours = rollups.hourly(reads, self.expected_per_hour)
-        tables.replace_partitions(
-            hours.withColumn("rollup_date", F.to_date("rollup_ts")), self.path("hourly"), "rollup_date"
-        )
-        touched = self.read("hourly").filter(F.col("rollup_date").isin(days)).drop("rollup_date")
-        per_day = rollups.daily(touched, self.expected_per_day)
-        tables.replace_partitions(
-            per_day.withColumn("rollup_date", F.to_date("rollup_ts")), self.path("daily"), "rollup_date"
-        )
+        self._store("hourly", rollups.hourly(reads, self.expected_per_hour), "rollup_ts")
+        self._store("daily", rollups.daily(self._days("hourly", days), self.expected_per_day), "rollup_ts")
         for first, last in _month_ranges(days):
-            month = self.read("daily").filter(F.col("rollup_date").between(F.lit(first), F.lit(last)))
-            tables.replace_partitions(
-                rollups.monthly(month.drop("rollup_date")).withColumn("rollup_month", F.to_date("rollup_ts")),
-                self.path("monthly"), "rollup_month",
-            )
+            month = self.read("daily").filter(F.col("part_date").between(F.lit(first), F.lit(last)))
+            self._store("monthly", rollups.monthly(month.drop("part_date")), "rollup_ts")
+        if self.dims is not None:
+            self._refresh_wider(reads, days, self.dims)
+
+    def _refresh_wider(self, reads: DataFrame, days: list[dt.date], d: Dimensions) -> None:
+        if "channels" in self.wider:
+            long = channels.unpivot(reads, d.meters)
+            hours = channels.channel_hourly(long, d.meter_channels, self.expected_per_hour)
+            self._store("channel_hourly", hours, "rollup_ts")
+            per_day = channels.channel_daily(self._days("channel_hourly", days), self.expected_per_day)
+            self._store("channel_daily", per_day, "rollup_date")
+        if "charges" in self.wider:
+            lines = tou.charge(tou.tag(reads, d.links, d.customers, d.calendar, d.windows))
+            self._store("charges", lines, "read_ts")
+        if "sla" in self.wider:
+            self._store("sla", quality.sla(reads), "date_key")
+        if "dq" in self.wider:
+            self._store("dq", quality.data_quality(reads, self.expected_per_day), "date_key")
+        if "billing" in self.wider:
+            self._refresh_billing(days, d)
+
+    def _refresh_billing(self, days: list[dt.date], d: Dimensions) -> None:
+        """Every period that shares its start with one the touched days reach."""
+        reached = (F.col("start_date") <= F.lit(max(days))) & (F.col("end_date") >= F.lit(min(days)))
+        starts = tables.touched(d.periods.filter(reached), "start_date")
+        if not starts:
+            return
+        periods = d.periods.filter(F.col("start_date").isin(starts))
+        bounds = periods.agg(F.min("start_date").alias("first"), F.max("end_date").alias("last")).first()
+        inside = self.read("daily").filter(
+            F.col("part_date").between(F.lit(bounds["first"]), F.lit(bounds["last"]))
+        ).drop("part_date")
+        self._store("billing", billing.consumption(periods, d.meters, inside), "start_date")
+
+
+def backfill_channels(
+    reads: DataFrame, meters: DataFrame, path: str, first: dt.date, last: dt.date
+) -> None:
+    """Channel rows of a range of days as one job; a second run replaces the first one's partitions."""
+    day = F.to_date("read_ts")
+    inside = reads.filter(day.between(F.lit(first), F.lit(last)))
+    tables.replace_partitions(
+        channels.unpivot(inside, meters).withColumn("read_date", F.to_date("read_ts")), path, "read_date",
+        cluster=["meter_id", "channel_code"],
+    )
 
 
 def _month_ranges(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:

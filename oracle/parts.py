@@ -359,12 +359,12 @@ JOIN (SELECT p.feeder_id, sum(d.kwh_delivered) AS kwh FROM c_daily d JOIN c_plac
 JOIN (SELECT feeder_id, count(*) AS hours, sum({EXCESS}) AS excess, max(distance) AS max_distance
       FROM c_fev WHERE is_anomaly GROUP BY ALL) a ON a.feeder_id = x.feeder_id"""
 
-PARTS["c_dup"] = """
+PARTS["c_dup"] = f"""
 SELECT meter_id || '|' || strftime(read_ts, '%Y-%m-%d %H:%M') AS duplicate_id, meter_id, utility_territory, read_ts,
        count(*) AS copies, arg_min(kwh_delivered, (ingested_at, event_id)) AS value_first,
        arg_max(kwh_delivered, (ingested_at, event_id)) AS value_second, min(ingested_at) AS received_first,
        max(ingested_at) AS received_second, date_diff('minute', min(ingested_at), max(ingested_at)) AS gap_min,
-       'last-write-wins (kept VALUE_SECOND)' AS resolution, 'KWH_DEL' AS channel_code
+       '{reference.DUPLICATE_RESOLUTION}' AS resolution, 'KWH_DEL' AS channel_code
 FROM c_sent GROUP BY meter_id, utility_territory, read_ts HAVING count(*) > 1"""
 
 PARTS["c_shape"] = f"""

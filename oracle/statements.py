@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.parts import PARTS, completeness, dq, sla, unpivot  # noqa: F401
+from loadweave.sources import reference
+from oracle.parts import PARTS, dq, sla
 from oracle.sql import mean, mean_units, pct, with_parts
 
 READ_COLUMNS = """meter_id, read_ts, read_local_ts, kwh_delivered::DOUBLE AS kwh_delivered,
@@ -198,12 +199,12 @@ SELECT s.date_key, s.utility_territory, s.total_reads, s.max_ingestion_lag_min,
        s.on_time_u / 100.0::DOUBLE AS pct_arrived_within_15min, s.late_arrival_count, q.pass_u / 100.0::DOUBLE AS vee_pass_rate,
        q.estimated_intervals, q.failed_intervals, q.missing_intervals, q.complete_u / 100.0::DOUBLE AS completeness_pct
 FROM c_sla s FULL OUTER JOIN c_dq q ON s.date_key = q.date_key AND s.utility_territory = q.utility_territory"""
-S["sla_breach"] = """
+S["sla_breach"] = f"""
 SELECT 'SLA_BREACH_ALERT' AS pipeline_name,
        sha256('SLA_BREACH_ALERT' || strftime(CAST(anchor AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')) AS run_id,
        CAST(anchor AS TIMESTAMP) AS start_time, CAST(anchor AS TIMESTAMP) AS end_time, 'ALERT' AS status,
        0::BIGINT AS rows_processed, 1::BIGINT AS error_count,
-       'SLA breach: ingestion < 95% within 15-min window' AS message
+       '{reference.SLA_BREACH_MESSAGE}' AS message
 FROM c_span WHERE EXISTS (SELECT 1 FROM c_sla WHERE date_key = anchor AND on_time_u < 9900)"""
 S["table_metrics"] = """
 SELECT t.table_name, k.metric, CASE k.metric WHEN 'ROW_COUNT' THEN t.n ELSE datesub('second', t.newest, s.anchor_end) END AS value,
@@ -239,6 +240,11 @@ _REFRESHED = f"""meter_id, rollup_ts, utility_territory, kwh_delivered::DOUBLE A
 S["incremental_refresh"] = f"""
 SELECT 'DAY' AS rollup_grain, {_REFRESHED} FROM c_daily UNION ALL SELECT 'MONTH', {_REFRESHED} FROM c_monthly"""
 
+S["refreshed_billing"] = S["billing_consumption"]
+S["channel_backfill"] = """
+SELECT channel_code, CAST(read_ts AS DATE) AS read_date, count(*) AS rows, sum(value)::DOUBLE AS value
+FROM c_chan GROUP BY ALL"""
+
 # -- governance, metrics --------------------------------------------------------------------------
 S["row_policy"] = """
 SELECT meter_id, read_ts, utility_territory, kwh_delivered::DOUBLE AS kwh_delivered FROM c_reads WHERE utility_territory = 'NE'"""

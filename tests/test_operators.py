@@ -262,3 +262,13 @@ def test_purge_drops_only_old_partitions(spark, tmp_path):
     assert tables.purge_before(spark, path, "ingest_date", dt.date(2024, 1, 3)) == [
         "ingest_date=2024-01-01", "ingest_date=2024-01-02"]
     assert spark.read.parquet(path).count() == 1
+
+
+def test_published_views_respect_the_role(spark, root):
+    from loadweave.plans.marts import Marts
+
+    m = Marts(spark, root)
+    governance.register_views(m.consumption, m.daily, m.feeder_events, "ANALYST_NE", m.roles)
+    assert [r[0] for r in spark.sql("SELECT DISTINCT utility_territory FROM meter_daily_kwh").collect()] == ["NE"]
+    row = spark.sql("SELECT max(length(cis_account_id)) AS n, count(*) AS c FROM cis_billing_consumption").first()
+    assert row.n == 64 and 0 < row.c < m.consumption.count()

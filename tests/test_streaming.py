@@ -9,7 +9,7 @@ import pytest
 from loadweave.plans.marts import Marts
 from loadweave.sources import tables
 from loadweave.streaming import pipeline
-from loadweave.streaming.refresh import MartTables
+from loadweave.streaming.refresh import Dimensions, MartTables
 
 SCHEMA = "meter_id string, read_ts timestamp_ntz, value int, ingested_at timestamp_ntz, event_id bigint, read_date date"
 T0 = dt.datetime(2024, 1, 3)
@@ -45,7 +45,7 @@ def test_a_batch_that_died_while_replacing_is_repeated_from_staging(spark, tmp_p
     second = batch(spark, ("A", 0, 10, 5))
     real = tables.replace_partitions
 
-    def die(df, target, by):
+    def die(df, target, by, cluster=()):
         # The worst moment: the live partition is gone, its replacement has not arrived.
         fs, root = tables._fs(spark, target)
         fs.delete(tables._fs(spark, f"{target}/{by}={T0.date()}")[1], True)
@@ -61,13 +61,20 @@ def test_a_batch_that_died_while_replacing_is_repeated_from_staging(spark, tmp_p
 
 def test_incremental_refresh_equals_full_recompute(spark, root, tmp_path):
     m = Marts(spark, root)
-    marts = MartTables(spark, str(tmp_path), 1, 2)
-    rows = m.reads.drop("read_local_ts").selectExpr("*", "to_date(read_ts) as read_date")
+    f = m.feed
+    dims = Dimensions(f.meters, m.meter_channels, f.links, f.customers, m.calendar, m.windows,
+                      m.cycles.drop("meter_no", "meter_id"))
+    marts = MartTables(spark, str(tmp_path), 1, 2, dims)
+    rows = m.reads.selectExpr("*", "to_date(read_ts) as read_date")
     merge(rows.filter("event_id % 3 <> 0"), marts.canonical, str(tmp_path / "s0"))
     marts.refresh(tables.touched(rows.filter("event_id % 3 <> 0"), "read_date"))
     late = rows.filter("event_id % 3 = 0")
     marts.refresh(merge(late, marts.canonical, str(tmp_path / "s1")))
-    for mart, full in (("hourly", m.hourly), ("daily", m.daily), ("monthly", m.monthly)):
+    for mart, full in (
+        ("hourly", m.hourly), ("daily", m.daily), ("monthly", m.monthly), ("channel_hourly", m.channel_hourly),
+        ("channel_daily", m.channel_daily), ("charges", m.charges), ("sla", m.sla), ("dq", m.dq),
+        ("billing", m.consumption),
+    ):
         got = marts.read(mart).select(*full.columns)
         assert got.count() == full.count()
         assert got.exceptAll(full).isEmpty() and full.exceptAll(got).isEmpty()
