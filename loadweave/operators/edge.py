@@ -147,8 +147,12 @@ def gap_fill(
     wanted = load_scale(meters).select(*about, F.explode(days).alias("day"))
     slots = F.expr(f"sequence(0, {per_day - 1})")
     missing = F.array_except(slots, F.coalesce("reported", F.expr("cast(array() as array<int>)")))
+    # Each of these small rows unfolds into up to 96; the fixed number of partitions keeps adaptive
+    # execution from merging them by their size before that.
+    width = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gaps = (
         wanted.join(seen, ["meter_id", "day"], "left")
+        .repartition(width, "meter_id", "day")
         .select(*about, "day", F.explode(missing).alias("slot"))
         .withColumn("read_ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * minutes))
     )
