@@ -36,7 +36,7 @@ def slot_calendar(
     stamped = spark.range(slots).select(ts.alias("ts_utc")).withColumn("local_ts", local)
     days = stamped.withColumn("local_date", F.to_date("local_ts"))
     marked = days.join(
-        F.broadcast(holidays.select(F.col("holiday_date").alias("local_date"), F.lit(True).alias("named"))),
+        holidays.select(F.col("holiday_date").alias("local_date"), F.lit(True).alias("named")),
         "local_date", "left",
     )
     weekday = F.dayofweek("local_date") - 1
