@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import arc_to_warc, exact_dedup, token_store, viterbi_count
+from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, token_store, viterbi_count
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
 from loadweave.session import tune
@@ -26,6 +26,20 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes from each document."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.taken_words(docs).drop("source")
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @query
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token ids and read back from the files."""

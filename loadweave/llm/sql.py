@@ -3,7 +3,66 @@
 SPACE = r"[\x20\x09-\x0D]+"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def word_list(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+')"
+
+
+def shingle_list(words: str, n: int) -> str:
+    return f"""CASE WHEN len({words}) >= {n}
+  THEN [list_aggregate({words}[i + 1:i + {n}], 'string_agg', ' ') FOR i IN range(len({words}) - {n - 1})]
+  WHEN len({words}) > 0 THEN [list_aggregate({words}, 'string_agg', ' ')] ELSE [] END"""
+
+
 STATEMENTS = {
+    "op3_source_mix": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), o AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS s
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][s % 3 + 1] AS weight, sum(source_size) OVER () AS total FROM o
+), f AS (
+  SELECT *, 3 * source_size * (
+      sum(weight) OVER () - coalesce(sum(weight) OVER (
+        ORDER BY source_size * 3 / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    ) <= weight * (
+      total - 3 * coalesce(sum(source_size) OVER (
+        ORDER BY source_size * 3 / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    ) AS capped
+  FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN capped THEN (3 * source_size)::DOUBLE
+    ELSE ((total - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ()) * weight)::DOUBLE
+      / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () END AS target
+  FROM f
+), g AS (SELECT *, least(round(target)::BIGINT, 3 * source_size) AS goal FROM t
+), p AS (
+  SELECT doc_id, size, source_size, target, goal, coalesce(sum(size) OVER (
+    PARTITION BY d.source ORDER BY ('0x' || substr(md5(concat_ws('/', '0', doc_id)), 1, 8))::BIGINT,
+      doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(least(goal - start, size), 0) + greatest(least(goal - start - source_size, size), 0)
+    + greatest(least(goal - start - 2 * source_size, size), 0))::BIGINT AS taken
+FROM p""",
+    "op4_decontaminate": f"""
+WITH i AS (
+  SELECT DISTINCT item_id, unnest({shingle_list("w", 5)}) AS shingle
+  FROM (SELECT item_id, {word_list("text")} AS w FROM benchmark)
+), n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id
+), d AS (
+  SELECT DISTINCT doc_id, unnest({shingle_list("w", 5)}) AS shingle
+  FROM (SELECT doc_id, {word_list("text")} AS w FROM documents)
+), c AS (
+  SELECT item_id, doc_id, count(*) AS n_shared FROM i JOIN d USING (shingle) GROUP BY item_id, doc_id
+)
+SELECT item_id, doc_id, n_item, n_shared, n_shared / n_item AS containment
+FROM c JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_item""",
     "op6_exact_dedup": rf"""
 WITH n AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')) AS h FROM documents
