@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, token_store, viterbi_count
+from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, viterbi_count
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
 from loadweave.session import tune
@@ -62,6 +62,13 @@ def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_to_warc.archive_pages(spark, pages, scratch(spark, "archives"))
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near duplicates that each document is in."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text")
+    return near_dedup.near_duplicates(docs, n=3, percent=85)
+
+
 @query
 def op10_viterbi_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of tokens of each document."""

@@ -83,4 +83,19 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM m""",
+    "op8_near_dedup": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {word_list("text")} AS w FROM documents
+), h AS (SELECT DISTINCT doc_id, unnest({shingle_list("w", 3)}) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM h GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM h a JOIN h b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id, doc_id AS root FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.root
+), c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id""",
 }
