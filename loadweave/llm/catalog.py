@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, viterbi_count
+from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, toxicity, viterbi_count
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
 from loadweave.session import tune
@@ -26,6 +26,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of each document, learned from the labels that are not held out."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text")
+    return toxicity.judged(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes from each document."""
