@@ -27,7 +27,7 @@ import string
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ HAS_CHECKSUMS = 0x80
 
 NO_ID = -(2**63)
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 #: The last letter that is surely composed and lower-cased alike everywhere.
 LAST_LATIN = "\u017f"
 MARKS = string.punctuation.encode()
@@ -77,35 +77,37 @@ def splits_letters(tokenizer) -> bool:
     return True
 
 
-class WordEncoder:
-    """Text to token ids as bytes, by a cache of words."""
+class WordEncoder(dict):
+    """Words to the bytes of their token ids, looked up in the tokenizer when missing.
+
+    At most two generations of ``CACHED_WORDS`` words are held: a full one becomes the older one, and words found there
+    move back, so frequent words stay.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tails: dict[bytes, bytes] = {}
         self.plain = splits_letters(self.tokenizer)
         self.alphabet = byte_letters()
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Encode the words of these texts that are not known yet."""
-        new = set().union(*texts).difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = set().union(*texts)
-        rest = [] if self.plain else list(new)
-        for word in new if self.plain else ():
-            if (found := self._letters(word)) is None:
-                rest.append(word)
-            else:
-                self.known[word] = found
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
-        self.known.update(zip(rest, (np.array(e.ids, "<u4").tobytes() for e in found)))
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._letters(word) if self.plain else None
+        if ids is None:
+            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
     def _letters(self, word: bytes) -> bytes | None:
         """Ids of a word of Latin letters, and of one with ASCII marks behind it; None for any other word.
@@ -117,32 +119,21 @@ class WordEncoder:
         if not text.isalpha() or not (text.isascii() or max(text) <= LAST_LATIN):
             return None
         key = text.encode()
-        if (ids := self.known.get(key)) is None:
+        ids = self.get(key) or self.older.get(key)
+        if ids is None:
             piece = text if len(key) == len(text) else key.decode("latin-1").translate(self.alphabet)
-            ids = self.known[key] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
         return ids if len(core) == len(word) else ids + self._tail(word[len(core):])
 
     def _tail(self, marks: bytes) -> bytes:
         if marks not in self.tails:
             ids = self.tokenizer.encode(marks.decode(), add_special_tokens=False).ids
-            self.tails[marks] = np.array(ids, "<u4").tobytes()
+            self.tails[marks] = array("I", ids).tobytes()
         return self.tails[marks]
 
-    def ids(self, text: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, text))
-
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """The ids of each text. Texts are taken a few at a time, so that what is held follows their size."""
-        batch, size = [], 0
-        for text in texts:
-            batch.append(text.encode("utf-8", "surrogatepass").split())
-            size += len(batch[-1])
-            if size >= CACHED_WORDS // 10:
-                self.learn(batch)
-                yield from map(self.ids, batch)
-                batch, size = [], 0
-        self.learn(batch)
-        yield from map(self.ids, batch)
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a text in UTF-8."""
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def encoder(path: str) -> WordEncoder:
@@ -233,9 +224,8 @@ def _shard_writer(tokenizer: str, folder: str, end_id: int):
         with publish(folder, name) as out:
             writer = ShardWriter(out)
             for batch in (b for group in ((first,), batches) for b in group):
-                ids, texts = batch.column(0).to_pylist(), batch.column(1)
-                for doc_id, found in zip(ids, encode(t.as_py() for t in texts)):
-                    writer.add(doc_id, found + tail)
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+                    writer.add(doc_id, encode(text.as_py()) + tail)
             writer.close()
         low = writer.doc_ids[0]
         yield pa.RecordBatch.from_pylist([{
