@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, toxicity, viterbi_count
+from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, toxicity, viterbi_count, wrappers
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
 from loadweave.session import tune
@@ -76,6 +76,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, n=3, percent=85)
 
 
+@query
+def op9_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    return wrappers.extract(table(tune(spark), sf_dir, "pages", "page_id", "url", "html"))
+
+
 @query
 def op10_viterbi_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of tokens of each document."""
