@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadweave.llm import arc_to_warc, decontaminate, exact_dedup, mixing, near_dedup, token_store, toxicity, viterbi_count, wrappers
+from loadweave.llm import (
+    arc_to_warc, decontaminate, exact_dedup, language_id, mixing, near_dedup, token_store, toxicity, viterbi_count, wrappers,
+)
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
 from loadweave.session import tune
@@ -33,6 +36,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document and page; the text model learns from documents with a language."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text", "lang", "source")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    rows = language_id.of_documents(docs).unionByName(language_id.of_pages(pages))
+    found = language_id.identify(rows, language_id.train(docs))
+    ids = [F.when(F.col("kind") == kind, F.col("id")).alias(name) for kind, name in (("document", "doc_id"), ("page", "page_id"))]
+    return found.select("kind", *ids, "language", "confidence", "text_language")
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that the mix takes from each document."""
