@@ -36,6 +36,7 @@ from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -466,6 +467,17 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def scorer(model: ToxicityModel):
+    """A function of a text column that gives the score, to filter rows without a join."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(list(model.scores(texts)), dtype="float64")
+
+    return run
+
+
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
