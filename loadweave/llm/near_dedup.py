@@ -225,24 +225,20 @@ def near_duplicates(
     signatures = kept_at(signed(rows, n, permutations, bands), f"{path}/signed")
     named = signatures.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = kept_at(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), f"{path}/classes")
-    reps = named.join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"]).select(
-        "doc_id", "set_key", "n_shingles", F.posexplode("keys").alias("band", "key")
-    )
+    reps = named.join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"])
+    reps = kept_at(reps.dropDuplicates(["set_key", "doc_id"]), f"{path}/reps")
     # Documents that share a bucket with another representative; the others need nothing more.
-    meets = kept_at(reps.dropDuplicates(["doc_id", "band", "key"]), f"{path}/meets")
+    banded = reps.select("doc_id", F.posexplode("keys").alias("band", "key")).withColumn("band", F.col("band").cast("byte"))
     pivots = kept_at(
-        meets.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        banded.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
             "key", "pivot"
         ), f"{path}/pivots",
     )
-    meets = kept_at(meets.join(pivots.select("key"), "key"), f"{path}/shared")
-    near = kept_at(meets.select("doc_id", "set_key", "n_shingles").distinct(), f"{path}/near")
-    wanted = near.select(F.col("doc_id").alias("_id")).distinct()
-    texts = rows.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = kept_at(
-        signed(texts, n, permutations, bands, full=True).join(near.select("doc_id", "set_key"), ["doc_id", "set_key"]),
-        f"{path}/sets",
-    )
+    meets = kept_at(banded.join(pivots.select("key"), "key").select("key", "band", "doc_id"), f"{path}/meets")
+    wanted = kept_at(meets.select(F.col("doc_id").alias("_id")).distinct(), f"{path}/wanted")
+    is_near = F.col("doc_id") == F.col("_id")
+    near = kept_at(reps.join(wanted, is_near, "left_semi").select("doc_id", "n_shingles"), f"{path}/near")
+    sets = kept_at(signed(rows.join(wanted, is_near, "left_semi"), n, permutations, bands, full=True), f"{path}/sets")
     sure = kept_at(_star_links(near, meets, pivots, sets, percent), f"{path}/star")
     comps = components(sure, f"{path}/star-components")
     more = kept_at(_cross_links(meets, pivots, comps, sets, percent, bands, permutations), f"{path}/cross")
