@@ -1,15 +1,13 @@
 from loadweave.functions.numeric import as_decimal, mean, pct, ratio, to_report_types
 from loadweave.functions.temporal import (
-    add_seconds,
     day_floor,
     hour_floor,
     minute_of_day,
     month_floor,
     seconds_between,
-    slot_floor,
 )
 
 __all__ = [
-    "add_seconds", "as_decimal", "day_floor", "hour_floor", "mean", "minute_of_day",
-    "month_floor", "pct", "ratio", "seconds_between", "slot_floor", "to_report_types",
+    "as_decimal", "day_floor", "hour_floor", "mean", "minute_of_day",
+    "month_floor", "pct", "ratio", "seconds_between", "to_report_types",
 ]

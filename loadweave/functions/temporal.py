@@ -21,19 +21,10 @@ def month_floor(ts: Column | str) -> Column:
     return _floor("month", ts)
 
 
-def slot_floor(ts: Column | str, minutes: int = 15) -> Column:
-    """Start of the interval slot (a tumbling window keeps the NTZ type)."""
-    return F.window(ts, f"{minutes} minutes")["start"]
-
-
 def minute_of_day(ts: Column | str) -> Column:
     return F.hour(ts) * 60 + F.minute(ts)
 
 
-def add_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-
-
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole elapsed seconds."""
     return F.timestamp_diff("SECOND", start, end)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadweave.functions import minute_of_day
-from loadweave.sources.reference import SUMMER_MONTHS, WINTER_MONTHS
+from loadweave.sources.reference import HOLIDAYS, SUMMER_MONTHS, WINTER_MONTHS
 
 
 def season_of(month: Column) -> Column:
@@ -17,11 +18,32 @@ def season_of(month: Column) -> Column:
     )
 
 
+def _is_holiday(date: Column, holidays: Sequence[str]) -> Column:
+    return date.isin([F.lit(h).cast("date") for h in holidays]) if holidays else F.lit(False)
+
+
+def dated(rows: DataFrame, at: Column, holidays: Sequence[str] = HOLIDAYS, timezone: str = "UTC") -> DataFrame:
+    """Rows with the calendar columns of a time, each worked out from the time itself.
+
+    Adds day_type, season, local_minute, hour_local and day_of_week. Facts never meet a calendar table for them,
+    so nothing is shuffled by time.
+    """
+    local = F.convert_timezone(F.lit("UTC"), F.lit(timezone), at) if timezone != "UTC" else at
+    date, weekday = F.to_date(local), F.dayofweek(local) - 1
+    return rows.withColumns({
+        "day_type": F.when(_is_holiday(date, holidays), "HOLIDAY").when(weekday.isin(0, 6), "WEEKEND").otherwise("WEEKDAY"),
+        "season": season_of(F.month(local)),
+        "local_minute": F.hour(local) * 60 + F.minute(local),
+        "hour_local": F.hour(local),
+        "day_of_week": weekday,
+    })
+
+
 def slot_calendar(
     spark: SparkSession,
     first: dt.date,
     last: dt.date,
-    holidays: DataFrame,
+    holidays: Sequence[str] = HOLIDAYS,
     timezone: str = "UTC",
     minutes: int = 15,
 ) -> DataFrame:
@@ -35,10 +57,7 @@ def slot_calendar(
     local = F.convert_timezone(F.lit("UTC"), F.lit(timezone), F.col("ts_utc"))
     stamped = spark.range(slots).select(ts.alias("ts_utc")).withColumn("local_ts", local)
     days = stamped.withColumn("local_date", F.to_date("local_ts"))
-    marked = days.join(
-        holidays.select(F.col("holiday_date").alias("local_date"), F.lit(True).alias("named")),
-        "local_date", "left",
-    )
+    marked = days.withColumn("named", _is_holiday(F.col("local_date"), holidays))
     weekday = F.dayofweek("local_date") - 1
     return marked.select(
         "ts_utc", "local_date",
@@ -49,7 +68,7 @@ def slot_calendar(
         .alias("day_type"),
         F.month("local_date").alias("month"),
         season_of(F.month("local_date")).alias("season"),
-        F.coalesce("named", F.lit(False)).alias("is_holiday"),
+        F.col("named").alias("is_holiday"),
     )
 
 
@@ -113,8 +132,8 @@ def load_scale(meters: DataFrame) -> DataFrame:
     )
 
 
-def load_factors(calendar: DataFrame) -> DataFrame:
-    """What the slot alone contributes; weekends differ for commercial meters."""
+def load_factors(slots: DataFrame, holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
+    """Rows with what their slot alone contributes; weekends differ for commercial meters."""
     hour, weekend = F.col("hour_local"), F.col("day_type") == "WEEKEND"
     season = (
         F.when(F.col("season") == "SUMMER", _d(SEASON_FACTORS["SUMMER"]))
@@ -129,24 +148,20 @@ def load_factors(calendar: DataFrame) -> DataFrame:
         return (F.when(weekend, _d(weekend_factor)).otherwise(_d("1.0")) * season * of_hour).cast("decimal(6,3)")
 
     sun = _d("4.0") - F.abs(hour.cast("decimal(3,1)") - _d("12.5"))
-    return calendar.select(
-        "ts_utc", season.alias("season_factor"), factor(WEEKEND_CNI).alias("factor_cni"),
-        factor(WEEKEND_OTHER).alias("factor_other"),
-        F.when(hour.between(9, 16), _d("0.2") * sun).otherwise(_d("0.0")).alias("sun_factor"),
-    )
+    return dated(slots, F.col("read_ts"), holidays).withColumns({
+        "season_factor": season, "factor_cni": factor(WEEKEND_CNI), "factor_other": factor(WEEKEND_OTHER),
+        "sun_factor": F.when(hour.between(9, 16), _d("0.2") * sun).otherwise(_d("0.0")),
+    }).drop("day_type", "season", "local_minute", "hour_local", "day_of_week")
 
 
-def expected_load(slots: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Expected kWh, export and kW of rows with ``load_scale`` columns and a slot; no noise.
-
-    Factors are worked out once per meter and once per calendar slot; a row only multiplies them.
-    """
-    rows = slots.join(load_factors(calendar), F.col("read_ts") == F.col("ts_utc"))
+def expected_load(slots: DataFrame, holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
+    """Expected kWh, export and kW of rows with ``load_scale`` columns and a slot; no noise."""
+    rows = load_factors(slots, holidays)
     factor = F.when(F.col("meter_type") == "CNI", F.col("factor_cni")).otherwise(F.col("factor_other"))
     export = F.when(F.col("has_der"), F.col("base_kwh") * F.col("sun_factor")).otherwise(_d("0.0"))
     return (
         rows.withColumn("expected_kwh", (F.col("level_kwh") * factor).cast("decimal(14,4)"))
         .withColumn("expected_kwh_received", export.cast("decimal(14,4)"))
         .withColumn("expected_kw", (F.col("level_kwh") * F.col("season_factor") * _d("4.5")).cast("decimal(10,4)"))
-        .drop("ts_utc", "season_factor", "factor_cni", "factor_other", "sun_factor")
+        .drop("season_factor", "factor_cni", "factor_other", "sun_factor")
     )

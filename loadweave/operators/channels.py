@@ -55,6 +55,15 @@ def unpivot(reads: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
+def channel_rows(reads: DataFrame, meters: DataFrame) -> DataFrame:
+    """Reads with ``n_channels``, the number of rows that ``unpivot`` makes of each; to count without unfolding."""
+    generating = meters.filter("has_der").select("meter_id", F.lit(True).alias("emits_received"))
+    received = (F.coalesce("kwh_received", F.lit(0)) != 0) | F.col("emits_received").isNotNull()
+    return reads.join(generating, "meter_id", "left").withColumn(
+        "n_channels", F.lit(3) + received.cast("int")
+    ).drop("emits_received")
+
+
 def pivot_wide(channel_reads: DataFrame) -> DataFrame:
     """Back to one row per meter and slot; carried columns agree across channels, min picks them."""
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import mean
 from loadweave.operators.calendar import expected_load, load_scale
-from loadweave.sources.reference import DUPLICATE_RESOLUTION
+from loadweave.sources.reference import DUPLICATE_RESOLUTION, HOLIDAYS
 
 
 def partial_meters(reads: DataFrame, meters: DataFrame, last_ts: Column, expected: int = 96) -> DataFrame:
@@ -32,24 +34,28 @@ def lag_histogram(reads: DataFrame) -> DataFrame:
         F.when(lag < 4 * 3600, "0-4h").when(lag < 24 * 3600, "4-24h").when(lag < 28 * 3600, "24-28h")
         .otherwise(">28h")
     )
-    return reads.filter(lag.isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.sum("n_channels") if "n_channels" in reads.columns else F.count(F.lit(1))
+    return reads.filter(lag.isNotNull()).groupBy(bucket.alias("bucket")).agg(n.alias("n"))
 
 
-def duplicate_audit(transmitted: DataFrame) -> DataFrame:
-    """Slots that were transmitted more than once: the first copy and the one that was kept.
+def repeated_slots(raw: DataFrame, keys: list[str]) -> DataFrame:
+    """Slots that were transmitted more than once: copies, and the first and the kept one.
 
-    First and last copy come from combinable aggregates, so a slot with any number of copies is never
-    gathered in one place.
+    ``raw`` has kwh_delivered, ingested_at and event_id besides the keys. First and last copy come from combinable
+    aggregates over raw rows, before anything is joined, so a meter that retransmits without end is one row a slot
+    and task.
     """
     order = F.struct("ingested_at", "event_id")
     copy = F.struct(F.col("kwh_delivered").alias("value"), F.col("ingested_at").alias("received"))
+    return raw.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("copies"), F.min_by(copy, order).alias("first"), F.max_by(copy, order).alias("kept"),
+    ).filter("copies > 1")
+
+
+def duplicate_audit(slots: DataFrame) -> DataFrame:
+    """The audit of ``repeated_slots`` whose meters are known by id and territory."""
     return (
-        transmitted.groupBy("meter_id", "read_ts", "utility_territory")
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.min_by(copy, order).alias("first"), F.max_by(copy, order).alias("kept"),
-        )
-        .filter("copies > 1")
+        slots
         .select(
             F.concat_ws("|", "meter_id", F.date_format("read_ts", "yyyy-MM-dd HH:mm")).alias("duplicate_id"),
             "meter_id", "utility_territory", "read_ts", "copies",
@@ -94,17 +100,15 @@ def classify_shape(shape: DataFrame) -> DataFrame:
     )
 
 
-def premise_mismatch(shape: DataFrame, top: int = 50) -> DataFrame:
-    """The ``top`` most clearly mistyped meters, ranked after the cut so that no window sees more."""
+def premise_mismatch(shape: DataFrame) -> DataFrame:
+    """Every mistyped meter, with how clearly (``separation``); callers rank or cut."""
     wrong = classify_shape(shape).filter(F.col("meter_type") != F.col("suggested_type"))
-    worst = wrong.orderBy(F.desc("separation"), "meter_id").limit(top)
-    rank = F.row_number().over(Window.orderBy(F.desc("separation"), "meter_id"))
     three = lambda c: F.round(F.col(c), 3)
-    return worst.select(
-        rank.alias("rank"), "meter_id", F.col("meter_type").alias("current_type"), "suggested_type",
+    return wrong.select(
+        "meter_id", F.col("meter_type").alias("current_type"), "suggested_type",
         three("eve").alias("avg_eve_kwh"), three("day").alias("avg_day_kwh"),
         three("night").alias("avg_night_kwh"), three("overall").alias("avg_overall"),
-        F.round("separation", 3).alias("confidence"),
+        F.round("separation", 3).alias("confidence"), "separation",
     )
 
 
@@ -130,7 +134,7 @@ def estimation_streaks(reads: DataFrame, longer_than: int = 3) -> DataFrame:
 
 
 def gap_fill(
-    reads: DataFrame, meters: DataFrame, calendar: DataFrame, first: str, last: str, minutes: int = 15
+    reads: DataFrame, meters: DataFrame, first: str, last: str, minutes: int = 15, holidays: Sequence[str] = HOLIDAYS
 ) -> DataFrame:
     """Estimated reads for every slot a meter did not report between two dates.
 
@@ -156,7 +160,7 @@ def gap_fill(
         .select(*about, "day", F.explode(missing).alias("slot"))
         .withColumn("read_ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * minutes))
     )
-    return expected_load(gaps, calendar).select(
+    return expected_load(gaps, holidays).select(
         "meter_id", "read_ts",
         F.convert_timezone(F.lit("UTC"), F.col("timezone"), F.col("read_ts")).alias("read_local_ts"),
         F.col("expected_kwh").alias("kwh_delivered"),

@@ -49,13 +49,32 @@ def extract_fields(raw: DataFrame) -> DataFrame:
     )
 
 
+def typed_reads(raw: DataFrame) -> DataFrame:
+    """Landed rows with typed fields; rows without meter or time drop out."""
+    return extract_fields(raw).filter(F.col("meter_id").isNotNull() & F.col("read_ts").isNotNull())
+
+
 def normalise(raw: DataFrame, meters: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Landed rows to canonical columns; reads of unknown meters and untypable rows drop out.
 
     Works on batch and streaming frames. ``extra`` names landing columns to carry along.
     """
+    return conform(typed_reads(raw), meters, extra)
+
+
+def latest_reads(raw: DataFrame, meters: DataFrame, newest: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """Canonical reads, the newest copy of each slot.
+
+    Copies go before the meters are joined: a meter that retransmits without end is combined to one row a slot in each
+    task, and the join sees one row a slot.
+    """
+    typed = typed_reads(raw).drop("read_ts_text")
+    return conform(last_write_wins(typed, ["meter_id", "read_ts"], newest), meters, extra)
+
+
+def conform(typed: DataFrame, meters: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Typed reads of known meters in canonical columns."""
     m = meters.select("meter_id", "utility_territory", "timezone")
-    typed = extract_fields(raw).filter(F.col("meter_id").isNotNull() & F.col("read_ts").isNotNull())
     return typed.join(m, "meter_id").select(
         "meter_id",
         "read_ts",

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import ratio
+from loadweave.operators.calendar import dated
+from loadweave.operators.ranking import global_rank
+from loadweave.sources.reference import HOLIDAYS
 
 # Expected hours to resolution and penalty per hour by issue type.
 RESOLUTION = {
@@ -23,17 +28,15 @@ def _lookup(key: Column, table: dict[str, float], default: float) -> Column:
     return out
 
 
-def peak_exposure(load: DataFrame, calendar: DataFrame, cycle_days: int, first: str) -> DataFrame:
+def peak_exposure(load: DataFrame, cycle_days: int, first: str, holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
     """How often an hour of day and weekday holds the feeder's highest load of its cycle.
 
     The peak is the first hour of the cycle's highest load; a window holds the hours of one cycle.
     """
     cycle = F.floor(F.datediff(F.to_date("ts"), F.lit(first).cast("date")) / cycle_days).cast("int")
-    dated = load.join(
-        calendar.select("ts_utc", "hour_local", "day_of_week", "season"), F.col("ts") == F.col("ts_utc")
-    ).withColumn("cycle", cycle)
+    hours = dated(load, F.col("ts"), holidays).withColumn("cycle", cycle)
     by_load = Window.partitionBy("feeder_id", "cycle").orderBy(F.desc("kwh"), "ts")
-    return dated.withColumn("place", F.row_number().over(by_load)).groupBy(
+    return hours.withColumn("place", F.row_number().over(by_load)).groupBy(
         "feeder_id", "hour_local", "day_of_week", "season"
     ).agg(
         F.count(F.lit(1)).alias("hours"),
@@ -42,19 +45,31 @@ def peak_exposure(load: DataFrame, calendar: DataFrame, cycle_days: int, first:
 
 
 def value_at_risk(
-    issues: DataFrame, usage: DataFrame, rates: DataFrame, exposure: DataFrame, placed: DataFrame,
+    issues: DataFrame, usage: DataFrame, plans: DataFrame, windows: DataFrame, exposure: DataFrame, placed: DataFrame,
     export_rates: DataFrame, hours_in_period: int,
 ) -> DataFrame:
     """Dollars an open issue risks per hour and until its expected resolution.
 
-    ``usage`` gives each meter's usual kWh, export and kW by hour of day, ``rates`` the energy and
-    demand rate of its plan by day type and hour, ``exposure`` the feeder's peak odds.
+    ``usage`` gives each meter's usual kWh, export and kW by hour of day, ``plans`` its rate plan, ``windows`` the
+    plans' rates by day type, season and minute, ``exposure`` the feeder's peak odds.
     """
+    w = windows.select(
+        F.col("rate_plan_id").alias("plan"), F.col("day_type").alias("window_day"), F.col("season").alias("window_season"),
+        "start_minute", "end_minute", F.col("energy_rate_per_kwh").alias("energy_rate"),
+        F.col("demand_rate_per_kw").alias("demand_rate"),
+    )
+    minute = F.hour("detected_at") * 60 + F.minute("detected_at")
+    in_window = (
+        (F.col("plan") == F.col("rate_plan_id")) & (F.col("window_day") == F.col("day_type"))
+        & ((F.col("window_season") == "ALL") | (F.col("window_season") == F.col("season")))
+        & minute.between(F.col("start_minute"), F.col("end_minute"))
+    )
     i = issues.withColumn("hour", F.hour("detected_at")).withColumn("dow", F.dayofweek("detected_at") - 1)
     joined = (
         i.join(placed.select("meter_id", "feeder_id"), "meter_id")
         .join(usage, ["meter_id", "hour"], "left")
-        .join(rates, ["meter_id", "hour", "day_type"], "left")
+        .join(plans, "meter_id", "left")
+        .join(w, in_window, "left")
         .join(exposure.select("feeder_id", F.col("hour_local").alias("hour"), F.col("day_of_week").alias("dow"),
                               "season", "exposure"), ["feeder_id", "hour", "dow", "season"], "left")
         .join(export_rates, "meter_id", "left")
@@ -86,7 +101,6 @@ def score_issues(at_risk: DataFrame, now: Column) -> DataFrame:
     return at_risk.withColumn("duration_hours", age).withColumn("priority_score", F.round(score, 4))
 
 
-def ranked(issues: DataFrame, by: str, top: int, name: str = "rank") -> DataFrame:
-    """The first ``top`` issues by a column, ranked after the cut."""
-    best = issues.orderBy(F.desc(by), "issue_id").limit(top)
-    return best.withColumn(name, F.row_number().over(Window.orderBy(F.desc(by), "issue_id")))
+def ranked(issues: DataFrame, by: str, path: str, name: str = "rank") -> DataFrame:
+    """All issues with their rank by a column, ties by id; ``path`` is a new folder for the sorted rows."""
+    return global_rank(issues, [F.desc(by), F.col("issue_id")], path, name)

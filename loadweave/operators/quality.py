@@ -81,6 +81,27 @@ def unified(sla_rows: DataFrame, dq_rows: DataFrame, coalesce_keys: bool = False
     )
 
 
+def observability(reads: DataFrame, expected_per_day: int = 96) -> DataFrame:
+    """SLA and quality per day and territory, from one aggregation of the reads.
+
+    Meters first, then the key, as in ``data_quality``; the arrival figures add up over meters.
+    """
+    lag, status, one = F.col("ingestion_lag_sec"), F.col("vee_status"), F.lit(1)
+    per_meter = reads.groupBy(F.to_date("read_ts").alias("date_key"), "utility_territory", "meter_id").agg(
+        F.count(one).alias("reads"), F.max(lag).alias("longest"),
+        F.count_if(lag <= ON_TIME_LIMIT_SEC).alias("on_time"), F.count_if(lag > ON_TIME_LIMIT_SEC).alias("late"),
+        *[F.count_if(status == s).alias(s.lower()) for s in ("VALID", "ESTIMATED", "FAILED")],
+    )
+    n, expected = F.sum("reads"), F.lit(expected_per_day) * F.count(one)
+    return per_meter.groupBy("date_key", "utility_territory").agg(
+        n.alias("total_reads"), F.round(F.max("longest") / 60, 6).alias("max_ingestion_lag_min"),
+        pct(F.sum("on_time"), n).alias("pct_arrived_within_15min"), F.sum("late").alias("late_arrival_count"),
+        pct(F.sum("valid"), n).alias("vee_pass_rate"), F.sum("estimated").alias("estimated_intervals"),
+        F.sum("failed").alias("failed_intervals"), (expected - n).alias("missing_intervals"),
+        pct(n, expected).alias("completeness_pct"),
+    )
+
+
 def breach_alerts(
     sla_rows: DataFrame, as_of: Column, threshold: float = SLA_THRESHOLD_PCT, now: Column | None = None
 ) -> DataFrame:
@@ -96,15 +117,20 @@ def breach_alerts(
         F.lit("ALERT").alias("status"),
         F.lit(0).cast("bigint").alias("rows_processed"),
         F.lit(1).cast("bigint").alias("error_count"),
-        F.lit(SLA_BREACH_MESSAGE).alias("message"),
+        F.lit(SLA_BREACH_MESSAGE.format(f"{threshold:g}")).alias("message"),
     )
 
 
+def _rows(df: DataFrame) -> Column:
+    """Number of rows; of a frame that was counted before (``n_rows``), the rows it stands for."""
+    return F.coalesce(F.sum("n_rows"), F.lit(0)) if "n_rows" in df.columns else F.count(F.lit(1))
+
+
 def table_metrics(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
     """Row count and freshness in seconds of each table, long form."""
     parts = []
     for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("newest"))
+        one = df.agg(_rows(df).alias("n"), F.max("ingested_at").alias("newest"))
         parts.append(one.select(
             F.lit(name).alias("table_name"),
             F.explode(F.create_map(
@@ -123,7 +149,7 @@ def metric_history(df: DataFrame, table_name: str) -> DataFrame:
     """Row count and arrival freshness of a table per ingestion day."""
     day = F.to_date("ingested_at")
     per_day = df.groupBy(day.alias("metric_date")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("newest")
+        _rows(df).alias("n"), F.max("ingested_at").alias("newest")
     )
     day_end = F.date_add("metric_date", 1).cast("timestamp_ntz")
     return per_day.select(
@@ -178,7 +204,7 @@ class RunLog:
         try:
             rows = job()
         except Exception as error:
-            self._append((pipeline, run_id, start, dt.datetime.now(), "FAILED", None, 1, str(error)[:1000]))
+            self._append((pipeline, run_id, start, dt.datetime.now(), "FAILED", None, 1, str(error)))
             raise
         self._append((pipeline, run_id, start, dt.datetime.now(), "SUCCESS", rows, 0, None))
         return rows
@@ -192,15 +218,16 @@ class RunLog:
         ).select("pipeline_name", "run_id", "s.*")
 
 
-def arrival_runs(landed: DataFrame) -> DataFrame:
-    """Run records of the hourly landing batches per territory, told from what they landed."""
-    failed = F.count_if(F.col("vee_status") == "FAILED")
-    hour = F.date_trunc("hour", "ingested_at").cast("timestamp_ntz")
+def arrival_runs(arrivals: DataFrame) -> DataFrame:
+    """Run records of the hourly landing batches per territory, told from what they landed.
+
+    ``arrivals`` has a row per meter and ingestion hour, so no raw copy is joined or grouped here.
+    """
     return (
-        landed.groupBy("utility_territory", hour.alias("batch"))
+        arrivals.groupBy("utility_territory", "batch")
         .agg(
-            F.min("ingested_at").alias("start_time"), F.max("ingested_at").alias("end_time"),
-            F.count(F.lit(1)).alias("rows_processed"), failed.alias("error_count"),
+            F.min("first_arrival").alias("start_time"), F.max("ingested_at").alias("end_time"),
+            F.sum("n_rows").alias("rows_processed"), F.sum("n_failed").alias("error_count"),
         )
         .select(
             F.concat(F.lit("LAND_"), F.col("utility_territory")).alias("pipeline_name"),

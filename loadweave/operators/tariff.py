@@ -6,11 +6,14 @@ row per meter and slot, so such a group has at most 96 rows per day of the perio
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from loadweave.functions import pct, ratio
-from loadweave.sources.reference import inline
+from loadweave.operators.calendar import dated
+from loadweave.sources.reference import HOLIDAYS, inline
 
 # Component id, schedule, type, bucket, day type (ALL or one), first and last minute,
 # tier from and to (null: unbounded), rate, unit.
@@ -148,9 +151,9 @@ def flatten_documents(docs: DataFrame, text: str = "document") -> DataFrame:
 
 
 def rated_reads(
-    reads: DataFrame, assignments: DataFrame, periods: DataFrame, calendar: DataFrame
+    reads: DataFrame, assignments: DataFrame, periods: DataFrame, holidays: Sequence[str] = HOLIDAYS
 ) -> DataFrame:
-    """Billable reads with schedule, billing period and calendar, ready for any component.
+    """Billable reads with schedule, billing period, day type and minute, ready for any component.
 
     ``assignments`` is keyed by meter and versioned; ``periods`` gives meter, id, start and end.
     """
@@ -165,9 +168,7 @@ def rated_reads(
         (F.col("meter_id") == F.col("period_meter"))
         & F.to_date("read_ts").between(F.col("start_date"), F.col("end_date")),
     ).drop("period_meter", "start_date", "end_date")
-    return inside.join(
-        calendar.select("ts_utc", "day_type", "local_minute"), F.col("read_ts") == F.col("ts_utc")
-    ).drop("ts_utc")
+    return dated(inside, F.col("read_ts"), holidays).drop("season", "hour_local", "day_of_week")
 
 
 def _component_join(rated: DataFrame, parts: DataFrame) -> DataFrame:
@@ -187,20 +188,25 @@ def _component_join(rated: DataFrame, parts: DataFrame) -> DataFrame:
     ).drop("component_schedule")
 
 
-def energy_charges(rated: DataFrame, parts: DataFrame) -> DataFrame:
-    """Energy per read and component; a read that crosses a tier border becomes one row per tier."""
+def _running(rated: DataFrame) -> DataFrame:
+    """Reads with the period's kWh before and after each."""
     w = Window.partitionBy("meter_id", "billing_period_id").orderBy("read_ts")
-    upto = F.sum(F.coalesce("kwh_delivered", F.lit(0).cast("decimal(14,4)"))).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)
+    used = F.coalesce("kwh_delivered", F.lit(0).cast("decimal(14,4)"))
+    return rated.withColumn("after", F.sum(used).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
+        "before", F.col("after") - used
     )
-    running = rated.withColumn("after", upto).withColumn(
-        "before", F.col("after") - F.coalesce("kwh_delivered", F.lit(0).cast("decimal(14,4)"))
-    )
-    tiered = _component_join(running, parts.filter("component_type = 'ENERGY'"))
+
+
+def _tier_quantity() -> Column:
+    """The part of a read's kWh that lies in its component's tier."""
     top = F.least("after", F.coalesce("tier_to_kwh", F.col("after")))
-    bottom = F.greatest("before", F.col("tier_from_kwh"))
-    quantity = (top - bottom).cast("decimal(14,4)")
-    return tiered.withColumn("quantity", quantity).filter("quantity > 0").select(
+    return (top - F.greatest("before", F.col("tier_from_kwh"))).cast("decimal(14,4)")
+
+
+def energy_charges(rated: DataFrame, parts: DataFrame) -> DataFrame:
+    """Energy per read and component; a read that crosses a tier border becomes one row per tier."""
+    tiered = _component_join(_running(rated), parts.filter("component_type = 'ENERGY'"))
+    return tiered.withColumn("quantity", _tier_quantity()).filter("quantity > 0").select(
         "meter_id", "billing_period_id", "read_ts", "schedule_id", "component_id", "component_type",
         "tou_bucket", "tier_from_kwh", "quantity", "rate",
         (F.col("quantity") * F.col("rate")).cast("decimal(14,4)").alias("charge"),
@@ -251,13 +257,24 @@ def export_credits(rated: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
+def check_riders(riders: list[tuple]) -> None:
+    """A rider nobody knows how to price must not be priced as something else."""
+    for code, applies, _, unit in riders:
+        fits = {"KWH": ("ALL", "DELIVERED", "RECEIVED"), "KW": ("DEMAND",)}.get(unit, ("ALL",))
+        if unit not in ("KWH", "KW", "METER_DAY", "PCT") or applies not in fits:
+            raise ValueError(f"rider {code}: cannot price {unit} of {applies}")
+
+
 def rider_charges(rated: DataFrame, energy: DataFrame, riders: list[tuple] = RIDERS) -> DataFrame:
-    """Surcharges per meter, period and rider: per kWh, per meter-day or percent of energy charges."""
+    """Surcharges per meter, period and rider: per kWh, per kW of the period's highest demand, per meter-day or
+    percent of energy charges."""
+    check_riders(riders)
     keys = ["meter_id", "billing_period_id"]
     usage = rated.groupBy(*keys, F.to_date("read_ts").alias("day")).agg(
-        F.sum("kwh_delivered").alias("delivered"), F.sum("kwh_received").alias("received")
+        F.sum("kwh_delivered").alias("delivered"), F.sum("kwh_received").alias("received"),
+        F.max("demand_kw").alias("peak"),
     ).groupBy(*keys).agg(
-        F.sum("delivered").alias("delivered"), F.sum("received").alias("received"),
+        F.sum("delivered").alias("delivered"), F.sum("received").alias("received"), F.max("peak").alias("peak"),
         F.count(F.lit(1)).cast("decimal(10,0)").alias("days"),
     )
     paid = energy.groupBy(*keys).agg(F.sum("charge").alias("energy_charge"))
@@ -274,6 +291,7 @@ def rider_charges(rated: DataFrame, energy: DataFrame, riders: list[tuple] = RID
     )
     amount = (
         F.when(F.col("unit") == "KWH", kwh.cast("decimal(18,4)"))
+        .when(F.col("unit") == "KW", F.coalesce("peak", F.lit(0)).cast("decimal(18,4)"))
         .when(F.col("unit") == "METER_DAY", F.col("days").cast("decimal(18,4)"))
         .otherwise((F.coalesce("energy_charge", zero) / 100).cast("decimal(18,6)"))
     ).cast("decimal(18,6)")
@@ -302,17 +320,28 @@ def period_charges(
 
 
 def shadow_bill(rated: DataFrame, parts: DataFrame, alternative: str) -> DataFrame:
-    """Energy charges per meter and period now, and if everybody were on ``alternative``."""
-    keys = ["meter_id", "billing_period_id"]
-
-    def total(frame: DataFrame, name: str) -> DataFrame:
-        return energy_charges(frame, parts).groupBy(*keys).agg(F.sum("charge").alias(name))
+    """Energy charges per meter and period now, and if everybody were on ``alternative``.
 
-    now = total(rated, "current_charge")
-    then = total(rated.withColumn("schedule_id", F.lit(alternative)), "shadow_charge")
+    Both are priced in one pass: each read meets the components of its own schedule and of the alternative, marked
+    by the case they are for. A schedule's components without either case drop out.
+    """
+    keys = ["meter_id", "billing_period_id"]
+    cases = F.array(
+        F.struct(F.lit("current").alias("case"), F.col("schedule_id").alias("priced")),
+        F.struct(F.lit("shadow").alias("case"), F.lit(alternative).alias("priced")),
+    )
+    tiered = _component_join(
+        _running(rated).withColumn("c", F.explode(cases)).select("*", "c.*").drop("c", "schedule_id").withColumnRenamed(
+            "priced", "schedule_id"
+        ), parts.filter("component_type = 'ENERGY'"),
+    )
+    charge = (_tier_quantity() * F.col("rate")).cast("decimal(14,4)")
+    paid = lambda case: F.sum(F.when(F.col("case") == case, F.col("charge")))
     zero = F.lit(0).cast("decimal(14,4)")
     delta = F.coalesce("shadow_charge", zero) - F.coalesce("current_charge", zero)
-    return now.join(then, keys, "full_outer").select(
+    return tiered.withColumn("quantity", _tier_quantity()).filter("quantity > 0").withColumn("charge", charge).groupBy(
+        *keys
+    ).agg(paid("current").alias("current_charge"), paid("shadow").alias("shadow_charge")).select(
         *keys, "current_charge", "shadow_charge", delta.alias("delta"),
         pct(delta, F.col("current_charge")).alias("delta_pct"),
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from loadweave.functions import ratio
+from loadweave.operators.calendar import dated
+from loadweave.sources.reference import HOLIDAYS
 
 
 def overlapping_windows(windows: DataFrame) -> DataFrame:
@@ -34,27 +38,29 @@ def tag(
     reads: DataFrame,
     links: DataFrame,
     customers: DataFrame,
-    calendar: DataFrame,
     windows: DataFrame,
+    holidays: Sequence[str] = HOLIDAYS,
     tz_mode: str = "calendar",
+    timezone: str = "UTC",
 ) -> DataFrame:
     """Reads with the rate window they fall into; reads without customer or window drop out.
 
-    ``tz_mode='calendar'`` uses the calendar's one local time for every meter, ``'meter'`` looks the
-    meter's own wall-clock time up in a calendar kept in that wall clock.
+    ``tz_mode='calendar'`` uses one local time (of ``timezone``) for every meter, ``'meter'`` the meter's own
+    wall-clock time. The day type, season and minute are worked out from that time.
     """
     if tz_mode not in ("calendar", "meter"):
         raise ValueError(f"unknown tz_mode {tz_mode!r}")
     plans = links.filter("is_current").select("meter_id", "customer_id").join(
         customers.select("customer_id", "rate_plan_id"), "customer_id"
     )
-    slots = calendar.select("ts_utc", "day_type", "season", "local_minute")
-    at = F.col("read_ts") if tz_mode == "calendar" else F.col("read_local_ts")
     known = reads.filter(F.col("vee_status").isin("VALID", "ESTIMATED")).join(plans, "meter_id")
-    dated = known.join(slots, at == slots.ts_utc)
+    if tz_mode == "calendar":
+        slots = dated(known, F.col("read_ts"), holidays, timezone)
+    else:
+        slots = dated(known, F.col("read_local_ts"), holidays)
     w = windows.withColumnRenamed("season", "window_season").withColumnRenamed("rate_plan_id", "window_plan") \
         .withColumnRenamed("day_type", "window_day")
-    return dated.join(
+    return slots.join(
         w,
         (F.col("window_plan") == F.col("rate_plan_id"))
         & (F.col("window_day") == F.col("day_type"))

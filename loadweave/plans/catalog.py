@@ -34,7 +34,7 @@ for _name in (
     "billing_stats", "billing_trend", "billing_by_period", "billing_ready_by_start", "worst_unready",
     "tou_bucket_totals", "tou_daily_revenue", "tou_implied_rate", "anomaly_kpi", "top_feeder_anomalies",
     "top_meter_anomalies", "anomaly_board", "anomalies_per_day", "forecast_band", "model_card",
-    "anomaly_summary", "xfm_attribution", "anomaly_exposure", "xfm_summary", "xfm_top_loaded",
+    "anomaly_summary", "xfm_attribution", "anomaly_exposure", "exposure_total", "xfm_summary", "xfm_top_loaded",
     "xfm_by_territory", "substation_feeders", "feeder_health", "events_summary", "events_recent",
     "refresh_history", "latest_refresh", "audit_recent", "edge_kpi", "partial_meters", "lag_histogram",
     "duplicate_sample", "duplicate_summary", "vee_distribution", "vee_trend", "estimation_methods",
@@ -85,8 +85,7 @@ def ingest_append(m: Marts) -> DataFrame:
     m.feed.payloads.select(F.col("payload_text").alias("value"), "source_file").hint(
         "rebalance", "source_file"
     ).write.partitionBy("source_file").text(f"{work}/drop")
-    files = -(-tables.data_files(m.spark, f"{work}/drop") // 3)
-    stream = pipeline.text_stream(m.spark, f"{work}/drop", files)
+    stream = pipeline.text_stream(m.spark, f"{work}/drop")
     pipeline.append_stream(stream, f"{work}/raw", f"{work}/checkpoint")
     landed = ingest.land(m.spark.read.parquet(f"{work}/raw"))
     return _payload_view(landed).groupBy("meter_id", "vee_status").agg(
@@ -134,8 +133,8 @@ def shared_anomalies(m: Marts) -> DataFrame:
 
 @query("normalize_reads")
 def normalize_reads(m: Marts) -> DataFrame:
-    typed = ingest.normalise(ingest.land(m.feed.payloads), m.feed.lookup.meters, extra=["event_id"])
-    return ingest.last_write_wins(typed, ["meter_id", "read_ts"], ["ingested_at", "event_id"]).select(*READ_COLUMNS)
+    landed = ingest.land(m.feed.payloads)
+    return ingest.latest_reads(landed, m.feed.lookup.meters, ["ingested_at", "event_id"]).select(*READ_COLUMNS)
 
 
 @query("quarantined_reads")
@@ -206,7 +205,9 @@ def meter_topology(m: Marts) -> DataFrame:
 
 @query("time_dim")
 def time_dim(m: Marts) -> DataFrame:
-    return m.calendar
+    """The calendar of the data's months, with the number of reads in each slot."""
+    used = m.reads.groupBy(F.col("read_ts").alias("ts_utc")).agg(F.count(F.lit(1)).alias("reads"))
+    return m.calendar.join(used, "ts_utc", "left").withColumn("reads", F.coalesce("reads", F.lit(0)))
 
 
 @query("billing_periods")
@@ -218,7 +219,7 @@ def billing_periods(m: Marts) -> DataFrame:
 def load_profile(m: Marts) -> DataFrame:
     kinds = m.feed.lookup.meters.select("meter_id", "meter_type", "has_der")
     rows = m.reads.select("meter_id", "read_ts", "kwh_delivered").join(calendar.load_scale(kinds), "meter_id")
-    return calendar.expected_load(rows, m.calendar).select(
+    return calendar.expected_load(rows).select(
         "meter_id", "read_ts", "kwh_delivered", "expected_kwh", "expected_kwh_received", "expected_kw"
     )
 
@@ -311,7 +312,7 @@ def sla_breach(m: Marts) -> DataFrame:
 
 @query("table_metrics")
 def table_metrics(m: Marts) -> DataFrame:
-    return quality.table_metrics({"raw": m.feed.transmitted, "canonical": m.reads}, ntz(m.end_of_anchor()))
+    return quality.table_metrics({"raw": m.feed.arrivals, "canonical": m.reads}, ntz(m.end_of_anchor()))
 
 
 @query("run_audit")
@@ -357,8 +358,8 @@ def anomaly_events(m: Marts) -> DataFrame:
     """Scores upserted twice, as two overlapping passes would: still one row per feeder and hour."""
     work = fresh_folder(m.spark, "scores")
     frozen = tables.snapshot(m.feeder_events, f"{work}/scored")
-    for number in (1, 2):
-        refresh.score_pass(frozen, f"{work}/events", f"{work}/staging/{number}", "feeder_id")
+    for _ in range(2):
+        refresh.score_pass(frozen, f"{work}/events", f"{work}/staging", "feeder_id")
     return m.spark.read.parquet(f"{work}/events").select(*frozen.columns)
 
 
@@ -383,18 +384,17 @@ def load_shape(m: Marts) -> DataFrame:
 
 @query("premise_mismatch")
 def premise_mismatch(m: Marts) -> DataFrame:
-    return m.mismatches
+    return m.ranked_mismatches
 
 
 # -- streaming ------------------------------------------------------------------------------------
 
 
-def _landed_stream(m: Marts, work: str, batches: int = 3) -> DataFrame:
-    """Bronze on disk, then a stream of typed reads over it in a few batches."""
+def _landed_stream(m: Marts, work: str) -> DataFrame:
+    """Bronze on disk, then a stream of typed reads over it in batches of a fixed number of files."""
     pipeline.land_bronze(m.feed.payloads, f"{work}/bronze")
-    files = -(-tables.data_files(m.spark, f"{work}/bronze") // batches)
     meters = m.feed.lookup.meters.select("meter_id", "utility_territory", "timezone")
-    return pipeline.normalised_stream(pipeline.bronze_stream(m.spark, f"{work}/bronze", files), meters)
+    return pipeline.normalised_stream(pipeline.bronze_stream(m.spark, f"{work}/bronze"), meters)
 
 
 @query("stream_normalize")
@@ -445,10 +445,10 @@ def refreshed_billing(m: Marts) -> DataFrame:
     f = m.feed
     dims = refresh.Dimensions(
         f.lookup.meters, channels.instantiate_channels(f.lookup.meters, m.catalog), f.lookup.links,
-        f.lookup.customers, m.calendar, m.windows, m.known_cycles.drop("meter_no", "meter_id"),
+        f.lookup.customers, m.windows, m.known_cycles.drop("meter_no", "meter_id"),
     )
     marts = refresh.MartTables(m.spark, f"{work}/marts", m.per_hour, m.per_day, dims, wider=("billing",))
-    pipeline.merge_stream(_landed_stream(m, work, batches=2), marts.canonical, f"{work}/merge", marts.refresh)
+    pipeline.merge_stream(_landed_stream(m, work), marts.canonical, f"{work}/merge", marts.refresh)
     return marts.read("billing").drop("part_date")
 
 
@@ -574,15 +574,22 @@ def value_at_risk(m: Marts) -> DataFrame:
     return m.at_risk
 
 
+def _ranked_issues(m: Marts) -> DataFrame:
+    work = fresh_folder(m.spark, "issues")
+    by_priority = priority.ranked(m.scored_issues, "priority_score", f"{work}/priority")
+    return priority.ranked(by_priority, "var_cumulative", f"{work}/dollars", "dollar_rank")
+
+
 @query("ops_queue")
 def ops_queue(m: Marts) -> DataFrame:
-    """The hundred issues to dispatch first."""
-    return priority.ranked(m.scored_issues, "priority_score", 100)
+    """All open issues in the order to dispatch them, with their rank by dollars as well."""
+    return _ranked_issues(m)
 
 
 @query("ops_queue_by_dollars")
 def ops_queue_by_dollars(m: Marts) -> DataFrame:
-    return priority.ranked(m.scored_issues, "var_cumulative", 100)
+    """The same issues, ranked by the dollars at risk first."""
+    return _ranked_issues(m).withColumnsRenamed({"rank": "priority_rank", "dollar_rank": "rank"})
 
 
 @query("xfm_hourly")
@@ -593,7 +600,7 @@ def xfm_hourly(m: Marts) -> DataFrame:
 @query("gap_fill")
 def gap_fill(m: Marts) -> DataFrame:
     """Missing slots of the whole span, summed per meter and day."""
-    filled = edge.gap_fill(m.reads, m.feed.meters, m.calendar, str(m.first_day), str(m.anchor))
+    filled = edge.gap_fill(m.reads, m.feed.meters, str(m.first_day), str(m.anchor))
     return filled.groupBy("meter_id", F.to_date("read_ts").alias("day")).agg(
         F.count(F.lit(1)).alias("filled"), F.sum("kwh_delivered").alias("kwh_delivered"),
         F.sum("kwh_received").alias("kwh_received"), F.max("demand_kw").alias("demand_kw"),
@@ -618,8 +625,8 @@ def anomaly_eval(m: Marts) -> DataFrame:
 
 @query("retention")
 def retention(m: Marts) -> DataFrame:
-    kept = tables.retained(m.feed.transmitted, m.anchor, 14)
-    return kept.groupBy(F.to_date("ingested_at").alias("ingest_date")).agg(F.count(F.lit(1)).alias("rows"))
+    kept = tables.retained(m.feed.arrivals, m.anchor, 14)
+    return kept.groupBy(F.to_date("ingested_at").alias("ingest_date")).agg(F.sum("n_rows").alias("rows"))
 
 
 @query("rollup_tou")
@@ -664,12 +671,12 @@ def dq_by_feeder(m: Marts) -> DataFrame:
 
 @query("metric_history")
 def metric_history(m: Marts) -> DataFrame:
-    return quality.metric_history(m.feed.transmitted, "raw")
+    return quality.metric_history(m.feed.arrivals, "raw")
 
 
 @query("metric_anomaly")
 def metric_anomaly(m: Marts) -> DataFrame:
-    return quality.metric_anomalies(quality.metric_history(m.feed.transmitted, "raw"))
+    return quality.metric_anomalies(quality.metric_history(m.feed.arrivals, "raw"))
 
 
 @query("estimation_streaks")

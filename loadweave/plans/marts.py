@@ -16,11 +16,14 @@ from loadweave.functions import hour_floor, mean
 from loadweave.operators import (
     anomaly, billing, calendar, channels, edge, priority, quality, rollups, tariff, topology, tou,
 )
-from loadweave.session import tune
+from loadweave.operators.ranking import global_rank
+from loadweave.session import fresh_folder, tune
 from loadweave.sources import reference
 from loadweave.sources.feed import MeterFeed
 
 DETECT_DAYS = 6
+#: Days before the anchor from which baselines are trained.
+TRAIN_DAYS = 180
 CYCLE = "10 days"
 CYCLE_DAYS = 10
 
@@ -104,20 +107,9 @@ class Marts:
         f = self.feed
         return topology.meter_topology(f.meters, f.service_points, f.transformers, f.feeders, f.substations)
 
-    @cached_property
-    def holidays(self) -> DataFrame:
-        return reference.holidays(self.spark)
-
     @cached_property
     def calendar(self) -> DataFrame:
-        return calendar.slot_calendar(self.spark, self.month_start, self.month_end, self.holidays)
-
-    @cached_property
-    def wall_calendar(self) -> DataFrame:
-        """For meter-local tagging: a day of margin, as western clocks run behind UTC."""
-        return calendar.slot_calendar(
-            self.spark, self.month_start - dt.timedelta(days=1), self.month_end, self.holidays
-        )
+        return calendar.slot_calendar(self.spark, self.month_start, self.month_end)
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -141,6 +133,11 @@ class Marts:
     def channel_reads(self) -> DataFrame:
         return channels.unpivot(self.reads, self.feed.lookup.meters)
 
+    @cached_property
+    def counted_channels(self) -> DataFrame:
+        """Reads with the number of channel rows each stands for."""
+        return channels.channel_rows(self.reads, self.feed.lookup.meters)
+
     @cached_property
     def channel_hourly(self) -> DataFrame:
         rules = channels.instantiate_channels(self.feed.lookup.meters, self.catalog)
@@ -172,12 +169,12 @@ class Marts:
     @cached_property
     def tagged(self) -> DataFrame:
         f = self.feed.lookup
-        return tou.tag(self.reads, f.links, f.customers, self.calendar, self.windows)
+        return tou.tag(self.reads, f.links, f.customers, self.windows)
 
     @cached_property
     def tagged_local(self) -> DataFrame:
         f = self.feed.lookup
-        return tou.tag(self.reads, f.links, f.customers, self.wall_calendar, self.windows, tz_mode="meter")
+        return tou.tag(self.reads, f.links, f.customers, self.windows, tz_mode="meter")
 
     @cached_property
     def charges(self) -> DataFrame:
@@ -186,7 +183,7 @@ class Marts:
     def charges_between(self, first, last) -> DataFrame:
         f = self.feed.lookup
         return tou.charge(
-            tou.tag(self.reads_between(first, last), f.links, f.customers, self.calendar, self.windows)
+            tou.tag(self.reads_between(first, last), f.links, f.customers, self.windows)
         )
 
     @cached_property
@@ -259,15 +256,15 @@ class Marts:
 
     @cached_property
     def observability(self) -> DataFrame:
-        return quality.unified(self.sla, self.dq)
+        return quality.observability(self.reads, self.per_day)
 
     @cached_property
     def runs(self) -> DataFrame:
-        return quality.arrival_runs(self.feed.transmitted)
+        return quality.arrival_runs(self.feed.arrivals)
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        return edge.duplicate_audit(self.feed.transmitted)
+        return edge.duplicate_audit(self.feed.repeated)
 
     @cached_property
     def week_shape(self) -> DataFrame:
@@ -279,6 +276,11 @@ class Marts:
     def mismatches(self) -> DataFrame:
         return edge.premise_mismatch(self.week_shape)
 
+    @property
+    def ranked_mismatches(self) -> DataFrame:
+        order = [F.desc("separation"), F.col("meter_id")]
+        return global_rank(self.mismatches, order, fresh_folder(self.spark, "mismatches")).drop("separation")
+
     # -- anomalies ----------------------------------------------------------------------------
 
     @property
@@ -288,7 +290,7 @@ class Marts:
     @cached_property
     def training_reads(self) -> DataFrame:
         before = dt.datetime.combine(self.detect_from, dt.time()) - dt.timedelta(minutes=15)
-        return self.reads_between(self.first_day, before).filter(F.col("vee_status") == "VALID")
+        return self.reads_between(max(self.first_day, self.day(TRAIN_DAYS)), before).filter(F.col("vee_status") == "VALID")
 
     @cached_property
     def recent_reads(self) -> DataFrame:
@@ -355,7 +357,7 @@ class Marts:
 
     @cached_property
     def rated(self) -> DataFrame:
-        return tariff.rated_reads(self.reads, self.assignments, self.known_cycles, self.calendar)
+        return tariff.rated_reads(self.reads, self.assignments, self.known_cycles)
 
     @cached_property
     def components(self) -> DataFrame:
@@ -434,11 +436,8 @@ class Marts:
         accounts = self.feed.accounts.select(
             "meter_id", F.col("segment").alias("customer_class"), (F.col("meter_no") % 8 == 0).alias("is_protected")
         )
-        slots = self.calendar.select("ts_utc", "day_type", "season")
         found = events.unionByName(scored).unionByName(runs).join(accounts, "meter_id")
-        return found.withColumn("hour_ts", hour_floor("detected_at")).join(
-            slots, F.col("hour_ts") == F.col("ts_utc")
-        ).drop("hour_ts", "ts_utc")
+        return calendar.dated(found, F.col("detected_at")).drop("hour_local", "day_of_week")
 
     @cached_property
     def usual_by_hour(self) -> DataFrame:
@@ -448,21 +447,13 @@ class Marts:
         )
 
     @cached_property
-    def meter_rates(self) -> DataFrame:
-        """Energy and demand rate per meter, day type and hour, from the plan's windows."""
-        hours = self.windows.select(
-            "rate_plan_id", "day_type", F.col("energy_rate_per_kwh").alias("energy_rate"),
-            F.col("demand_rate_per_kw").alias("demand_rate"),
-            F.explode(F.sequence(F.floor(F.col("start_minute") / 60).cast("int"),
-                                 F.floor(F.col("end_minute") / 60).cast("int"))).alias("hour"),
-        )
-        plans = self.feed.accounts.filter(~F.col("is_vacant")).select("meter_id", "rate_plan_id")
-        return plans.join(hours, "rate_plan_id").drop("rate_plan_id")
+    def meter_plans(self) -> DataFrame:
+        return self.feed.accounts.filter(~F.col("is_vacant")).select("meter_id", "rate_plan_id")
 
     @cached_property
     def exposure_factors(self) -> DataFrame:
         return priority.peak_exposure(
-            topology.feeder_load(self.reads, self.placed), self.calendar, CYCLE_DAYS, str(self.month_start)
+            topology.feeder_load(self.reads, self.placed), CYCLE_DAYS, str(self.month_start)
         )
 
     @cached_property
@@ -470,7 +461,7 @@ class Marts:
         current = self.assignments.filter("effective_to is null").select("meter_id", "schedule_id")
         export = current.join(tariff.export_rates(self.spark), "schedule_id").select("meter_id", "export_rate")
         return priority.value_at_risk(
-            self.issues, self.usual_by_hour, self.meter_rates, self.exposure_factors, self.placed, export,
+            self.issues, self.usual_by_hour, self.meter_plans, self.windows, self.exposure_factors, self.placed, export,
             hours_in_period=CYCLE_DAYS * 24,
         )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import hour_floor, pct, ratio
 from loadweave.operators import anomaly, edge, quality, topology
-from loadweave.operators.channels import unpivot
+from loadweave.operators.channels import channel_rows
 from loadweave.plans.marts import Marts, ntz
 from loadweave.sources import reference
 from loadweave.sources.reference import TERRITORIES
@@ -76,18 +76,18 @@ def _completeness(m: Marts) -> DataFrame:
     return topology.feeder_completeness(m.reads_of_days(m.day(7), m.anchor), m.placed, m.per_day, 7)
 
 
-def worst_feeders(m: Marts) -> DataFrame:
+def worst_feeders(m: Marts, top: int = 20) -> DataFrame:
     return _completeness(m).select("feeder_id", "meters", "completeness_pct").orderBy(
         "completeness_pct", "feeder_id"
-    ).limit(20)
+    ).limit(top)
 
 
-def worst_feeders_rolling(m: Marts) -> DataFrame:
+def worst_feeders_rolling(m: Marts, top: int = 20) -> DataFrame:
     """The dashboard's variant: seven days up to now, where now is the end of the data."""
     reads = m.reads_between(m.end_of_anchor(7), m.span[1])
     return topology.feeder_completeness(reads, m.placed, m.per_day, 7).select(
         "feeder_id", "meters", "completeness_pct"
-    ).orderBy("completeness_pct", "feeder_id").limit(20)
+    ).orderBy("completeness_pct", "feeder_id").limit(top)
 
 
 # -- billing --------------------------------------------------------------------------------------
@@ -123,10 +123,10 @@ def billing_ready_by_start(m: Marts) -> DataFrame:
     ).orderBy(F.desc("start_date"))
 
 
-def worst_unready(m: Marts) -> DataFrame:
+def worst_unready(m: Marts, top: int = 10) -> DataFrame:
     return m.consumption.filter(~F.col("is_billing_ready")).select(
         "billing_period_id", "meter_id", "kwh_total", "completeness_pct", "vee_pass_pct"
-    ).orderBy("completeness_pct", "billing_period_id").limit(10)
+    ).orderBy("completeness_pct", "billing_period_id").limit(top)
 
 
 # -- time of use ----------------------------------------------------------------------------------
@@ -178,16 +178,16 @@ def _top_events(events: DataFrame, series: str, top: int) -> DataFrame:
     )
 
 
-def top_feeder_anomalies(m: Marts) -> DataFrame:
-    return _top_events(m.feeder_events, "feeder_id", 15)
+def top_feeder_anomalies(m: Marts, top: int = 15) -> DataFrame:
+    return _top_events(m.feeder_events, "feeder_id", top)
 
 
-def top_meter_anomalies(m: Marts) -> DataFrame:
-    return _top_events(m.meter_events, "meter_id", 15)
+def top_meter_anomalies(m: Marts, top: int = 15) -> DataFrame:
+    return _top_events(m.meter_events, "meter_id", top)
 
 
-def anomaly_board(m: Marts) -> DataFrame:
-    return m.feeder_events.filter("is_anomaly").orderBy(F.desc("distance"), "feeder_id", "ts").limit(50).select(
+def anomaly_board(m: Marts, top: int = 50) -> DataFrame:
+    return m.feeder_events.filter("is_anomaly").orderBy(F.desc("distance"), "feeder_id", "ts").limit(top).select(
         "feeder_id", "ts", "kwh", "forecast", "lower_bound", "upper_bound", "distance"
     )
 
@@ -222,14 +222,14 @@ def anomaly_summary(m: Marts) -> DataFrame:
     )
 
 
-def xfm_attribution(m: Marts) -> DataFrame:
-    return m.attribution.orderBy(F.desc_nulls_last("est_dollar_exposure"), "transformer_id").limit(25)
+def xfm_attribution(m: Marts, top: int = 25) -> DataFrame:
+    return m.attribution.orderBy(F.desc_nulls_last("est_dollar_exposure"), "transformer_id").limit(top)
 
 
-def anomaly_exposure(m: Marts) -> DataFrame:
+def anomaly_exposure(m: Marts, top: int = 15) -> DataFrame:
     return anomaly.exposure(m.feeder_events, "feeder_id").orderBy(
         F.desc("distance"), "feeder_id", "ts"
-    ).limit(15)
+    ).limit(top)
 
 
 # -- network --------------------------------------------------------------------------------------
@@ -242,14 +242,14 @@ def xfm_summary(m: Marts) -> DataFrame:
     )
 
 
-def xfm_top_loaded(m: Marts) -> DataFrame:
+def xfm_top_loaded(m: Marts, top: int = 25) -> DataFrame:
     days = m.daily_between(m.day(30), m.anchor)
     loaded = topology.transformer_load(days, m.placed, m.feed.transformers)
     return loaded.select(
         "transformer_id", "feeder_id", F.col("kva_rating").alias("kva"), "meters",
         F.col("kwh_30d").cast("decimal(14,2)").alias("kwh_30d"),
         F.col("peak_kw").cast("decimal(12,2)").alias("peak_kw"), "load_factor_pct",
-    ).orderBy(F.desc_nulls_last("load_factor_pct"), "transformer_id").limit(25)
+    ).orderBy(F.desc_nulls_last("load_factor_pct"), "transformer_id").limit(top)
 
 
 def xfm_by_territory(m: Marts) -> DataFrame:
@@ -281,13 +281,14 @@ def events_summary(m: Marts) -> DataFrame:
     )
 
 
-def events_recent(m: Marts, days: int = 7) -> DataFrame:
+def events_recent(m: Marts, days: int = 7, top: int = 100) -> DataFrame:
+    """The newest events of the last ``days`` (1, 7, 30 or 90 on the page), payload as text."""
     newest = m.feed.meter_events.filter(F.col("event_ts") >= ntz(m.day(days))).orderBy(
         F.desc("event_ts"), F.desc("event_id")
-    ).limit(100)
+    ).limit(top)
     return newest.select(
         "event_id", "meter_id", "event_type", F.date_format("event_ts", "yyyy-MM-dd HH:mm").alias("event_ts"),
-        F.variant_get("event_payload", "$.k", "bigint").alias("payload_k"),
+        F.col("payload_text").alias("event_payload"),
     )
 
 
@@ -297,13 +298,13 @@ def refresh_history(m: Marts) -> DataFrame:
 
 def latest_refresh(m: Marts) -> DataFrame:
     recent = quality.refresh_history(m.runs, ntz(m.end_of_anchor()), 3)
-    return quality.latest_per_name(recent).orderBy("name").limit(50).select(
+    return quality.latest_per_name(recent).orderBy("name").select(
         "name", "state", F.date_format("end_time", "MM-dd HH:mm").alias("last_refresh"), "duration_sec"
     )
 
 
-def audit_recent(m: Marts) -> DataFrame:
-    return m.runs.orderBy(F.desc("start_time"), "run_id").limit(30).select(
+def audit_recent(m: Marts, top: int = 30) -> DataFrame:
+    return m.runs.orderBy(F.desc("start_time"), "run_id").limit(top).select(
         "pipeline_name", F.date_format("start_time", "MM-dd HH:mm").alias("start_time"), "status",
         "rows_processed", "error_count", "message",
     )
@@ -317,8 +318,8 @@ def _partial(m: Marts) -> DataFrame:
     return edge.partial_meters(m.reads_between(day_back, m.span[1]), m.feed.lookup.meters, ntz(m.last_slot), m.per_day)
 
 
-def partial_meters(m: Marts) -> DataFrame:
-    return _partial(m).orderBy("intervals_24h", "meter_id").limit(25)
+def partial_meters(m: Marts, top: int = 25) -> DataFrame:
+    return _partial(m).orderBy("intervals_24h", "meter_id").limit(top)
 
 
 def edge_kpi(m: Marts) -> DataFrame:
@@ -329,8 +330,9 @@ def edge_kpi(m: Marts) -> DataFrame:
     )
     week = m.reads_between(week_back, m.span[1])
     status = F.col("vee_status")
-    rows = unpivot(week, m.feed.lookup.meters).agg(
-        F.count_if(status == "ESTIMATED").alias("estimated_7d"), F.count_if(status == "FAILED").alias("failed_7d")
+    n = F.col("n_channels")
+    rows = channel_rows(week, m.feed.lookup.meters).agg(
+        *[F.coalesce(F.sum(F.when(status == s, n)), F.lit(0)).alias(f"{s.lower()}_7d") for s in ("ESTIMATED", "FAILED")]
     )
     copies = m.duplicates.agg(n_rows().alias("duplicates_resolved"))
     wrong = m.mismatches.agg(n_rows().alias("mapping_issues"))
@@ -341,11 +343,11 @@ def edge_kpi(m: Marts) -> DataFrame:
 
 
 def lag_histogram(m: Marts) -> DataFrame:
-    return edge.lag_histogram(m.channel_reads).orderBy("bucket")
+    return edge.lag_histogram(m.counted_channels).orderBy("bucket")
 
 
-def duplicate_sample(m: Marts) -> DataFrame:
-    newest = m.duplicates.orderBy(F.desc("read_ts"), "meter_id").limit(25)
+def duplicate_sample(m: Marts, top: int = 25) -> DataFrame:
+    newest = m.duplicates.orderBy(F.desc("read_ts"), "meter_id").limit(top)
     return newest.select(
         "duplicate_id", "meter_id", "utility_territory", "read_ts", "value_first", "value_second",
         F.date_format("received_first", "MM-dd HH:mm").alias("received_first"),
@@ -362,27 +364,30 @@ def duplicate_summary(m: Marts) -> DataFrame:
 
 
 def vee_distribution(m: Marts) -> DataFrame:
-    return m.channel_reads.groupBy(F.col("vee_status").alias("status")).agg(n_rows().alias("n"))
+    return m.counted_channels.groupBy(F.col("vee_status").alias("status")).agg(F.sum("n_channels").alias("n"))
 
 
 def vee_trend(m: Marts) -> DataFrame:
     since = m.last_slot - dt.timedelta(days=14)
-    rows = unpivot(m.reads_between(since, m.span[1]), m.feed.lookup.meters)
-    status = F.col("vee_status")
+    rows = channel_rows(m.reads_between(since, m.span[1]), m.feed.lookup.meters)
+    status, n = F.col("vee_status"), F.col("n_channels")
     return rows.groupBy(F.to_date("read_ts").alias("day")).agg(
-        *[F.count_if(status == s).alias(s.lower()) for s in ("VALID", "ESTIMATED", "FAILED")]
+        *[F.coalesce(F.sum(F.when(status == s, n)), F.lit(0)).alias(s.lower()) for s in ("VALID", "ESTIMATED", "FAILED")]
     ).orderBy("day").select(F.date_format("day", "MM-dd").alias("d"), "valid", "estimated", "failed")
 
 
 def estimation_methods(m: Marts) -> DataFrame:
-    return m.channel_reads.filter(F.col("estimation_method").isNotNull()).groupBy(
+    return m.counted_channels.filter(F.col("estimation_method").isNotNull()).groupBy(
         F.col("estimation_method").alias("method")
-    ).agg(n_rows().alias("n")).orderBy(F.desc("n"))
+    ).agg(F.sum("n_channels").alias("n")).orderBy(F.desc("n"))
 
 
-def premise_mismatch_report(m: Marts) -> DataFrame:
+def premise_mismatch_report(m: Marts, top: int = 25) -> DataFrame:
+    """The clearest mismatches; the mart holds all of them, the window below sees ``top`` rows."""
     where = m.placed.select("meter_id", "utility_territory", "feeder_id")
-    return m.mismatches.join(where, "meter_id", "left").orderBy("rank").limit(25).select(
+    best = m.mismatches.orderBy(F.desc("separation"), "meter_id").limit(top)
+    rank = F.row_number().over(Window.orderBy(F.desc("separation"), "meter_id"))
+    return best.withColumn("rank", rank).join(where, "meter_id", "left").select(
         "rank", "meter_id", "current_type", "suggested_type", "avg_eve_kwh", "avg_day_kwh", "avg_night_kwh",
         "avg_overall", "confidence", F.col("utility_territory").alias("territory"), "feeder_id",
     )
@@ -445,6 +450,13 @@ def vee_share(m: Marts) -> DataFrame:
     return counted.select("vee_status", "rows", pct(F.col("rows"), total).alias("pct"))
 
 
+def exposure_total(m: Marts) -> DataFrame:
+    """Exposure over all flagged hours, which the top list shows only a part of."""
+    return anomaly.exposure(m.feeder_events, "feeder_id").agg(
+        n_rows().alias("flagged_hours"), F.sum("exposure").alias("exposure")
+    )
+
+
 def rollup_counts(m: Marts) -> DataFrame:
     return _counts({"hourly": m.hourly, "daily": m.daily, "monthly": m.monthly})
 
@@ -458,4 +470,6 @@ def obs_spot_check(m: Marts) -> DataFrame:
 
 
 def stream_counts(m: Marts) -> DataFrame:
-    return _counts({"raw_rows": m.feed.transmitted, "dt_rows": m.reads})
+    raw = m.feed.arrivals.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("raw_rows")).withColumn("one", F.lit(1))
+    kept = m.reads.agg(n_rows().alias("dt_rows")).withColumn("one", F.lit(1))
+    return raw.join(kept, "one").drop("one")

@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loadweave.operators.edge import repeated_slots
 from loadweave.operators.ingest import last_write_wins
 from loadweave.sources.reference import SEGMENTS, TERRITORY_ZONES
 
@@ -198,6 +199,30 @@ class MeterFeed:
         """Every typed read as sent, duplicates included."""
         return self._typed(event_columns(self.events))
 
+    @cached_property
+    def arrivals(self) -> DataFrame:
+        """What arrived per meter and ingestion hour: n_rows, n_failed, first_arrival, ingested_at (the last).
+
+        Raw copies are combined on the raw meter number before the accounts are joined, so a meter that
+        retransmits without end is one row an hour and task.
+        """
+        hour = F.date_trunc("hour", "ingested_at").cast("timestamp_ntz").alias("batch")
+        counted = event_columns(self.events).groupBy("user_id", hour).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("k") == 0).alias("n_failed"),
+            F.min("ingested_at").alias("first_arrival"), F.max("ingested_at").alias("ingested_at"),
+        )
+        return self._named(counted)
+
+    @cached_property
+    def repeated(self) -> DataFrame:
+        """Slots that were sent more than once, told on raw rows, then named."""
+        raw = event_columns(self.events).withColumn("kwh_delivered", F.expr("cast(value as decimal(14,4))"))
+        return self._named(repeated_slots(raw, ["user_id", "read_ts"]))
+
+    def _named(self, counted: DataFrame) -> DataFrame:
+        a = self.accounts.select("meter_no", "meter_id", "utility_territory")
+        return counted.join(a, counted.user_id == a.meter_no).drop("meter_no", "user_id")
+
     @cached_property
     def reads(self) -> DataFrame:
         """Canonical reads, one per meter and slot.
@@ -235,7 +260,7 @@ class MeterFeed:
             F.col("ts").alias("event_ts"),
             F.when(kind == "error", "OUTAGE").when(kind == "signup", "RESTORE")
             .when(kind == "purchase", "TAMPER").otherwise("COMMS_LOSS").alias("event_type"),
-            F.parse_json(F.col("props")).alias("event_payload"),
+            F.parse_json(F.col("props")).alias("event_payload"), F.col("props").alias("payload_text"),
         )
 
     @cached_property

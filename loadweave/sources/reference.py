@@ -74,7 +74,7 @@ UNMASKED_ROLES = ["ADMIN", "OWNER", "ENG"]
 
 # Texts that results carry.
 DUPLICATE_RESOLUTION = "last-write-wins (kept VALUE_SECOND)"
-SLA_BREACH_MESSAGE = "SLA breach: ingestion < 95% within 15-min window"
+SLA_BREACH_MESSAGE = "SLA breach: ingestion < {}% within 15-min window"
 
 # Report constants.
 FLAT_RATE_PER_KWH = Decimal("0.15")

@@ -21,15 +21,6 @@ PAYLOAD_FIELDS = {
     "estimation_method": "string",
 }
 
-EVENTS = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
-
 LANDED = T.StructType([
     T.StructField("raw_payload", T.VariantType()),
     T.StructField("source_file", T.StringType()),

@@ -49,12 +49,29 @@ def write_partitioned(
     _laid_out(df, by, cluster).write.mode(mode).partitionBy(by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
-    """Replace exactly the partitions that occur in ``df``; all others stay as they are."""
+def replace_partitions(
+    df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), expected: Sequence[dt.date] = ()
+) -> None:
+    """Replace the partitions that occur in ``df``; all others stay as they are.
+
+    ``expected`` names partitions that ``df`` is the whole new content of: one that it has no row for is dropped, as its
+    old rows are no longer true.
+    """
+    spark = df.sparkSession
+    before = {d: _file_names(spark, f"{path}/{by}={d}") for d in expected}
     (
         _laid_out(df, by, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(by).parquet(path)
     )
+    for d, names in before.items():
+        # A partition that was written anew has new file names.
+        if names and names == _file_names(spark, f"{path}/{by}={d}"):
+            drop(spark, f"{path}/{by}={d}")
+
+
+def _file_names(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _fs(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Continuous ingest: land, normalise, merge, aggregate.
 
 Every query is a Structured Streaming query with a checkpoint. ``drain`` runs one with what is there
-and stops; a deployment passes a processing-time trigger instead.
+and stops; a deployment passes its trigger, and gets the running query back.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from loadweave.operators.ingest import land, last_write_wins, normalise
 from loadweave.sources import tables
@@ -19,12 +19,23 @@ READ_KEYS = ["meter_id", "read_ts"]
 NEWEST = ["ingested_at", "event_id"]
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Process everything available in as many batches as the source's limits ask for, then stop."""
+#: Files of one batch, whatever the table's size.
+FILES_PER_BATCH = 32
+
+
+def drain(writer: DataStreamWriter, trigger: dict | None = None) -> StreamingQuery:
+    """Process everything available in as many batches as the source's limits ask for, then stop.
+
+    With a ``trigger`` (such as ``{"processingTime": "1 minute"}``, see ``refresh.TARGET_LAG_MIN``) the query goes on;
+    the caller stops it.
+    """
+    if trigger is not None:
+        return writer.trigger(**trigger).start()
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return query
 
 
 def keep_state_on_disk(spark: SparkSession) -> None:
@@ -41,19 +52,13 @@ def land_bronze(payloads: DataFrame, path: str) -> None:
     tables.write_partitioned(rows, path, "ingest_date")
 
 
-def bronze_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDED)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def bronze_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def text_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """JSON lines dropped into a folder."""
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).select(
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path).select(
         F.col("value").alias("payload_text"),
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("source_file"),
         F.lit("v1").alias("schema_version"),
@@ -61,10 +66,10 @@ def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     )
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
+def append_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Exactly-once append of a stream to a Parquet table."""
-    drain(stream.writeStream.format("parquet").outputMode("append")
-          .option("path", path).option("checkpointLocation", checkpoint))
+    return drain(stream.writeStream.format("parquet").outputMode("append")
+                 .option("path", path).option("checkpointLocation", checkpoint), trigger)
 
 
 def normalised_stream(raw: DataFrame, meters: DataFrame) -> DataFrame:
@@ -73,8 +78,9 @@ def normalised_stream(raw: DataFrame, meters: DataFrame) -> DataFrame:
 
 
 def merge_stream(
-    reads: DataFrame, path: str, work: str, after_batch: Callable[[list], None] | None = None
-) -> None:
+    reads: DataFrame, path: str, work: str, after_batch: Callable[[list], None] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
     """Merge a stream of reads into the canonical table, one touched-day rewrite per batch.
 
     No streaming state at all, so lateness is unbounded. Staging is named after the query's own id,
@@ -90,10 +96,10 @@ def merge_stream(
         # This batch only began after the one before it was committed; its staging copy is done with.
         tables.drop(batch.sparkSession, f"{work}/staging/{query_id}/{batch_id - 1}")
 
-    drain(reads.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint"))
+    return drain(reads.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint"), trigger)
 
 
-def changelog(aggregated: DataFrame, path: str, checkpoint: str) -> None:
+def changelog(aggregated: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write each batch's changed groups of a streaming aggregation, tagged with the batch number.
 
     A batch replaces only its own directory, so a repeated batch leaves one copy.
@@ -103,8 +109,8 @@ def changelog(aggregated: DataFrame, path: str, checkpoint: str) -> None:
         tables.replace_partitions(batch.withColumn("batch", F.lit(batch_id)), path, "batch")
 
     keep_state_on_disk(aggregated.sparkSession)
-    drain(aggregated.writeStream.outputMode("update").foreachBatch(write)
-          .option("checkpointLocation", checkpoint))
+    return drain(aggregated.writeStream.outputMode("update").foreachBatch(write)
+                 .option("checkpointLocation", checkpoint), trigger)
 
 
 def current(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,7 +28,6 @@ class Dimensions:
     meter_channels: DataFrame
     links: DataFrame
     customers: DataFrame
-    calendar: DataFrame
     windows: DataFrame
     periods: DataFrame
 
@@ -60,8 +62,11 @@ class MartTables:
     def read(self, mart: str) -> DataFrame:
         return self.spark.read.parquet(self.path(mart))
 
-    def _store(self, mart: str, df: DataFrame, day: str, part: str = "part_date") -> None:
-        tables.replace_partitions(df.withColumn(part, F.to_date(day)), self.path(mart), part)
+    def _store(self, mart: str, df: DataFrame, day: str, days: list[dt.date]) -> None:
+        """Replace the partitions ``days`` of a mart, also those that are empty now."""
+        tables.replace_partitions(
+            df.withColumn("part_date", F.to_date(day)), self.path(mart), "part_date", expected=days
+        )
 
     def _days(self, mart: str, days: list[dt.date]) -> DataFrame:
         """A stored mart's partitions of the touched days."""
@@ -74,11 +79,11 @@ class MartTables:
         scan is limited to the partitions concerned.
         """
         reads = self.read("canonical").filter(F.col("read_date").isin(days))
-        self._store("hourly", rollups.hourly(reads, self.expected_per_hour), "rollup_ts")
-        self._store("daily", rollups.daily(self._days("hourly", days), self.expected_per_day), "rollup_ts")
-        for first, last in _month_ranges(days):
-            month = self.read("daily").filter(F.col("part_date").between(F.lit(first), F.lit(last)))
-            self._store("monthly", rollups.monthly(month.drop("part_date")), "rollup_ts")
+        self._store("hourly", rollups.hourly(reads, self.expected_per_hour), "rollup_ts", days)
+        self._store("daily", rollups.daily(self._days("hourly", days), self.expected_per_day), "rollup_ts", days)
+        firsts = sorted({d.replace(day=1) for d in days})
+        months = self.read("daily").filter(F.trunc("part_date", "month").isin(firsts))
+        self._store("monthly", rollups.monthly(months.drop("part_date")), "rollup_ts", firsts)
         if self.dims is not None:
             self._refresh_wider(reads, days, self.dims)
 
@@ -86,31 +91,33 @@ class MartTables:
         if "channels" in self.wider:
             long = channels.unpivot(reads, d.meters)
             hours = channels.channel_hourly(long, d.meter_channels, self.expected_per_hour)
-            self._store("channel_hourly", hours, "rollup_ts")
+            self._store("channel_hourly", hours, "rollup_ts", days)
             per_day = channels.channel_daily(self._days("channel_hourly", days), self.expected_per_day)
-            self._store("channel_daily", per_day, "rollup_date")
+            self._store("channel_daily", per_day, "rollup_date", days)
         if "charges" in self.wider:
-            lines = tou.charge(tou.tag(reads, d.links, d.customers, d.calendar, d.windows))
-            self._store("charges", lines, "read_ts")
+            lines = tou.charge(tou.tag(reads, d.links, d.customers, d.windows))
+            self._store("charges", lines, "read_ts", days)
         if "sla" in self.wider:
-            self._store("sla", quality.sla(reads), "date_key")
+            self._store("sla", quality.sla(reads), "date_key", days)
         if "dq" in self.wider:
-            self._store("dq", quality.data_quality(reads, self.expected_per_day), "date_key")
+            self._store("dq", quality.data_quality(reads, self.expected_per_day), "date_key", days)
         if "billing" in self.wider:
             self._refresh_billing(days, d)
 
     def _refresh_billing(self, days: list[dt.date], d: Dimensions) -> None:
         """Every period that shares its start with one the touched days reach."""
-        reached = (F.col("start_date") <= F.lit(max(days))) & (F.col("end_date") >= F.lit(min(days)))
+        touched = F.array(*map(F.lit, days))
+        reached = F.exists(touched, lambda day: day.between(F.col("start_date"), F.col("end_date")))
         starts = tables.touched(d.periods.filter(reached), "start_date")
         if not starts:
             return
         periods = d.periods.filter(F.col("start_date").isin(starts))
-        bounds = periods.agg(F.min("start_date").alias("first"), F.max("end_date").alias("last")).first()
-        inside = self.read("daily").filter(
-            F.col("part_date").between(F.lit(bounds["first"]), F.lit(bounds["last"]))
-        ).drop("part_date")
-        self._store("billing", billing.consumption(periods, d.meters, inside), "start_date")
+        # The ranges that these periods span: one for each distinct start and end, never rows of meters.
+        spans = [tuple(r) for r in periods.select("start_date", "end_date").distinct().collect()]
+        part = F.col("part_date")
+        inside = reduce(or_, [part.between(F.lit(first), F.lit(last)) for first, last in spans])
+        daily = self.read("daily").filter(inside).drop("part_date")
+        self._store("billing", billing.consumption(periods, d.meters, daily), "start_date", starts)
 
 
 def backfill_channels(
@@ -125,15 +132,14 @@ def backfill_channels(
     )
 
 
-def _month_ranges(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
-    firsts = sorted({d.replace(day=1) for d in days})
-    return [(f, (f.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)) for f in firsts]
-
-
-def score_pass(events: DataFrame, path: str, staging: str, series: str) -> None:
+def score_pass(events: DataFrame, path: str, staging: str, series: str, pass_id: str | None = None) -> None:
     """One scoring pass: upsert scores by series and hour, stamped with the time of the pass.
 
-    The scored window overlaps the last pass's; a plain append would store its hours again and again.
+    The scored window overlaps the last pass's; a plain append would store its hours again and again. Each pass stages
+    below ``staging`` in a folder of its own, which is deleted when the pass is done. A scheduler that repeats a pass
+    that died gives its ``pass_id`` again.
     """
+    folder = f"{staging}/{pass_id or uuid.uuid4().hex}"
     stamped = events.withColumn("detected_at", F.localtimestamp()).withColumn("event_date", F.to_date("ts"))
-    tables.upsert(stamped, path, staging, [series, "ts"], ["detected_at"], by="event_date")
+    tables.upsert(stamped, path, folder, [series, "ts"], ["detected_at"], by="event_date")
+    tables.drop(events.sparkSession, folder)

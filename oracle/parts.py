@@ -106,7 +106,7 @@ PARTS["c_mevents"] = f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, {pad('MTR-', 'user_id', 6)} AS meter_id, ts AS event_ts,
        CASE event_type WHEN 'error' THEN 'OUTAGE' WHEN 'signup' THEN 'RESTORE' WHEN 'purchase' THEN 'TAMPER'
             ELSE 'COMMS_LOSS' END AS event_type,
-       CAST(json_extract(props, '$.k') AS BIGINT) AS payload_k
+       CAST(json_extract(props, '$.k') AS BIGINT) AS payload_k, props
 FROM events WHERE event_type IN ('error', 'signup', 'purchase', 'click')"""
 
 PARTS["c_catalog"] = values(reference.CHANNELS, [
@@ -382,7 +382,7 @@ SELECT row_number() OVER (ORDER BY separation DESC, meter_id) AS rank, * FROM (
                  WHEN eve / nullif(day, 0) > 1.10 THEN 'RES' ELSE meter_type END AS suggested_type,
          round(abs(eve - day) / nullif(greatest(eve, day), 0), 6) AS separation
   FROM c_shape WHERE eve IS NOT NULL AND day IS NOT NULL AND night IS NOT NULL)
-WHERE meter_type <> suggested_type ORDER BY separation DESC, meter_id LIMIT 50"""
+WHERE meter_type <> suggested_type"""
 PARTS["c_partial"] = """
 SELECT p.meter_id, m.utility_territory, m.meter_type, p.n AS intervals_24h, 2 - p.n AS missing_24h
 FROM (SELECT i.meter_id, count(*) AS n FROM c_reads i CROSS JOIN c_span s

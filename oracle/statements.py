@@ -119,8 +119,9 @@ SELECT m.meter_id, m.service_point_id, m.meter_type, m.has_der, p.feeder_id, p.t
 FROM c_meters m JOIN c_sp p ON p.service_point_id = m.service_point_id JOIN c_xfm t ON t.transformer_id = p.transformer_id
 JOIN c_feeders f ON f.feeder_id = p.feeder_id JOIN c_subs s ON s.substation_id = f.substation_id"""
 S["time_dim"] = """
-SELECT ts_utc, local_date, local_minute::BIGINT AS local_minute, hour_local, day_of_week, day_type, month, season, is_holiday
-FROM c_cal"""
+SELECT ts_utc, local_date, local_minute::BIGINT AS local_minute, hour_local, day_of_week, day_type, month, season, is_holiday,
+       coalesce(u.reads, 0) AS reads
+FROM c_cal LEFT JOIN (SELECT read_ts, count(*) AS reads FROM c_reads GROUP BY ALL) u ON u.read_ts = c_cal.ts_utc"""
 S["billing_periods"] = """
 SELECT billing_period_id, cis_account_id, service_point_id, bill_cycle, start_date, end_date,
        cis_billed_kwh::DOUBLE AS cis_billed_kwh FROM c_periods"""
@@ -204,7 +205,7 @@ SELECT 'SLA_BREACH_ALERT' AS pipeline_name,
        sha256('SLA_BREACH_ALERT' || strftime(CAST(anchor AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')) AS run_id,
        CAST(anchor AS TIMESTAMP) AS start_time, CAST(anchor AS TIMESTAMP) AS end_time, 'ALERT' AS status,
        0::BIGINT AS rows_processed, 1::BIGINT AS error_count,
-       '{reference.SLA_BREACH_MESSAGE}' AS message
+       '{reference.SLA_BREACH_MESSAGE.format(99)}' AS message
 FROM c_span WHERE EXISTS (SELECT 1 FROM c_sla WHERE date_key = anchor AND on_time_u < 9900)"""
 S["table_metrics"] = """
 SELECT t.table_name, k.metric, CASE k.metric WHEN 'ROW_COUNT' THEN t.n ELSE datesub('second', t.newest, s.anchor_end) END AS value,
@@ -381,7 +382,7 @@ SELECT c.feeder_id, f.utility_territory AS territory, lat_u / 1000000.0::DOUBLE
 FROM c_fcomp c JOIN c_feeders f ON f.feeder_id = c.feeder_id"""
 S["events_summary"] = "SELECT event_type, count(*) AS count FROM c_mevents GROUP BY event_type"
 S["events_recent"] = """
-SELECT event_id, meter_id, event_type, strftime(event_ts, '%Y-%m-%d %H:%M') AS event_ts, payload_k FROM c_mevents, c_span
+SELECT event_id, meter_id, event_type, strftime(event_ts, '%Y-%m-%d %H:%M') AS event_ts, props AS event_payload FROM c_mevents, c_span
 WHERE c_mevents.event_ts >= anchor - 7 ORDER BY c_mevents.event_ts DESC, event_id DESC LIMIT 100"""
 _HISTORY = """
 SELECT pipeline_name AS name, run_id, status AS state, start_time, end_time, datesub('second', start_time, end_time) AS duration_sec,
@@ -390,7 +391,7 @@ FROM c_runs, c_span WHERE start_time BETWEEN anchor_end - INTERVAL {} DAY AND an
 S["refresh_history"] = _HISTORY.format(7)
 S["latest_refresh"] = f"""
 SELECT name, state, strftime(end_time, '%m-%d %H:%M') AS last_refresh, duration_sec FROM ({_HISTORY.format(3)})
-QUALIFY row_number() OVER (PARTITION BY name ORDER BY end_time DESC, run_id DESC) = 1 ORDER BY name LIMIT 50"""
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY end_time DESC, run_id DESC) = 1"""
 S["audit_recent"] = """
 SELECT pipeline_name, strftime(start_time, '%m-%d %H:%M') AS start_time, status, rows_processed, error_count, message
 FROM c_runs ORDER BY c_runs.start_time DESC, run_id LIMIT 30"""
@@ -513,10 +514,18 @@ S["peak_exposure"] = "SELECT feeder_id, hour_local, day_of_week, season, hours,
 _ISSUE = "issue_id, issue_type, issue_source, meter_id, customer_class, is_protected, detected_at, var_hourly, var_cumulative"
 S["value_at_risk"] = f"SELECT {_ISSUE} FROM c_var"
 _QUEUE = """
-SELECT {cols}, duration_hours, priority_score, row_number() OVER (ORDER BY {by} DESC, issue_id) AS rank
-FROM c_scored ORDER BY {by} DESC, issue_id LIMIT 100"""
-S["ops_queue"] = _QUEUE.format(cols=_ISSUE, by="priority_score")
-S["ops_queue_by_dollars"] = _QUEUE.format(cols=_ISSUE, by="var_cumulative")
+SELECT {cols}, duration_hours, priority_score, row_number() OVER (ORDER BY priority_score DESC, issue_id) AS {first},
+       row_number() OVER (ORDER BY var_cumulative DESC, issue_id) AS {second}
+FROM c_scored"""
+S["ops_queue"] = _QUEUE.format(cols=_ISSUE, first="rank", second="dollar_rank")
+S["ops_queue_by_dollars"] = _QUEUE.format(cols=_ISSUE, first="priority_rank", second="rank")
+S["exposure_total"] = """
+SELECT count(*) AS flagged_hours,
+       sum(CAST(greatest(CAST(kwh AS DECIMAL(18,6)) - CAST(forecast AS DECIMAL(18,6)), 0) * 0.15 AS DECIMAL(18,4)))::DOUBLE AS exposure
+FROM c_fev WHERE is_anomaly"""
+S["run_audit"] = """
+SELECT 'HOURLY_ROLLUP' AS pipeline_name, 'SUCCESS' AS status, count(*) AS rows_processed, 0::BIGINT AS error_count
+FROM c_hourly"""
 S["xfm_hourly"] = f"""
 SELECT l.transformer_id, l.feeder_id, l.ts, l.kwh::DOUBLE AS kwh, u.usual_u / 1000000.0::DOUBLE AS usual_kwh,
        CAST(CAST(l.kwh * 1000000 AS HUGEINT) - u.usual_u AS DOUBLE) / 1000000 AS deviation_kwh,
@@ -588,5 +597,5 @@ SELECT meter_id, first_day, last_day, days, estimated_intervals, days > 3 AS is_
 
 
 def statements() -> dict[str, str]:
-    """All statements with the common tables they need. ``run_audit`` has none: it logs wall-clock runs."""
+    """All statements with the common tables they need."""
     return {name: with_parts(sql.strip(), PARTS) for name, sql in S.items()}

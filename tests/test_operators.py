@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadweave.operators import (
-    anomaly, billing, calendar, channels, edge, governance, ingest, quality, rollups, tariff, tou,
+    anomaly, billing, calendar, channels, edge, governance, ingest, priority, quality, rollups, tariff, tou,
 )
+from loadweave.operators.ranking import global_rank
 from loadweave.sources import reference, tables
 
 READS = (
@@ -98,13 +99,91 @@ def test_breach_alert(spark):
     assert quality.breach_alerts(quality.sla(rows), F.date_add(day, 1)).count() == 0
 
 
+def test_breach_alert_names_its_threshold(spark):
+    rows = quality.sla(frame(spark, [read(DAY, lag=1000)]))
+    day = F.lit(str(DAY.date())).cast("date")
+    text = lambda **k: quality.breach_alerts(rows, day, **k).first().message
+    assert text() == "SLA breach: ingestion < 95% within 15-min window"
+    assert text(threshold=99.0) == "SLA breach: ingestion < 99% within 15-min window"
+
+
+def test_run_log_shows_running_and_failed_runs_with_the_whole_error(spark, tmp_path):
+    log = quality.RunLog(spark, str(tmp_path / "log"))
+    seen = []
+
+    def good():
+        seen.extend(log.read().collect())
+        return 5
+
+    def bad():
+        raise ValueError("x" * 5000)
+
+    assert log.run("A", good) == 5
+    with pytest.raises(ValueError):
+        log.run("B", bad)
+    assert [(r.pipeline_name, r.status) for r in seen] == [("A", "RUNNING")]
+    rows = {r.pipeline_name: r for r in log.read().collect()}
+    assert (rows["A"].status, rows["A"].rows_processed) == ("SUCCESS", 5)
+    assert (rows["B"].status, rows["B"].error_count, len(rows["B"].message)) == ("FAILED", 1, 5000)
+
+
+def test_all_mismatches_and_issues_are_kept_and_ranked(spark, tmp_path):
+    shape = spark.range(400).select(
+        F.format_string("M%04d", "id").alias("meter_id"), F.lit("RES").alias("meter_type"), F.lit(1.0).alias("eve"),
+        (F.lit(2.0) + F.col("id") % 7).alias("day"), F.lit(0.5).alias("night"), F.lit(0.9).alias("overall"))
+    wrong = edge.premise_mismatch(shape)
+    assert wrong.count() == 400
+    order = [F.desc("separation"), F.col("meter_id")]
+    got = global_rank(wrong, order, str(tmp_path / "r")).collect()
+    want = sorted(got, key=lambda r: (-r.separation, r.meter_id))
+    assert [r["rank"] for r in want] == list(range(1, 401))
+    issues = spark.range(250).select(F.col("id").cast("string").alias("issue_id"), (F.col("id") % 9).alias("score"))
+    places = {r.issue_id: r["rank"] for r in priority.ranked(issues, "score", str(tmp_path / "i")).collect()}
+    assert sorted(places.values()) == list(range(1, 251)) and places["107"] == 1
+    assert global_rank(issues.limit(0), [F.col("issue_id")], str(tmp_path / "e")).count() == 0
+
+
+def test_a_retransmitting_meter_is_combined_before_the_join(spark):
+    hot = spark.range(30_000).select(
+        F.lit(1).cast("bigint").alias("user_id"), F.lit(DAY).cast("timestamp_ntz").alias("read_ts"),
+        F.col("id").cast("decimal(14,4)").alias("kwh_delivered"), F.lit(DAY).cast("timestamp_ntz").alias("ingested_at"),
+        F.col("id").alias("event_id"))
+    cold = spark.range(60_000).select(
+        (F.col("id") + 2).alias("user_id"), F.lit(DAY).cast("timestamp_ntz").alias("read_ts"),
+        F.lit(1).cast("decimal(14,4)").alias("kwh_delivered"), F.lit(DAY).cast("timestamp_ntz").alias("ingested_at"),
+        F.col("id").alias("event_id"))
+    rows = edge.repeated_slots(hot.unionByName(cold), ["user_id", "read_ts"]).collect()
+    assert [(r.user_id, r.copies, int(r["first"].value), int(r.kept.value)) for r in rows] == [(1, 30_000, 0, 29_999)]
+
+
+def test_channel_rows_counts_what_unpivot_makes(spark):
+    rows = frame(spark, [read(DAY), read(DAY, meter="M2"), read(DAY, meter="M3", received="0.5"), read(DAY, meter="M4", received=None)])
+    rows = rows.withColumns({"quality_flag": F.lit("A"), "estimation_method": F.lit(None).cast("string"), "source_file": F.lit("f")})
+    meters = spark.createDataFrame([("M1", False), ("M2", True), ("M3", False), ("M4", False)], "meter_id string, has_der boolean")
+    n = channels.channel_rows(rows, meters).agg(F.sum("n_channels")).first()[0]
+    assert n == channels.unpivot(rows, meters).count() == 14
+
+
+def test_riders_on_demand_and_unknown_riders(spark):
+    rated = spark.createDataFrame(
+        [("M1", DAY + dt.timedelta(minutes=15 * i), D("10"), D("0"), D(kw), "S-TIERED", "P1", "WEEKDAY", 15 * i)
+         for i, kw in enumerate(["3", "7", "5"])],
+        "meter_id string, read_ts timestamp_ntz, kwh_delivered decimal(14,4), kwh_received decimal(14,4), "
+        "demand_kw decimal(10,4), schedule_id string, billing_period_id string, day_type string, local_minute int")
+    energy = tariff.energy_charges(rated, tariff.components(spark))
+    row = tariff.rider_charges(rated, energy, [("PEAK", "DEMAND", "2.00000", "KW")]).first()
+    assert (row.quantity, row.charge) == (D("7.000000"), D("14.0000"))
+    for wrong in (("X", "DEMAND", "1", "KWH"), ("X", "ALL", "1", "MOON"), ("X", "RECEIVED", "1", "PCT")):
+        with pytest.raises(ValueError):
+            tariff.rider_charges(rated, energy, [wrong])
+
+
 def test_window_ends_day_types_and_overlap(spark):
-    cal = calendar.slot_calendar(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 7), reference.holidays(spark))
     links = spark.createDataFrame([("M1", "C1", True)], "meter_id string, customer_id string, is_current boolean")
     customers = spark.createDataFrame([("C1", "RP-TOU3")], "customer_id string, rate_plan_id string")
     times = [(3, 15, 45), (3, 16, 0), (3, 20, 45), (3, 21, 0), (6, 16, 0), (1, 16, 0)]
     rows = frame(spark, [read(dt.datetime(2024, 1, d, h, mi), event=i) for i, (d, h, mi) in enumerate(times)])
-    tagged = tou.tag(rows, links, customers, cal, reference.rate_windows(spark))
+    tagged = tou.tag(rows, links, customers, reference.rate_windows(spark))
     buckets = {r.read_ts: (r.day_type, r.tou_bucket) for r in tagged.collect()}
     assert [buckets[dt.datetime(2024, 1, d, h, mi)] for d, h, mi in times] == [
         ("WEEKDAY", "SHOULDER"), ("WEEKDAY", "ON_PEAK"), ("WEEKDAY", "ON_PEAK"), ("WEEKDAY", "OFF_PEAK"),
@@ -207,10 +286,9 @@ def test_gap_fill_only_fills_gaps_and_actuals_win(spark):
         [("M1", "RES", False, "NE", "America/New_York")],
         "meter_id string, meter_type string, has_der boolean, utility_territory string, timezone string")
     day = str(DAY.date())
-    cal = calendar.slot_calendar(spark, DAY.date(), DAY.date(), reference.holidays(spark))
-    filled = edge.gap_fill(frame(spark, slots(skip={3, 50})), meters, cal, day, day)
+    filled = edge.gap_fill(frame(spark, slots(skip={3, 50})), meters, day, day)
     assert sorted(r.read_ts.hour * 4 + r.read_ts.minute // 15 for r in filled.collect()) == [3, 50]
-    assert edge.gap_fill(frame(spark, []), meters, cal, day, day).count() == 96
+    assert edge.gap_fill(frame(spark, []), meters, day, day).count() == 96
 
 
 def test_roles_and_masks(spark):

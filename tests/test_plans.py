@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from loadweave.operators import ingest
 from loadweave.plans import catalog
 from loadweave.plans.marts import Marts
 
@@ -33,6 +34,49 @@ def test_only_needed_columns_are_read(spark, root):
     assert "ReadSchema: struct<event_type:string>" in text
 
 
+@pytest.mark.parametrize("name", ["tou_tagged", "charge_line", "load_profile", "peak_exposure", "rider_charges", "ops_queue"])
+def test_facts_are_never_dealt_by_time(spark, root, name):
+    """Day type, season and minute are worked out from the time, so no calendar is joined."""
+    m = Marts(spark, root)
+    frame = m.scored_issues if name == "ops_queue" else catalog.CATALOG[name](m)
+    text = plan(frame)
+    assert "hashpartitioning(read_ts" not in text and "hashpartitioning(ts" not in text and "Range (" not in text
+
+
+@pytest.mark.parametrize("name", ["duplicate_audit", "table_metrics", "metric_history", "stream_counts", "retention", "normalize_reads"])
+def test_raw_copies_are_combined_before_any_join(spark, root, name):
+    """Below every join lies an aggregate: no raw copy reaches one."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = Marts(spark, root)
+        if name == "normalize_reads":
+            landed = ingest.land(m.feed.payloads)
+            frame = ingest.latest_reads(landed, m.feed.lookup.meters, ["ingested_at", "event_id"])
+            optimized = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert optimized.index("Join") < optimized.index("max_by")
+            return
+        lines = plan(catalog.CATALOG[name](m)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scans = [i for i, line in enumerate(lines) if "events.parquet" in line]
+    assert scans
+    for scan in scans:
+        depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+        above, at = [], depth(lines[scan])
+        for line in reversed(lines[:scan]):
+            if depth(line) < at:
+                at = depth(line)
+                above.append(line)
+        first = next((line for line in above if "Aggregate" in line or "Join" in line), "")
+        assert "Aggregate" in first
+
+
+def test_observability_and_shadow_bill_scan_the_facts_once(spark, root):
+    for name in ("obs_dashboard", "shadow_bill"):
+        assert plan(catalog.run(name, spark, root)).count("events.parquet") == 1
+
+
 def test_fact_lookups_do_not_scan_the_facts_again(spark, root):
     assert plan(catalog.run("feeder_load", spark, root)).count("events.parquet") == 1
     assert plan(catalog.run("charge_line", spark, root)).count("events.parquet") == 1

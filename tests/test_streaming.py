@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadweave.plans.marts import Marts
 from loadweave.sources import tables
 from loadweave.streaming import pipeline
-from loadweave.streaming.refresh import Dimensions, MartTables
+from loadweave.streaming.refresh import Dimensions, MartTables, score_pass
 
 SCHEMA = "meter_id string, read_ts timestamp_ntz, value int, ingested_at timestamp_ntz, event_id bigint, read_date date"
 T0 = dt.datetime(2024, 1, 3)
@@ -45,7 +46,7 @@ def test_a_batch_that_died_while_replacing_is_repeated_from_staging(spark, tmp_p
     second = batch(spark, ("A", 0, 10, 5))
     real = tables.replace_partitions
 
-    def die(df, target, by, cluster=()):
+    def die(df, target, by, cluster=(), expected=()):
         # The worst moment: the live partition is gone, its replacement has not arrived.
         fs, root = tables._fs(spark, target)
         fs.delete(tables._fs(spark, f"{target}/{by}={T0.date()}")[1], True)
@@ -62,7 +63,7 @@ def test_a_batch_that_died_while_replacing_is_repeated_from_staging(spark, tmp_p
 def test_incremental_refresh_equals_full_recompute(spark, root, tmp_path):
     m = Marts(spark, root)
     f = m.feed
-    dims = Dimensions(f.meters, m.meter_channels, f.links, f.customers, m.calendar, m.windows,
+    dims = Dimensions(f.meters, m.meter_channels, f.links, f.customers, m.windows,
                       m.cycles.drop("meter_no", "meter_id"))
     marts = MartTables(spark, str(tmp_path), 1, 2, dims)
     rows = m.reads.selectExpr("*", "to_date(read_ts) as read_date")
@@ -80,6 +81,56 @@ def test_incremental_refresh_equals_full_recompute(spark, root, tmp_path):
         assert got.exceptAll(full).isEmpty() and full.exceptAll(got).isEmpty()
 
 
+def test_an_emptied_day_and_scattered_late_days(spark, root, tmp_path):
+    """A day whose reads all turn FAILED has no charges left; far days refresh their own months and periods only."""
+    m = Marts(spark, root)
+    f = m.feed
+    dims = Dimensions(f.meters, m.meter_channels, f.links, f.customers, m.windows, m.cycles.drop("meter_no", "meter_id"))
+    marts = MartTables(spark, str(tmp_path), 1, 2, dims, wider=("charges", "billing", "sla"))
+    rows = m.reads.selectExpr("*", "to_date(read_ts) as read_date")
+    merge(rows, marts.canonical, str(tmp_path / "s0"))
+    marts.refresh(tables.touched(rows, "read_date"))
+    far = [m.first_day, m.anchor]
+    before = {r[0] for r in marts.read("charges").select("part_date").distinct().collect()}
+    stamps = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "sla").glob("part_date=*")}
+    resent = rows.filter(F.col("read_date").isin(far)).withColumn("vee_status", F.lit("FAILED")).withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("interval 400 days"))
+    marts.refresh(merge(resent, marts.canonical, str(tmp_path / "s1")))
+    after = {r[0] for r in marts.read("charges").select("part_date").distinct().collect()}
+    assert before - after == set(far) & before and far[0] in before
+    moved = {p.name for p in (tmp_path / "sla").glob("part_date=*") if stamps.get(p.name) != p.stat().st_mtime_ns}
+    assert moved == {f"part_date={d}" for d in far}
+    known = marts.read("billing").agg(F.count("*"), F.sum("kwh_total")).first()
+    assert known[0] == m.consumption.count()
+
+
+def test_a_second_scoring_pass_with_new_scores(spark, tmp_path):
+    def scores(value, hours):
+        rows = [("S", T0 + dt.timedelta(hours=h), value) for h in hours]
+        return spark.createDataFrame(rows, "series string, ts timestamp_ntz, distance double")
+
+    path, staging = str(tmp_path / "events"), str(tmp_path / "staging")
+    score_pass(scores(1.0, range(0, 6)), path, staging, "series")
+    score_pass(scores(2.0, range(3, 9)), path, staging, "series")
+    got = {r.ts.hour: r.distance for r in spark.read.parquet(path).collect()}
+    assert got == {**dict.fromkeys(range(0, 3), 1.0), **dict.fromkeys(range(3, 9), 2.0)}
+    assert not list((tmp_path / "staging").iterdir())
+
+
+def test_a_stream_with_a_trigger_keeps_running(spark, root, tmp_path):
+    feed = Marts(spark, root).feed
+    pipeline.land_bronze(feed.payloads, str(tmp_path / "bronze"))
+    query = pipeline.append_stream(
+        pipeline.normalised_stream(pipeline.bronze_stream(spark, str(tmp_path / "bronze")), feed.lookup.meters),
+        str(tmp_path / "typed"), str(tmp_path / "checkpoint"), {"processingTime": "1 second"},
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(str(tmp_path / "typed")).count() == feed.events.count()
+    finally:
+        query.stop()
+
+
 def test_a_restarted_stream_does_not_repeat_work(spark, root, tmp_path):
     work = str(tmp_path)
     feed = Marts(spark, root).feed
