@@ -13,6 +13,7 @@ from loadweave.operators import (
 from loadweave.plans import reports
 from loadweave.plans.marts import Marts, ntz
 from loadweave.plans.metrics import standard_model
+from loadweave.plans.stored import StoredMarts
 from loadweave.session import fresh_folder
 from loadweave.sources import tables
 from loadweave.streaming import pipeline, refresh
@@ -438,18 +439,41 @@ def incremental_refresh(m: Marts) -> DataFrame:
     return marts.read("daily").select(*cols).unionByName(marts.read("monthly").select(*cols))
 
 
-@query("refreshed_billing")
-def refreshed_billing(m: Marts) -> DataFrame:
-    """Billing consumption kept current behind the merge, with the rollups it rests on."""
-    work = fresh_folder(m.spark, "refreshed-billing")
+def _tables(m: Marts, root: str, *wider: str) -> refresh.MartTables:
+    """Empty mart tables below a folder, which will keep the rollups and the named wider marts."""
     f = m.feed
     dims = refresh.Dimensions(
         f.lookup.meters, channels.instantiate_channels(f.lookup.meters, m.catalog), f.lookup.links,
         f.lookup.customers, m.windows, m.known_cycles.drop("meter_no", "meter_id"),
     )
-    marts = refresh.MartTables(m.spark, f"{work}/marts", m.per_hour, m.per_day, dims, wider=("billing",))
+    return refresh.MartTables(m.spark, root, m.per_hour, m.per_day, dims, wider=wider)
+
+
+def _refreshed(m: Marts, wider: str, mart: str) -> DataFrame:
+    """A mart kept current behind the merge of a stream."""
+    work = fresh_folder(m.spark, f"refreshed-{mart}")
+    marts = _tables(m, f"{work}/marts", wider)
     pipeline.merge_stream(_landed_stream(m, work), marts.canonical, f"{work}/merge", marts.refresh)
-    return marts.read("billing").drop("part_date")
+    return marts.read(mart).drop("part_date")
+
+
+for _wider, _table, _name in (
+    ("billing", "billing", "refreshed_billing"), ("channels", "channel_daily", "refreshed_channels"),
+    ("charges", "charges", "refreshed_charges"), ("sla", "sla", "refreshed_sla"), ("dq", "dq", "refreshed_dq"),
+):
+    CATALOG[_name] = lambda m, wider=_wider, table=_table: _refreshed(m, wider, table)
+
+
+def _stored(m: Marts, *wider: str) -> StoredMarts:
+    """The reports' graph over tables built from canonical reads."""
+    marts = _tables(m, fresh_folder(m.spark, "stored-marts"), *wider)
+    marts.build(m.reads)
+    return StoredMarts(m.spark, marts, m.feed)
+
+
+CATALOG["stored_billing_stats"] = lambda m: reports.billing_stats(_stored(m, "billing"))
+CATALOG["stored_xfm_attribution"] = lambda m: reports.xfm_attribution(_stored(m))
+CATALOG["stored_metric_by_territory"] = lambda m: metric_by_territory(_stored(m, "charges"))
 
 
 @query("channel_backfill")

@@ -112,6 +112,13 @@ def upsert(
     return touched(merged, by)
 
 
+def partition_days(spark: SparkSession, path: str, by: str) -> list[dt.date]:
+    """The days of a table, read off its folder names."""
+    fs, root = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{by}="))
+
+
 def purge_before(spark: SparkSession, path: str, by: str, cutoff: dt.date) -> list[str]:
     """Drop whole date partitions older than the cut-off; returns what was dropped."""
     fs, root = _fs(spark, path)

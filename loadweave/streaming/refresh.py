@@ -62,6 +62,16 @@ class MartTables:
     def read(self, mart: str) -> DataFrame:
         return self.spark.read.parquet(self.path(mart))
 
+    def days(self, mart: str, part: str = "read_date") -> list[dt.date]:
+        """The days a table has, from its list of partitions."""
+        return tables.partition_days(self.spark, self.path(mart), part)
+
+    def build(self, reads: DataFrame) -> None:
+        """Everything from canonical reads, at once."""
+        dated = reads.withColumn("read_date", F.to_date("read_ts"))
+        tables.write_partitioned(dated, self.canonical, "read_date", mode="overwrite", cluster=["meter_id", "read_ts"])
+        self.refresh(self.days("canonical"))
+
     def _store(self, mart: str, df: DataFrame, day: str, days: list[dt.date]) -> None:
         """Replace the partitions ``days`` of a mart, also those that are empty now."""
         tables.replace_partitions(

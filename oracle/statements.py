@@ -596,6 +596,12 @@ S["estimation_streaks"] = """
 SELECT meter_id, first_day, last_day, days, estimated_intervals, days > 3 AS is_sustained FROM c_streaks"""
 
 
+S["refreshed_channels"], S["refreshed_charges"] = S["channel_daily"], S["charge_line"]
+S["refreshed_sla"], S["refreshed_dq"] = S["sla_metrics"], S["dq_metrics"]
+for _name in ("billing_stats", "xfm_attribution", "metric_by_territory"):
+    S[f"stored_{_name}"] = S[_name]
+
+
 def statements() -> dict[str, str]:
     """All statements with the common tables they need."""
     return {name: with_parts(sql.strip(), PARTS) for name, sql in S.items()}
