@@ -48,7 +48,8 @@ def value_at_risk(
     issues: DataFrame, usage: DataFrame, plans: DataFrame, windows: DataFrame, exposure: DataFrame, placed: DataFrame,
     export_rates: DataFrame, hours_in_period: int,
 ) -> DataFrame:
-    """Dollars an open issue risks per hour and until its expected resolution.
+    """Dollars an open issue risks per hour and until its expected resolution; export credit that is not paid
+    meanwhile is taken off.
 
     ``usage`` gives each meter's usual kWh, export and kW by hour of day, ``plans`` its rate plan, ``windows`` the
     plans' rates by day type, season and minute, ``exposure`` the feeder's peak odds.
@@ -80,24 +81,25 @@ def value_at_risk(
     penalty = _lookup(F.col("issue_type"), {k: v[1] for k, v in RESOLUTION.items()}, 0.0)
     hourly = (
         dbl("usual_kwh") * dbl("energy_rate")
-        + dbl("usual_export") * dbl("export_rate")
+        - dbl("usual_export") * dbl("export_rate")
         + dbl("usual_kw") * dbl("demand_rate") * dbl("exposure") / F.lit(float(hours_in_period))
         + penalty
     )
     return joined.select(
-        "issue_id", "issue_type", "issue_source", "meter_id", "customer_class", "is_protected", "detected_at",
+        "issue_id", "issue_type", "issue_source", "meter_id", "customer_id", "customer_class", "is_protected", "has_der",
+        "schedule_id", F.lit("OPEN").alias("status"), "detected_at",
         F.round(hourly, 4).alias("var_hourly"),
         F.round(F.round(hourly, 4) * hours, 4).alias("var_cumulative"),
     )
 
 
 def score_issues(at_risk: DataFrame, now: Column) -> DataFrame:
-    """Priority: dollars on a log scale, up to half as much again within four hours, weighted by class."""
+    """Priority: dollars (a net gain counts as none) on a log scale, up to half as much again within four hours, weighted by class."""
     age = F.timestamp_diff("HOUR", "detected_at", now)
     duration = F.lit(1.0) + F.lit(0.5) * F.least(F.lit(1.0), age / F.lit(4.0))
     weight = _lookup(F.col("customer_class"), CLASS_WEIGHT, 0.7)
     floor = F.when(F.col("is_protected"), F.lit(PROTECTED_FLOOR)).otherwise(F.lit(0.0))
-    score = F.log10(F.lit(1.0) + F.col("var_cumulative")) * duration * weight + floor
+    score = F.log10(F.lit(1.0) + F.greatest(F.col("var_cumulative"), F.lit(0.0))) * duration * weight + floor
     return at_risk.withColumn("duration_hours", age).withColumn("priority_score", F.round(score, 4))
 
 

@@ -464,6 +464,17 @@ for _wider, _table, _name in (
     CATALOG[_name] = lambda m, wider=_wider, table=_table: _refreshed(m, wider, table)
 
 
+@query("refresh_log")
+def refresh_log(m: Marts) -> DataFrame:
+    """What the refresh jobs logged while all marts were built: the newest run of each."""
+    marts = _tables(m, fresh_folder(m.spark, "logged-marts"), *refresh.WIDER)
+    marts.log = quality.RunLog(m.spark, f"{marts.root}/run-log")
+    marts.build(m.reads)
+    now = F.current_timestamp().cast("timestamp_ntz") + F.expr("interval 1 day")
+    runs = quality.latest_per_name(quality.refresh_history(marts.log.read(), now, 2))
+    return runs.select("name", "state", "rows_processed")
+
+
 def _stored(m: Marts, *wider: str) -> StoredMarts:
     """The reports' graph over tables built from canonical reads."""
     marts = _tables(m, fresh_folder(m.spark, "stored-marts"), *wider)

@@ -434,10 +434,19 @@ class Marts:
             "meter_id", F.col("last_day").cast("timestamp_ntz").alias("detected_at"),
         ).filter(F.col("detected_at") >= since)
         accounts = self.feed.accounts.select(
-            "meter_id", F.col("segment").alias("customer_class"), (F.col("meter_no") % 8 == 0).alias("is_protected")
+            "meter_id", "customer_id", "has_der", F.col("segment").alias("customer_class"),
+            (F.col("meter_no") % 8 == 0).alias("is_protected"),
+        )
+        versions = self.assignments.select(
+            F.col("meter_id").alias("version_meter"), "schedule_id", "effective_from", "effective_to"
+        )
+        valid = (
+            (F.col("meter_id") == F.col("version_meter")) & (F.col("detected_at") >= F.col("effective_from"))
+            & (F.col("effective_to").isNull() | (F.col("detected_at") < F.col("effective_to")))
         )
         found = events.unionByName(scored).unionByName(runs).join(accounts, "meter_id")
-        return calendar.dated(found, F.col("detected_at")).drop("hour_local", "day_of_week")
+        scheduled = found.join(versions, valid, "left").drop("version_meter", "effective_from", "effective_to")
+        return calendar.dated(scheduled, F.col("detected_at")).drop("hour_local", "day_of_week")
 
     @cached_property
     def usual_by_hour(self) -> DataFrame:

@@ -39,7 +39,7 @@ WIDER = ("channels", "charges", "sla", "dq", "billing")
 class MartTables:
     """Materialised canonical reads and marts below one folder.
 
-    With ``dims``, channel rollups, charges, arrival and quality metrics and billing are kept as well,
+    With ``log``, every refresh of a mart is a run in that log. With ``dims``, channel rollups, charges, arrival and quality metrics and billing are kept as well,
     or those of them that ``wider`` names.
     Every mart is partitioned by the day, month or period start its rows belong to, and a refresh
     replaces whole partitions, so repeating one changes nothing.
@@ -51,6 +51,7 @@ class MartTables:
     expected_per_day: int = 96
     dims: Dimensions | None = None
     wider: tuple[str, ...] = WIDER
+    log: quality.RunLog | None = None
 
     @property
     def canonical(self) -> str:
@@ -74,9 +75,13 @@ class MartTables:
 
     def _store(self, mart: str, df: DataFrame, day: str, days: list[dt.date]) -> None:
         """Replace the partitions ``days`` of a mart, also those that are empty now."""
-        tables.replace_partitions(
-            df.withColumn("part_date", F.to_date(day)), self.path(mart), "part_date", expected=days
-        )
+
+        def job() -> int:
+            dated = df.withColumn("part_date", F.to_date(day))
+            tables.replace_partitions(dated, self.path(mart), "part_date", expected=days)
+            return self.read(mart).filter(F.col("part_date").isin(days)).count() if self.log else 0
+
+        self.log.run(f"REFRESH_{mart.upper()}", job) if self.log else job()
 
     def _days(self, mart: str, days: list[dt.date]) -> DataFrame:
         """A stored mart's partitions of the touched days."""

@@ -494,7 +494,8 @@ FROM (SELECT l.feeder_id, l.ts, td.hour_local, td.day_of_week, td.season,
       FROM c_fload l JOIN c_cal td ON td.ts_utc = l.ts CROSS JOIN c_span s)
 GROUP BY ALL"""
 PARTS["c_issues"] = """
-SELECT f.*, a.segment AS customer_class, a.meter_no % 8 = 0 AS is_protected, td.day_type, td.season FROM (
+SELECT f.*, a.customer_id, a.has_der, v.schedule_id, 'OPEN' AS status, a.segment AS customer_class,
+       a.meter_no % 8 = 0 AS is_protected, td.day_type, td.season FROM (
   SELECT 'EV-' || event_id AS issue_id, event_type AS issue_type, 'METER_EVENT' AS issue_source, meter_id,
          date_trunc('second', event_ts) AS detected_at
   FROM c_mevents, c_span WHERE event_type <> 'RESTORE' AND event_ts >= detect_from
@@ -506,20 +507,23 @@ SELECT f.*, a.segment AS customer_class, a.meter_no % 8 = 0 AS is_protected, td.
          CAST(last_day AS TIMESTAMP)
   FROM c_streaks, c_span WHERE days > 1 AND last_day >= detect_from) f
 JOIN c_acct a ON a.meter_id = f.meter_id
+LEFT JOIN c_assign v ON v.meter_id = f.meter_id AND f.detected_at >= v.effective_from
+     AND (v.effective_to IS NULL OR f.detected_at < v.effective_to)
 JOIN c_cal td ON td.ts_utc = date_trunc('hour', f.detected_at)"""
 PARTS["c_usual"] = f"""
 SELECT i.meter_id, hour(i.read_ts) AS hour, {mean('i.kwh_delivered', 6)} AS usual_kwh,
        {mean('i.kwh_received', 6)} AS usual_export, max(i.demand_kw) AS usual_kw
 FROM c_reads i CROSS JOIN c_span s WHERE {TRAIN} GROUP BY i.meter_id, hour(i.read_ts)"""
 PARTS["c_var"] = """
-SELECT issue_id, issue_type, issue_source, meter_id, customer_class, is_protected, detected_at, var_hourly,
+SELECT issue_id, issue_type, issue_source, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
+       detected_at, var_hourly,
        round(var_hourly * resolve_hours, 4) AS var_cumulative
 FROM (
   SELECT i.*,
          CASE i.issue_type WHEN 'OUTAGE' THEN 4.0 WHEN 'TAMPER' THEN 48.0 WHEN 'COMMS_LOSS' THEN 24.0 WHEN 'ANOMALY' THEN 24.0
               ELSE 72.0 END::DOUBLE AS resolve_hours,
          round(coalesce(u.usual_kwh, 0::DOUBLE) * coalesce(CAST(w.energy_rate_per_kwh AS DOUBLE), 0::DOUBLE)
-           + coalesce(u.usual_export, 0::DOUBLE) * coalesce(CAST(x.export_rate AS DOUBLE), 0::DOUBLE)
+           - coalesce(u.usual_export, 0::DOUBLE) * coalesce(CAST(x.export_rate AS DOUBLE), 0::DOUBLE)
            + coalesce(CAST(u.usual_kw AS DOUBLE), 0::DOUBLE) * coalesce(CAST(w.demand_rate_per_kw AS DOUBLE), 0::DOUBLE)
              * coalesce(e.exposure, 0::DOUBLE) / 240.0::DOUBLE
            + CASE i.issue_type WHEN 'OUTAGE' THEN 5.0 WHEN 'TAMPER' THEN 1.0 WHEN 'COMMS_LOSS' THEN 0.5 WHEN 'ANOMALY' THEN 0.0
@@ -536,7 +540,7 @@ FROM (
              WHERE a.effective_to IS NULL) x ON x.meter_id = i.meter_id)"""
 PARTS["c_scored"] = """
 SELECT v.*, datesub('hour', detected_at, anchor_end) AS duration_hours,
-       round(log10(1.0::DOUBLE + var_cumulative)
+       round(log10(1.0::DOUBLE + greatest(var_cumulative, 0.0::DOUBLE))
          * (1.0::DOUBLE + 0.5::DOUBLE * least(1.0::DOUBLE, datesub('hour', detected_at, anchor_end) / 4.0::DOUBLE))
          * CASE customer_class WHEN 'COMMERCIAL' THEN 1.0 WHEN 'SMALL_BUSINESS' THEN 0.85 ELSE 0.7 END::DOUBLE
          + CASE WHEN is_protected THEN 0.5 ELSE 0.0 END::DOUBLE, 4) AS priority_score

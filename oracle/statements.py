@@ -511,7 +511,8 @@ FROM (SELECT meter_id, billing_period_id, sum(charge) AS c FROM c_energy GROUP B
 FULL OUTER JOIN (SELECT meter_id, billing_period_id, sum(charge) AS c FROM c_shadow GROUP BY ALL) b
      ON a.meter_id = b.meter_id AND a.billing_period_id = b.billing_period_id"""
 S["peak_exposure"] = "SELECT feeder_id, hour_local, day_of_week, season, hours, peaks, exposure FROM c_expo"
-_ISSUE = "issue_id, issue_type, issue_source, meter_id, customer_class, is_protected, detected_at, var_hourly, var_cumulative"
+_ISSUE = """issue_id, issue_type, issue_source, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
+ detected_at, var_hourly, var_cumulative"""
 S["value_at_risk"] = f"SELECT {_ISSUE} FROM c_var"
 _QUEUE = """
 SELECT {cols}, duration_hours, priority_score, row_number() OVER (ORDER BY priority_score DESC, issue_id) AS {first},
@@ -597,6 +598,12 @@ SELECT meter_id, first_day, last_day, days, estimated_intervals, days > 3 AS is_
 
 
 S["refreshed_channels"], S["refreshed_charges"] = S["channel_daily"], S["charge_line"]
+S["refresh_log"] = " UNION ALL ".join(
+    f"SELECT 'REFRESH_{mart}' AS name, 'SUCCESS' AS state, count(*) AS rows_processed FROM {table}" for mart, table in (
+        ("HOURLY", "c_hourly"), ("DAILY", "c_daily"), ("MONTHLY", "c_monthly"), ("CHANNEL_HOURLY", "c_chour"),
+        ("CHANNEL_DAILY", f"({S['channel_daily']}) d"), ("CHARGES", "c_line"), ("SLA", "c_sla"), ("DQ", "c_dq"),
+        ("BILLING", "c_bpc"),
+    ))
 S["refreshed_sla"], S["refreshed_dq"] = S["sla_metrics"], S["dq_metrics"]
 for _name in ("billing_stats", "xfm_attribution", "metric_by_territory"):
     S[f"stored_{_name}"] = S[_name]
