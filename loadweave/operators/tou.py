@@ -34,26 +34,29 @@ def overlapping_windows(windows: DataFrame) -> DataFrame:
     )
 
 
+def current_plans(links: DataFrame, customers: DataFrame) -> DataFrame:
+    """The rate plan of each meter's current customer."""
+    return links.filter("is_current").select("meter_id", "customer_id").join(
+        customers.select("customer_id", "rate_plan_id"), "customer_id"
+    ).select("meter_id", "rate_plan_id")
+
+
 def tag(
     reads: DataFrame,
-    links: DataFrame,
-    customers: DataFrame,
+    plans: DataFrame,
     windows: DataFrame,
     holidays: Sequence[str] = HOLIDAYS,
     tz_mode: str = "calendar",
     timezone: str = "UTC",
 ) -> DataFrame:
-    """Reads with the rate window they fall into; reads without customer or window drop out.
+    """Reads with the rate window they fall into; reads without plan (see ``current_plans``) or window drop out.
 
     ``tz_mode='calendar'`` uses one local time (of ``timezone``) for every meter, ``'meter'`` the meter's own
     wall-clock time. The day type, season and minute are worked out from that time.
     """
     if tz_mode not in ("calendar", "meter"):
         raise ValueError(f"unknown tz_mode {tz_mode!r}")
-    plans = links.filter("is_current").select("meter_id", "customer_id").join(
-        customers.select("customer_id", "rate_plan_id"), "customer_id"
-    )
-    known = reads.filter(F.col("vee_status").isin("VALID", "ESTIMATED")).join(plans, "meter_id")
+    known = reads.filter(F.col("vee_status").isin("VALID", "ESTIMATED")).join(plans.select("meter_id", "rate_plan_id"), "meter_id")
     if tz_mode == "calendar":
         slots = dated(known, F.col("read_ts"), holidays, timezone)
     else:

@@ -149,7 +149,9 @@ class Marts:
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return rollups.hourly(self.reads, self.per_hour)
+        # Dealt by meter once: hours, days, months and billing periods are groups within a meter, and a meter has at
+        # most 96 canonical reads a day.
+        return rollups.hourly(self.reads.repartition("meter_id"), self.per_hour)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -168,22 +170,19 @@ class Marts:
 
     @cached_property
     def tagged(self) -> DataFrame:
-        f = self.feed.lookup
-        return tou.tag(self.reads, f.links, f.customers, self.windows)
+        return tou.tag(self.reads, self.meter_plans, self.windows)
 
     @cached_property
     def tagged_local(self) -> DataFrame:
-        f = self.feed.lookup
-        return tou.tag(self.reads, f.links, f.customers, self.windows, tz_mode="meter")
+        return tou.tag(self.reads, self.meter_plans, self.windows, tz_mode="meter")
 
     @cached_property
     def charges(self) -> DataFrame:
         return tou.charge(self.tagged)
 
     def charges_between(self, first, last) -> DataFrame:
-        f = self.feed.lookup
         return tou.charge(
-            tou.tag(self.reads_between(first, last), f.links, f.customers, self.windows)
+            tou.tag(self.reads_between(first, last), self.meter_plans, self.windows)
         )
 
     @cached_property
@@ -457,6 +456,7 @@ class Marts:
 
     @cached_property
     def meter_plans(self) -> DataFrame:
+        """Current plan of each occupied meter, from the accounts alone, so that its size can be estimated."""
         return self.feed.accounts.filter(~F.col("is_vacant")).select("meter_id", "rate_plan_id")
 
     @cached_property

@@ -77,10 +77,16 @@ class MeterFeed:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        """Everything a meter number determines, for every customer row."""
-        joined = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        base = joined.selectExpr(
-            "c_custkey as meter_no", "n_regionkey", "n_nationkey",
+        """Everything a meter number determines, for every customer row.
+
+        The territory of a nation is looked up in a map of one row (the nation table is a list of countries) instead of
+        joined: the planner takes a join for the product of its sides, and would never broadcast what comes out.
+        """
+        pairs = F.map_from_entries(F.collect_list(F.struct("n_nationkey", "n_regionkey")))
+        regions = self.table("nation").agg(pairs.alias("regions")).scalar()
+        found = self.table("customer").withColumn("n_regionkey", F.element_at(regions, F.col("c_nationkey")))
+        base = found.filter(F.col("n_regionkey").isNotNull()).selectExpr(
+            "c_custkey as meter_no", "n_regionkey", "c_nationkey as n_nationkey",
             "case c_mktsegment when 'MACHINERY' then 'CNI' when 'AUTOMOBILE' then 'SMB' else 'RES' end as premise_type",
             TERRITORY.format("n_regionkey") + " as utility_territory",
         )

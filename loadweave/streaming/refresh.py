@@ -110,7 +110,7 @@ class MartTables:
             per_day = channels.channel_daily(self._days("channel_hourly", days), self.expected_per_day)
             self._store("channel_daily", per_day, "rollup_date", days)
         if "charges" in self.wider:
-            lines = tou.charge(tou.tag(reads, d.links, d.customers, d.windows))
+            lines = tou.charge(tou.tag(reads, tou.current_plans(d.links, d.customers), d.windows))
             self._store("charges", lines, "read_ts", days)
         if "sla" in self.wider:
             self._store("sla", quality.sla(reads), "date_key", days)

@@ -183,7 +183,7 @@ def test_window_ends_day_types_and_overlap(spark):
     customers = spark.createDataFrame([("C1", "RP-TOU3")], "customer_id string, rate_plan_id string")
     times = [(3, 15, 45), (3, 16, 0), (3, 20, 45), (3, 21, 0), (6, 16, 0), (1, 16, 0)]
     rows = frame(spark, [read(dt.datetime(2024, 1, d, h, mi), event=i) for i, (d, h, mi) in enumerate(times)])
-    tagged = tou.tag(rows, links, customers, reference.rate_windows(spark))
+    tagged = tou.tag(rows, tou.current_plans(links, customers), reference.rate_windows(spark))
     buckets = {r.read_ts: (r.day_type, r.tou_bucket) for r in tagged.collect()}
     assert [buckets[dt.datetime(2024, 1, d, h, mi)] for d, h, mi in times] == [
         ("WEEKDAY", "SHOULDER"), ("WEEKDAY", "ON_PEAK"), ("WEEKDAY", "ON_PEAK"), ("WEEKDAY", "OFF_PEAK"),

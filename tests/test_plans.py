@@ -72,6 +72,21 @@ def test_raw_copies_are_combined_before_any_join(spark, root, name):
         assert "Aggregate" in first
 
 
+def test_dimensions_are_broadcast_by_size_and_facts_dealt_by_meter_once(spark, root):
+    """With the facts too large to be sent around, the accounts still are; all rollups share one distribution."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    m = Marts(spark, root)
+    accounts = m.feed.accounts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(accounts))
+    try:
+        monthly, charges = plan(Marts(spark, root).monthly), plan(Marts(spark, root).charges)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert monthly.count("Exchange hashpartitioning") == 2
+    for text in (monthly, charges):
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "BuildLeft" not in text
+
+
 def test_observability_and_shadow_bill_scan_the_facts_once(spark, root):
     for name in ("obs_dashboard", "shadow_bill"):
         assert plan(catalog.run(name, spark, root)).count("events.parquet") == 1
