@@ -534,6 +534,15 @@ def test_what_is_no_article_is_left_out(noise):
         assert wrappers.main_text(page, None) == TEXT
 
 
+def test_frames_around_the_article_stay_and_comments_in_article_elements_go():
+    comment = "<article class='comment'><p>Nice.</p></article>"
+    for page in (
+        f"<body class='has-sidebar'><div class='layout with-sidebar'><div id='page-header-fixed'>{ARTICLE}</div></div>",
+        f"<div class='content search-page'>{ARTICLE}<section>{comment}</section></div>", f"{comment}{ARTICLE}{comment}",
+    ):
+        assert wrappers.main_text(page, None) == TEXT
+
+
 def test_any_input_can_be_parsed():
     for page in ("", "<", "<p", "</p></p>", "<a href='x>y'>z", "<" * 5_000, "<div>" * 5_000 + "deep", "<script>never closed", "&#0;&bogus;"):
         wrappers.main_text(page, None)
