@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loadweave.functions import ratio
 from loadweave.operators.calendar import dated
 from loadweave.operators.ranking import global_rank
-from loadweave.sources.reference import HOLIDAYS
+from loadweave.sources.reference import FLAT_RATE_PER_KWH, HOLIDAYS
 
 # Expected hours to resolution and penalty per hour by issue type.
 RESOLUTION = {
@@ -86,13 +86,32 @@ def value_at_risk(
         + penalty
     )
     return joined.select(
-        "issue_id", "issue_type", "issue_source", "meter_id", "customer_id", "customer_class", "is_protected", "has_der",
+        "issue_id", "issue_type", "issue_source", "feeder_id", "meter_id", "customer_id", "customer_class", "is_protected", "has_der",
         "schedule_id", F.lit("OPEN").alias("status"), "detected_at",
         F.round(hourly, 4).alias("var_hourly"),
         F.round(F.round(hourly, 4) * hours, 4).alias("var_cumulative"),
     )
 
 
+def feeder_risk(events: DataFrame) -> DataFrame:
+    """Issues of anomalous feeder hours, with the feeder's forecast at the flat rate as the dollars at risk.
+
+    Same columns as ``value_at_risk``; what a single customer would determine is null.
+    """
+    text = F.lit(None).cast("string")
+    # Exact until rounded: a double product would fall on either side of a half.
+    hourly = (F.col("forecast").cast("decimal(18,6)") * F.lit(FLAT_RATE_PER_KWH)).cast("decimal(18,4)")
+    whole = (hourly * RESOLUTION["ANOMALY"][0]).cast("decimal(18,4)")
+    return events.filter("is_anomaly").select(
+        F.concat_ws("-", F.lit("FA"), "feeder_id", F.date_format("ts", "yyyyMMddHH")).alias("issue_id"),
+        F.lit("ANOMALY").alias("issue_type"), F.lit("FEEDER_ANOMALY").alias("issue_source"), "feeder_id",
+        text.alias("meter_id"), text.alias("customer_id"), text.alias("customer_class"),
+        F.lit(False).alias("is_protected"), F.lit(None).cast("boolean").alias("has_der"), text.alias("schedule_id"),
+        F.lit("OPEN").alias("status"), F.col("ts").alias("detected_at"),
+        hourly.cast("double").alias("var_hourly"), whole.cast("double").alias("var_cumulative"),
+    )
+
+
 def score_issues(at_risk: DataFrame, now: Column) -> DataFrame:
     """Priority: dollars (a net gain counts as none) on a log scale, up to half as much again within four hours, weighted by class."""
     age = F.timestamp_diff("HOUR", "detected_at", now)

@@ -469,10 +469,11 @@ class Marts:
     def at_risk(self) -> DataFrame:
         current = self.assignments.filter("effective_to is null").select("meter_id", "schedule_id")
         export = current.join(tariff.export_rates(self.spark), "schedule_id").select("meter_id", "export_rate")
-        return priority.value_at_risk(
+        of_meters = priority.value_at_risk(
             self.issues, self.usual_by_hour, self.meter_plans, self.windows, self.exposure_factors, self.placed, export,
             hours_in_period=CYCLE_DAYS * 24,
         )
+        return of_meters.unionByName(priority.feeder_risk(self.feeder_events))
 
     @cached_property
     def scored_issues(self) -> DataFrame:

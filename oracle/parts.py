@@ -515,11 +515,11 @@ SELECT i.meter_id, hour(i.read_ts) AS hour, {mean('i.kwh_delivered', 6)} AS usua
        {mean('i.kwh_received', 6)} AS usual_export, max(i.demand_kw) AS usual_kw
 FROM c_reads i CROSS JOIN c_span s WHERE {TRAIN} GROUP BY i.meter_id, hour(i.read_ts)"""
 PARTS["c_var"] = """
-SELECT issue_id, issue_type, issue_source, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
+SELECT issue_id, issue_type, issue_source, feeder_id, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
        detected_at, var_hourly,
        round(var_hourly * resolve_hours, 4) AS var_cumulative
 FROM (
-  SELECT i.*,
+  SELECT i.*, p.feeder_id,
          CASE i.issue_type WHEN 'OUTAGE' THEN 4.0 WHEN 'TAMPER' THEN 48.0 WHEN 'COMMS_LOSS' THEN 24.0 WHEN 'ANOMALY' THEN 24.0
               ELSE 72.0 END::DOUBLE AS resolve_hours,
          round(coalesce(u.usual_kwh, 0::DOUBLE) * coalesce(CAST(w.energy_rate_per_kwh AS DOUBLE), 0::DOUBLE)
@@ -537,7 +537,12 @@ FROM (
   LEFT JOIN c_expo e ON e.feeder_id = p.feeder_id AND e.hour_local = hour(i.detected_at)
        AND e.day_of_week = dayofweek(i.detected_at) AND e.season = i.season
   LEFT JOIN (SELECT a.meter_id, n.export_rate FROM c_assign a JOIN c_nem n ON n.schedule_id = a.schedule_id
-             WHERE a.effective_to IS NULL) x ON x.meter_id = i.meter_id)"""
+             WHERE a.effective_to IS NULL) x ON x.meter_id = i.meter_id)
+UNION ALL
+SELECT 'FA-' || feeder_id || '-' || strftime(ts, '%Y%m%d%H'), 'ANOMALY', 'FEEDER_ANOMALY', feeder_id, NULL, NULL, NULL, FALSE, NULL,
+       NULL, 'OPEN', ts, CAST(CAST(forecast AS DECIMAL(18,6)) * 0.15 AS DECIMAL(18,4))::DOUBLE,
+       (CAST(CAST(forecast AS DECIMAL(18,6)) * 0.15 AS DECIMAL(18,4)) * 24)::DOUBLE
+FROM c_fev WHERE is_anomaly"""
 PARTS["c_scored"] = """
 SELECT v.*, datesub('hour', detected_at, anchor_end) AS duration_hours,
        round(log10(1.0::DOUBLE + greatest(var_cumulative, 0.0::DOUBLE))

@@ -511,7 +511,7 @@ FROM (SELECT meter_id, billing_period_id, sum(charge) AS c FROM c_energy GROUP B
 FULL OUTER JOIN (SELECT meter_id, billing_period_id, sum(charge) AS c FROM c_shadow GROUP BY ALL) b
      ON a.meter_id = b.meter_id AND a.billing_period_id = b.billing_period_id"""
 S["peak_exposure"] = "SELECT feeder_id, hour_local, day_of_week, season, hours, peaks, exposure FROM c_expo"
-_ISSUE = """issue_id, issue_type, issue_source, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
+_ISSUE = """issue_id, issue_type, issue_source, feeder_id, meter_id, customer_id, customer_class, is_protected, has_der, schedule_id, status,
  detected_at, var_hourly, var_cumulative"""
 S["value_at_risk"] = f"SELECT {_ISSUE} FROM c_var"
 _QUEUE = """
