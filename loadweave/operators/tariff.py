@@ -84,8 +84,10 @@ TARIFF_DOC = T.StructType([
     T.StructField("energyweekdayschedule", T.ArrayType(T.ArrayType(T.IntegerType()))),
     T.StructField("energyweekendschedule", T.ArrayType(T.ArrayType(T.IntegerType()))),
     T.StructField("demandratestructure", T.ArrayType(T.ArrayType(T.StructType([
-        T.StructField("rate", T.DecimalType(10, 5)),
+        T.StructField("rate", T.DecimalType(10, 5)), T.StructField("max", T.DecimalType(14, 4)),
     ])))),
+    T.StructField("demandweekdayschedule", T.ArrayType(T.ArrayType(T.IntegerType()))),
+    T.StructField("demandweekendschedule", T.ArrayType(T.ArrayType(T.IntegerType()))),
     T.StructField("fixedchargefirstmeter", T.DecimalType(8, 2)),
 ])
 
@@ -106,7 +108,8 @@ def flatten_documents(docs: DataFrame, text: str = "document") -> DataFrame:
         F.lit(None).cast("decimal(14,4)").alias("tier_to_kwh"),
         F.col("fixedchargefirstmeter").cast("decimal(10,5)").alias("rate"), F.lit("MONTH").alias("unit"),
     )
-    demand = d.select("label", F.posexplode("demandratestructure").alias("period", "tiers")).select(
+    unscheduled = d.filter(F.col("demandweekdayschedule").isNull() & F.col("demandweekendschedule").isNull())
+    all_day = unscheduled.select("label", F.posexplode("demandratestructure").alias("period", "tiers")).select(
         F.col("label").alias("schedule_id"), F.lit("DEMAND").alias("component_type"),
         F.lit("ALL").alias("day_type"), F.lit(None).cast("int").alias("month"),
         F.lit(0).alias("start_hour"), F.lit(23).alias("end_hour"), "period",
@@ -115,36 +118,57 @@ def flatten_documents(docs: DataFrame, text: str = "document") -> DataFrame:
         F.lit(None).cast("decimal(14,4)").alias("tier_to_kwh"),
         F.col("tiers")[0]["rate"].alias("rate"), F.lit("KW").alias("unit"),
     )
+    energy = _scheduled(d, "energy", "ENERGY", "KWH")
+    demand = _scheduled(d, "demand", "DEMAND", "KW")
+    return energy.unionByName(demand).unionByName(all_day).unionByName(fixed)
+
+
+def _scheduled(d: DataFrame, name: str, component_type: str, unit: str) -> DataFrame:
+    """Component rows of one rate structure, by the windows of its weekday and weekend schedules."""
+    structure = f"{name}ratestructure"
     days = F.explode(F.array(
-        F.struct(F.lit("WEEKDAY").alias("day_type"), F.col("energyweekdayschedule").alias("months")),
-        F.struct(F.lit("WEEKEND").alias("day_type"), F.col("energyweekendschedule").alias("months")),
+        F.struct(F.lit("WEEKDAY").alias("day_type"), F.col(f"{name}weekdayschedule").alias("months")),
+        F.struct(F.lit("WEEKEND").alias("day_type"), F.col(f"{name}weekendschedule").alias("months")),
     ))
-    monthly = d.select("label", "energyratestructure", days.alias("s")).select(
-        "label", "energyratestructure", "s.day_type", F.posexplode("s.months").alias("m", "hours")
+    monthly = d.select("label", structure, days.alias("s")).select(
+        "label", structure, "s.day_type", F.posexplode("s.months").alias("m", "hours")
     )
     starts = F.filter(
         F.sequence(F.lit(0), F.size("hours") - 1),
         lambda h: (h == 0) | (F.get(F.col("hours"), h) != F.get(F.col("hours"), h - 1)),
     )
     windows = monthly.withColumn("starts", starts).select(
-        "label", "energyratestructure", "day_type", "m", "hours", "starts",
-        F.posexplode("starts").alias("i", "start_hour"),
+        "label", structure, "day_type", "m", "hours", "starts", F.posexplode("starts").alias("i", "start_hour"),
     ).select(
-        "label", "energyratestructure", "day_type", (F.col("m") + 1).alias("month"), "start_hour",
+        "label", structure, "day_type", (F.col("m") + 1).alias("month"), "start_hour",
         (F.coalesce(F.get("starts", F.col("i") + 1), F.size("hours")) - 1).alias("end_hour"),
         F.get("hours", F.col("start_hour")).alias("period"),
     )
-    tiers = windows.withColumn("tiers", F.get("energyratestructure", F.col("period"))).select(
+    tiers = windows.withColumn("tiers", F.get(structure, F.col("period"))).select(
         "*", F.posexplode("tiers").alias("t", "tier_row")
     )
-    energy = tiers.select(
-        F.col("label").alias("schedule_id"), F.lit("ENERGY").alias("component_type"), "day_type", "month",
+    return tiers.select(
+        F.col("label").alias("schedule_id"), F.lit(component_type).alias("component_type"), "day_type", "month",
         "start_hour", "end_hour", "period", (F.col("t") + 1).alias("tier"),
         F.coalesce(F.get("tiers", F.col("t") - 1)["max"], F.lit(0).cast("decimal(14,4)")).alias("tier_from_kwh"),
-        F.col("tier_row.max").alias("tier_to_kwh"), F.col("tier_row.rate").alias("rate"),
-        F.lit("KWH").alias("unit"),
+        F.col("tier_row.max").alias("tier_to_kwh"), F.col("tier_row.rate").alias("rate"), F.lit(unit).alias("unit"),
+    )
+
+
+def document_components(flat: DataFrame) -> DataFrame:
+    """Flattened documents as components that the charges below can price, by month.
+
+    Documents know weekdays and weekends; a holiday is priced as a weekend day.
+    """
+    weekend = F.explode(F.when(F.col("day_type") == "WEEKEND", F.array(F.lit("WEEKEND"), F.lit("HOLIDAY"))).otherwise(
+        F.array("day_type")
+    ))
+    place = F.concat_ws("-", "schedule_id", "component_type", "day_type", "month", "start_hour", "tier")
+    return flat.select("*", place.alias("component_id"), weekend.alias("component_day")).select(
+        "component_id", "schedule_id", "component_type", F.concat(F.lit("PERIOD-"), F.col("period").cast("string")).alias("tou_bucket"),
+        "component_day", F.col("month").alias("component_month"), (F.col("start_hour") * 60).alias("start_minute"),
+        (F.col("end_hour") * 60 + 59).alias("end_minute"), "tier_from_kwh", "tier_to_kwh", "rate", "unit",
     )
-    return energy.unionByName(demand).unionByName(fixed)
 
 
 # -- charges --------------------------------------------------------------------------------------
@@ -174,18 +198,21 @@ def rated_reads(
 def _component_join(rated: DataFrame, parts: DataFrame) -> DataFrame:
     """Reads with the components of their schedule, day type and minute.
 
-    Components of all days are spelled out per day type, so schedule and day are plain join keys.
+    Components of all days are spelled out per day type, so schedule and day are plain join keys. Components with a
+    ``component_month`` hold in that month only.
     """
     days = F.when(F.col("component_day") == "ALL", F.array(F.lit("WEEKDAY"), F.lit("WEEKEND"), F.lit("HOLIDAY")))
     p = parts.withColumn("component_day", F.explode(F.coalesce(days, F.array("component_day")))).withColumnRenamed(
         "schedule_id", "component_schedule"
     )
-    return rated.join(
-        p,
+    fits = (
         (F.col("component_schedule") == F.col("schedule_id"))
         & (F.col("component_day") == F.col("day_type"))
-        & F.col("local_minute").between(F.col("start_minute"), F.col("end_minute")),
-    ).drop("component_schedule")
+        & F.col("local_minute").between(F.col("start_minute"), F.col("end_minute"))
+    )
+    if "component_month" in p.columns:
+        fits &= F.col("component_month").isNull() | (F.col("component_month") == F.month("read_ts"))
+    return rated.join(p, fits).drop("component_schedule", "component_month")
 
 
 def _running(rated: DataFrame) -> DataFrame:

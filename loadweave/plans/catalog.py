@@ -560,6 +560,17 @@ def tariff_components(m: Marts) -> DataFrame:
     return tariff.flatten_documents(m.tariff_documents)
 
 
+@query("document_charges")
+def document_charges(m: Marts) -> DataFrame:
+    """Energy charges by the tariff document of each account, per meter and period."""
+    own = m.feed.accounts.select("meter_id", F.concat(F.lit("SCH-"), F.col("meter_no").cast("string")).alias("schedule_id"))
+    rated = m.rated.drop("schedule_id").join(own, "meter_id")
+    parts = tariff.document_components(tariff.flatten_documents(m.tariff_documents))
+    return tariff.energy_charges(rated, parts).groupBy("meter_id", "billing_period_id").agg(
+        F.sum("quantity").alias("quantity"), F.sum("charge").alias("charge")
+    )
+
+
 @query("charge_components")
 def charge_components(m: Marts) -> DataFrame:
     return m.energy_components

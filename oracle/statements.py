@@ -482,6 +482,17 @@ UNION ALL
 SELECT 'SCH-' || meter_no, 'DEMAND', 'ALL', NULL, 0, 23, 0, 1, NULL, NULL, 8.0::DOUBLE, 'KW' FROM c_acct
 UNION ALL
 SELECT 'SCH-' || meter_no, 'FIXED', 'ALL', NULL, 0, 23, NULL, NULL, NULL, NULL, 10.0::DOUBLE, 'MONTH' FROM c_acct"""
+S["document_charges"] = f"""
+SELECT meter_id, billing_period_id, sum(quantity)::DOUBLE AS quantity, sum(CAST(quantity * rate AS DECIMAL(14,4)))::DOUBLE AS charge FROM (
+  SELECT r.meter_id, r.billing_period_id, CAST(t.rate AS DECIMAL(10,5)) AS rate,
+         CAST(least(r.after, coalesce(CAST(t.tier_to_kwh AS DECIMAL(14,4)), r.after))
+              - greatest(r.after - r.kwh_delivered, CAST(t.tier_from_kwh AS DECIMAL(14,4))) AS DECIMAL(14,4)) AS quantity
+  FROM (SELECT c.*, a.meter_no, sum(kwh_delivered) OVER (PARTITION BY c.meter_id, billing_period_id ORDER BY read_ts
+               ROWS UNBOUNDED PRECEDING) AS after FROM c_rated c JOIN c_acct a ON a.meter_id = c.meter_id) r
+  JOIN ({S['tariff_components']}) t ON t.schedule_id = 'SCH-' || r.meter_no AND t.component_type = 'ENERGY'
+       AND t.day_type = CASE r.day_type WHEN 'HOLIDAY' THEN 'WEEKEND' ELSE r.day_type END AND t.month = month(r.read_ts)
+       AND hour(r.read_ts) BETWEEN t.start_hour AND t.end_hour)
+WHERE quantity > 0 GROUP BY meter_id, billing_period_id"""
 _COMP = "meter_id, billing_period_id, read_ts, schedule_id, component_id, component_type"
 S["charge_components"] = f"""
 SELECT {_COMP}, tou_bucket, tier_from_kwh::DOUBLE AS tier_from_kwh, quantity::DOUBLE AS quantity, rate::DOUBLE AS rate,

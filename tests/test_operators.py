@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal as D
 
 import pytest
@@ -178,6 +179,29 @@ def test_riders_on_demand_and_unknown_riders(spark):
             tariff.rider_charges(rated, energy, [wrong])
 
 
+def test_documents_with_demand_schedules_price_by_month_and_day(spark):
+    hours = lambda on: [1 if on <= h < on + 4 else 0 for h in range(24)]
+    document = {
+        "label": "S", "energyratestructure": [[{"rate": 0.1, "max": 15}, {"rate": 0.2}], [{"rate": 0.5}]],
+        "energyweekdayschedule": [hours(16)] * 6 + [hours(12)] * 6, "energyweekendschedule": [[0] * 24] * 12,
+        "demandratestructure": [[{"rate": 2.0}], [{"rate": 9.0}]],
+        "demandweekdayschedule": [hours(16)] * 12, "demandweekendschedule": [[0] * 24] * 12, "fixedchargefirstmeter": 5.0,
+    }
+    docs = spark.createDataFrame([(json.dumps(document),)], "document string")
+    parts = tariff.document_components(tariff.flatten_documents(docs))
+    days = {dt.datetime(2024, 1, 3): "WEEKDAY", dt.datetime(2024, 7, 3): "WEEKDAY", dt.datetime(2024, 1, 6): "WEEKEND", dt.datetime(2024, 1, 1): "HOLIDAY"}
+    rated = spark.createDataFrame(
+        [("M1", d + dt.timedelta(hours=h), D("10"), D("0"), D("3"), "S", f"P{d:%m%d}", kind, 60 * h)
+         for d, kind in days.items() for h in (13, 17)],
+        "meter_id string, read_ts timestamp_ntz, kwh_delivered decimal(14,4), kwh_received decimal(14,4), "
+        "demand_kw decimal(10,4), schedule_id string, billing_period_id string, day_type string, local_minute int")
+    paid = {r.billing_period_id: r.c for r in tariff.energy_charges(rated, parts).groupBy("billing_period_id").agg(F.sum("charge").alias("c")).collect()}
+    # 13 and 17 o'clock: off and on in winter, on and off in summer, off all weekend and holiday (5 kWh beyond the tier).
+    assert paid == {"P0103": D("6.0000"), "P0703": D("6.5000"), "P0106": D("2.5000"), "P0101": D("2.5000")}
+    peaks = tariff.demand_charges(rated, parts).groupBy("billing_period_id").agg(F.max("charge").alias("c")).collect()
+    assert {r.billing_period_id: r.c for r in peaks} == {"P0103": 27, "P0703": 27, "P0106": 6, "P0101": 6}
+
+
 def test_window_ends_day_types_and_overlap(spark):
     links = spark.createDataFrame([("M1", "C1", True)], "meter_id string, customer_id string, is_current boolean")
     customers = spark.createDataFrame([("C1", "RP-TOU3")], "customer_id string, rate_plan_id string")
