@@ -39,6 +39,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marks = table(spark, sf_dir, "labels", "doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), marks)
+    if model.constant is not None:  # nothing was learned, so nothing is rejected
+        return docs
     return docs.where(toxicity.scorer(model)(F.coalesce(docs["text"], F.lit(""))) < toxicity.THRESHOLD)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadweave.session import shared_folder
+from loadweave.sources.tables import drop
 
 #: One run of ASCII white space, and one word, as the operators count them.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -54,6 +55,12 @@ def kept_at(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str, *names: str) -> None:
+    """Delete intermediates that no frame reads any more: the named folders below a path, or all of it."""
+    for folder in [f"{path}/{n}" for n in names] or [path]:
+        drop(spark, folder)
+
+
 def file_system(uri: str):
     """The pyarrow file system and path of a folder that driver and executors share."""
     from pyarrow import fs

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import kept_at, lowered, scratch, whole, words
+from loadweave.llm.common import discard, kept_at, lowered, scratch, whole, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -118,6 +118,9 @@ def leaks(
     sure = counted.join(
         pairs, F.col("item_id").eqNullSafe(F.col("_i")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi"
     )
-    return sure.where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item")).select(
+    found = sure.where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item")).select(
         "item_id", "doc_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment")
     )
+    found = kept_at(found, f"{path}/found")
+    discard(docs.sparkSession, path, "items", "signatures", "windows", "texts")
+    return found

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweave.llm.common import kept_at, scratch, whole
+from loadweave.llm.common import discard, kept_at, scratch, whole
 from loadweave.llm.components import components
 from loadweave.llm.shingle_sets import band_keys, jaccard_counts, min_max, shingle_sets
 
@@ -242,7 +242,12 @@ def near_duplicates(
     sure = kept_at(_star_links(near, meets, pivots, sets, percent), f"{path}/star")
     comps = components(sure, f"{path}/star-components")
     more = kept_at(_cross_links(meets, pivots, comps, sets, percent, bands, permutations), f"{path}/cross")
-    final = components(sure.unionByName(more), f"{path}/components")
+    final = kept_at(components(sure.unionByName(more), f"{path}/components"), f"{path}/roots")
+    # What follows reads the signatures, the classes and the roots.
+    discard(
+        docs.sparkSession, path, "reps", "pivots", "meets", "wanted", "near", "sets", "star", "star-components", "cross",
+        "components",
+    )
     roots = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("root", "rep").alias("_root")
     )

@@ -5,7 +5,7 @@ of the decays of the characters it spans. Letters decay by 0.5, anything else by
 stay close to ``idiot`` while a long word that happens to hold the letters does not; occurrences span nine characters
 at most.
 
-Learning (on the driver, from a sample of labelled documents of at most ``SAMPLE`` a class):
+Learning (in one task, from a sample of labelled documents of at most ``SAMPLE`` a class):
 
 Near copies among the sample are left out first, so that no text speaks many times.
 
@@ -29,6 +29,7 @@ scored each. Empty tables give no rows. Only id and text (and the labels' id and
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -341,7 +342,9 @@ class ToxicityModel:
 
     @classmethod
     def train(cls, texts: list[str], labels: list[int], rounds: int = 5) -> ToxicityModel:
-        docs = [units(t) for t in texts]
+        pool: dict[str, str] = {}  # a word is held once, in however many documents it is
+        docs = [{pool.setdefault(w, w) for w in units(t)} for t in texts]
+        del pool
         fresh = first_copies(docs)
         docs, labels = [docs[i] for i in fresh], [labels[i] for i in fresh]
         y = np.array(labels, np.float64)
@@ -355,13 +358,17 @@ class ToxicityModel:
         clean_parts = sorted({p for w in set().union(*clean) for p in windows(w)})
         probe = SubsequenceKernel(runs)
         scale = np.diag(probe(runs))
-        near = (probe(clean_parts) / scale).max(axis=1)
+        near = np.concatenate([
+            (probe(clean_parts[k: k + 20_000]) / scale).max(axis=1) for k in range(0, len(clean_parts), 20_000)
+        ]) if clean_parts else np.zeros(0)
         order = np.argsort(-near, kind="stable")
         model.kernel = SubsequenceKernel(runs + [clean_parts[i] for i in order[:LOOKALIKES]])
         own = model.kernel(model.kernel.landmarks).astype(np.float64)
         values, vectors = np.linalg.eigh((own + own.T) / 2)
-        model.whiten = vectors / np.sqrt(np.maximum(values, 1e-4 * values.max())) @ vectors.T
-        negative = model.features(clean_parts)
+        model.whiten = (vectors / np.sqrt(np.maximum(values, 1e-4 * values.max())) @ vectors.T).astype(np.float32)
+        # The clean words that come closest to a landmark, and an even share of the others.
+        negative = model.features([clean_parts[i] for i in np.concatenate([order[:15_000], order[15_000::20]])])
+        del near, order, clean_parts
         holding = re.compile("|".join(map(re.escape, runs)))
         marked = {w for w in set().union(*docs) if holding.search(_letters(w))}
         held = sorted({p for w in marked & set().union(*toxic) for p in windows(w) if holding.search(_letters(p))})
@@ -373,7 +380,7 @@ class ToxicityModel:
         model.w = np.concatenate([(model.kernel(runs) @ model.whiten).sum(axis=0), [0.0]])
         for _ in range(rounds):
             hardest = np.argsort(-(negative @ model.w[:-1]), kind="stable")
-            rows = [negative[hardest[:300]], negative[hardest[300:4_000]], negative[::40], sure, changed]
+            rows = [negative[hardest[:300]], negative[hardest[300:4_000]], negative[::4], sure, changed]
             shares = (3.0, 1.0, 1.0, 2.0, 0.3)
             weight = np.concatenate([np.full(len(b), k / max(1, len(b))) for b, k in zip(rows, shares)])
             weight[sum(map(len, rows[:3])): sum(map(len, rows[:4]))] = 2 * fair
@@ -381,8 +388,7 @@ class ToxicityModel:
             model.w = fit_machine(np.concatenate(rows), mark, weight)
         # Labels that no landmark explains are a matter of chance to this model: they raise the floor of the scores.
         found = np.array([not marked.isdisjoint(d) for d in docs])
-        model.learn(docs)
-        decisions = np.array([max(map(model.known.__getitem__, d), default=model.w[-1]) for d in docs])
+        decisions = np.array(model.decisions(docs))
         plain = found | (y == 0)
         model.slope, model.offset = fit_logistic(decisions[plain], y[plain])
         model.floor = float(y[~found].mean()) if (~found).any() else 0.0
@@ -409,6 +415,15 @@ class ToxicityModel:
         order = list(new)
         self.known.update(zip(order, self.word_scores(order).tolist() if order else []))
 
+    def decisions(self, docs: list[set[str]], at_once: int = 200) -> list[float]:
+        """The best word's decision value of each document."""
+        out = []
+        for k in range(0, len(docs), at_once):
+            self.learn(docs[k: k + at_once])
+            out += [max(map(self.known.__getitem__, d), default=float(self.w[-1])) for d in docs[k: k + at_once]]
+            self.known.clear()
+        return out
+
     def scores(self, texts: Iterable[str]) -> Iterator[float]:
         """The score of each text, a few texts at a time."""
         if self.constant is not None:
@@ -443,16 +458,25 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
     """A model from at most ``sample`` labelled documents of each class, chosen by a hash of their ids.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. The sample, and nothing else, goes to the driver.
+    ``docs`` has doc_id and text, ``labels`` doc_id and toxic. The sample, and nothing else, goes to one task, which is
+    run again if its executor is lost; the driver gets the model.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rank = F.xxhash64("doc_id", F.lit("sample"))
     one, none = (usable.where(F.col("toxic") == k).orderBy(rank, "doc_id").limit(sample) for k in (1, 0))
     picked = F.broadcast(one.unionByName(none))  # two times ``sample`` rows of two numbers at most
-    rows = docs.join(picked, "doc_id").select("doc_id", "toxic", whole("text").alias("text")).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    return ToxicityModel.train(rows["text"].tolist(), rows["toxic"].astype(int).tolist())
+    rows = docs.join(picked, "doc_id").select("doc_id", "toxic", whole("text").alias("text"))
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [b for b in batches if len(b)]
+        if held:
+            seen = pd.concat(held).drop_duplicates("doc_id").sort_values("doc_id")
+            model = ToxicityModel.train(seen["text"].tolist(), seen["toxic"].astype(int).tolist())
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    made = rows.repartition(1).mapInPandas(fit, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else ToxicityModel(0.0)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

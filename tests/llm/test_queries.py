@@ -92,7 +92,7 @@ def test_main_texts_are_the_articles(spark, root, duck):
     assert len(rows) == len(pages)
     for page_id, url, html in pages:
         body = re.sub(r"</?(?:p|h1)[^>]*>", "\0", re.search(r"<article>(.*?)</article>", html, re.S)[1])
-        parts = (" ".join(unescape(re.sub(r"<[^>]+>", " " if False else "", b.replace("<br>", " "))).split()) for b in body.split("\0"))
+        parts = (" ".join(unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split()) for b in body.split("\0"))
         want = "\n".join(p for p in parts if p)
         assert rows[page_id]["text"] == want and rows[page_id]["n_chars"] == len(want) and rows[page_id]["url"] == url
 
