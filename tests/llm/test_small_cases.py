@@ -576,6 +576,20 @@ def test_template_is_induced_from_a_hosts_pages(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    rng = random.Random(8)
+    vocab = vocabulary(rng, 500)
+    rows, want = [], {}
+    for i in range(100):  # page 0 is the longest, and 90 of the 100 rows are copies of it
+        k = max(0, i - 90)
+        paragraphs = [prose(rng, 20, vocab) for _ in range(3 if k else 6)] if i == 0 or k else paragraphs
+        want[i] = "\n".join(paragraphs)
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        rows.append((i, f"https://acme.example/{i}", f"<div><p>Acme Daily</p>{body}<p>Imprint of Acme</p></div>"))
+    got = wrappers.extract(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_alignment_by_brute_force():
     def tree(rng, depth):
         node = wrappers.Node(rng.choice("xyz"))
