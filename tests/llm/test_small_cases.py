@@ -590,6 +590,19 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r["page_id"]: r["text"] for r in got} == want
 
 
+def test_own_text_in_a_template_slot_is_kept(spark):
+    rng = random.Random(9)
+    vocab = vocabulary(rng, 500)
+    rows, want = [], {}
+    for i in range(40):  # pages 0 and 1 lack the host's last line, so their last paragraph stands where it would
+        paragraphs = [prose(rng, 20, vocab) for _ in range(4 if i < 2 else 3)]
+        want[i] = "\n".join(paragraphs)
+        body = "".join(f"<p>{p}</p>" for p in [*paragraphs, *["Do not copy"] * (i > 1)])
+        rows.append((i, f"https://acme.example/{i}", f"<article>{body}</article>"))
+    got = wrappers.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_alignment_by_brute_force():
     def tree(rng, depth):
         node = wrappers.Node(rng.choice("xyz"))
