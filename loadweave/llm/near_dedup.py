@@ -8,10 +8,10 @@ meet: with 48 permutations (96 values, 24 bands) two sets with similarity 0.85 m
 1. Documents with equal sets (128-bit hash of the sorted set) form a class; its smallest id stands for it.
 2. In each bucket every representative is compared with the bucket's smallest. Confirmed links give components; a
    bucket with a third of all documents costs one comparison a document.
-3. Buckets that still hold several components are searched for links between them: members outside the bucket's
-   largest component visit blocks of at most ``BLOCK`` members. In a block pairs of different components are compared
-   by signature, then on full sets, and only a forest of the links found is emitted. Half of the bands serve here: a
-   link is left to this step only if it never met a bucket's smallest, and 12 bands miss it with a chance of 1e-4 more.
+3. Buckets that still hold several components are searched for links between them, one of those with the same members:
+   members outside the bucket's largest component are dealt into chunks of about ``BLOCK``, all members into others, and
+   each chunk of the ones meets each chunk of the others. There all pairs of different components are compared on full
+   sets, and only a forest of the links found is emitted.
 4. Components of all links; the smallest id stays.
 
 Full sets are computed again, for documents that share a bucket only, and travel by document, never as all pairs of a
@@ -39,8 +39,6 @@ SHINGLE = 5
 PERCENT = 80
 PERMUTATIONS, BANDS = 48, 24
 BLOCK = 512
-#: Standard deviations of a signature's estimate below the limit at which a pair is still compared on full sets.
-SLACK = 4.0
 
 
 def _set_key(values: np.ndarray) -> bytes:
@@ -49,7 +47,7 @@ def _set_key(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def _signer(n: int, permutations: int, bands: int, full: bool):
+def _signer(n: int, permutations: int, bands: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, at, held, size = batch.column(0), 0, [], 0
@@ -65,26 +63,41 @@ def _signer(n: int, permutations: int, bands: int, full: bool):
     def pack(ids: pa.Array, held: list[np.ndarray]) -> pa.RecordBatch:
         signatures = np.array([min_max(v, permutations) for v in held])
         keys = band_keys(signatures, bands).view(np.int64)
-        columns = {
+        return pa.RecordBatch.from_pydict({
             "doc_id": ids,
             "n_shingles": pa.array([len(v) for v in held], pa.int64()),
             "set_key": pa.array([_set_key(v) for v in held], pa.binary()),
             "keys": pa.array([k if len(v) else [] for k, v in zip(keys, held)], pa.list_(pa.int64())),
-        }
-        if full:
-            columns["signature"] = pa.array([s.tobytes() for s in signatures], pa.binary())
-            columns["shingles"] = pa.array([v.tobytes() for v in held], pa.binary())
-        return pa.RecordBatch.from_pydict(columns)
+        })
 
     return sign
 
 
-def signed(docs: DataFrame, n: int, permutations: int, bands: int, full: bool = False) -> DataFrame:
-    """doc_id, n_shingles, set_key and band keys of each row; with ``full``, the signature and the set as well."""
+def signed(docs: DataFrame, n: int, permutations: int, bands: int) -> DataFrame:
+    """doc_id, n_shingles, set_key and band keys of each row."""
     kind = "doc_id long, n_shingles long, set_key binary, keys array<long>"
-    return docs.mapInArrow(
-        _signer(n, permutations, bands, full), kind + (", signature binary, shingles binary" if full else "")
-    )
+    return docs.mapInArrow(_signer(n, permutations, bands), kind)
+
+
+def full_sets(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id and shingles (the sorted set as bytes) of each row."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, held, size = 0, [], 0
+            for values in shingle_sets((t.as_py() for t in batch.column(1)), n):
+                held.append(values.tobytes())
+                size += len(values)
+                if size >= 1 << 20:
+                    yield pack(batch.column(0).slice(at, len(held)), held)
+                    at, held, size = at + len(held), [], 0
+            if held:
+                yield pack(batch.column(0).slice(at, len(held)), held)
+
+    def pack(ids: pa.Array, held: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, pa.array(held, pa.binary())], names=["doc_id", "shingles"])
+
+    return docs.mapInArrow(read, "doc_id long, shingles binary")
 
 
 def _confirm(percent: int):
@@ -122,31 +135,36 @@ class _Forest:
             self.links.append(link)
 
 
-def _links_of_block(rows: list[dict], percent: int, least: float) -> list[tuple[int, int]]:
-    """A forest of links between the block's visitors and residents of other components."""
-    sizes = np.array([len(r["shingles"]) // 8 for r in rows], np.float64)
-    signatures = np.array([np.frombuffer(r["signature"], "<u4") for r in rows])
-    keys = np.array([r["keys"] for r in rows])
-    bands = np.array([r["band"] for r in rows])
+def _links_of_block(rows: list[dict], percent: int) -> list[tuple[int, int]]:
+    """A forest of links between the block's visitors and residents of other components, by exact counts."""
     sets = [np.frombuffer(r["shingles"], "<u8") for r in rows]
-    residents = np.array([r["resident"] for r in rows])
+    residents = [k for k, r in enumerate(rows) if r["resident"]]
+    if not residents:
+        return []
+    sizes = np.array([len(sets[k]) for k in residents])
+    comps = np.array([rows[k]["comp"] for k in residents])
+    ids = np.array([rows[k]["doc_id"] for k in residents])
+    outside = np.array([rows[k]["outside"] for k in residents])
+    held = np.concatenate([sets[k] for k in residents])
+    order = np.argsort(held, kind="stable")
+    held, whose = held[order], np.repeat(np.arange(len(residents)), sizes)[order]
     forest = _Forest([r["comp"] for r in rows])
-    for i in np.flatnonzero([r["visitor"] for r in rows]):
-        own = rows[i]
-        near = residents & (np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i]))
-        near &= (signatures == signatures[i]).mean(axis=1) >= least
-        # A pair that already meets in an earlier band was compared there.
-        near &= ~((keys == keys[i]) & (np.arange(keys.shape[1])[None, :] < bands[:, None])).any(axis=1)
+    for k, own in enumerate(rows):
+        if not own["visitor"]:
+            continue
+        low, high = np.searchsorted(held, sets[k], "left"), np.searchsorted(held, sets[k], "right")
+        many = high - low
+        hits = np.repeat(high - np.cumsum(many), many) + np.arange(many.sum())
+        shared = np.bincount(whose[hits], minlength=len(residents))
+        near = 100 * shared >= percent * (len(sets[k]) + sizes - shared)
+        # Two members outside the largest component visit each other; one of the visits is enough.
+        near &= (comps != own["comp"]) & (~outside | (ids > own["doc_id"]))
         for j in np.flatnonzero(near):
-            other = rows[j]
-            if forest.root(own["comp"]) != forest.root(other["comp"]):
-                shared, union = jaccard_counts(sets[i], sets[j])
-                if 100 * shared >= percent * union:
-                    forest.join(own["comp"], other["comp"], (own["doc_id"], other["doc_id"]))
+            forest.join(own["comp"], int(comps[j]), (own["doc_id"], int(ids[j])))
     return forest.links
 
 
-def _block_searcher(percent: int, least: float):
+def _block_searcher(percent: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, []
         for batch in batches:
@@ -160,7 +178,7 @@ def _block_searcher(percent: int, least: float):
             yield as_links(held)
 
     def as_links(held: list[dict]) -> pa.RecordBatch:
-        found = _links_of_block(held, percent, least)
+        found = _links_of_block(held, percent)
         return pa.RecordBatch.from_arrays(
             [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
         )
@@ -181,35 +199,36 @@ def _star_links(reps: DataFrame, meets: DataFrame, pivots: DataFrame, sets: Data
     return joined.mapInArrow(_confirm(percent), "a long, b long")
 
 
-def _cross_links(
-    meets: DataFrame, pivots: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, bands: int, permutations: int,
-) -> DataFrame:
+def _cross_links(meets: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components that meet in a bucket."""
     named = comps.select(F.col("node").alias("doc_id"), "root")
-    members = meets.where(F.col("band") < bands // 2).join(pivots.select("key"), "key").join(named, "doc_id", "left").select(
-        "key", "band", "doc_id", F.coalesce("root", "doc_id").alias("comp")
-    )
-    per_comp = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    members = meets.join(named, "doc_id", "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("comp"))
+    # Two sums of 32-bit hashes and the count tell whether two buckets have the same members.
+    marks = [F.sum(F.shiftright(F.xxhash64("doc_id", F.lit(k)), 32)).alias(f"mark{k}") for k in (0, 1)]
+    per_comp = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), *marks)
     mixed = per_comp.groupBy("key").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"),
+        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"),
+        F.count(F.lit(1)).alias("comps"), F.sum("mark0").alias("mark0"), F.sum("mark1").alias("mark1"),
     ).where("comps > 1")
-    placed = members.join(mixed, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK)).select(
-        "key", "band", "doc_id", "comp", "blocks", F.pmod(F.hash("doc_id"), F.col("blocks")).alias("home"),
-        (F.col("comp") != F.col("main")).alias("visitor"),
+    least = F.min(F.struct("key", "main", "most")).alias("one")
+    mixed = mixed.groupBy("n", "mark0", "mark1").agg(least).select("one.*", "n")
+    outside = F.col("comp") != F.col("main")
+    placed = members.join(mixed, "key").select(
+        "key", "doc_id", "comp", outside.alias("outside"), F.ceil(F.col("n") / BLOCK).alias("homes"),
+        F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("turns"),
+    ).withColumn("home", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("homes"))).withColumn(
+        "turn", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("turns"))
     )
-    rows = placed.withColumn(
-        "block", F.explode(F.when(F.col("visitor"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(
-            F.array("home")
-        ))
-    ).withColumn("resident", F.col("block") == F.col("home"))
-    full = rows.join(sets.select("doc_id", "keys", "signature", "shingles"), "doc_id").select(
-        "key", "block", "band", "doc_id", "comp", "resident", "visitor", F.slice("keys", 1, bands // 2).alias("keys"),
-        "signature", "shingles",
+    # A block is a chunk of residents (home) and one of visitors (turn).
+    lives = F.expr("transform(sequence(0L, turns - 1), t -> home * turns + t)")
+    visits = F.expr("transform(sequence(0L, homes - 1), h -> h * turns + turn)")
+    rows = placed.withColumn("block", F.explode(F.when(F.col("outside"), F.array_union(lives, visits)).otherwise(lives)))
+    rows = rows.withColumn("resident", F.expr("block div turns = home")).withColumn(
+        "visitor", F.col("outside") & F.expr("block % turns = turn")
     )
-    limit = percent / 100
-    least = limit - SLACK * (limit * (1 - limit) / (2 * permutations)) ** 0.5
+    full = rows.join(sets, "doc_id").select("key", "block", "doc_id", "comp", "outside", "resident", "visitor", "shingles")
     dealt = full.repartition("key", "block").sortWithinPartitions("key", "block")
-    return dealt.mapInArrow(_block_searcher(percent, least), "a long, b long")
+    return dealt.mapInArrow(_block_searcher(percent), "a long, b long")
 
 
 def near_duplicates(
@@ -228,20 +247,20 @@ def near_duplicates(
     reps = named.join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"])
     reps = kept_at(reps.dropDuplicates(["set_key", "doc_id"]), f"{path}/reps")
     # Documents that share a bucket with another representative; the others need nothing more.
-    banded = reps.select("doc_id", F.posexplode("keys").alias("band", "key")).withColumn("band", F.col("band").cast("byte"))
+    banded = reps.select("doc_id", F.explode("keys").alias("key"))
     pivots = kept_at(
         banded.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
             "key", "pivot"
         ), f"{path}/pivots",
     )
-    meets = kept_at(banded.join(pivots.select("key"), "key").select("key", "band", "doc_id"), f"{path}/meets")
+    meets = kept_at(banded.join(pivots.select("key"), "key").select("key", "doc_id"), f"{path}/meets")
     wanted = kept_at(meets.select(F.col("doc_id").alias("_id")).distinct(), f"{path}/wanted")
     is_near = F.col("doc_id") == F.col("_id")
     near = kept_at(reps.join(wanted, is_near, "left_semi").select("doc_id", "n_shingles"), f"{path}/near")
-    sets = kept_at(signed(rows.join(wanted, is_near, "left_semi"), n, permutations, bands, full=True), f"{path}/sets")
+    sets = kept_at(full_sets(rows.join(wanted, is_near, "left_semi").select("doc_id", "text"), n), f"{path}/sets")
     sure = kept_at(_star_links(near, meets, pivots, sets, percent), f"{path}/star")
     comps = components(sure, f"{path}/star-components")
-    more = kept_at(_cross_links(meets, pivots, comps, sets, percent, bands, permutations), f"{path}/cross")
+    more = kept_at(_cross_links(meets, comps, sets, percent), f"{path}/cross")
     final = kept_at(components(sure.unionByName(more), f"{path}/components"), f"{path}/roots")
     # What follows reads the signatures, the classes and the roots.
     discard(

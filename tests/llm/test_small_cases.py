@@ -300,6 +300,42 @@ def test_large_buckets_are_searched_in_blocks(spark, monkeypatch):
     assert got == brute_components(docs.collect(), 3, 85)
 
 
+def test_links_that_miss_a_buckets_smallest_are_searched_in_all_bands(spark, monkeypatch):
+    """Each pair shares one band alone, with a third set that is far from both and smallest in the bucket."""
+    import pandas as pd
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    sets = {i: set(range(1_000 * i, 1_000 * i + 20)) for i in range(1, 25)}
+    sets |= {i + 100: set(sorted(s)[:-1]) for i, s in sets.items()} | {i - 100: {10**6 + i} for i in sets}
+    meets = spark.createDataFrame(pd.DataFrame(
+        [(k, k - 1, d) for k in range(1, 25) for d in (k - 100, k, k + 100)], columns=["key", "band", "doc_id"]
+    ))
+    held = [(d, np.array(sorted(s), "<u8").tobytes()) for d, s in sets.items()]
+    comps = spark.createDataFrame([], "node long, root long")
+    found = near_dedup._cross_links(meets, comps, spark.createDataFrame(held, "doc_id long, shingles binary"), 85)
+    assert {tuple(sorted((r["a"], r["b"]))) for r in found.collect()} == {(k, k + 100) for k in range(1, 25)}
+
+
+def test_groups_outside_the_largest_component_are_bounded(spark, monkeypatch):
+    """No block has more than a chunk of residents and one of visitors."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    seen = spark.sparkContext.accumulator(0)
+
+    def searcher(percent):
+        def search(batches):
+            sizes = Counter((r["key"], r["block"]) for b in batches for r in b.to_pylist())
+            seen.add(sum(n > 80 for n in sizes.values()))
+            yield from ()
+
+        return search
+
+    monkeypatch.setattr(near_dedup, "_block_searcher", searcher)
+    meets = spark.createDataFrame([(7, i) for i in range(400)], "key long, doc_id long").selectExpr("*", "0 AS band")
+    sets = spark.createDataFrame([(i, bytes(8)) for i in range(400)], "doc_id long, shingles binary")
+    near_dedup._cross_links(meets, spark.createDataFrame([], "node long, root long"), sets, 85).count()
+    assert seen.value == 0
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
