@@ -3,7 +3,9 @@
 Each permutation of the shingle hashes is evaluated once and gives two values of the signature, the least and the
 greatest, which are both unbiased for the Jaccard similarity. Bands of four values are the keys under which documents
 meet: with 48 permutations (96 values, 24 bands) two sets with similarity 0.85 miss each other with a chance of
-(1 - 0.85^4)^24 = 2e-8, with 0.8 of 3e-6.
+(1 - 0.85^4)^24 = 2e-8, with 0.8 of 3e-6. Sets of fewer than ``EXACT`` shingles are found without chance: they, and sets
+that are not too large to be similar to one of them, meet under the rarest of their shingles, as many as two similar sets
+cannot all differ in (prefix filtering).
 
 1. Documents with equal sets (128-bit hash of the sorted set) form a class; its smallest id stands for it.
 2. In each bucket every representative is compared with the bucket's smallest. Confirmed links give components; a
@@ -39,6 +41,8 @@ SHINGLE = 5
 PERCENT = 80
 PERMUTATIONS, BANDS = 48, 24
 BLOCK = 512
+#: Sets with fewer shingles meet under their rarest shingles instead of bands.
+EXACT = 64
 
 
 def _set_key(values: np.ndarray) -> bytes:
@@ -47,7 +51,7 @@ def _set_key(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def _signer(n: int, permutations: int, bands: int):
+def _signer(n: int, permutations: int, bands: int, few: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, at, held, size = batch.column(0), 0, [], 0
@@ -61,22 +65,40 @@ def _signer(n: int, permutations: int, bands: int):
                 yield pack(ids.slice(at, len(held)), held)
 
     def pack(ids: pa.Array, held: list[np.ndarray]) -> pa.RecordBatch:
-        signatures = np.array([min_max(v, permutations) for v in held])
-        keys = band_keys(signatures, bands).view(np.int64)
+        long = [k for k, v in enumerate(held) if len(v) >= EXACT]
+        signatures = np.array([min_max(held[k], permutations) for k in long])
+        keys = dict(zip(long, band_keys(signatures, bands).view(np.int64))) if long else {}
         return pa.RecordBatch.from_pydict({
             "doc_id": ids,
             "n_shingles": pa.array([len(v) for v in held], pa.int64()),
             "set_key": pa.array([_set_key(v) for v in held], pa.binary()),
-            "keys": pa.array([k if len(v) else [] for k, v in zip(keys, held)], pa.list_(pa.int64())),
+            "keys": pa.array([keys.get(k, ()) for k in range(len(held))], pa.list_(pa.int64())),
+            "few": pa.array([v.view(np.int64) if len(v) <= few else None for v in held], pa.list_(pa.int64())),
         })
 
     return sign
 
 
-def signed(docs: DataFrame, n: int, permutations: int, bands: int) -> DataFrame:
-    """doc_id, n_shingles, set_key and band keys of each row."""
-    kind = "doc_id long, n_shingles long, set_key binary, keys array<long>"
-    return docs.mapInArrow(_signer(n, permutations, bands), kind)
+def signed(docs: DataFrame, n: int, percent: int, permutations: int, bands: int) -> DataFrame:
+    """doc_id, n_shingles, set_key, band keys (of sets that are not short) and few (the set, if a short one can be similar)."""
+    kind = "doc_id long, n_shingles long, set_key binary, keys array<long>, few array<long>"
+    return docs.mapInArrow(_signer(n, permutations, bands, (EXACT - 1) * 100 // percent), kind)
+
+
+def rarest(sets: DataFrame, percent: int, path: str) -> DataFrame:
+    """key and doc_id: the shingles under which similar sets meet, of frames with doc_id, set_key, n_shingles and few.
+
+    In one order of all shingles, sets with 100 * intersection >= percent * union share one of the first
+    size - ceil(percent * size / 100) + 1 of each. Rare shingles come first; those of a single set lead to no other.
+    """
+    each = sets.where("few IS NOT NULL").select("doc_id", "set_key", "n_shingles", F.explode("few").alias("key"))
+    common = kept_at(each.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), f"{path}/common")
+    held = each.join(common, "key").groupBy("doc_id", "set_key", "n_shingles").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("held")
+    )
+    first = F.expr(f"n_shingles - ({percent} * n_shingles + 99) div 100 + 1 - (n_shingles - size(held))")
+    taken = F.slice("held", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))
+    return held.select("doc_id", F.explode(taken).alias("one")).select("one.key", "doc_id")
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -241,13 +263,14 @@ def near_duplicates(
     """
     path = scratch(docs.sparkSession, "near-dedup")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
-    signatures = kept_at(signed(rows, n, permutations, bands), f"{path}/signed")
+    signatures = kept_at(signed(rows, n, percent, permutations, bands), f"{path}/signed")
     named = signatures.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = kept_at(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), f"{path}/classes")
     reps = named.join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"])
     reps = kept_at(reps.dropDuplicates(["set_key", "doc_id"]), f"{path}/reps")
     # Documents that share a bucket with another representative; the others need nothing more.
-    banded = reps.select("doc_id", F.explode("keys").alias("key"))
+    short = kept_at(rarest(reps, percent, path), f"{path}/rarest")
+    banded = reps.select(F.explode("keys").alias("key"), "doc_id").unionByName(short)
     pivots = kept_at(
         banded.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
             "key", "pivot"
@@ -264,7 +287,7 @@ def near_duplicates(
     final = kept_at(components(sure.unionByName(more), f"{path}/components"), f"{path}/roots")
     # What follows reads the signatures, the classes and the roots.
     discard(
-        docs.sparkSession, path, "reps", "pivots", "meets", "wanted", "near", "sets", "star", "star-components", "cross",
+        docs.sparkSession, path, "reps", "common", "rarest", "pivots", "meets", "wanted", "near", "sets", "star", "star-components", "cross",
         "components",
     )
     roots = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(

@@ -15,7 +15,8 @@ BLOCK_BYTES = 1 << 20
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ORDER = _random.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MASKS = _random.integers(0, 2**32, 4_096, dtype=np.uint32)
+_SEEDS = _random.integers(0, 2**64, 4_096, dtype=np.uint64)
+_FACTORS = _random.integers(1, 2**63, 4_096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
 _BLANK = np.zeros(256, bool)
@@ -95,16 +96,18 @@ def _blocks(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
 def min_max(values: np.ndarray, permutations: int) -> np.ndarray:
     """The signature: least values of a set under each permutation, then the greatest.
 
-    A permutation is an exclusive or of the hashes' upper halves with a random mask, evaluated once for both.
+    A permutation is the upper half of the hash, after an exclusive or with a random seed, times a random odd number;
+    it is evaluated once for both.
     """
-    low = np.full(permutations, np.iinfo(np.uint32).max, np.uint32)
-    high = np.zeros(permutations, np.uint32)
-    masks, upper = _MASKS[:permutations, None], (values >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(upper), 4_096):
-        seen = upper[None, at: at + 4_096] ^ masks
+    low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
+    high = np.zeros(permutations, np.uint64)
+    seeds, factors = _SEEDS[:permutations, None], _FACTORS[:permutations, None]
+    for at in range(0, len(values), 1_024):
+        seen = values[None, at: at + 1_024] ^ seeds
+        seen *= factors
         np.minimum(low, seen.min(axis=1), out=low)
         np.maximum(high, seen.max(axis=1), out=high)
-    return np.concatenate([low, high])
+    return (np.concatenate([low, high]) >> np.uint64(32)).astype(np.uint32)
 
 
 def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:

@@ -22,7 +22,7 @@ from loadweave.llm import (
 from loadweave.llm.catalog import tokenizer_path
 from loadweave.llm.common import scratch
 from loadweave.llm.components import components
-from loadweave.llm.shingle_sets import jaccard_counts, shingle_sets
+from loadweave.llm.shingle_sets import band_keys, jaccard_counts, min_max, shingle_sets
 
 LABELS = "doc_id long, toxic int"
 PAGES = "page_id long, url string, html string"
@@ -336,6 +336,50 @@ def test_groups_outside_the_largest_component_are_bounded(spark, monkeypatch):
     assert seen.value == 0
 
 
+def test_short_near_copies_are_found_without_chance(spark):
+    """Sets of seven shingles and six of them: a difference alone in its half of the hashes must not hide a pair."""
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.getrandbits(40)}" for _ in range(9)) for _ in range(1_000)]
+    rows = [(2 * i + k, t.rsplit(" ", 1)[0] if k else t) for i, t in enumerate(texts) for k in (0, 1)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_rarest_shingles_by_brute_force(spark, tmp_path):
+    """All pairs of short sets that are similar, and no band, so that nothing else can find them."""
+    rng = random.Random(12)
+    sets = {}
+    for i in range(300):
+        base = set(sets[rng.randrange(i)]) if i and rng.random() < 0.8 else {rng.randrange(400) for _ in range(rng.randint(1, 78))}
+        for _ in range(rng.randint(0, 6)):
+            base = (base - {rng.choice(sorted(base))}) | {rng.randrange(400)}
+        sets[i] = sorted(base)[:78]
+    frame = spark.createDataFrame(
+        [(i, bytes([i % 256, i // 256]), len(s), s) for i, s in sets.items()],
+        "doc_id long, set_key binary, n_shingles long, few array<long>",
+    )
+    for percent in (80, 85):
+        keys: dict = {}
+        for r in near_dedup.rarest(frame, percent, str(tmp_path)).collect():
+            keys.setdefault(r["doc_id"], set()).add(r["key"])
+        for a in sets:
+            for b in range(a):
+                x, y = set(sets[a]), set(sets[b])
+                if 100 * len(x & y) >= percent * len(x | y):
+                    assert keys.get(a, set()) & keys.get(b, set())
+
+
+def test_permutations_weigh_shingles_alike():
+    """Over all bands, sets agree as often as their similarity says, and no pair of similar sets differs in every band."""
+    rng = np.random.default_rng(13)
+    agree, missed = 0, 0
+    for _ in range(1_500):
+        v = rng.integers(0, 2**64, 20, dtype=np.uint64)
+        one, two = (band_keys(min_max(x, 48)[None], 24)[0] for x in (v[:18], v[2:]))
+        agree, missed = agree + (one == two).mean(), missed + (one != two).all()
+    assert missed == 0 and abs(agree / 1_500 - (16 * 15 / 20 / 19) ** 2) < 0.01
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
