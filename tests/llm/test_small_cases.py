@@ -623,6 +623,28 @@ def test_frames_around_the_article_stay_and_comments_in_article_elements_go():
         assert wrappers.main_text(page, None) == TEXT
 
 
+@pytest.mark.parametrize("part", [
+    '<div style="overflow:hidden">Own words.</div>', '<p title="the hidden valley">Own words.</p>', '<p data-role="search">Own words.</p>',
+    '<h2 id="form-validation">Own words.</h2>', '<h2 id="how-to-search">Own words.</h2>', '<h2 id="search">Own words.</h2>',
+    '<section id="discussion"><p>Own words.</p></section>', '<div class="section" id="comments"><p>Own words.</p></div>',
+])
+def test_elements_of_an_article_with_like_names_are_kept(part):
+    for tag in ("article", "main"):
+        assert wrappers.main_text(f"<{tag}><p>Before.</p>{part}<p>After.</p></{tag}>", None) == "Before.\nOwn words.\nAfter."
+
+
+def test_what_holds_most_of_a_page_is_kept():
+    own = "Many words of the page, all in one paragraph that is longer than what stands around it."
+    for page in (
+        f'<div class="content no-sidebar"><p>{own}</p></div><div class="sidebar">Side</div>', f"<form><div><p>{own}</p></div></form>",
+        f'<form action="/"><nav>Home</nav><article><p>{own}</p></article></form>', f'<div class="sidebar"><p>{own}</p></div>',
+        f'<article><p>{own}</p><div class="comments"><p>{own} Indeed.</p></div></article>',
+    ):
+        assert wrappers.main_text(page, None) == own
+    for noise in (f'<div class="comments"><p>{own}</p></div>', f'<div class="site-nav"><p>{own}</p></div>'):
+        assert wrappers.main_text(f"<article><p>Short.</p></article>{noise}", None) == "Short."
+
+
 def test_any_input_can_be_parsed():
     for page in ("", "<", "<p", "</p></p>", "<a href='x>y'>z", "<" * 5_000, "<div>" * 5_000 + "deep", "<script>never closed", "&#0;&bogus;"):
         wrappers.main_text(page, None)
