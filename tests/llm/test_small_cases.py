@@ -645,6 +645,14 @@ def test_what_holds_most_of_a_page_is_kept():
         assert wrappers.main_text(f"<article><p>Short.</p></article>{noise}", None) == "Short."
 
 
+def test_siblings_of_the_longest_part_are_kept():
+    items = "".join(f"<li>Point {k} of a long list of many words" for k in range(20))
+    page = f"<nav>Home</nav><div><h1>Title</h1><p>Intro.</p><ul>{items}</ul></div><div><p>Second part.</p></div>"
+    points = [f"Point {k} of a long list of many words" for k in range(20)]
+    assert wrappers.main_text(f"<body>{page}</body>", None).split("\n") == ["Title", "Intro.", *points, "Second part."]
+    assert wrappers.main_text("<body><nav>Home</nav></body>", None) == ""
+
+
 def test_any_input_can_be_parsed():
     for page in ("", "<", "<p", "</p></p>", "<a href='x>y'>z", "<" * 5_000, "<div>" * 5_000 + "deep", "<script>never closed", "&#0;&bogus;"):
         wrappers.main_text(page, None)
