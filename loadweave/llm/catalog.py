@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadweave.llm import (
-    arc_to_warc, decontaminate, exact_dedup, language_id, mixing, near_dedup, token_store, toxicity, viterbi_count, wrappers,
+    arc_to_warc, decontaminate, exact_dedup, language_id, mixing, merkle, near_dedup, packing, source_audit,
+    token_store, toxicity, viterbi_count, wrappers,
 )
 from loadweave.llm.common import scratch, table
 from loadweave.llm.sql import STATEMENTS
@@ -103,6 +104,37 @@ def op10_viterbi_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi_count.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each language's sources lie apart, and the terms that set a source apart."""
+    return source_audit.audit(table(tune(spark), sf_dir, "documents", "text", "lang", "source"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of each document, folded again after every second document was tampered with."""
+    docs = table(tune(spark), sf_dir, "documents", *merkle.FIELDS)
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    altered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaves = docs.select("doc_id", "source", merkle.leaf(docs).alias("leaf"), merkle.leaf(docs, text=altered).alias("shown"))
+    manifest = merkle.build(leaves, scratch(spark, "manifest"), order=["doc_id", "leaf", "shown"])
+    found = merkle.proofs(manifest).select(
+        "row.doc_id", "row.leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
+        merkle.folded("row.shown").alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in the sequences they are packed into."""
+    docs = table(tune(spark), sf_dir, "documents", "doc_id", "text")
+    pieces = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: text for name, text in STATEMENTS.items() if name in CATALOG}
 
