@@ -104,8 +104,13 @@ def quarantine(raw: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
-def last_write_wins(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
-    """Keep, per key, the row that is newest by the given columns.
+def precedence() -> Column:
+    """The class of a read: an actual measurement outranks an estimate, whenever either arrived."""
+    return F.when(F.col("vee_status") == "ESTIMATED", 0).otherwise(1)
+
+
+def last_write_wins(df: DataFrame, keys: Sequence[str], newest: Sequence[Column | str]) -> DataFrame:
+    """Keep, per key, the row that is newest by the given columns, or expressions of them.
 
     ``max_by`` combines before the shuffle, so one key with any number of copies costs each task a
     single row. Without a watermark this is also valid in a streaming aggregation.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from loadweave.operators.ingest import last_write_wins
@@ -85,37 +85,82 @@ def touched(df: DataFrame, by: str) -> list[dt.date]:
     return sorted(r[0] for r in df.select(by).distinct().collect())
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder where another one may be. After a crash in between, the source is still there to be moved."""
+    fs, to = _fs(spark, target)
+    fs.delete(to, True)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def publish(spark: SparkSession, staged: str, path: str, by: str) -> None:
+    """Move finished partitions into a table, in place of those it has; no file is written again."""
+    fs, root = _fs(spark, staged)
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"{by}="):
+            _move(spark, f"{staged}/{name}", f"{path}/{name}")
+
+
+def _stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
+    """Write a folder of partitions, unless an earlier attempt has finished it."""
+    if not exists(df.sparkSession, f"{path}/_SUCCESS"):
+        write_partitioned(df, path, by, mode="overwrite", cluster=cluster)
+
+
+def changes_of(staging: str, spark: SparkSession) -> DataFrame | None:
+    """What a merge changed: the keys, and ``before`` and ``after``, the rest of the row (``before`` is null for a new key)."""
+    return spark.read.parquet(f"{staging}/changes") if exists(spark, f"{staging}/changes/_SUCCESS") else None
+
+
 def upsert(
-    batch: DataFrame, path: str, staging: str, keys: Sequence[str], newest: Sequence[str], by: str
+    batch: DataFrame, path: str, staging: str, keys: Sequence[str], newest: Sequence[Column | str], by: str
 ) -> list[dt.date]:
-    """Merge a batch into a table, newest row per key, however late it arrives.
+    """Merge a batch into a table, newest row per key, however late it arrives; returns the days of the batch.
 
-    Only the partitions the batch touches are read and rewritten. The merged partitions are first
-    written in full to ``staging`` (a path of this batch alone) and replaced from there. A run that
-    dies while replacing is repeated from the finished staging copy, without reading the table it may
-    have left half replaced; merging the same batch again changes nothing.
+    ``newest`` are columns, or expressions of them, that order the rows of a key; the greater one stays. Everything goes
+    through ``staging``, a path of this batch alone: the batch, once, in partitions whose names tell its days; its changes,
+    from a join of those rows with the old ones of their days; and the new content of the days that change. The finished
+    partitions are moved in. A run that dies at any point is repeated from what is finished, and merging the same batch
+    again changes nothing. Old rows are never sorted or deduplicated again, and days without a change are not written.
     """
     spark = batch.sparkSession
-    fields = [f for f in batch.schema.fields]
-    if not exists(spark, f"{staging}/_SUCCESS"):
-        dates = touched(batch, by)
-        if not dates:
-            return []
-        merged = batch
-        if exists(spark, path):
-            old = spark.read.schema(batch.schema).parquet(path).filter(F.col(by).isin(dates))
-            merged = batch.unionByName(old.select(*batch.columns))
-        kept = last_write_wins(merged, keys=[*keys, by], newest=newest)
-        write_partitioned(kept, staging, by, mode="overwrite")
-    merged = spark.read.schema(T.StructType(fields)).parquet(staging)
-    replace_partitions(merged, path, by, cluster=keys)
-    return touched(merged, by)
+    columns = batch.columns
+    rest = [c for c in columns if c not in (*keys, by)]
+    order = F.struct(*newest).alias("_order")
+    _stage(last_write_wins(batch, keys=[*keys, by], newest=newest), f"{staging}/incoming", by)
+    dates = partition_days(spark, f"{staging}/incoming", by)
+    if not dates:
+        return []
+    in_days = F.col(by).isin(dates)
+
+    def old() -> DataFrame:
+        empty = spark.createDataFrame([], batch.schema)
+        return spark.read.schema(batch.schema).parquet(path).filter(in_days) if exists(spark, path) else empty
+
+    if not exists(spark, f"{staging}/merged/_SUCCESS"):
+        incoming = spark.read.schema(batch.schema).parquet(f"{staging}/incoming")
+        after = incoming.select(*keys, by, F.struct(*rest).alias("after"), order.alias("_new"))
+        before = old().select(*keys, by, F.struct(*rest).alias("before"), order.alias("_old"))
+        found = after.join(before, [*keys, by], "left").filter("before is null or _new > _old").drop("_new", "_old")
+        _stage(found, f"{staging}/changes", by)
+        changed = partition_days(spark, f"{staging}/changes", by)
+        if not changed:
+            return dates
+        new = spark.read.schema(found.schema).parquet(f"{staging}/changes")
+        touched_days = F.col(by).isin(changed)
+        kept = old().filter(touched_days).join(new.select(*keys, by), [*keys, by], "left_anti")
+        merged = kept.select(*columns).unionByName(new.select(*keys, by, "after.*").select(*columns))
+        _stage(merged, f"{staging}/merged", by, cluster=keys)
+    publish(spark, f"{staging}/merged", path, by)
+    return dates
 
 
 def partition_days(spark: SparkSession, path: str, by: str) -> list[dt.date]:
     """The days of a table, read off its folder names."""
     fs, root = _fs(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
     return sorted(dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{by}="))
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loadweave.operators import ingest
 from loadweave.plans.marts import Marts
 from loadweave.sources import tables
 from loadweave.streaming import pipeline
@@ -44,22 +45,52 @@ def test_a_batch_that_died_while_replacing_is_repeated_from_staging(spark, tmp_p
     path, work = str(tmp_path / "t"), str(tmp_path / "s")
     merge(batch(spark, ("A", 0, 1, 1), ("B", 0, 2, 1)), path, f"{work}/0")
     second = batch(spark, ("A", 0, 10, 5))
-    real = tables.replace_partitions
+    real = tables._move
 
-    def die(df, target, by, cluster=(), expected=()):
+    def die(session, source, target):
         # The worst moment: the live partition is gone, its replacement has not arrived.
-        fs, root = tables._fs(spark, target)
-        fs.delete(tables._fs(spark, f"{target}/{by}={T0.date()}")[1], True)
-        raise RuntimeError("executor lost")
+        fs, live = tables._fs(session, target)
+        fs.delete(live, True)
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(tables, "replace_partitions", die)
+    monkeypatch.setattr(tables, "_move", die)
     with pytest.raises(RuntimeError):
         merge(second, path, f"{work}/1")
-    monkeypatch.setattr(tables, "replace_partitions", real)
+    monkeypatch.setattr(tables, "_move", real)
     merge(second, path, f"{work}/1")
     assert values(spark, path) == {("A", 3): 10, ("B", 3): 2}
 
 
+def test_a_merge_tells_what_it_changed(spark, tmp_path):
+    path, work = str(tmp_path / "t"), str(tmp_path / "s")
+    merge(batch(spark, ("A", 0, 1, 1), ("B", 0, 2, 1), ("C", 2, 7, 1)), path, f"{work}/0")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    days = merge(batch(spark, ("A", 0, 10, 5), ("A", 0, 9, 4), ("B", 0, 99, 0), ("C", 2, 7, 1), ("D", 3, 4, 2)), path, f"{work}/1")
+    assert [d.day for d in days] == [3, 5, 6]
+    rows = {r.meter_id: (r.before and r.before.value, r.after.value) for r in tables.changes_of(f"{work}/1", spark).collect()}
+    assert rows == {"A": (1, 10), "D": (None, 4)}  # stale and repeated rows change nothing
+    kept = [p for p in (tmp_path / "t").rglob("*.parquet") if p in before]
+    assert all("read_date=2024-01-05" in str(p) for p in kept) and kept  # the day without a change was not written
+    assert values(spark, path) == {("A", 3): 10, ("B", 3): 2, ("C", 5): 7, ("D", 6): 4}
+
+
+def test_an_actual_outranks_an_estimate_whenever_it_arrived(spark, tmp_path):
+    schema = "meter_id string, read_ts timestamp_ntz, vee_status string, ingested_at timestamp_ntz, event_id bigint, read_date date"
+
+    def rows(*given):
+        made = [(m, T0, status, T0 + dt.timedelta(hours=h), h, T0.date()) for m, status, h in given]
+        return spark.createDataFrame(made, schema)
+
+    path = str(tmp_path / "t")
+    for k, given in enumerate((
+        [("A", "ESTIMATED", 50), ("B", "VALID", 1), ("C", "ESTIMATED", 5)], [("A", "VALID", 2), ("B", "ESTIMATED", 60)],
+        [("A", "ESTIMATED", 70), ("C", "ESTIMATED", 6)], [("B", "FAILED", 3)],
+    )):
+        tables.upsert(rows(*given), path, str(tmp_path / f"s{k}"), pipeline.READ_KEYS, [ingest.precedence(), *pipeline.NEWEST], "read_date")
+    got = {r.meter_id: (r.vee_status, r.event_id) for r in spark.read.parquet(path).collect()}
+    assert got == {"A": ("VALID", 2), "B": ("FAILED", 3), "C": ("ESTIMATED", 6)}
+
+
 def test_incremental_refresh_equals_full_recompute(spark, root, tmp_path):
     m = Marts(spark, root)
     f = m.feed
