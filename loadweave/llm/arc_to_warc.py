@@ -281,8 +281,12 @@ def decide(seen: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.select("file", "at", F.when(repeats, F.col("original")).alias("original"))
 
 
-def convert(decisions: DataFrame, folder: str) -> DataFrame:
-    """Rewrite each archive as a WARC file; returns the files: name, records."""
+def convert(decisions: DataFrame, files: int, folder: str) -> DataFrame:
+    """Rewrite each archive as a WARC file; returns the files: name, records.
+
+    The rows of decisions are narrow and say nothing about the work of a file, so they are dealt to as many tasks as there
+    are files; adaptive execution would merge them into one by their size.
+    """
 
     def rewrite(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         (name,) = key
@@ -296,7 +300,8 @@ def convert(decisions: DataFrame, folder: str) -> DataFrame:
                 n += 1
         return pd.DataFrame({"name": [out_name], "records": [n]})
 
-    return decisions.groupBy("file").applyInPandas(rewrite, "name string, records long")
+    dealt = decisions.repartition(max(1, files), "file")
+    return dealt.groupBy("file").applyInPandas(rewrite, "name string, records long")
 
 
 def read_warcs(files: DataFrame, folder: str) -> DataFrame:
@@ -343,7 +348,7 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str, min_bytes:
     """
     arcs = write_arcs(pages, folder)
     seen = kept_at(survey(arcs, folder), f"{folder}/seen")
-    warcs = kept_at(convert(decide(seen, min_bytes), folder), f"{folder}/converted")
+    warcs = kept_at(convert(decide(seen, min_bytes), arcs.count(), folder), f"{folder}/converted")
     records = kept_at(read_warcs(warcs, folder), f"{folder}/records")
     bad = records.where(~F.col("content_digest_ok")).count()
     if bad:

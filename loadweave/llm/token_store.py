@@ -16,7 +16,8 @@ bytes. Words are encoded once per worker: the tokenizer never joins anything acr
 are those of its words in a row. The cache is bounded and emptied when full.
 
 Defined results: null text is an empty document (just the end id); a null id comes first and is written as the
-smallest 64-bit integer; repeated rows are written each time; an empty table gives an empty store. Columns other than
+smallest 64-bit integer; rows with equal ids follow in order of their texts' hashes, whatever the input's
+partitioning; repeated rows are written each time; an empty table gives an empty store. Columns other than
 id and text are not read.
 """
 
@@ -243,12 +244,15 @@ def write_store(
 ) -> DataFrame:
     """Write the store and return its index: shard, name, first_id, documents, n_tokens, start.
 
-    The documents are range-partitioned by id, and each range is one shard. Only the index, one row a shard, goes
+    The documents are range-partitioned by id and, within one id, by a hash of their texts; each range is one shard. Only the index, one row a shard, goes
     through the driver, which adds up how many tokens lie before each shard.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Rows that share an id follow in order of their texts, so the store is the same however the input is partitioned,
+    # and their ranges can be parted.
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    dealt = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     shards = kept_at(dealt.mapInArrow(_shard_writer(tokenizer, folder, end_id), SHARD), f"{folder}/shards")
     start, index = 0, []
     for row in sorted(shards.collect(), key=lambda r: r["shard"]):
