@@ -4,21 +4,23 @@ Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 stage's docs. All but the last return the columns of documents. A stage judges all that its predecessor kept:
 
 * toxicity drops documents that score as toxic (learned from the labels that are not held out);
-* near_dedup keeps the smallest id of each group of near duplicates (five words, similarity 0.8), and one of the rows that
-  repeat an id;
+* near_dedup keeps the smallest id of each group of near duplicates (five words, similarity 0.8);
 * decontaminate drops documents that hold a benchmark item (four fifths of its five-word shingles);
 * mix returns each document as often as the mix takes its words (rounded), so not at all where a source has too many;
 * tokens writes the store of token ids and returns its entries.
 
-Rows without id are kept by the stages that decide by id, unless a decision falls on them as a whole. Extra columns are
-passed on, whatever their names. An empty table stays empty.
+Stages that decide by document give each row a key of its own: its id, or, for rows without id and rows that repeat one, a
+number that no id has, written once with the row. So such rows are documents like all others: each is judged by its own text,
+and equal texts among them are near duplicates, of which one stays. Extra columns are passed on, whatever their names. An
+empty table stays empty.
 """
 
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadweave.llm import decontaminate, mixing, near_dedup, token_store, toxicity
@@ -27,13 +29,34 @@ from loadweave.llm.common import kept_at, scratch, table
 from loadweave.session import tune
 
 
-def _same_id(left: str, right: str):
-    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
+class Keyed(NamedTuple):
+    """Documents with a column that tells each row from all others."""
 
+    docs: DataFrame
+    key: str
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not among ``ids``; no column but the left side's is returned."""
-    return docs.alias("d").join(ids.select("doc_id").distinct().alias("x"), _same_id("d", "x"), "left_anti")
+    def without(self, keys: DataFrame) -> DataFrame:
+        """The documents whose key is not among ``keys``, without the key."""
+        left = self.docs.join(keys.select(keys[keys.columns[0]].alias(self.key)), self.key, "left_anti")
+        return left.drop(self.key)
+
+
+def keyed(docs: DataFrame, path: str) -> Keyed:
+    """Rows that have no id, or one that other rows have, are written with their keys, so that these do not change."""
+    name = f"row_{uuid.uuid4().hex}"
+    counted = docs.groupBy(docs["doc_id"].cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    unsure = kept_at(counted.where("n > 1 OR id IS NULL").select("id"), f"{path}/unsure")
+    own = docs["doc_id"].cast("long")
+    if unsure.isEmpty():
+        return Keyed(docs.withColumn(name, own), name)
+    low, high = docs.agg(F.coalesce(F.min(own), F.lit(0)), F.coalesce(F.max(own), F.lit(0))).first()
+    same, number = own.eqNullSafe(unsure["id"]), F.monotonically_increasing_id()
+    if min(-low, high) >= 1 << 62:
+        return Keyed(kept_at(docs.withColumn(name, number), f"{path}/numbered"), name)
+    # Above all ids, so that of equal texts the one with an id stays; below them only if there is no room above.
+    apart = F.lit(high + 1) + number if high < 1 << 62 else F.lit(low - 1) - number
+    odd = kept_at(docs.join(unsure, same, "left_semi").withColumn(name, apart), f"{path}/odd")
+    return Keyed(docs.join(unsure, same, "left_anti").withColumn(name, own).unionByName(odd), name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,34 +69,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = scratch(spark, "near-stage")
-    found = near_dedup.near_duplicates(docs)
-    dropped = kept_at(found.where(~F.col("kept")).select("doc_id"), f"{path}/dropped")
-    rest = _without(docs, dropped)
-    counted = docs.where(docs["doc_id"].isNotNull()).groupBy(docs["doc_id"].alias("doc_id")).count().where("count > 1")
-    repeated = kept_at(counted.select("doc_id"), f"{path}/repeated")
-    if repeated.isEmpty():
-        return rest
-    number = f"row_{uuid.uuid4().hex}"
-    order = Window.partitionBy("d.doc_id").orderBy(*(F.col(f"d.`{c}`").cast("string") for c in docs.columns))
-    first = rest.alias("d").join(repeated.alias("x"), _same_id("d", "x"), "left_semi").withColumn(
-        number, F.row_number().over(order)
-    ).where(F.col(number) == 1).drop(number)
-    return _without(rest, repeated).unionByName(first)
+    rows = keyed(docs, path)
+    found = near_dedup.near_duplicates(rows.docs, id_col=rows.key)
+    return rows.without(kept_at(found.where(~F.col("kept")).select("doc_id"), f"{path}/dropped"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    return _without(docs, kept_at(decontaminate.leaks(docs, items).select("doc_id"), f"{scratch(spark, 'leak-stage')}/ids"))
+    path = scratch(spark, "leak-stage")
+    rows, items = keyed(docs, path), table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontaminate.leaks(rows.docs, items, id_col=rows.key)
+    return rows.without(kept_at(found.select("doc_id").distinct(), f"{path}/ids"))
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.taken_words(docs).where("size > 0").groupBy("doc_id").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("copies")
+    path = scratch(spark, "mix-stage")
+    rows = keyed(docs, path)
+    taken = mixing.taken_words(rows.docs, id_col=rows.key).where("size > 0").select(
+        F.col("doc_id").alias(rows.key), F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")
     )
-    copies = kept_at(taken.where("copies > 0"), f"{scratch(spark, 'mix-stage')}/copies")
+    copies = kept_at(taken.where("copies > 0"), f"{path}/copies").alias("c")
     extra = f"copy_{uuid.uuid4().hex}"
-    joined = docs.alias("d").join(copies.alias("c"), _same_id("d", "c"))
-    return joined.select("d.*", F.explode(F.expr("array_repeat(0, c.copies)")).alias(extra)).drop(extra)
+    joined = rows.docs.alias("d").join(copies, F.col(f"d.{rows.key}") == F.col(f"c.{rows.key}"))
+    return joined.select("d.*", F.explode(F.expr("array_repeat(0, c.copies)")).alias(extra)).drop(extra, rows.key)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
