@@ -37,6 +37,8 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Nodes of a run, and levels from one stored level to the next.
 FAN, STEP = 3, 3
 TOP = "top"
+#: Subtrees whose paths a task holds at once.
+HELD = 256
 NODE = "tree string, pos long, hash string, height int, done boolean"
 PATH = "array<struct<before:string,after:string>>"
 
@@ -186,7 +188,8 @@ def _descend(base: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = pa.struct([("before", pa.string()), ("after", pa.string())])
-        for batch in batches:
+        # A subtree unfolds into up to 27 rows with long paths, so few are held at once.
+        for batch in (b.slice(i, HELD) for b in batches for i in range(0, b.num_rows, HELD)):
             at, paths = [], []
             columns = dict(zip(batch.schema.names, batch.columns))
             for row, (height, hashes, above) in enumerate(zip(
