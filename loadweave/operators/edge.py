@@ -10,6 +10,9 @@ from loadweave.functions import mean
 from loadweave.operators.calendar import expected_load, load_scale
 from loadweave.sources.reference import DUPLICATE_RESOLUTION, HOLIDAYS
 
+#: Where the library's own estimates say they come from.
+GAP_FILL = "GAP_FILL"
+
 
 def partial_meters(reads: DataFrame, meters: DataFrame, last_ts: Column, expected: int = 96) -> DataFrame:
     """Meters with fewer delivered-energy reads than expected in the closed day before ``last_ts``.

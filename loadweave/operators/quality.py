@@ -189,25 +189,32 @@ def metric_anomalies(history: DataFrame, window: int = 28, min_points: int = 7,
 
 
 class RunLog:
-    """Append-only log of job runs; the newest row of a run is its state."""
+    """Append-only log of job runs and stream batches; the newest row of a run is its state."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, schema_name: str = "CURATED"):
+        self.spark, self.path, self.schema_name = spark, path, schema_name
 
-    def _append(self, row: tuple) -> None:
-        self.spark.createDataFrame([row], RUN_AUDIT).write.mode("append").parquet(self.path)
+    def append(self, *rows: dict) -> None:
+        """Rows by column name; columns that are not named are null."""
+        made = [tuple({"schema_name": self.schema_name, **row}.get(f.name) for f in RUN_AUDIT) for row in rows]
+        self.spark.createDataFrame(made, RUN_AUDIT).coalesce(1).write.mode("append").parquet(self.path)
 
-    def run(self, pipeline: str, job: Callable[[], int]) -> int:
-        """Run ``job`` (which returns its row count) between a start and an end record."""
-        run_id, start = uuid.uuid4().hex, dt.datetime.now()
-        self._append((pipeline, run_id, start, None, "RUNNING", None, None, None))
+    def run(self, pipeline: str, job: Callable[[], int | dict], action: str | None = None) -> int:
+        """Run ``job`` between a start and an end record.
+
+        It returns its number of rows, or a row of the log with ``rows_processed`` and what else it knows.
+        """
+        start = dt.datetime.now()
+        known = {"pipeline_name": pipeline, "run_id": uuid.uuid4().hex, "start_time": start, "refresh_action": action}
+        self.append({**known, "status": "RUNNING"})
         try:
-            rows = job()
+            done = job()
         except Exception as error:
-            self._append((pipeline, run_id, start, dt.datetime.now(), "FAILED", None, 1, str(error)))
+            self.append({**known, "end_time": dt.datetime.now(), "status": "FAILED", "error_count": 1, "message": str(error)})
             raise
-        self._append((pipeline, run_id, start, dt.datetime.now(), "SUCCESS", rows, 0, None))
-        return rows
+        told = done if isinstance(done, dict) else {"rows_processed": done}
+        self.append({**known, "end_time": dt.datetime.now(), "status": "SUCCESS", "error_count": 0, **told})
+        return told["rows_processed"]
 
     def read(self) -> DataFrame:
         """One row per run, in its latest state."""
@@ -218,36 +225,13 @@ class RunLog:
         ).select("pipeline_name", "run_id", "s.*")
 
 
-def arrival_runs(arrivals: DataFrame) -> DataFrame:
-    """Run records of the hourly landing batches per territory, told from what they landed.
-
-    ``arrivals`` has a row per meter and ingestion hour, so no raw copy is joined or grouped here.
-    """
-    return (
-        arrivals.groupBy("utility_territory", "batch")
-        .agg(
-            F.min("first_arrival").alias("start_time"), F.max("ingested_at").alias("end_time"),
-            F.sum("n_rows").alias("rows_processed"), F.sum("n_failed").alias("error_count"),
-        )
-        .select(
-            F.concat(F.lit("LAND_"), F.col("utility_territory")).alias("pipeline_name"),
-            F.concat_ws("-", F.lit("RUN"), "utility_territory", F.date_format("batch", "yyyyMMddHH")).alias("run_id"),
-            "start_time", "end_time",
-            F.when(F.col("error_count") > 0, "FAILED").otherwise("SUCCESS").alias("status"),
-            "rows_processed", "error_count",
-            F.when(F.col("error_count") > 0, F.concat(F.col("error_count").cast("string"), F.lit(" failed reads")))
-            .alias("message"),
-        )
-    )
-
-
 def refresh_history(runs: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     since = as_of - F.make_dt_interval(days=F.lit(days))
     return runs.filter(F.col("start_time").between(since, as_of)).select(
         F.col("pipeline_name").alias("name"), "run_id", F.col("status").alias("state"),
         "start_time", "end_time",
         F.timestamp_diff("SECOND", "start_time", "end_time").alias("duration_sec"),
-        "rows_processed",
+        "rows_processed", "schema_name", "refresh_action", "batch_id", "state_rows", "state_bytes",
     )
 
 

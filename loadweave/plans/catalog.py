@@ -17,6 +17,8 @@ from loadweave.plans.stored import StoredMarts
 from loadweave.session import fresh_folder
 from loadweave.sources import tables
 from loadweave.streaming import pipeline, refresh
+from loadweave.streaming.delta import DeltaMarts
+from loadweave.streaming.progress import ProgressLog
 
 Query = Callable[[Marts], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -37,7 +39,7 @@ for _name in (
     "top_meter_anomalies", "anomaly_board", "anomalies_per_day", "forecast_band", "model_card",
     "anomaly_summary", "xfm_attribution", "anomaly_exposure", "exposure_total", "xfm_summary", "xfm_top_loaded",
     "xfm_by_territory", "substation_feeders", "feeder_health", "events_summary", "events_recent",
-    "refresh_history", "latest_refresh", "audit_recent", "edge_kpi", "partial_meters", "lag_histogram",
+    "edge_kpi", "partial_meters", "lag_histogram",
     "duplicate_sample", "duplicate_summary", "vee_distribution", "vee_trend", "estimation_methods",
     "premise_mismatch_report", "reads_per_hour", "sla_heatmap", "vee_pass_trend", "dim_counts",
     "interval_volume", "vee_share", "rollup_counts", "obs_spot_check", "stream_counts",
@@ -50,6 +52,11 @@ READ_COLUMNS = [
     "ingestion_lag_sec",
 ]
 
+ROLLUP_COLUMNS = [
+    "rollup_grain", "meter_id", "rollup_ts", "utility_territory", "kwh_delivered", "kwh_net", "max_demand_kw",
+    "source_interval_count", "completeness_pct", "vee_pass_pct",
+]
+
 # -- sources and sinks ----------------------------------------------------------------------------
 
 
@@ -391,11 +398,13 @@ def premise_mismatch(m: Marts) -> DataFrame:
 # -- streaming ------------------------------------------------------------------------------------
 
 
-def _landed_stream(m: Marts, work: str) -> DataFrame:
+def _landed_stream(
+    m: Marts, work: str, files_per_batch: int | None = pipeline.FILES_PER_BATCH, payloads: DataFrame | None = None,
+) -> DataFrame:
     """Bronze on disk, then a stream of typed reads over it in batches of a fixed number of files."""
-    pipeline.land_bronze(m.feed.payloads, f"{work}/bronze")
+    pipeline.land_bronze(m.feed.payloads if payloads is None else payloads, f"{work}/bronze")
     meters = m.feed.lookup.meters.select("meter_id", "utility_territory", "timezone")
-    return pipeline.normalised_stream(pipeline.bronze_stream(m.spark, f"{work}/bronze"), meters)
+    return pipeline.normalised_stream(pipeline.bronze_stream(m.spark, f"{work}/bronze", files_per_batch), meters)
 
 
 @query("stream_normalize")
@@ -432,21 +441,119 @@ def incremental_refresh(m: Marts) -> DataFrame:
     work = fresh_folder(m.spark, "incremental")
     marts = refresh.MartTables(m.spark, f"{work}/marts", m.per_hour, m.per_day)
     pipeline.merge_stream(_landed_stream(m, work), marts.canonical, f"{work}/merge", marts.refresh)
-    cols = [
-        "rollup_grain", "meter_id", "rollup_ts", "utility_territory", "kwh_delivered", "kwh_net", "max_demand_kw",
-        "source_interval_count", "completeness_pct", "vee_pass_pct",
-    ]
-    return marts.read("daily").select(*cols).unionByName(marts.read("monthly").select(*cols))
+    return marts.read("daily").select(*ROLLUP_COLUMNS).unionByName(marts.read("monthly").select(*ROLLUP_COLUMNS))
 
 
-def _tables(m: Marts, root: str, *wider: str) -> refresh.MartTables:
+def _tables(m: Marts, root: str, *wider: str, kind: type[refresh.MartTables] = refresh.MartTables) -> refresh.MartTables:
     """Empty mart tables below a folder, which will keep the rollups and the named wider marts."""
     f = m.feed
     dims = refresh.Dimensions(
         f.lookup.meters, channels.instantiate_channels(f.lookup.meters, m.catalog), f.lookup.links,
         f.lookup.customers, m.windows, m.known_cycles.drop("meter_no", "meter_id"),
     )
-    return refresh.MartTables(m.spark, root, m.per_hour, m.per_day, dims, wider=wider)
+    return kind(m.spark, root, m.per_hour, m.per_day, dims, wider=wider)
+
+
+def _delta_marts(m: Marts) -> DeltaMarts:
+    """Rollups and billing periods that took the changes of each batch of a stream."""
+    work = fresh_folder(m.spark, "delta")
+    marts = _tables(m, f"{work}/marts", "billing", kind=DeltaMarts)
+    pipeline.merge_stream(_landed_stream(m, work, 16), marts.canonical, f"{work}/merge", on_changes=marts.take)
+    return marts
+
+
+@query("delta_refresh")
+def delta_refresh(m: Marts) -> DataFrame:
+    """Day and month rows of marts that are never computed from their reads, but take what each batch changes."""
+    marts = _delta_marts(m)
+    return marts.read("daily").select(*ROLLUP_COLUMNS).unionByName(marts.read("monthly").select(*ROLLUP_COLUMNS))
+
+
+@query("delta_billing")
+def delta_billing(m: Marts) -> DataFrame:
+    return _delta_marts(m).read("billing").drop("part_date")
+
+
+def _filled(m: Marts) -> DeltaMarts:
+    """Tables whose gaps were filled by estimates on a day on which some reads had still to come.
+
+    Reads that arrived before the cut are merged, the three days before it are completed with estimates, then the later
+    arrivals are merged: an actual replaces an estimate, whatever is newer.
+    """
+    work, cut = fresh_folder(m.spark, "filled"), m.day(3)
+    marts = _tables(m, f"{work}/marts", "charges", kind=DeltaMarts)
+    newest = [ingest.precedence(), *pipeline.NEWEST]
+    early = F.col("ingested_at") < ntz(cut)
+
+    def merge(payloads: DataFrame) -> None:
+        stream = _landed_stream(m, work, None, payloads)
+        pipeline.merge_stream(stream, marts.canonical, f"{work}/merge", newest=newest, on_changes=marts.take)
+
+    merge(m.feed.payloads.filter(early))
+    first, last = m.day(6), m.day(4)
+    known = marts.read("canonical").filter(F.col("read_date").between(F.lit(first), F.lit(last)))
+    estimates = edge.gap_fill(known, m.feed.meters, str(first), str(last))
+    pipeline.store_estimates(marts.canonical, estimates, ntz(cut), f"{work}/estimates", newest, marts.take)
+    merge(m.feed.payloads.filter(~early))
+    return marts
+
+
+@query("filled_reads")
+def filled_reads(m: Marts) -> DataFrame:
+    """What the table holds per meter and day after gaps were filled and late reads came in."""
+    made = F.col("source_file") == edge.GAP_FILL
+    return _filled(m).read("canonical").groupBy("meter_id", "read_date").agg(
+        F.count(F.lit(1)).alias("reads"), F.count_if(made).alias("filled"),
+        F.count_if((F.col("vee_status") == "ESTIMATED") & ~made).alias("sent_estimates"), F.sum("kwh_delivered").alias("kwh_delivered"),
+    )
+
+
+@query("filled_daily")
+def filled_daily(m: Marts) -> DataFrame:
+    return _filled(m).read("daily").select(*ROLLUP_COLUMNS)
+
+
+@query("filled_charges")
+def filled_charges(m: Marts) -> DataFrame:
+    return tou.charges_by(_filled(m).read("charges"), F.to_date("read_ts").alias("charge_date"), "tou_bucket")
+
+
+def _logged(m: Marts) -> StoredMarts:
+    """Tables kept by a stream that was drained twice, a week before the last day and after it, under the run log."""
+    work = fresh_folder(m.spark, "logged")
+    marts = _tables(m, f"{work}/marts")
+    marts.log = quality.RunLog(m.spark, f"{work}/run-log")
+    listener = ProgressLog(quality.RunLog(m.spark, f"{work}/run-log", "RAW"))
+    m.spark.streams.addListener(listener)
+    early = F.col("ingested_at") < ntz(m.day(7))
+    try:
+        for part in (early, ~early):
+            stream = _landed_stream(m, work, None, m.feed.payloads.filter(part))
+            listener.wait(pipeline.merge_stream(
+                stream, marts.canonical, f"{work}/merge", marts.refresh, name="READS_TO_CANONICAL", log=marts.log,
+            ))
+    finally:
+        m.spark.streams.removeListener(listener)
+    return StoredMarts(m.spark, marts, m.feed)
+
+
+@query("refresh_history")
+def refresh_history(m: Marts) -> DataFrame:
+    """Every run and stream batch of a log that a stream and its refresh jobs wrote, without what a clock says."""
+    return reports.refresh_history(_logged(m)).select(
+        "name", "schema_name", "state", "refresh_action", "batch_id", "rows_processed", "state_rows",
+        (F.col("duration_sec") >= 0).alias("is_timed"),
+    )
+
+
+@query("latest_refresh")
+def latest_refresh(m: Marts) -> DataFrame:
+    return reports.latest_refresh(_logged(m)).select("name", "schema_name", "state", "refresh_action", "rows_processed")
+
+
+@query("audit_recent")
+def audit_recent(m: Marts) -> DataFrame:
+    return reports.audit_recent(_logged(m)).drop("start_time")
 
 
 def _refreshed(m: Marts, wider: str, mart: str) -> DataFrame:

@@ -257,9 +257,15 @@ class Marts:
     def observability(self) -> DataFrame:
         return quality.observability(self.reads, self.per_day)
 
-    @cached_property
+    @property
+    def now(self) -> Column:
+        """The moment reports look back from."""
+        return ntz(self.end_of_anchor())
+
+    @property
     def runs(self) -> DataFrame:
-        return quality.arrival_runs(self.feed.arrivals)
+        """Runs of the refresh jobs and streams."""
+        raise LookupError("a feed has no runs; StoredMarts reads the log of its tables")
 
     @cached_property
     def duplicates(self) -> DataFrame:

@@ -293,13 +293,15 @@ def events_recent(m: Marts, days: int = 7, top: int = 100) -> DataFrame:
 
 
 def refresh_history(m: Marts) -> DataFrame:
-    return quality.refresh_history(m.runs, ntz(m.end_of_anchor()), 7)
+    """Runs of refresh jobs and stream batches of the last seven days."""
+    return quality.refresh_history(m.runs, m.now, 7)
 
 
 def latest_refresh(m: Marts) -> DataFrame:
-    recent = quality.refresh_history(m.runs, ntz(m.end_of_anchor()), 3)
+    recent = quality.refresh_history(m.runs, m.now, 3)
     return quality.latest_per_name(recent).orderBy("name").select(
-        "name", "state", F.date_format("end_time", "MM-dd HH:mm").alias("last_refresh"), "duration_sec"
+        "name", "schema_name", "state", F.date_format("end_time", "MM-dd HH:mm").alias("last_refresh"), "duration_sec",
+        "refresh_action", "rows_processed",
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadweave.plans.marts import Marts, ntz
 from loadweave.session import tune
@@ -26,6 +26,16 @@ class StoredMarts(Marts):
         self.stored, self.feed = stored, dims
         self.per_hour, self.per_day = stored.expected_per_hour, stored.expected_per_day
 
+    @property
+    def now(self) -> Column:
+        return F.localtimestamp()
+
+    @property
+    def runs(self) -> DataFrame:
+        if self.stored.log is None:
+            raise LookupError("these tables keep no run log")
+        return self.stored.log.read()
+
     def _mart(self, name: str) -> DataFrame:
         return self.stored.read(name).drop("part_date")
 

@@ -39,4 +39,10 @@ RUN_AUDIT = T.StructType([
     T.StructField("rows_processed", T.LongType()),
     T.StructField("error_count", T.LongType()),
     T.StructField("message", T.StringType()),
+    # What a refresh or stream adds: where its table is, what it did, and the batch with the state it left.
+    T.StructField("schema_name", T.StringType()),
+    T.StructField("refresh_action", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("state_rows", T.LongType()),
+    T.StructField("state_bytes", T.LongType()),
 ])

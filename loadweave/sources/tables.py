@@ -94,24 +94,36 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
-def publish(spark: SparkSession, staged: str, path: str, by: str) -> None:
-    """Move finished partitions into a table, in place of those it has; no file is written again."""
+def publish(spark: SparkSession, staged: str, path: str, by: str, expected: Sequence[dt.date] = ()) -> None:
+    """Move finished partitions into a table, in place of those it has; no file is written again.
+
+    ``expected`` are partitions that ``staged`` is the whole new content of: one that it has nothing for is dropped. They
+    are noted before the first folder moves, so that a repeated call does not take a moved one for an empty one.
+    """
     fs, root = _fs(spark, staged)
+    noted = f"{staged}.emptied"
+    if expected and not exists(spark, f"{noted}/_SUCCESS"):
+        held = partition_days(spark, staged, by)
+        for day in (*(d for d in expected if d not in held), None):
+            where = f"{noted}/{by}={day}" if day else f"{noted}/_SUCCESS"
+            fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(where))
+    for day in partition_days(spark, noted, by):
+        drop(spark, f"{path}/{by}={day}")
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         if name.startswith(f"{by}="):
             _move(spark, f"{staged}/{name}", f"{path}/{name}")
 
 
-def _stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
+def stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
     """Write a folder of partitions, unless an earlier attempt has finished it."""
     if not exists(df.sparkSession, f"{path}/_SUCCESS"):
         write_partitioned(df, path, by, mode="overwrite", cluster=cluster)
 
 
-def changes_of(staging: str, spark: SparkSession) -> DataFrame | None:
+def changes_of(spark: SparkSession, staging: str, by: str) -> DataFrame | None:
     """What a merge changed: the keys, and ``before`` and ``after``, the rest of the row (``before`` is null for a new key)."""
-    return spark.read.parquet(f"{staging}/changes") if exists(spark, f"{staging}/changes/_SUCCESS") else None
+    return spark.read.parquet(f"{staging}/changes") if partition_days(spark, f"{staging}/changes", by) else None
 
 
 def upsert(
@@ -129,7 +141,7 @@ def upsert(
     columns = batch.columns
     rest = [c for c in columns if c not in (*keys, by)]
     order = F.struct(*newest).alias("_order")
-    _stage(last_write_wins(batch, keys=[*keys, by], newest=newest), f"{staging}/incoming", by)
+    stage(last_write_wins(batch, keys=[*keys, by], newest=newest), f"{staging}/incoming", by)
     dates = partition_days(spark, f"{staging}/incoming", by)
     if not dates:
         return []
@@ -144,7 +156,7 @@ def upsert(
         after = incoming.select(*keys, by, F.struct(*rest).alias("after"), order.alias("_new"))
         before = old().select(*keys, by, F.struct(*rest).alias("before"), order.alias("_old"))
         found = after.join(before, [*keys, by], "left").filter("before is null or _new > _old").drop("_new", "_old")
-        _stage(found, f"{staging}/changes", by)
+        stage(found, f"{staging}/changes", by)
         changed = partition_days(spark, f"{staging}/changes", by)
         if not changed:
             return dates
@@ -152,7 +164,7 @@ def upsert(
         touched_days = F.col(by).isin(changed)
         kept = old().filter(touched_days).join(new.select(*keys, by), [*keys, by], "left_anti")
         merged = kept.select(*columns).unionByName(new.select(*keys, by, "after.*").select(*columns))
-        _stage(merged, f"{staging}/merged", by, cluster=keys)
+        stage(merged, f"{staging}/merged", by, cluster=keys)
     publish(spark, f"{staging}/merged", path, by)
     return dates
 

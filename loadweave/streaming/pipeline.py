@@ -6,12 +6,14 @@ and stops; a deployment passes its trigger, and gets the running query back.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from loadweave.operators.edge import GAP_FILL
 from loadweave.operators.ingest import land, last_write_wins, normalise
+from loadweave.operators.quality import RunLog
 from loadweave.sources import tables
 from loadweave.sources.schemas import LANDED
 
@@ -52,8 +54,10 @@ def land_bronze(payloads: DataFrame, path: str) -> None:
     tables.write_partitioned(rows, path, "ingest_date")
 
 
-def bronze_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def bronze_stream(spark: SparkSession, path: str, files_per_batch: int | None = FILES_PER_BATCH) -> DataFrame:
+    """Landed rows as a stream; without a number of files, all that is there is one batch."""
+    reader = spark.readStream.schema(LANDED)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
 def text_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -79,24 +83,71 @@ def normalised_stream(raw: DataFrame, meters: DataFrame) -> DataFrame:
 
 def merge_stream(
     reads: DataFrame, path: str, work: str, after_batch: Callable[[list], None] | None = None,
-    trigger: dict | None = None,
+    trigger: dict | None = None, newest: Sequence[Column | str] = NEWEST, name: str | None = None,
+    log: RunLog | None = None, on_changes: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     """Merge a stream of reads into the canonical table, one touched-day rewrite per batch.
 
     No streaming state at all, so lateness is unbounded. Staging is named after the query's own id,
     which lives in its checkpoint: a restarted batch finds its copy, a new query never meets an old one.
+
+    ``newest`` orders the rows of a slot (see ``ingest.precedence``). ``after_batch`` gets the days of each batch,
+    ``on_changes`` what the merge changed and the batch's own staging folder. With ``log``, each merge is a run in it, with the rows, failed
+    reads and newest arrival of the batch, as observed while it was staged.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        spark = batch.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         staging = f"{work}/staging/{query_id}/{batch_id}"
-        days = tables.upsert(batch, path, staging, READ_KEYS, NEWEST, by="read_date")
+        days: list = []
+
+        def job() -> dict:
+            seen = None if tables.exists(spark, f"{staging}/incoming/_SUCCESS") else Observation()
+            rows = batch if seen is None else batch.observe(
+                seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("vee_status") == "FAILED").alias("failed"),
+                F.max("ingested_at").cast("string").alias("newest"),
+            )
+            days.extend(tables.upsert(rows, path, staging, READ_KEYS, newest, by="read_date"))
+            got = seen.get if seen is not None else {}  # a batch that is repeated from its staging copy is not read again
+            told = f"newest arrival {got['newest']}" if got.get("newest") else None
+            return {"rows_processed": got.get("rows"), "error_count": got.get("failed"), "message": told, "batch_id": batch_id}
+
+        log.run("MERGE_CANONICAL", job, "MERGE") if log else job()
         if after_batch is not None and days:
             after_batch(days)
+        changed = tables.changes_of(spark, staging, "read_date")
+        if on_changes is not None and changed is not None:
+            on_changes(changed, staging)
         # This batch only began after the one before it was committed; its staging copy is done with.
-        tables.drop(batch.sparkSession, f"{work}/staging/{query_id}/{batch_id - 1}")
+        tables.drop(spark, f"{work}/staging/{query_id}/{batch_id - 1}")
+
+    writer = reads.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint")
+    return drain(writer.queryName(name) if name else writer, trigger)
+
 
-    return drain(reads.writeStream.foreachBatch(merge).option("checkpointLocation", f"{work}/checkpoint"), trigger)
+def store_estimates(
+    path: str, estimates: DataFrame, made_at: Column, work: str, newest: Sequence[Column | str],
+    on_changes: Callable[[DataFrame, str], None] | None = None,
+) -> list:
+    """Merge estimated reads (see ``edge.gap_fill``) into the canonical table; returns their days.
+
+    Ordered by ``ingest.precedence`` first, they fill gaps and replace older estimates, never an actual read.
+    """
+    spark = estimates.sparkSession
+    known = {c.name: c for c in spark.read.parquet(path).schema}
+    own = {
+        "ingested_at": made_at, "source_file": F.lit(GAP_FILL), "event_id": F.lit(0), "read_date": F.to_date("read_ts"),
+    }
+    rows = estimates.select(*[
+        own.get(n, F.col(n) if n in estimates.columns else F.lit(None)).cast(f.dataType).alias(n) for n, f in known.items()
+    ])
+    days = tables.upsert(rows, path, work, READ_KEYS, newest, by="read_date")
+    changed = tables.changes_of(spark, work, "read_date")
+    if on_changes is not None and changed is not None:
+        on_changes(changed, work)
+    tables.drop(spark, work)
+    return days
 
 
 def changelog(aggregated: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from loadweave.operators import billing, channels, quality, rollups, tou
 from loadweave.sources import tables
@@ -76,12 +76,19 @@ class MartTables:
     def _store(self, mart: str, df: DataFrame, day: str, days: list[dt.date]) -> None:
         """Replace the partitions ``days`` of a mart, also those that are empty now."""
 
-        def job() -> int:
-            dated = df.withColumn("part_date", F.to_date(day))
-            tables.replace_partitions(dated, self.path(mart), "part_date", expected=days)
-            return self.read(mart).filter(F.col("part_date").isin(days)).count() if self.log else 0
+        dated = df.withColumn("part_date", F.to_date(day))
+        if not self.log:
+            return tables.replace_partitions(dated, self.path(mart), "part_date", expected=days)
 
-        self.log.run(f"REFRESH_{mart.upper()}", job) if self.log else job()
+        def job() -> int:
+            # Counted while it is written, not read back.
+            seen = Observation()
+            counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
+            tables.replace_partitions(counted, self.path(mart), "part_date", expected=days)
+            return seen.get["rows"]
+
+        action = "INCREMENTAL" if tables.exists(self.spark, self.path(mart)) else "FULL"
+        self.log.run(f"REFRESH_{mart.upper()}", job, action)
 
     def _days(self, mart: str, days: list[dt.date]) -> DataFrame:
         """A stored mart's partitions of the touched days."""

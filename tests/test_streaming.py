@@ -67,7 +67,7 @@ def test_a_merge_tells_what_it_changed(spark, tmp_path):
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
     days = merge(batch(spark, ("A", 0, 10, 5), ("A", 0, 9, 4), ("B", 0, 99, 0), ("C", 2, 7, 1), ("D", 3, 4, 2)), path, f"{work}/1")
     assert [d.day for d in days] == [3, 5, 6]
-    rows = {r.meter_id: (r.before and r.before.value, r.after.value) for r in tables.changes_of(f"{work}/1", spark).collect()}
+    rows = {r.meter_id: (r.before and r.before.value, r.after.value) for r in tables.changes_of(spark, f"{work}/1", "read_date").collect()}
     assert rows == {"A": (1, 10), "D": (None, 4)}  # stale and repeated rows change nothing
     kept = [p for p in (tmp_path / "t").rglob("*.parquet") if p in before]
     assert all("read_date=2024-01-05" in str(p) for p in kept) and kept  # the day without a change was not written
