@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loadweave.functions import to_report_types
 from loadweave.operators import (
-    anomaly, calendar, channels, edge, governance, ingest, priority, quality, tariff, topology, tou,
+    anomaly, calendar, channels, distinct, edge, governance, ingest, priority, quality, tariff, topology, tou,
 )
 from loadweave.plans import reports
+from loadweave.plans.lattice import Lattice, standard_lattice
 from loadweave.plans.marts import Marts, ntz
 from loadweave.plans.metrics import standard_model
 from loadweave.plans.stored import StoredMarts
@@ -651,6 +652,37 @@ def metric_by_bucket(m: Marts) -> DataFrame:
     )
 
 
+def _lattice(m: Marts) -> Lattice:
+    """Summaries of stored marts, with charges and billing."""
+    kept = _stored(m, "charges", "billing", "sla")
+    numbers = m.feed.accounts.select("meter_id", "meter_no")
+    return standard_lattice(m.spark, standard_model(kept), f"{kept.stored.root}/summaries", numbers, lambda: kept.monthly)
+
+
+@query("routed_by_territory")
+def routed_by_territory(m: Marts) -> DataFrame:
+    """Answered by the summary of days and territories and that of buckets."""
+    return _lattice(m).query(["total_kwh", "meter_count", "total_energy_charge"], ["meter.territory"])
+
+
+@query("routed_by_premise")
+def routed_by_premise(m: Marts) -> DataFrame:
+    return _lattice(m).query(["total_kwh", "avg_completeness", "billing_ready_pct"], ["service_point.premise"])
+
+
+@query("routed_by_type")
+def routed_by_type(m: Marts) -> DataFrame:
+    """No summary knows the meter's type: the monthly rollup is the coarsest table that leads to it."""
+    return _lattice(m).query(["total_kwh", "total_kwh_net", "meter_count"], ["meter.meter_type"])
+
+
+@query("rolling_meters")
+def rolling_meters(m: Marts) -> DataFrame:
+    """Distinct meters of the seven days up to each day, per territory, from the days' bitmaps."""
+    maps = _lattice(m).members("daily_by_territory").withColumn("day", F.to_date("daily_rollup_rollup_date"))
+    return distinct.rolling(maps.select("day", "meter_territory", "bucket", "members"), "day", ["meter_territory"], 7, "meters")
+
+
 # -- specified extensions -------------------------------------------------------------------------
 
 

@@ -39,16 +39,23 @@ class MetricModel:
             frontier += [(e.parent, taken + [e]) for e in self.edges if e.child == table]
         raise ValueError(f"{target} cannot be reached from {base} without fanning out")
 
-    def _frame(self, base: str, dims: Sequence[str], where: str | None) -> DataFrame:
-        """The base table with the wanted dimensions attached, each under its public name."""
+    def attached(
+        self, base: str, dims: Sequence[str], where: str | None = None, table: DataFrame | None = None,
+        columns: dict[str, str] | None = None,
+    ) -> DataFrame:
+        """The base table with the wanted dimensions attached, each under its public name.
+
+        ``table`` may stand for the base table if it has its keys; ``columns`` are its own dimensions.
+        """
         edges: list[Edge] = []
         for dim in dims:
             for edge in self.path(base, dim.split(".")[0]):
                 if edge not in edges:
                     edges.append(edge)
-        frame = self.tables[base]()
+        frame = self.tables[base]() if table is None else table
+        known = self.dimensions if columns is None else columns
         own = [d for d in dims if d.split(".")[0] == base]
-        frame = frame.select("*", *[F.col(self.dimensions[d]).alias(public(d)) for d in own])
+        frame = frame.select("*", *[F.col(known[d]).alias(public(d)) for d in own])
         for edge in edges:
             parent = self.tables[edge.parent]()
             wanted = [d for d in dims if d.split(".")[0] == edge.parent]
@@ -60,9 +67,13 @@ class MetricModel:
         return frame.filter(where) if where else frame
 
     def query(
-        self, metrics: Sequence[str], dimensions: Sequence[str] = (), where: str | None = None
+        self, metrics: Sequence[str], dimensions: Sequence[str] = (), where: str | None = None,
+        stored: Callable[[str, list[str], Sequence[str], str | None], DataFrame | None] = lambda *_: None,
     ) -> DataFrame:
-        """Metrics by dimensions. Metrics of different tables are joined on equal dimension values."""
+        """Metrics by dimensions. Metrics of different tables are joined on equal dimension values.
+
+        ``stored`` may answer the metrics of one base table from a summary (see ``plans.lattice``).
+        """
         unknown = [m for m in metrics if m not in self.metrics] + [d for d in dimensions if d not in self.dimensions]
         if unknown:
             raise ValueError(f"unknown: {', '.join(unknown)}")
@@ -70,12 +81,14 @@ class MetricModel:
         parts: dict[str, list[str]] = {}
         for metric in metrics:
             parts.setdefault(self.metrics[metric][0], []).append(metric)
-        frames = [
-            self._frame(base, dimensions, where).groupBy(*names).agg(
-                *[self.metrics[m][1].alias(m) for m in wanted]
-            )
-            for base, wanted in parts.items()
-        ]
+        def part(base: str, wanted: list[str]) -> DataFrame:
+            found = stored(base, wanted, dimensions, where)
+            if found is not None:
+                return found
+            rows = self.attached(base, dimensions, where)
+            return rows.groupBy(*names).agg(*[self.metrics[m][1].alias(m) for m in wanted])
+
+        frames = [part(base, wanted) for base, wanted in parts.items()]
 
         def attach(left: DataFrame, right: DataFrame) -> DataFrame:
             if not names:

@@ -609,6 +609,16 @@ for _name in ("billing_stats", "xfm_attribution", "metric_by_territory"):
     S[f"stored_{_name}"] = S[_name]
 
 
+S["routed_by_territory"], S["routed_by_premise"] = S["metric_by_territory"], S["metric_by_premise"]
+S["routed_by_type"] = f"""
+SELECT m.meter_type AS meter_meter_type, {_METRIC['total_kwh'][0]} AS total_kwh, {_METRIC['total_kwh_net'][0]} AS total_kwh_net,
+       count(DISTINCT r.meter_id) AS meter_count
+FROM c_daily r JOIN c_meters m ON m.meter_id = r.meter_id GROUP BY m.meter_type"""
+S["rolling_meters"] = """
+SELECT d.day, m.utility_territory AS meter_territory, count(DISTINCT r.meter_id) AS meters
+FROM (SELECT DISTINCT CAST(rollup_ts AS DATE) AS day FROM c_daily) d
+JOIN c_daily r ON CAST(r.rollup_ts AS DATE) BETWEEN d.day - 6 AND d.day JOIN c_meters m ON m.meter_id = r.meter_id GROUP BY ALL"""
+
 S["delta_refresh"], S["delta_billing"] = S["incremental_refresh"], S["billing_consumption"]
 
 # Reads by precedence (an actual before an estimate), then the newest; gaps of three days before the cut are estimated.
