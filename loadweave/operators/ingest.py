@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import seconds_between
 from loadweave.sources.schemas import PAYLOAD_FIELDS
@@ -122,10 +122,41 @@ def last_write_wins(df: DataFrame, keys: Sequence[str], newest: Sequence[Column
     return kept.select(*keys, "kept.*").select(*df.columns)
 
 
+def hashed_key(key: str, salt: str = "") -> Column:
+    """A number of 32 bits that depends on the key and the salt alone."""
+    digest = F.sha2(F.concat(F.lit(salt), F.col(key).cast("string")), 256)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
 def sample_by_key(df: DataFrame, key: str, percent: float, salt: str = "") -> DataFrame:
     """Repeatable sample: rows whose hashed key falls into the first ``percent`` of 10,000 buckets.
 
     The sampling operator itself; reports do not use it to run cheaper.
     """
-    digest = F.conv(F.substring(F.sha2(F.concat(F.lit(salt), F.col(key).cast("string")), 256), 1, 8), 16, 10)
-    return df.filter(digest.cast("bigint") % 10000 < F.lit(int(round(percent * 100))))
+    return df.filter(hashed_key(key, salt) % 10000 < F.lit(int(round(percent * 100))))
+
+
+def sample_rows(df: DataFrame, key: str, n: int, strata: Sequence[str] = (), salt: str = "") -> DataFrame:
+    """Exactly n rows (all, where there are fewer) of each stratum: those with the smallest hashed keys, then keys.
+
+    The same rows however the input is partitioned, as long as keys are not repeated. Rows are counted by hash bucket, which
+    adds up in each task; the counts tell the bucket in which the n-th row lies. Smaller buckets are taken whole, and only the rows
+    of that one bucket (a 65,536th of all) are ranked.
+    """
+    bucket = F.shiftright(hashed_key(key, salt), 16)
+    same = [F.coalesce(F.col(s).cast("string"), F.lit("")).alias(f"_s{k}") for k, s in enumerate(strata)]
+    # Null and empty text are told apart by a flag beside the text.
+    flags = [F.col(s).isNull().alias(f"_n{k}") for k, s in enumerate(strata)]
+    names = [f"_s{k}" for k in range(len(strata))] + [f"_n{k}" for k in range(len(strata))]
+    rows = df.select("*", *same, *flags, F.lit(0).alias("_all"), bucket.alias("_bucket"))
+    group = ["_all", *names]
+    counts = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    upto = F.sum("_rows").over(Window.partitionBy(*group).orderBy("_bucket"))
+    ends = counts.withColumn("_upto", upto).filter(F.col("_upto") - F.col("_rows") < n).groupBy(*group).agg(
+        F.max("_bucket").alias("_last"), F.max_by(F.col("_upto") - F.col("_rows"), "_bucket").alias("_before"),
+    )
+    near = rows.join(ends, group).filter(F.col("_bucket") <= F.col("_last"))
+    order = Window.partitionBy(*group, "_bucket").orderBy(hashed_key(key, salt), key)
+    sure = near.filter("_bucket < _last")
+    last = near.filter("_bucket = _last").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") + F.col("_before") <= n)
+    return sure.select(*df.columns).unionByName(last.select(*df.columns))

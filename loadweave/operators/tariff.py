@@ -74,6 +74,37 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, ts: str = "read_ts") -
     ).drop("version_key")
 
 
+def as_of_long(facts: DataFrame, history: DataFrame, key: str, ts: str = "read_ts", per: str = "month") -> DataFrame:
+    """The same for long histories: versions are carried along the facts instead of being compared with them.
+
+    Facts and versions of a key are sorted by time together, and the last version before a fact is its own; no fact meets
+    more than one version. A key's time is cut into pieces (``per`` a month, day, ...), each of which begins with the
+    version that was in force, so that a key with very many facts is many groups. Versions of one key do not overlap.
+    """
+    piece = lambda at: F.date_trunc(per, at).cast("timestamp_ntz")
+    columns = [c for c in history.columns if c != key]
+    marks = history.filter(F.col("effective_from").isNotNull()).select(
+        F.col(key).alias("_key"), F.col("effective_from").alias("_at"), F.struct(*columns).alias("_version")
+    ).withColumn("_piece", piece("_at"))
+    rows = facts.select(F.col(key).alias("_key"), F.col(ts).alias("_at"), F.struct("*").alias("_fact"), piece(ts).alias("_piece"))
+    # One row per key and piece: the piece's last version, and whether it has facts.
+    pieces = marks.select("_key", "_piece", "_at", "_version", F.lit(False).alias("_has")).unionByName(
+        rows.select("_key", "_piece", F.lit(True).alias("_has")).distinct(), allowMissingColumns=True
+    ).groupBy("_key", "_piece").agg(F.max_by("_version", "_at").alias("_version"), F.max("_has").alias("_has"))
+    earlier = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = pieces.withColumn("_version", F.last("_version", True).over(earlier)).filter("_has and _version is not null").select(
+        "_key", F.col("_piece").alias("_at"), "_version", "_piece", F.lit(0).alias("_turn")
+    )
+    together = seeds.unionByName(marks.withColumn("_turn", F.lit(1))).unionByName(
+        rows.withColumn("_turn", F.lit(2)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy("_key", "_piece").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    found = together.withColumn("_version", F.last("_version", True).over(so_far)).filter("_turn = 2 and _version is not null")
+    return found.filter(
+        F.col("_version.effective_to").isNull() | (F.col("_at") < F.col("_version.effective_to"))
+    ).select("_fact.*", "_version.*")
+
+
 # -- tariff documents -----------------------------------------------------------------------------
 
 TARIFF_DOC = T.StructType([

@@ -17,7 +17,7 @@ from loadweave.plans.metrics import standard_model
 from loadweave.plans.stored import StoredMarts
 from loadweave.session import fresh_folder
 from loadweave.sources import tables
-from loadweave.streaming import pipeline, refresh
+from loadweave.streaming import hot, pipeline, refresh
 from loadweave.streaming.delta import DeltaMarts
 from loadweave.streaming.progress import ProgressLog
 
@@ -244,6 +244,12 @@ def sample_reads(m: Marts) -> DataFrame:
     return ingest.sample_by_key(m.reads, "event_id", 1.0).select("meter_id", "read_ts", "event_id")
 
 
+@query("sample_per_territory")
+def sample_per_territory(m: Marts) -> DataFrame:
+    """Exactly forty reads of each territory, always the same ones."""
+    return ingest.sample_rows(m.reads, "event_id", 40, ["utility_territory"]).select("utility_territory", "meter_id", "read_ts", "event_id")
+
+
 # -- marts ----------------------------------------------------------------------------------------
 
 
@@ -422,6 +428,16 @@ def stream_lww(m: Marts) -> DataFrame:
     return pipeline.current(m.spark, f"{work}/log", pipeline.READ_KEYS).select(*READ_COLUMNS)
 
 
+@query("stream_hot")
+def stream_hot(m: Marts) -> DataFrame:
+    """Merged behind state that forgets a slot as soon as the next batch begins: what is late is merged, not ignored."""
+    work = fresh_folder(m.spark, "stream-hot")
+    pipeline.keep_state_on_disk(m.spark)
+    passed = hot.newest_only(_landed_stream(m, work), hold_ms=0)
+    pipeline.merge_stream(passed, f"{work}/canonical", f"{work}/merge")
+    return m.spark.read.parquet(f"{work}/canonical").select(*READ_COLUMNS)
+
+
 @query("late_upsert")
 def late_upsert(m: Marts) -> DataFrame:
     work = fresh_folder(m.spark, "late-upsert")
@@ -590,6 +606,16 @@ def _stored(m: Marts, *wider: str) -> StoredMarts:
     return StoredMarts(m.spark, marts, m.feed)
 
 
+def _scored(m: Marts) -> StoredMarts:
+    """Stored tables with the scores of a pass; reports on anomalies read those and fit nothing."""
+    kept = _stored(m)
+    kept.stored.score("feeder_scores", kept.feeder_events, "feeder_id")
+    kept.stored.score("meter_scores", kept.meter_events, "meter_id")
+    return StoredMarts(m.spark, kept.stored, m.feed)
+
+
+for _report in ("anomaly_kpi", "top_feeder_anomalies", "top_meter_anomalies", "anomalies_per_day", "xfm_attribution"):
+    CATALOG[f"scored_{_report}"] = lambda m, report=_report: getattr(reports, report)(_scored(m))
 CATALOG["stored_billing_stats"] = lambda m: reports.billing_stats(_stored(m, "billing"))
 CATALOG["stored_xfm_attribution"] = lambda m: reports.xfm_attribution(_stored(m))
 CATALOG["stored_metric_by_territory"] = lambda m: metric_by_territory(_stored(m, "charges"))
@@ -616,6 +642,12 @@ def row_policy(m: Marts) -> DataFrame:
     )
 
 
+@query("row_policy_meters")
+def row_policy_meters(m: Marts) -> DataFrame:
+    """The same policy on the meters themselves."""
+    return governance.apply_row_policy(m.feed.meters, "ANALYST_NE", m.roles).select("meter_id", "meter_type", "utility_territory")
+
+
 @query("mask_account")
 def mask_account(m: Marts) -> DataFrame:
     return governance.mask_column(m.feed.customers, "cis_account_id", "ANALYST_NE").select(
@@ -694,6 +726,15 @@ def asof_link(m: Marts) -> DataFrame:
     )
 
 
+@query("asof_long")
+def asof_long(m: Marts) -> DataFrame:
+    """The versions in force, carried along the reads."""
+    versions = m.feed.lookup.links.select("meter_id", "customer_id", "effective_from", "effective_to", "is_current")
+    return tariff.as_of_long(m.reads.select("meter_id", "read_ts", "kwh_delivered"), versions, "meter_id").select(
+        "meter_id", "read_ts", "kwh_delivered", "customer_id", "effective_from", "is_current"
+    )
+
+
 @query("tariff_components")
 def tariff_components(m: Marts) -> DataFrame:
     return tariff.flatten_documents(m.tariff_documents)
@@ -814,6 +855,15 @@ def retention(m: Marts) -> DataFrame:
     return kept.groupBy(F.to_date("ingested_at").alias("ingest_date")).agg(F.sum("n_rows").alias("rows"))
 
 
+@query("retention_purge")
+def retention_purge(m: Marts) -> DataFrame:
+    """What is left of the stored raw table after its old partitions were dropped."""
+    path = f"{fresh_folder(m.spark, 'purged')}/bronze"
+    pipeline.land_bronze(m.feed.payloads, path)
+    tables.purge_before(m.spark, path, "ingest_date", m.day(14))
+    return m.spark.read.parquet(path).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("rollup_tou")
 def rollup_tou(m: Marts) -> DataFrame:
     return tou.bucket_usage(m.charges)

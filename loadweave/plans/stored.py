@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loadweave.plans.marts import Marts, ntz
 from loadweave.session import tune
+from loadweave.sources import tables
 from loadweave.streaming.refresh import MartTables
 
 
@@ -72,6 +73,22 @@ class StoredMarts(Marts):
     dq = cached_property(lambda self: self._mart("dq"))
     consumption = cached_property(lambda self: self._mart("billing"))
 
+    def _stored_scores(self, name: str) -> DataFrame | None:
+        """What the scoring passes stored, if there were any."""
+        if not tables.exists(self.spark, self.stored.path(name)):
+            return None
+        return self.stored.read(name).drop("detected_at", "event_date")
+
+    @cached_property
+    def feeder_events(self) -> DataFrame:
+        stored = self._stored_scores("feeder_scores")
+        return super().feeder_events if stored is None else stored
+
+    @cached_property
+    def meter_events(self) -> DataFrame:
+        stored = self._stored_scores("meter_scores")
+        return super().meter_events if stored is None else stored
+
     def daily_between(self, first, last) -> DataFrame:
         return self._part("daily", first, last)
 

@@ -90,6 +90,10 @@ class MartTables:
         action = "INCREMENTAL" if tables.exists(self.spark, self.path(mart)) else "FULL"
         self.log.run(f"REFRESH_{mart.upper()}", job, action)
 
+    def score(self, mart: str, events: DataFrame, series: str, pass_id: str | None = None) -> None:
+        """Keep the scores of a pass (``feeder_scores`` or ``meter_scores``), from which reports answer."""
+        score_pass(events, self.path(mart), f"{self.root}/scoring/{mart}", series, pass_id)
+
     def _days(self, mart: str, days: list[dt.date]) -> DataFrame:
         """A stored mart's partitions of the touched days."""
         return self.read(mart).filter(F.col("part_date").isin(days)).drop("part_date")

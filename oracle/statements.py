@@ -609,6 +609,14 @@ for _name in ("billing_stats", "xfm_attribution", "metric_by_territory"):
     S[f"stored_{_name}"] = S[_name]
 
 
+S["stream_hot"], S["asof_long"], S["retention_purge"] = S["stream_lww"], S["asof_link"], S["retention"]
+S["row_policy_meters"] = "SELECT meter_id, meter_type, utility_territory FROM c_meters WHERE utility_territory = 'NE'"
+S["sample_per_territory"] = """
+SELECT utility_territory, meter_id, read_ts, event_id FROM c_reads
+QUALIFY row_number() OVER (PARTITION BY utility_territory
+  ORDER BY CAST('0x' || substr(sha256(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT), event_id) <= 40"""
+for _name in ("anomaly_kpi", "top_feeder_anomalies", "top_meter_anomalies", "anomalies_per_day", "xfm_attribution"):
+    S[f"scored_{_name}"] = S[_name]
 S["routed_by_territory"], S["routed_by_premise"] = S["metric_by_territory"], S["metric_by_premise"]
 S["routed_by_type"] = f"""
 SELECT m.meter_type AS meter_meter_type, {_METRIC['total_kwh'][0]} AS total_kwh, {_METRIC['total_kwh_net'][0]} AS total_kwh_net,

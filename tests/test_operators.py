@@ -374,3 +374,37 @@ def test_published_views_respect_the_role(spark, root):
     assert [r[0] for r in spark.sql("SELECT DISTINCT utility_territory FROM meter_daily_kwh").collect()] == ["NE"]
     row = spark.sql("SELECT max(length(cis_account_id)) AS n, count(*) AS c FROM cis_billing_consumption").first()
     assert row.n == 64 and 0 < row.c < m.consumption.count()
+
+
+def test_long_histories_are_carried_along(spark):
+    """Thousands of versions of one key, gaps between some, facts before the first: equal to the range join, without it."""
+    first = dt.datetime(2023, 1, 1)
+    versions = spark.range(5_000).select(
+        F.when(F.col("id") < 4_990, "A").otherwise("B").alias("meter"), F.col("id").alias("version"),
+        (F.lit(first).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id"))).alias("effective_from"),
+    ).withColumn("effective_to", F.when(F.col("version") % 7 == 3, F.col("effective_from") + F.expr("interval 20 minutes")).when(
+        ~F.col("version").isin(4_989, 4_999), F.col("effective_from") + F.expr("interval 1 hour")))
+    facts = spark.range(8_000).select(
+        F.element_at(F.array(F.lit("A"), F.lit("A"), F.lit("B"), F.lit("C")), (F.col("id") % 4 + 1).cast("int")).alias("meter"),
+        (F.lit(first).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id") * 53 - 3_000)).alias("read_ts"), F.col("id").alias("_at"),
+    ).unionByName(spark.createDataFrame([(None, first, -1), ("A", None, -2)], "meter string, read_ts timestamp_ntz, _at bigint"))
+    short, long = tariff.as_of(facts, versions, "meter"), tariff.as_of_long(facts, versions, "meter")
+    assert sorted(short.columns) == sorted(long.columns) and long.count() > 3_000
+    assert sorted(map(repr, long.select(*short.columns).collect())) == sorted(map(repr, short.collect()))
+    assert "Join" not in long._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_sample_has_exactly_its_rows_in_any_partitioning(spark):
+    df = spark.range(3_000).select("id", F.when(F.col("id") % 10 < 7, "a").when(F.col("id") % 10 < 9, "").otherwise(None).alias("g"))
+    wanted = {"a": 50, "": 50, None: 50}
+    seen = set()
+    for parts in (1, 4, 13):
+        rows = ingest.sample_rows(df.repartition(parts), "id", 50, ["g"]).collect()
+        assert {g: sum(r.g == g for r in rows) for g in wanted} == wanted
+        seen.add(frozenset(r.id for r in rows))
+    assert len(seen) == 1
+    digest = ingest.hashed_key("id")
+    best = {r.id for r in df.orderBy(digest, "id").limit(70).collect()}
+    assert {r.id for r in ingest.sample_rows(df, "id", 70).collect()} == best
+    assert ingest.sample_rows(df, "id", 5_000).count() == 3_000 and ingest.sample_rows(df.limit(0), "id", 5).count() == 0
+    assert ingest.sample_rows(df, "id", 70, salt="x").join(ingest.sample_rows(df, "id", 70), "id").count() < 70

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadweave.operators import ingest
+from loadweave.plans import catalog, reports
 from loadweave.plans.marts import Marts
 from loadweave.sources import tables
-from loadweave.streaming import pipeline
+from loadweave.streaming import hot, pipeline
 from loadweave.streaming.refresh import Dimensions, MartTables, score_pass
 
 SCHEMA = "meter_id string, read_ts timestamp_ntz, value int, ingested_at timestamp_ntz, event_id bigint, read_date date"
@@ -174,3 +175,38 @@ def test_a_restarted_stream_does_not_repeat_work(spark, root, tmp_path):
         return spark.read.parquet(f"{work}/typed").count()
 
     assert go() == go() == feed.events.count()
+
+
+@pytest.mark.parametrize("hold_ms,left", [(0, 0), (10**9, 15)])
+def test_hot_state_is_bounded_and_loses_no_late_read(spark, root, tmp_path, hold_ms, left):
+    """With any hold the table is the batch result; without one, state is empty once the stream is drained."""
+    work, m = str(tmp_path), Marts(spark, root)
+    pipeline.keep_state_on_disk(spark)
+    late = m.feed.payloads.filter(F.col("event_id") % 5 == 0).withColumns({
+        "event_id": F.col("event_id") + 10_000_000, "ingested_at": F.col("ingested_at") + F.expr("interval 90 days"),
+    })
+    pipeline.land_bronze(m.feed.payloads.unionByName(m.feed.payloads), f"{work}/bronze")  # every read twice
+    meters = m.feed.lookup.meters
+
+    def go():
+        stream = pipeline.normalised_stream(pipeline.bronze_stream(spark, f"{work}/bronze", None), meters)
+        return pipeline.merge_stream(hot.newest_only(stream, hold_ms), f"{work}/canonical", f"{work}/merge")
+
+    go()
+    pipeline.land_bronze(late, f"{work}/bronze")
+    query = go()
+    newest = ["ingested_at", "event_id"]
+    want = ingest.latest_reads(ingest.land(m.feed.payloads.unionByName(late)), meters, newest, ["event_id"])
+    got = spark.read.parquet(f"{work}/canonical").select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    state = [p.stateOperators[0].numRowsTotal for p in query.recentProgress][-1]
+    assert state == (m.reads.select("meter_id").distinct().count() if left else 0)
+
+
+def test_stored_scores_answer_reports(spark, root, tmp_path):
+    fed = Marts(spark, root)
+    kept = catalog._scored(fed)
+    assert sorted(map(repr, reports.anomaly_board(kept).collect())) == sorted(map(repr, reports.anomaly_board(fed).collect()))
+    for report in (reports.anomaly_kpi, reports.top_meter_anomalies, reports.anomalies_per_day, reports.forecast_band):
+        files = "".join(report(kept).inputFiles())
+        assert "_scores/" in files and "/canonical/" not in files and "events.parquet" not in files
