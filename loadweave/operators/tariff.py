@@ -46,6 +46,15 @@ RIDERS = [
     ("DWREC", "ALL", "0.02000", "METER_DAY"),
     ("TBSURCHG", "ALL", "2.50000", "PCT"),
 ]
+# The same with the day each version begins and the day it ends (exclusive; none: in force).
+RIDER_VERSIONS = [
+    ("PPP", "DELIVERED", "0.01200", "KWH", "2023-01-01", "2024-01-16"),
+    ("PPP", "DELIVERED", "0.01400", "KWH", "2024-01-16", None),
+    ("WILDFIRE", "ALL", "0.00500", "KWH", "2024-01-07", None),
+    ("DWREC", "ALL", "0.02000", "METER_DAY", "2023-01-01", "2024-01-25"),
+    ("TBSURCHG", "ALL", "2.50000", "PCT", "2024-01-14", "2024-01-28"),
+    ("PEAK", "DEMAND", "0.15000", "KW", "2024-01-05", "2024-01-15"),
+]
 
 
 def components(spark: SparkSession) -> DataFrame:
@@ -359,6 +368,44 @@ def rider_charges(rated: DataFrame, energy: DataFrame, riders: list[tuple] = RID
     )
 
 
+def dated_rider_charges(rated: DataFrame, energy: DataFrame, versions: list[tuple] = RIDER_VERSIONS) -> DataFrame:
+    """``rider_charges`` by versions with days: a version prices the days of a period on which it is in force.
+
+    Usage and energy charges are added up per meter and day first, so a version sees at most a period's days of a meter. A
+    rider that begins, ends or changes its rate inside a period is priced for its days, each rate on its own line.
+    """
+    check_riders([v[:4] for v in versions])
+    keys, day = ["meter_id", "billing_period_id"], F.to_date("read_ts").alias("day")
+    usage = rated.groupBy(*keys, day).agg(
+        F.sum("kwh_delivered").alias("delivered"), F.sum("kwh_received").alias("received"), F.max("demand_kw").alias("peak"),
+    )
+    paid = energy.groupBy(*keys, day).agg(F.sum("charge").alias("energy_charge"))
+    date = lambda text: F.lit(text).cast("date")
+    listed = F.array(*[
+        F.struct(F.lit(code).alias("rider_code"), F.lit(applies).alias("applies_to"), F.lit(rate).cast("decimal(10,5)").alias("rate"),
+                 F.lit(unit).alias("unit"), date(first).alias("rider_from"), date(end).alias("rider_to"))
+        for code, applies, rate, unit, first, end in versions
+    ])
+    daily = usage.join(paid, [*keys, "day"], "left")
+    in_force = F.filter(listed, lambda r: (r["rider_from"] <= F.col("day")) & (r["rider_to"].isNull() | (F.col("day") < r["rider_to"])))
+    lines = daily.withColumn("r", F.explode(in_force)).groupBy(*keys, "r").agg(
+        *[F.sum(c).alias(c) for c in ("delivered", "received", "energy_charge")], F.max("peak").alias("peak"),
+        F.count(F.lit(1)).alias("days"),
+    ).select("*", "r.*")
+    unit, zero = F.col("unit"), F.lit(0)
+    kwh = F.when(F.col("applies_to") == "RECEIVED", F.col("received")).otherwise(F.col("delivered"))
+    amount = (
+        F.when(unit == "KWH", F.coalesce(kwh, zero).cast("decimal(18,4)"))
+        .when(unit == "KW", F.coalesce("peak", zero).cast("decimal(18,4)"))
+        .when(unit == "METER_DAY", F.col("days").cast("decimal(18,4)"))
+        .otherwise((F.coalesce("energy_charge", zero) / 100).cast("decimal(18,6)"))
+    ).cast("decimal(18,6)")
+    return lines.select(
+        *keys, "rider_code", "applies_to", "unit", "rider_from", "days", amount.alias("quantity"), "rate",
+        (amount * F.col("rate")).cast("decimal(14,4)").alias("charge"),
+    )
+
+
 def period_charges(
     energy: DataFrame, demand: DataFrame, fixed: DataFrame, rider: DataFrame, credit: DataFrame
 ) -> DataFrame:

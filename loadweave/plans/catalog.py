@@ -771,6 +771,12 @@ def rider_charges(m: Marts) -> DataFrame:
     return m.rider_components
 
 
+@query("dated_riders")
+def dated_riders(m: Marts) -> DataFrame:
+    """Riders that begin, end or change inside billing periods, priced for their days."""
+    return tariff.dated_rider_charges(m.rated, m.energy_components)
+
+
 @query("export_credit")
 def export_credit(m: Marts) -> DataFrame:
     return m.export_components

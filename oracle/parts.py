@@ -474,6 +474,21 @@ SELECT *, CAST(quantity * rate AS DECIMAL(14,4)) AS charge FROM (
   LEFT JOIN (SELECT meter_id, billing_period_id, sum(charge) AS charge FROM c_energy GROUP BY ALL) e
        ON e.meter_id = u.meter_id AND e.billing_period_id = u.billing_period_id
   CROSS JOIN c_riders k)"""
+PARTS["c_versions"] = values(tariff.RIDER_VERSIONS, [
+    ("rider_code", "VARCHAR"), ("applies_to", "VARCHAR"), ("rate", "DECIMAL(10,5)"), ("unit", "VARCHAR"),
+    ("rider_from", "DATE"), ("rider_to", "DATE")])
+PARTS["c_drider"] = """
+SELECT *, CAST(quantity * rate AS DECIMAL(14,4)) AS charge FROM (
+  SELECT u.meter_id, u.billing_period_id, k.rider_code, k.applies_to, k.unit, k.rider_from, k.rate, count(*) AS days,
+         CAST(CASE k.unit WHEN 'KWH' THEN CAST(sum(CASE k.applies_to WHEN 'RECEIVED' THEN u.received ELSE u.delivered END) AS DECIMAL(18,4))
+                   WHEN 'KW' THEN CAST(max(u.peak) AS DECIMAL(18,4)) WHEN 'METER_DAY' THEN CAST(count(*) AS DECIMAL(18,4))
+                   ELSE CAST(coalesce(sum(e.charge), 0) AS DECIMAL(18,4)) * 0.01 END AS DECIMAL(18,6)) AS quantity
+  FROM (SELECT meter_id, billing_period_id, CAST(read_ts AS DATE) AS day, sum(kwh_delivered) AS delivered,
+               sum(kwh_received) AS received, max(demand_kw) AS peak FROM c_rated GROUP BY ALL) u
+  LEFT JOIN (SELECT meter_id, billing_period_id, CAST(read_ts AS DATE) AS day, sum(charge) AS charge FROM c_energy GROUP BY ALL) e
+       ON e.meter_id = u.meter_id AND e.billing_period_id = u.billing_period_id AND e.day = u.day
+  JOIN c_versions k ON u.day >= k.rider_from AND (k.rider_to IS NULL OR u.day < k.rider_to)
+  GROUP BY u.meter_id, u.billing_period_id, k.rider_code, k.applies_to, k.unit, k.rider_from, k.rate)"""
 PARTS["c_fload"] = load("p.feeder_id", "TRUE", FEEDER_JOIN)
 PARTS["c_expo"] = """
 SELECT feeder_id, hour_local, day_of_week, season, count(*) AS hours, count(*) FILTER (ts = peak_ts) AS peaks,

@@ -493,6 +493,9 @@ S["fixed_charges"] = f"SELECT {_COMP}, quantity, rate::DOUBLE AS rate, charge::D
 S["rider_charges"] = """
 SELECT meter_id, billing_period_id, rider_code, applies_to, unit, quantity::DOUBLE AS quantity, rate::DOUBLE AS rate,
        charge::DOUBLE AS charge FROM c_rcharge"""
+S["dated_riders"] = """
+SELECT meter_id, billing_period_id, rider_code, applies_to, unit, rider_from, days, quantity::DOUBLE AS quantity, rate::DOUBLE AS rate,
+       charge::DOUBLE AS charge FROM c_drider"""
 S["export_credit"] = """
 SELECT meter_id, billing_period_id, read_ts, schedule_id, nem_version, component_type, quantity::DOUBLE AS quantity,
        rate::DOUBLE AS rate, charge::DOUBLE AS charge FROM c_credit"""
