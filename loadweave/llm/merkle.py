@@ -37,8 +37,8 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Nodes of a run, and levels from one stored level to the next.
 FAN, STEP = 3, 3
 TOP = "top"
-#: Subtrees whose paths a task holds at once.
-HELD = 256
+#: Subtrees whose paths a task holds at once, and letters of a text that tell ranges apart.
+HELD, BOUND = 256, 24
 NODE = "tree string, pos long, hash string, height int, done boolean"
 PATH = "array<struct<before:string,after:string>>"
 
@@ -89,7 +89,7 @@ def siblings(levels: list[list[str]], i: int) -> list[tuple[str, str]]:
 def placed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
     """Rows (tree, hash, row) with ``pos`` (their place in their tree) and ``height`` (of their tree)."""
     bare = kept_at(rows, f"{path}/unplaced")
-    dealt = bare.repartitionByRange("tree", *order).sortWithinPartitions("tree", *order)
+    dealt = bare.repartitionByRange("tree", *_bounds(bare, order)).sortWithinPartitions("tree", *order)
     # The number is the range's, times 2^33, plus the place inside it; written, so that it is given only once.
     numbered = kept_at(dealt.withColumn("number", F.monotonically_increasing_id()), f"{path}/numbered")
     part = F.shiftright("number", 33).alias("part")
@@ -105,6 +105,17 @@ def placed(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
     ).drop("part", "number", "shift")
 
 
+def _bounds(rows: DataFrame, order: Sequence[str]) -> list[Column]:
+    """What ranges are told apart by: the order up to its first text, of which some letters will do, as the sampled bounds go
+    through the driver. Rows that agree in those are in one range, where the whole order sorts them."""
+    kinds, out = dict(rows.select(*[F.col(c).alias(c) for c in order]).dtypes), []
+    for name in order:
+        out.append(F.substring(F.col(name), 1, BOUND) if kinds[name] == "string" else F.col(name))
+        if kinds[name] == "string":
+            break
+    return out
+
+
 def _height(size: Column) -> Column:
     """Levels above the leaves: how often FAN goes into the size, rounded up, until one is left."""
     powers = F.array(*(F.lit(FAN**k) for k in range(40)))
