@@ -757,6 +757,49 @@ def test_alignment_by_brute_force():
         assert len(wrappers.align(a, wrappers.numbered(b))) == size(a, b)
 
 
+def test_long_pages_are_aligned_in_bounded_time():
+    """Unique parts are matched first, and the rest in turn; the template around is found either way."""
+    import time
+
+    def page(seed, n, first="<p>", last="</p>"):
+        body = "".join(f"{first}own words {seed} {k}{last}" for k in range(n))
+        return wrappers.parse(f"<div class=top><p>Acme Daily</p></div><div class=mid>{body}<p>Shared line</p></div><div class=end><p>Imprint</p></div>")
+
+    began = time.process_time()
+    for one, two in ((page(1, 20_000), page(2, 20_000)), (page(1, 5_000, "<ul><li>", "</li></ul>"), page(2, 4_000, "<ul><li>", "</li></ul>"))):
+        reference = wrappers.numbered(two)
+        slots = wrappers.align(one, reference)
+        texts, todo = {}, [reference]
+        while todo:
+            label, slot, children, text = todo.pop()
+            texts[slot] = text
+            todo.extend(children)
+        todo, same = [one], 0
+        while todo:
+            node = todo.pop()
+            todo.extend(node.children())
+            same += bool(own := wrappers.own_text(node)) and texts.get(slots.get(id(node))) == own
+        assert same == 3  # the frame's two lines and the shared one
+    assert time.process_time() - began < 30
+
+
+def test_anchors_keep_their_order():
+    def nodes(texts):
+        made = []
+        for t in texts:
+            node = wrappers.Node("p")
+            node.add_text(t)
+            made.append(node)
+        return made
+
+    def listed(texts):
+        return [["p", k, [], wrappers.own_text(n)] for k, n in enumerate(nodes(texts))]
+
+    found = wrappers._anchors(nodes("a b c d b e".split()), listed("c a d x e d2".split()))
+    assert found in ([(0, 1), (3, 2), (5, 4)], [(2, 0), (3, 2), (5, 4)])
+    assert wrappers._anchors([], []) == [] and wrappers._anchors(nodes("aa"), listed("aa")) == []
+
+
 # --- pipeline ---
 
 
