@@ -18,8 +18,7 @@ CORE = [
     "ingestion_hourly", "metric_by_territory", "metric_by_premise", "row_policy", "mask_account", "asof_link",
     "tariff_components", "charge_components", "fixed_charges", "rider_charges", "shadow_bill", "ops_queue",
     "xfm_hourly", "gap_fill", "metric_anomaly", "estimation_streaks", "late_upsert", "stream_hourly",
-    "stream_hot", "filled_reads", "filled_daily", "refresh_history", "latest_refresh", "audit_recent", "routed_by_territory",
-    "routed_by_type", "rolling_meters", "dated_riders", "asof_long", "sample_per_territory", "row_policy_meters", "retention_purge",
+    "filled_reads", "refresh_history", "dated_riders", "asof_long", "sample_per_territory", "row_policy_meters", "retention_purge",
 ]
 NAMES = sorted(contract.oracle_sql()) if os.environ.get("ALL_QUERIES") else CORE
 
