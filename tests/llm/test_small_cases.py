@@ -707,6 +707,61 @@ def test_template_is_induced_from_a_hosts_pages(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_content_is_where_a_hosts_pages_vary_most(spark):
+    """Menus, adverts and footers that vary, without any name or tag that tells them from the article."""
+    rng = random.Random(12)
+    vocab = vocabulary(rng, 500)
+    rows, want = [], {}
+    for i in range(40):
+        parts = [prose(rng, 6, vocab), *(prose(rng, rng.randint(30, 80), vocab) for _ in range(rng.randint(2, 7)))]
+        menu = "".join(f"<li>{w}</li>" for w in rng.sample(vocab, 4))
+        body = f"<div><h1>{parts[0]}</h1>" + "".join(f"<p>{p}</p>" for p in parts[1:]) + "</div>"
+        beside = f"<div><ul>{menu}</ul></div><div>{prose(rng, 5, vocab)}</div>", f"<div>{prose(rng, 7, vocab)}</div>"
+        rows.append((i, f"https://acme.example/{i}", f"<body>{beside[0]}{body}{beside[1]}</body>"))
+        want[i] = "\n".join(parts)
+    # A page of another kind, which has its text elsewhere, keeps all of it.
+    rows.append((90, "https://acme.example/90", f"<body><div><p>{prose(rng, 90, vocab)}</p></div><div>Short.</div></body>"))
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert {i: got[i] for i in want} == want and len(got[90].split()) == 91
+
+
+def test_content_slot_leaves_no_title_or_part_behind():
+    def at(tree, weights):
+        return wrappers.content_slot(wrappers.numbered(wrappers.parse(tree)), weights)
+
+    # Slots in page order: root 0, body 1, and what is in it.
+    assert at("<body><div>menu</div><div>text</div>", {2: 5, 3: 95}) == 3
+    assert at("<body><div>menu</div><div>text</div>", {2: 20, 3: 80}) == 1
+    assert at("<body><div><h1>title</h1></div><div>text</div>", {3: 5, 4: 95}) == 1
+    assert at("<body><div><h1>name of the site</h1></div><div>text</div>", {4: 95}) == 4
+    assert at("<body><p>intro</p><div>text</div>", {2: 5, 3: 95}) == 1
+    assert at("<body><p>intro</p><ul><li>text</ul>", {4: 95}) == 1
+    assert at("<body><div><article>teaser</article></div><div>text</div>", {3: 5, 4: 95}) == 1
+    assert at("<body><div>menu</div><article><div>text</div></article>", {2: 5, 4: 95}) == 3
+    assert at("<body><div>text</div>", {}) == 0
+
+
+@pytest.mark.parametrize("folder", ["sf0.1"])
+def test_articles_are_found_without_tags_and_names(spark, folder):
+    """The sample pages, with their article tags and all telling tags and names taken out."""
+    import os
+    import re
+    from html import unescape
+
+    path = f"/root/testdata/{folder}/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no sample pages")
+    rows, want = [], {}
+    for r in spark.read.parquet(path).collect():
+        html = re.sub(r"<(/?)(?:article|nav|footer|aside|header|main)\b[^>]*>", r"<\1div>", r["html"])
+        rows.append((r["page_id"], r["url"], re.sub(r' (?:class|id|role)="[^"]*"', "", html)))
+        body = re.sub(r"</?(?:p|h1)[^>]*>", "\0", re.search(r"<article>(.*?)</article>", r["html"], re.S)[1])
+        parts = (" ".join(unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split()) for b in body.split("\0"))
+        want[r["page_id"]] = "\n".join(p for p in parts if p)
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGES).repartition(8)).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+
+
 def test_copies_of_a_page_are_no_template(spark):
     rng = random.Random(8)
     vocab = vocabulary(rng, 500)
