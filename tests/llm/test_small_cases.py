@@ -720,7 +720,7 @@ def test_content_is_where_a_hosts_pages_vary_most(spark):
         rows.append((i, f"https://acme.example/{i}", f"<body>{beside[0]}{body}{beside[1]}</body>"))
         want[i] = "\n".join(parts)
     # A page of another kind, which has its text elsewhere, keeps all of it.
-    rows.append((90, "https://acme.example/90", f"<body><div><p>{prose(rng, 90, vocab)}</p></div><div>Short.</div></body>"))
+    rows.append((90, "https://acme.example/90", f"<body><table><tr><td>{prose(rng, 90, vocab)}</table><div>Short.</div></body>"))
     got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
     assert {i: got[i] for i in want} == want and len(got[90].split()) == 91
 
