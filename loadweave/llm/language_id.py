@@ -56,14 +56,11 @@ def trigrams(text: str) -> np.ndarray:
 
 
 class TrigramModel:
-    """Log probability of each bucket under each language."""
-
-    def __init__(self, texts: list[str], labels: list[str]):
-        self.languages = sorted(set(labels))
-        place = {name: k for k, name in enumerate(self.languages)}
-        counts = np.full((len(self.languages), BUCKETS), 0.1)
-        for text, label in zip(texts, labels):
-            counts[place[label]] += np.bincount(trigrams(text), minlength=BUCKETS)
+    """Log probability of each bucket under each language, from how often each occurs there."""
+
+    def __init__(self, languages: list[str], seen: np.ndarray):
+        self.languages = languages
+        counts = seen + 0.1
         self.table = np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
 
     def evidence(self, text: str) -> np.ndarray:
@@ -78,14 +75,37 @@ class TrigramModel:
 def train(docs: DataFrame, sample: int = SAMPLE) -> TrigramModel | None:
     """A model from at most ``sample`` rows of ``docs`` (doc_id, text, lang) with a language; None without any.
 
-    Only the sample goes to the driver.
+    Texts are counted where they are; the driver gets a number for each bucket of each language. Of rows with one id the least counts.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     ids = labelled.select("doc_id", F.xxhash64("doc_id", F.lit("language")).alias("rank")).orderBy("rank", "doc_id").limit(sample)
     picked = F.broadcast(ids.select("doc_id").distinct())  # at most ``sample`` numbers
-    rows = labelled.join(picked, "doc_id").select("doc_id", "lang", whole("text").alias("text")).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    return TrigramModel(rows["text"].tolist(), rows["lang"].tolist()) if len(rows) else None
+    rows = labelled.join(picked, "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", whole("text").alias("text"))).alias("one"))
+    counted = rows.select("one.lang", "one.text").mapInArrow(_count, "lang string, bucket int, n long")
+    seen = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    if not len(seen):
+        return None
+    languages = sorted(seen["lang"].unique())
+    counts = np.zeros((len(languages), BUCKETS))
+    real = seen[seen["bucket"] >= 0]
+    place = {name: k for k, name in enumerate(languages)}
+    counts[real["lang"].map(place).to_numpy(int), real["bucket"].to_numpy(int)] = real["n"].to_numpy(float)
+    return TrigramModel(languages, counts)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each bucket occurs in the texts of each language; bucket -1 names a language, which may have no trigrams."""
+    for batch in batches:
+        seen: dict[str, np.ndarray] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            codes = trigrams(text.as_py())
+            seen[lang] = seen.get(lang, 0) + np.bincount(codes, minlength=BUCKETS)
+        for lang, counts in seen.items():
+            buckets = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * (len(buckets) + 1), pa.string()), pa.array(np.append(-1, buckets), pa.int32()),
+                pa.array(np.append(0, counts[buckets]), pa.int64()),
+            ], names=["lang", "bucket", "n"])
 
 
 def of_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
