@@ -136,62 +136,71 @@ def flatten_documents(docs: DataFrame, text: str = "document") -> DataFrame:
     """Published tariff documents to component rows.
 
     Hours of one period are merged into windows inside the row: a window starts where the period
-    differs from the hour before. No shuffle is involved.
+    differs from the hour before. No shuffle is involved. Scheduled rates come from one reading of a
+    document; a second one, of its short fields alone, gives what holds at all hours.
     """
-    d = docs.select(F.from_json(text, TARIFF_DOC).alias("d")).select("d.*")
-    fixed = d.filter(F.col("fixedchargefirstmeter").isNotNull()).select(
-        F.col("label").alias("schedule_id"), F.lit("FIXED").alias("component_type"),
-        F.lit("ALL").alias("day_type"), F.lit(None).cast("int").alias("month"),
-        F.lit(0).alias("start_hour"), F.lit(23).alias("end_hour"),
-        F.lit(None).cast("int").alias("period"), F.lit(None).cast("int").alias("tier"),
-        F.lit(None).cast("decimal(14,4)").alias("tier_from_kwh"),
-        F.lit(None).cast("decimal(14,4)").alias("tier_to_kwh"),
-        F.col("fixedchargefirstmeter").cast("decimal(10,5)").alias("rate"), F.lit("MONTH").alias("unit"),
-    )
-    unscheduled = d.filter(F.col("demandweekdayschedule").isNull() & F.col("demandweekendschedule").isNull())
-    all_day = unscheduled.select("label", F.posexplode("demandratestructure").alias("period", "tiers")).select(
-        F.col("label").alias("schedule_id"), F.lit("DEMAND").alias("component_type"),
-        F.lit("ALL").alias("day_type"), F.lit(None).cast("int").alias("month"),
-        F.lit(0).alias("start_hour"), F.lit(23).alias("end_hour"), "period",
-        F.lit(1).alias("tier"),
-        F.lit(None).cast("decimal(14,4)").alias("tier_from_kwh"),
-        F.lit(None).cast("decimal(14,4)").alias("tier_to_kwh"),
-        F.col("tiers")[0]["rate"].alias("rate"), F.lit("KW").alias("unit"),
+    scheduled = _scheduled(docs.select(F.from_json(text, TARIFF_DOC).alias("d")))
+    short = T.StructType([f for f in TARIFF_DOC if not f.name.startswith("energy")])
+    return scheduled.unionByName(_unscheduled(docs.select(F.from_json(text, short).alias("d"))))
+
+
+def _unscheduled(docs: DataFrame) -> DataFrame:
+    """Demand rates without a schedule, and fixed charges."""
+    d = F.col("d")
+    all_day = d["demandweekdayschedule"].isNull() & d["demandweekendschedule"].isNull()
+    demand = F.transform(F.when(all_day, d["demandratestructure"]), lambda tiers, period: F.struct(
+        F.lit("DEMAND").alias("component_type"), period.alias("period"), F.lit(1).alias("tier"),
+        tiers[0]["rate"].alias("rate"), F.lit("KW").alias("unit"),
+    ))
+    no = F.lit(None).cast("int")
+    fixed = F.when(d["fixedchargefirstmeter"].isNotNull(), F.array(F.struct(
+        F.lit("FIXED").alias("component_type"), no.alias("period"), no.alias("tier"),
+        d["fixedchargefirstmeter"].cast("decimal(10,5)").alias("rate"), F.lit("MONTH").alias("unit"),
+    )))
+    rows = F.concat(F.coalesce(demand, F.array()), F.coalesce(fixed, F.array()))
+    return docs.select(d["label"].alias("schedule_id"), F.explode(rows).alias("c")).select(
+        "schedule_id", "c.component_type", F.lit("ALL").alias("day_type"), no.alias("month"),
+        F.lit(0).alias("start_hour"), F.lit(23).alias("end_hour"), "c.period", "c.tier",
+        F.lit(None).cast("decimal(14,4)").alias("tier_from_kwh"), F.lit(None).cast("decimal(14,4)").alias("tier_to_kwh"),
+        "c.rate", "c.unit",
     )
-    energy = _scheduled(d, "energy", "ENERGY", "KWH")
-    demand = _scheduled(d, "demand", "DEMAND", "KW")
-    return energy.unionByName(demand).unionByName(all_day).unionByName(fixed)
 
 
-def _scheduled(d: DataFrame, name: str, component_type: str, unit: str) -> DataFrame:
-    """Component rows of one rate structure, by the windows of its weekday and weekend schedules."""
-    structure = f"{name}ratestructure"
-    days = F.explode(F.array(
-        F.struct(F.lit("WEEKDAY").alias("day_type"), F.col(f"{name}weekdayschedule").alias("months")),
-        F.struct(F.lit("WEEKEND").alias("day_type"), F.col(f"{name}weekendschedule").alias("months")),
-    ))
-    monthly = d.select("label", structure, days.alias("s")).select(
-        "label", structure, "s.day_type", F.posexplode("s.months").alias("m", "hours")
+def _scheduled(docs: DataFrame) -> DataFrame:
+    """Component rows of energy and demand rates, by the windows of their weekday and weekend schedules."""
+    def kind(name: str, component_type: str, unit: str, day: str) -> Column:
+        return F.struct(
+            F.lit(component_type).alias("component_type"), F.lit(unit).alias("unit"), F.lit(day).alias("day_type"),
+            F.col(f"d.{name}ratestructure").alias("structure"), F.col(f"d.{name}{day.lower()}schedule").alias("months"),
+        )
+
+    kinds = F.explode(F.array(*(
+        kind(*of, day) for of in (("energy", "ENERGY", "KWH"), ("demand", "DEMAND", "KW")) for day in ("WEEKDAY", "WEEKEND")
+    )))
+    own = ["label", "component_type", "unit", "day_type", "structure"]
+    monthly = docs.select(F.col("d.label").alias("label"), kinds.alias("s")).select("label", "s.*").select(
+        *own, F.posexplode("months").alias("m", "hours")
     )
     starts = F.filter(
         F.sequence(F.lit(0), F.size("hours") - 1),
         lambda h: (h == 0) | (F.get(F.col("hours"), h) != F.get(F.col("hours"), h - 1)),
     )
+    # Outer, as for an inner one the planner adds a filter that finds the starts twice more; a row without has no tiers below.
     windows = monthly.withColumn("starts", starts).select(
-        "label", structure, "day_type", "m", "hours", "starts", F.posexplode("starts").alias("i", "start_hour"),
+        *own, "m", "hours", "starts", F.posexplode_outer("starts").alias("i", "start_hour"),
     ).select(
-        "label", structure, "day_type", (F.col("m") + 1).alias("month"), "start_hour",
+        *own, (F.col("m") + 1).alias("month"), "start_hour",
         (F.coalesce(F.get("starts", F.col("i") + 1), F.size("hours")) - 1).alias("end_hour"),
         F.get("hours", F.col("start_hour")).alias("period"),
     )
-    tiers = windows.withColumn("tiers", F.get(structure, F.col("period"))).select(
+    tiers = windows.withColumn("tiers", F.get("structure", F.col("period"))).select(
         "*", F.posexplode("tiers").alias("t", "tier_row")
     )
     return tiers.select(
-        F.col("label").alias("schedule_id"), F.lit(component_type).alias("component_type"), "day_type", "month",
+        F.col("label").alias("schedule_id"), "component_type", "day_type", "month",
         "start_hour", "end_hour", "period", (F.col("t") + 1).alias("tier"),
         F.coalesce(F.get("tiers", F.col("t") - 1)["max"], F.lit(0).cast("decimal(14,4)")).alias("tier_from_kwh"),
-        F.col("tier_row.max").alias("tier_to_kwh"), F.col("tier_row.rate").alias("rate"), F.lit(unit).alias("unit"),
+        F.col("tier_row.max").alias("tier_to_kwh"), F.col("tier_row.rate").alias("rate"), "unit",
     )
 
 

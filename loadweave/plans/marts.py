@@ -68,6 +68,12 @@ class Marts:
         nxt = (self.anchor.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
         return nxt - dt.timedelta(days=1)
 
+    @property
+    def months(self) -> list[int]:
+        """Numbers (1 to 12) of the months that have a day of the span."""
+        first, last = (d.year * 12 + d.month - 1 for d in (self.first_day, self.anchor))
+        return sorted({m % 12 + 1 for m in range(first, last + 1)})
+
     @property
     def last_slot(self) -> dt.datetime:
         t = self.span[1]
@@ -414,7 +420,9 @@ class Marts:
             F.lit(',"energyweekendschedule":'), year(flat),
             F.lit(',"demandratestructure":[[{"rate":8.0}]],"fixedchargefirstmeter":10.0}'),
         )
-        return self.feed.accounts.select("meter_no", text.alias("document"))
+        # Meter numbers are few bytes, their documents kilobytes: dealt before, so that a small table is many tasks' work.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.feed.accounts.select("meter_no").repartition(tasks, "meter_no").select("meter_no", text.alias("document"))
 
     # -- service issues -----------------------------------------------------------------------
 

@@ -408,3 +408,27 @@ def test_a_sample_has_exactly_its_rows_in_any_partitioning(spark):
     assert {r.id for r in ingest.sample_rows(df, "id", 70).collect()} == best
     assert ingest.sample_rows(df, "id", 5_000).count() == 3_000 and ingest.sample_rows(df.limit(0), "id", 5).count() == 0
     assert ingest.sample_rows(df, "id", 70, salt="x").join(ingest.sample_rows(df, "id", 70), "id").count() < 70
+
+
+def test_flat_documents_without_schedules_hours_or_rates(spark):
+    """What is missing gives no row; a broken document gives none at all."""
+    documents = [
+        {"label": "A", "energyratestructure": [[{"rate": 0.1}]], "energyweekdayschedule": [[0, 0, 1], [], None],
+         "demandratestructure": [[{"rate": 8.0}, {"rate": 9.0}], [{}]]},
+        {"label": "B", "demandratestructure": [[{"rate": 2.0, "max": 3}, {"rate": 4.0}]], "demandweekendschedule": [[0, 0]],
+         "fixedchargefirstmeter": 1.5},
+        {"label": "C"},
+    ]
+    docs = spark.createDataFrame([(json.dumps(d),) for d in documents] + [(None,), ("{",)], "document string")
+    flat = tariff.flatten_documents(docs).select(
+        "schedule_id", "component_type", "day_type", "month", "start_hour", "end_hour", "period", "tier", "tier_from_kwh",
+        "tier_to_kwh", "rate", "unit",
+    )
+    assert {tuple(r) for r in flat.collect()} == {
+        ("A", "ENERGY", "WEEKDAY", 1, 0, 1, 0, 1, D("0"), None, D("0.1"), "KWH"),
+        ("A", "DEMAND", "ALL", None, 0, 23, 0, 1, None, None, D("8"), "KW"),
+        ("A", "DEMAND", "ALL", None, 0, 23, 1, 1, None, None, None, "KW"),
+        ("B", "DEMAND", "WEEKEND", 1, 0, 1, 0, 1, D("0"), D("3"), D("2"), "KW"),
+        ("B", "DEMAND", "WEEKEND", 1, 0, 1, 0, 2, D("3"), None, D("4"), "KW"),
+        ("B", "FIXED", "ALL", None, 0, 23, None, None, None, None, D("1.5"), "MONTH"),
+    }

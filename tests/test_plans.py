@@ -95,3 +95,25 @@ def test_observability_and_shadow_bill_scan_the_facts_once(spark, root):
 def test_fact_lookups_do_not_scan_the_facts_again(spark, root):
     assert plan(catalog.run("feeder_load", spark, root)).count("events.parquet") == 1
     assert plan(catalog.run("charge_line", spark, root)).count("events.parquet") == 1
+
+
+def test_document_components_are_not_sent_to_the_driver(spark, root):
+    """They are many times the accounts they come from, which no size estimate knows."""
+    frame = catalog.run("document_charges", spark, root)
+    nodes = frame._jdf.queryExecution().executedPlan().initialPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    sent = [i for i, line in enumerate(nodes) if "BroadcastExchange" in line]
+    for at in sent:
+        below = []
+        for line in nodes[at + 1:]:
+            if depth(line) <= depth(nodes[at]):
+                break
+            below.append(line)
+        assert not any("posexplode(tiers" in line for line in below)
+    assert any("posexplode(tiers" in line for line in nodes)
+
+
+def test_documents_are_read_in_many_tasks_and_scheduled_rates_in_one_pass(spark, root):
+    m = Marts(spark, root)
+    assert m.tariff_documents.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plan(catalog.CATALOG["tariff_components"](m)).count("from_json(") == 2
