@@ -31,7 +31,10 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from itertools import chain
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +49,8 @@ CONTENT = 0.9
 OWN = 0.25
 #: Nodes below this depth are not aligned; they count as varying.
 DEPTH = 100
-#: Pairs of nodes that are compared one by one.
-CELLS = 1_000_000
+#: Pairs of children that are compared one by one; more are compared on arrays, to the same end.
+CELLS = 4_096
 
 #: Fixed names of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -254,18 +257,27 @@ def numbered(node: Node) -> list:
     return out
 
 
-def _sizes(page: Node, reference: list) -> tuple[dict[int, int], dict[int, int]]:
-    """Nodes below and with each node of both trees: by identity, and by slot."""
+def _shapes(page: Node, reference: list) -> tuple[dict[int, tuple], dict[int, tuple]]:
+    """For each node of both trees (by identity, and by slot): what the labels of all below and with it make (equal numbers
+    for equal subtrees of labels), its height and the own texts of the subtree in page order (none where it is too high to be
+    aligned whole)."""
+    known: dict[tuple, int] = {}
+
+    def told(label: str, text: int, below: list[tuple]) -> tuple:
+        shape = known.setdefault((label, *(b[0] for b in below)), len(known))
+        height = 1 + max((b[1] for b in below), default=0)
+        return shape, height, [text, *chain.from_iterable(b[2] for b in below)] if height <= DEPTH else []
+
     order, mine = [page], {}
     for node in order:
         order.extend(node.children())
     for node in reversed(order):
-        mine[id(node)] = 1 + sum(mine[id(c)] for c in node.children())
+        mine[id(node)] = told(node.label, own_text(node), [mine[id(c)] for c in node.children()])
     listed, theirs = [reference], {}
     for node in listed:
         listed.extend(node[2])
     for node in reversed(listed):
-        theirs[node[1]] = 1 + sum(theirs[c[1]] for c in node[2])
+        theirs[node[1]] = told(node[0], node[3], [theirs[c[1]] for c in node[2]])
     return mine, theirs
 
 
@@ -301,13 +313,13 @@ def _anchors(xs: list[Node], ys: list) -> list[tuple[int, int]]:
 def align(page: Node, reference: list, depth: int = DEPTH) -> dict[int, int]:
     """Slots of the page's nodes (by identity) under the matching with most nodes, and of those with most equal texts.
 
-    Where the nodes below two elements make more than ``CELLS`` pairs, children that occur once on either side are matched
-    first, and what is between them by itself; if that is still too much, in turn. So time is bounded by the page's length;
-    such a matching need not be the best one.
+    Long lists of children are matched row by row on arrays, of which only every so manieth row is kept and the others are
+    found again on the way back; what is below two of their elements is matched without being remembered, and again for
+    those that belong together. So memory does not grow with the pairs, and all lists have the same, best matching.
     """
     found: dict[tuple[int, int], tuple[int, list]] = {}
     many = 1 << 32  # a node outweighs all equal texts
-    mine, theirs = _sizes(page, reference)
+    shapes: list[tuple[dict, dict]] = []
 
     def match(a: Node, b: list, left: int) -> int:
         """Weight of the best matching of what is below two nodes with equal labels."""
@@ -316,9 +328,6 @@ def align(page: Node, reference: list, depth: int = DEPTH) -> dict[int, int]:
             found[key] = _children(a.children(), b[2], left) if left else (0, [])
         return found[key][0]
 
-    def gain_of(x: Node, y: list, left: int) -> int:
-        return many + (own_text(x) == y[3]) + (0 if not x.children() or not y[2] else match(x, y, left - 1))
-
     def _children(xs: list[Node], ys: list, left: int) -> tuple[int, list]:
         pairs = []
         low, high_x, high_y = 0, len(xs), len(ys)
@@ -334,28 +343,10 @@ def align(page: Node, reference: list, depth: int = DEPTH) -> dict[int, int]:
             high_x, high_y = high_x - 1, high_y - 1
             pairs.append((xs[high_x], ys[high_y]))
         total = len(pairs) * (many + 1)
-        weight, rest = _between(xs[low:high_x], ys[low:high_y], left)
+        best = _best if (high_x - low) * (high_y - low) <= CELLS else _best_of_long
+        weight, rest = best(xs[low:high_x], ys[low:high_y], left)
         return total + weight, pairs + rest
 
-    def _between(xs: list[Node], ys: list, left: int) -> tuple[int, list]:
-        if sum(mine[id(x)] for x in xs) * sum(theirs[y[1]] for y in ys) <= CELLS:
-            return _best(xs, ys, left)
-        weight, pairs, i, j = 0, [], 0, 0
-        fixed = _anchors(xs, ys)
-        for to_i, to_j in [*fixed, (len(xs), len(ys))]:
-            part_x, part_y = xs[i:to_i], ys[j:to_j]
-            if sum(mine[id(x)] for x in part_x) * sum(theirs[y[1]] for y in part_y) <= CELLS:
-                more, found_here = _best(part_x, part_y, left)
-            else:
-                found_here = [(x, y) for x, y in zip(part_x, part_y) if x.label == y[0]]
-                more = sum(gain_of(x, y, left) for x, y in found_here)
-            weight, pairs = weight + more, pairs + found_here
-            if to_i < len(xs) and to_j < len(ys):
-                weight += gain_of(xs[to_i], ys[to_j], left)
-                pairs.append((xs[to_i], ys[to_j]))
-            i, j = to_i + 1, to_j + 1
-        return weight, pairs
-
     def _best(xs: list[Node], ys: list, left: int) -> tuple[int, list]:
         pairs, texts = [], [own_text(x) for x in xs]
         best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
@@ -379,13 +370,77 @@ def align(page: Node, reference: list, depth: int = DEPTH) -> dict[int, int]:
                 j -= 1
         return best[-1][-1], pairs
 
-    match(page, reference, depth)
+    def _best_of_long(xs: list[Node], ys: list, left: int) -> tuple[int, list]:
+        """The same matching by the same rules."""
+        if not shapes:
+            shapes.append(_shapes(page, reference))
+        mine, theirs = shapes[0]
+        texts = np.array([y[3] for y in ys], np.int64)
+        labelled = {label: np.array([y[0] == label for y in ys]) for label in {x.label for x in xs}}
+        parents = np.array([bool(y[2]) for y in ys])
+        of_shape: dict[int, list[int]] = {}
+        for j, y in enumerate(ys):
+            if y[2]:
+                of_shape.setdefault(theirs[y[1]][0], []).append(j)
+        subtrees = {shape: (np.array(js), np.array([theirs[ys[j][1]][2] for j in js], np.int64))
+                    for shape, js in of_shape.items()}
+
+        def gains(i: int) -> np.ndarray:
+            """What matching a child with each of the others adds; 0 where labels differ."""
+            x = xs[i]
+            own = np.where(labelled[x.label], many + (texts == own_text(x)), 0)
+            if not x.children():
+                return own
+            todo = labelled[x.label] & parents
+            shape, height, all_texts = mine[id(x)]
+            if shape in subtrees and height <= left:
+                # Under equal labels all nodes match, each with the one in its place.
+                js, theirs_all = subtrees[shape]
+                own[js] = len(all_texts) * many + (theirs_all == np.array(all_texts, np.int64)).sum(axis=1)
+                todo[js] = False
+            for j in np.flatnonzero(todo):
+                kept = len(found)
+                own[j] += match(x, ys[j], left - 1)
+                while len(found) > kept:
+                    found.popitem()
+            return own
+
+        def after(above: np.ndarray, own: np.ndarray) -> np.ndarray:
+            row = np.zeros(len(ys) + 1, np.int64)
+            np.maximum.accumulate(np.maximum(above[1:], above[:-1] + own), out=row[1:])
+            return row
+
+        step = isqrt(len(xs)) + 1
+        row, stored = np.zeros(len(ys) + 1, np.int64), []
+        for i in range(len(xs)):
+            if i % step == 0:
+                stored.append(row)
+            row = after(row, gains(i))
+        weight, pairs, i, j = int(row[-1]), [], len(xs), len(ys)
+        while i and j:
+            first = (i - 1) // step * step
+            own = [gains(k) for k in range(first, i)]
+            rows = [stored[first // step]]
+            for one in own:
+                rows.append(after(rows[-1], one))
+            while i > first and j:
+                here, above, gain = rows[i - first], rows[i - first - 1], own[i - first - 1][j - 1]
+                if gain and here[j] == above[j - 1] + gain:
+                    i, j = i - 1, j - 1
+                    pairs.append((xs[i], ys[j]))
+                elif here[j] == above[j]:
+                    i -= 1
+                else:
+                    j -= 1
+        return weight, pairs
+
     slots: dict[int, int] = {}
-    todo = [(page, reference)]
+    todo = [(page, reference, depth)]
     while todo:
-        a, b = todo.pop()
+        a, b, left = todo.pop()
         slots[id(a)] = b[1]
-        todo.extend(found.get((id(a), b[1]), (0, []))[1])
+        match(a, b, left)
+        todo.extend((x, y, left - 1) for x, y in found.pop((id(a), b[1]))[1])
     return slots
 
 

@@ -921,3 +921,23 @@ def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], LABELS).write.parquet(f"{root}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
     assert corpus_pipeline.run(spark, root).count() == 0
+
+
+def test_long_lists_of_children_have_the_best_matching_too(monkeypatch):
+    """A list is matched by one rule whatever its length; before, the longest were matched by their places."""
+    one = wrappers.parse("<div><h2>t</h2>" + "<p>a</p>" * 1_100 + "</div>")
+    two = wrappers.numbered(wrappers.parse("<div>" + "<p>b</p>" * 1_100 + "</div>"))
+    assert len(wrappers.align(one, two)) == 2 + 1_100
+    rng = random.Random(7)
+
+    def page() -> str:
+        kinds = [lambda t: f"<p>{t}</p>", lambda t: f"<div>{t}</div>", lambda t: f"<ul><li>{t}</li><li>x</li></ul>",
+                 lambda t: "<div>" + f"<p>{t}</p>" * rng.randrange(4) + "</div>"]
+        return "<div>" + "".join(rng.choice(kinds)(rng.choice("xyz")) for _ in range(rng.randrange(1, 20))) + "</div>"
+
+    for _ in range(60):
+        root, reference, depth = wrappers.parse(page()), wrappers.numbered(wrappers.parse(page())), rng.randrange(1, 6)
+        monkeypatch.setattr(wrappers, "CELLS", 1 << 40)
+        expected = wrappers.align(root, reference, depth)
+        monkeypatch.setattr(wrappers, "CELLS", 0)
+        assert wrappers.align(root, reference, depth) == expected
