@@ -99,6 +99,9 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+#: Rows that travel between Spark and Python at once.
+BATCH = "1000"
+
 STAGES = [
     ("toxicity", drop_toxic), ("near_dedup", one_of_near_copies), ("decontaminate", drop_leaks), ("mix", to_target_weights),
     ("tokens", to_tokens),
@@ -110,7 +113,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
-    path = scratch(tune(spark), "pipeline")
+    # Small batches: each task holds one in the JVM and one in Python, and sets of shingles are kilobytes a row.
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    path = scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = kept_at(stage(spark, docs, sf_dir), f"{path}/{name}")
