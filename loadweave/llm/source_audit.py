@@ -26,7 +26,7 @@ source has no pairs. An empty table gives no rows. Columns other than the three
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,9 @@ HELD = 1_000_000
 SLICE = 1 << 20
 #: Bytes of terms in lower case, blanks for all other bytes.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-COUNTED = "lang string, source string, term string, docs long, count long"
+COUNTED = "lang string, term string, source array<string>, docs array<long>, count array<long>"
+#: Terms of one batch that a task passes on.
+PASSED = 1 << 15
 BOTH = "lang string, a string, b string, value long"
 
 
@@ -51,6 +53,14 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(LETTERS).split()
 
 
+class Codes(dict):
+    """Numbers for names, in order of appearance."""
+
+    def __missing__(self, name: Hashable) -> int:
+        self[name] = len(self)
+        return self[name]
+
+
 class Tally:
     """Occurrences and documents of terms per language and source."""
 
@@ -76,15 +86,27 @@ class Tally:
         return sum(map(len, self.counts.values()))
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source), counts in self.counts.items():
-            if not counts:
-                continue
-            docs = self.docs[lang, source]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(counts)), pa.array([source] * len(counts)),
-                pa.array([t.decode() for t in counts]), pa.array([docs[t] for t in counts], pa.int64()),
-                pa.array(counts.values(), pa.int64()),
-            ], names=["lang", "source", "term", "docs", "count"])
+        """One row per language and term, with the sources that hold it."""
+        for lang in dict.fromkeys(lang for lang, _ in self.counts):
+            codes, at, source, docs, count = Codes(), [], [], [], []
+            for (of, name), counts in self.counts.items():
+                if of == lang:
+                    held = self.docs[of, name]
+                    at.extend(codes[t] for t in counts)
+                    source.extend([name] * len(counts))
+                    docs.extend(held[t] for t in counts)
+                    count.extend(counts.values())
+            where = np.array(at, np.int64)
+            order = pa.array(np.argsort(where, kind="stable"))
+            ends = pa.array(np.append(0, np.cumsum(np.bincount(where, minlength=len(codes)))), pa.int32())
+            kinds = (source, pa.string()), (docs, pa.int64()), (count, pa.int64())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, kind).take(order)) for x, kind in kinds]
+            names = pa.array([t.decode() for t in codes], pa.string())
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(codes), pa.string()), names, *lists], names=["lang", "term", "source", "docs", "count"]
+            )
+            for first in range(0, len(codes), PASSED):
+                yield batch.slice(first, PASSED)
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,16 +132,25 @@ def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return once, rows.select("lang", "source").distinct()
 
 
+def summed(counted: DataFrame) -> DataFrame:
+    """Terms (lang, term, docs, count, and sources, an array of source and count) of what tasks counted.
+
+    Rows are dealt by language and term once, each with all sources that its task saw; both sums are made where they arrive.
+    """
+    entries = F.inline(F.arrays_zip("source", "docs", "count"))
+    single = counted.repartition("lang", "term").select("lang", "term", entries)
+    per_source = single.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
+    return per_source.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("count").alias("count"),
+        F.collect_list(F.struct("source", "count")).alias("sources"),
+    )
+
+
 def term_counts(docs: DataFrame, path: str, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """Kept terms (lang, term, count and sources, an array of source and count), and groups (lang, source), both written."""
     once, groups = collapsed(docs)
     counted = kept_at(once.mapInArrow(_tally, COUNTED), f"{path}/counted")
-    per_source = counted.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
-    whole_lang = per_source.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("count").alias("count"),
-        F.collect_list(F.struct("source", "count")).alias("sources"),
-    )
-    kept = whole_lang.where(F.col("docs") >= least).drop("docs")
+    kept = summed(counted).where(F.col("docs") >= least).drop("docs")
     return kept_at(kept, f"{path}/terms"), kept_at(groups, f"{path}/groups")
 
 
@@ -160,14 +191,6 @@ def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-class Codes(dict):
-    """Numbers for names, in order of appearance."""
-
-    def __missing__(self, name: str) -> int:
-        self[name] = len(self)
-        return self[name]
-
-
 def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Terms with the sources that hold them to the last of the four sums, one row per language and pair of sources."""
     langs, names, sums = Codes(), Codes(), Counter()

@@ -84,6 +84,25 @@ def test_equal_texts_travel_once(spark):
     assert rows == {"en": [("a", 5), ("b", 3)], "de": [("a", 1)]} and groups.count() == 3
 
 
+def test_terms_are_dealt_once(spark):
+    counted = spark.createDataFrame(
+        [("en", "x", ["a", "b"], [1, 2], [3, 4]), ("en", "x", ["b"], [5], [6]), ("de", "x", ["a"], [1], [1])], source_audit.COUNTED
+    )
+    found = source_audit.summed(counted)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    rows = {r["lang"]: (r["docs"], r["count"], sorted(map(tuple, r["sources"]))) for r in found.collect()}
+    assert rows == {"en": (8, 13, [("a", 3), ("b", 10)]), "de": (1, 1, [("a", 1)])}
+
+
+def test_a_task_passes_a_term_on_with_all_its_sources():
+    held = source_audit.Tally()
+    for source, n in (("a", 1), ("b", 2)):
+        held.add("en", b"one two one", [{"source": source, "copies": n}])
+    rows = {r["term"]: (r["source"], r["docs"], r["count"]) for b in held.rows() for r in b.to_pylist()}
+    assert rows == {"one": (["a", "b"], [1, 2], [2, 4]), "two": (["a", "b"], [1, 2], [1, 2])}
+
+
 def test_counts_beyond_64_bits_after_scaling(spark):
     row = spark.range(1).select(source_audit.share(F.lit(10**13), F.lit(3 * 10**13), F.lit(10**6)).alias("p")).first()
     assert row["p"] == 1 + 10**9 * (10**13 + 2) // (3 * 10**13 + 2 * 10**6)
