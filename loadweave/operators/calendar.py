@@ -156,7 +156,11 @@ def load_factors(slots: DataFrame, holidays: Sequence[str] = HOLIDAYS) -> DataFr
 
 def expected_load(slots: DataFrame, holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
     """Expected kWh, export and kW of rows with ``load_scale`` columns and a slot; no noise."""
-    rows = load_factors(slots, holidays)
+    return scaled_load(load_factors(slots, holidays))
+
+
+def scaled_load(rows: DataFrame) -> DataFrame:
+    """Rows with ``load_scale`` and ``load_factors`` columns, with the expected values instead of the factors."""
     factor = F.when(F.col("meter_type") == "CNI", F.col("factor_cni")).otherwise(F.col("factor_other"))
     export = F.when(F.col("has_der"), F.col("base_kwh") * F.col("sun_factor")).otherwise(_d("0.0"))
     return (

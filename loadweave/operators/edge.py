@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loadweave.functions import mean
-from loadweave.operators.calendar import expected_load, load_scale
+from loadweave.operators.calendar import load_factors, load_scale, scaled_load
 from loadweave.sources.reference import DUPLICATE_RESOLUTION, HOLIDAYS
 
 #: Where the library's own estimates say they come from.
@@ -142,7 +142,8 @@ def gap_fill(
     """Estimated reads for every slot a meter did not report between two dates.
 
     Missing slots come from one row per meter and day holding the slots it did report (96 at most),
-    so nothing of the size meters x slots is built before the gaps are known.
+    so nothing of the size meters x slots is built before the gaps are known. What a slot alone contributes is worked
+    out once per slot of the range. Meters that are there once give one read a slot.
     """
     per_day = 24 * 60 // minutes
     number = (F.hour("read_ts") * 60 + F.minute("read_ts")) / minutes
@@ -161,9 +162,10 @@ def gap_fill(
         wanted.join(seen, ["meter_id", "day"], "left")
         .repartition(width, "meter_id", "day")
         .select(*about, "day", F.explode(missing).alias("slot"))
-        .withColumn("read_ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * minutes))
     )
-    return expected_load(gaps, holidays).select(
+    each = reads.sparkSession.range(1).select(F.explode(days).alias("day")).select("day", F.explode(slots).alias("slot"))
+    timed = each.withColumn("read_ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * minutes))
+    return scaled_load(gaps.join(F.broadcast(load_factors(timed, holidays)), ["day", "slot"])).select(
         "meter_id", "read_ts",
         F.convert_timezone(F.lit("UTC"), F.col("timezone"), F.col("read_ts")).alias("read_local_ts"),
         F.col("expected_kwh").alias("kwh_delivered"),

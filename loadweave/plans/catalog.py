@@ -509,8 +509,8 @@ def _filled(m: Marts) -> DeltaMarts:
     merge(m.feed.payloads.filter(early))
     first, last = m.day(6), m.day(4)
     known = marts.read("canonical").filter(F.col("read_date").between(F.lit(first), F.lit(last)))
-    estimates = edge.gap_fill(known, m.feed.meters, str(first), str(last))
-    pipeline.store_estimates(marts.canonical, estimates, ntz(cut), f"{work}/estimates", newest, marts.take)
+    estimates = edge.gap_fill(known, m.feed.meters.dropDuplicates(["meter_id"]), str(first), str(last))
+    pipeline.store_estimates(marts.canonical, estimates, ntz(cut), f"{work}/estimates", newest, marts.take, unique=True, span=3)
     merge(m.feed.payloads.filter(~early))
     return marts
 

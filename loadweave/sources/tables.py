@@ -31,22 +31,29 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _laid_out(df: DataFrame, by: str, cluster: Sequence[str]) -> DataFrame:
+def _laid_out(df: DataFrame, by: str, cluster: Sequence[str], days: int = 0) -> DataFrame:
     """Rows of a partition together, in cluster order.
 
     Rebalancing sends a partition's rows to few tasks, and splits a partition that is too big for one,
     so a day that holds a third of the table is still written by many tasks. Order inside the files
-    lets scans skip row groups by their minimum and maximum.
+    lets scans skip row groups by their minimum and maximum. Where it is known that there are fewer ``days`` than cores,
+    each is dealt in shares of its rows' first column, so that all cores write, whatever the day's size.
     """
-    spread = df.hint("rebalance", by)
+    shares = -(-df.sparkSession.sparkContext.defaultParallelism // days) if days else 1
+    if shares > 1:
+        name = "_share"
+        shared = df.withColumn(name, F.pmod(F.hash(df.columns[0]), F.lit(shares)))
+        spread = shared.hint("rebalance", by, name).drop(name)
+    else:
+        spread = df.hint("rebalance", by)
     return spread.sortWithinPartitions(by, *cluster) if cluster else spread
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: str, mode: str = "append", cluster: Sequence[str] = ()
+    df: DataFrame, path: str, by: str, mode: str = "append", cluster: Sequence[str] = (), days: int = 0
 ) -> None:
-    """Write one directory per value of ``by``."""
-    _laid_out(df, by, cluster).write.mode(mode).partitionBy(by).parquet(path)
+    """Write one directory per value of ``by``, of which there are ``days`` if that is known."""
+    _laid_out(df, by, cluster, days).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def replace_partitions(
@@ -60,7 +67,7 @@ def replace_partitions(
     spark = df.sparkSession
     before = {d: _file_names(spark, f"{path}/{by}={d}") for d in expected}
     (
-        _laid_out(df, by, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        _laid_out(df, by, cluster, len(expected)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(by).parquet(path)
     )
     for d, names in before.items():
@@ -115,10 +122,10 @@ def publish(spark: SparkSession, staged: str, path: str, by: str, expected: Sequ
             _move(spark, f"{staged}/{name}", f"{path}/{name}")
 
 
-def stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:
-    """Write a folder of partitions, unless an earlier attempt has finished it."""
+def stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), days: int = 0) -> None:
+    """Write a folder of partitions (``days`` of them, if that is known), unless an earlier attempt has finished it."""
     if not exists(df.sparkSession, f"{path}/_SUCCESS"):
-        write_partitioned(df, path, by, mode="overwrite", cluster=cluster)
+        write_partitioned(df, path, by, mode="overwrite", cluster=cluster, days=days)
 
 
 def changes_of(spark: SparkSession, staging: str, by: str) -> DataFrame | None:
@@ -127,7 +134,8 @@ def changes_of(spark: SparkSession, staging: str, by: str) -> DataFrame | None:
 
 
 def upsert(
-    batch: DataFrame, path: str, staging: str, keys: Sequence[str], newest: Sequence[Column | str], by: str
+    batch: DataFrame, path: str, staging: str, keys: Sequence[str], newest: Sequence[Column | str], by: str,
+    unique: bool = False, days: int = 0,
 ) -> list[dt.date]:
     """Merge a batch into a table, newest row per key, however late it arrives; returns the days of the batch.
 
@@ -136,12 +144,15 @@ def upsert(
     from a join of those rows with the old ones of their days; and the new content of the days that change. The finished
     partitions are moved in. A run that dies at any point is repeated from what is finished, and merging the same batch
     again changes nothing. Old rows are never sorted or deduplicated again, and days without a change are not written.
+    A batch that is known to be ``unique`` has no two rows of a key, and is not deduplicated either; ``days`` is its number
+    of days, if that is known.
     """
     spark = batch.sparkSession
     columns = batch.columns
     rest = [c for c in columns if c not in (*keys, by)]
     order = F.struct(*newest).alias("_order")
-    stage(last_write_wins(batch, keys=[*keys, by], newest=newest), f"{staging}/incoming", by)
+    once = batch if unique else last_write_wins(batch, keys=[*keys, by], newest=newest)
+    stage(once, f"{staging}/incoming", by, days=days)
     dates = partition_days(spark, f"{staging}/incoming", by)
     if not dates:
         return []
@@ -156,7 +167,7 @@ def upsert(
         after = incoming.select(*keys, by, F.struct(*rest).alias("after"), order.alias("_new"))
         before = old().select(*keys, by, F.struct(*rest).alias("before"), order.alias("_old"))
         found = after.join(before, [*keys, by], "left").filter("before is null or _new > _old").drop("_new", "_old")
-        stage(found, f"{staging}/changes", by)
+        stage(found, f"{staging}/changes", by, days=len(dates))
         changed = partition_days(spark, f"{staging}/changes", by)
         if not changed:
             return dates
@@ -164,7 +175,7 @@ def upsert(
         touched_days = F.col(by).isin(changed)
         kept = old().filter(touched_days).join(new.select(*keys, by), [*keys, by], "left_anti")
         merged = kept.select(*columns).unionByName(new.select(*keys, by, "after.*").select(*columns))
-        stage(merged, f"{staging}/merged", by, cluster=keys)
+        stage(merged, f"{staging}/merged", by, cluster=keys, days=len(changed))
     publish(spark, f"{staging}/merged", path, by)
     return dates
 

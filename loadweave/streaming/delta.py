@@ -76,8 +76,8 @@ class Level(NamedTuple):
                     out.append(best(F.when(sign < 0, x)).alias(goes.format(name)))
         return rows.groupBy(*self.keys).agg(*out)
 
-    def mart(self, state: DataFrame) -> DataFrame:
-        return state.select(*self.keys, *[c.alias(name) for name, c in self.columns.items()], PART)
+    def mart(self, state: DataFrame, *kept: str) -> DataFrame:
+        return state.select(*self.keys, *[c.alias(name) for name, c in self.columns.items()], *kept, PART)
 
 
 def same_keys(left: str, right: str, keys) -> Column:
@@ -183,7 +183,7 @@ def signed(changes: DataFrame, *beside: str) -> DataFrame:
 def apply(
     spark: SparkSession, level: Level, rows: DataFrame, path: str, staging: str, below: Callable[[list[dt.date]], DataFrame],
 ) -> DataFrame | None:
-    """Add signed rows to a level's stored state; returns the level's own changes, as rows of its mart.
+    """Add signed rows to a level's stored state; returns the level's own changes, as signed rows of its mart.
 
     ``below`` gives the rows below of whole partitions; it is only asked where an extreme was taken off.
     """
@@ -200,7 +200,7 @@ def apply(
         return spark.read.parquet(path).filter(F.col(PART).isin(parts)) if tables.exists(spark, path) else None
 
     if not tables.exists(spark, f"{work}/merged/_SUCCESS"):
-        tables.stage(_changed(level, delta, stored(), keys, whole, extremes), f"{work}/first", PART)
+        tables.stage(_changed(level, delta, stored(), keys, whole, extremes), f"{work}/first", PART, days=len(parts))
         changed = spark.read.parquet(f"{work}/first")
         stale = changed.filter("stale").select(*keys, PART)
         days = [r[0] for r in stale.select(PART).distinct().collect()]  # partitions, never rows
@@ -213,25 +213,19 @@ def apply(
                 "c.stale", f"c.{PART}",
             )
             kept = changed.filter("not stale").select(*keys, "before", "after", "stale", PART)
-            tables.stage(kept.unionByName(redone), f"{work}/changed", PART)
+            tables.stage(kept.unionByName(redone), f"{work}/changed", PART, days=len(parts))
         new = _new(spark, work)
         content = new.filter("after is not null").select(*keys, "after.*", PART)
         old = stored()
         if old is not None:
             kept = old.alias("o").join(new.alias("x"), same_keys("o", "x", [*keys, PART]), "left_anti")
             content = kept.select(*content.columns).unionByName(content)
-        tables.stage(content, f"{work}/merged", PART, cluster=keys[:1])
+        tables.stage(content, f"{work}/merged", PART, cluster=keys[:1], days=len(parts))
     tables.publish(spark, f"{work}/merged", path, PART, parts)
     new = _new(spark, work)
 
-    def image(side: str) -> DataFrame:
-        return level.mart(new.filter(f"{side} is not null").select(*keys, f"{side}.*", PART))
-
-    was, now = image("before").alias("w"), image("after").alias("n")
-    names = [c for c in now.columns if c != PART]
-    struct = lambda of: F.when(
-        F.col(f"{of}.{PART}").isNotNull(), F.struct(*[F.col(f"{of}.{c}").alias(c) for c in names]))
-    return was.join(now, same_keys("w", "n", keys), "full_outer").select(struct("w").alias("before"), struct("n").alias("after"))
+    # Before and after lie in one row, so the mart's rows need no join.
+    return level.mart(signed(new, *keys, PART), "sign").drop(PART)
 
 
 def _new(spark: SparkSession, work: str) -> DataFrame:
@@ -333,7 +327,7 @@ class DeltaMarts(MartTables):
                     self.spark, level, rows[below], self._state(level.name), f"{staging}/levels", self._below(level.name)
                 )
                 if found is not None:
-                    rows[level.name] = signed(found)
+                    rows[level.name] = found
                 return self.spark.read.parquet(f"{staging}/levels/{level.name}/deltas").count() if self.log else 0
 
             self.log.run(f"REFRESH_{level.name.upper()}", job, "INCREMENTAL") if self.log else job()

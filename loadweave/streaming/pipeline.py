@@ -128,11 +128,13 @@ def merge_stream(
 
 def store_estimates(
     path: str, estimates: DataFrame, made_at: Column, work: str, newest: Sequence[Column | str],
-    on_changes: Callable[[DataFrame, str], None] | None = None,
+    on_changes: Callable[[DataFrame, str], None] | None = None, unique: bool = False,
+    span: int = 0,
 ) -> list:
     """Merge estimated reads (see ``edge.gap_fill``) into the canonical table; returns their days.
 
-    Ordered by ``ingest.precedence`` first, they fill gaps and replace older estimates, never an actual read.
+    Ordered by ``ingest.precedence`` first, they fill gaps and replace older estimates, never an actual read. ``unique``
+    estimates are one a slot, as those of meters that are there once; ``span`` is their number of days, if that is known.
     """
     spark = estimates.sparkSession
     known = {c.name: c for c in spark.read.parquet(path).schema}
@@ -142,7 +144,7 @@ def store_estimates(
     rows = estimates.select(*[
         own.get(n, F.col(n) if n in estimates.columns else F.lit(None)).cast(f.dataType).alias(n) for n, f in known.items()
     ])
-    days = tables.upsert(rows, path, work, READ_KEYS, newest, by="read_date")
+    days = tables.upsert(rows, path, work, READ_KEYS, newest, by="read_date", unique=unique, days=span)
     changed = tables.changes_of(spark, work, "read_date")
     if on_changes is not None and changed is not None:
         on_changes(changed, work)

@@ -151,6 +151,29 @@ def test_an_emptied_group_and_partition_go(spark, tmp_path, dims):
     assert seen == [["NE"], ["SE"], []]
 
 
+def test_a_levels_changes_need_no_join(spark, tmp_path, dims):
+    rows = spark.createDataFrame(made(random.Random(3), 30, 0), SCHEMA).withColumn("sign", F.lit(1))
+    path = str(tmp_path / "hourly_state")
+    found = delta.apply(spark, delta.hourly(4), rows, path, str(tmp_path / "s"), lambda days: rows.limit(0))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = found.filter("sign = 1").drop("sign")
+    want = delta.hourly(4).mart(spark.read.parquet(path)).drop("part_date")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect())) != []
+
+
+def test_unique_batches_are_not_deduplicated_and_few_days_are_shared_out(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(made(random.Random(4), 30, 0), SCHEMA).dropDuplicates(pipeline.READ_KEYS)
+    rows = tables.snapshot(rows, str(tmp_path / "rows"))
+    monkeypatch.setattr(tables, "last_write_wins", None)
+    path = str(tmp_path / "table")
+    tables.upsert(rows, path, str(tmp_path / "s"), pipeline.READ_KEYS, pipeline.NEWEST, "read_date", unique=True, days=4)
+    got = spark.read.parquet(path).select(*rows.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
+    plan = lambda days: tables._laid_out(rows, "read_date", [], days)._jdf.queryExecution().optimizedPlan().toString()
+    cores = spark.sparkContext.defaultParallelism
+    assert "pmod" in plan(cores - 1) and "pmod" not in plan(cores) and "pmod" not in plan(0)
+
+
 def test_streams_are_logged_with_their_batches_and_errors(spark, tmp_path):
     log = quality.RunLog(spark, str(tmp_path / "log"), "RAW")
     listener = ProgressLog(log)
