@@ -18,6 +18,8 @@ empty table stays empty.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,10 +104,23 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 #: Rows that travel between Spark and Python at once.
 BATCH = "1000"
 
-STAGES = [
+
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in small batches, also if it is run alone: each task holds one in the JVM and one in Python, and texts and
+    sets of shingles are kilobytes a row."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, in_small_batches(stage)) for name, stage in (
     ("toxicity", drop_toxic), ("near_dedup", one_of_near_copies), ("decontaminate", drop_leaks), ("mix", to_target_weights),
     ("tokens", to_tokens),
-]
+)]
 
 #: SQL cannot express the first stage; the tests compare the others with brute force.
 ORACLE_SQL = None
@@ -113,8 +128,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
-    # Small batches: each task holds one in the JVM and one in Python, and sets of shingles are kilobytes a row.
-    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     path = scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:

@@ -43,6 +43,8 @@ PERMUTATIONS, BANDS = 48, 24
 BLOCK = 512
 #: Sets with fewer shingles meet under their rarest shingles instead of bands.
 EXACT = 64
+#: Shingles that a task holds before it hands on their rows.
+HELD = 1 << 17
 
 
 def _set_key(values: np.ndarray) -> bytes:
@@ -58,7 +60,7 @@ def _signer(n: int, permutations: int, bands: int, few: int):
             for values in shingle_sets((t.as_py() for t in batch.column(1)), n):
                 held.append(values)
                 size += len(values)
-                if size >= 1 << 20:
+                if size >= HELD:
                     yield pack(ids.slice(at, len(held)), held)
                     at, held, size = at + len(held), [], 0
             if held:
@@ -110,7 +112,7 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
             for values in shingle_sets((t.as_py() for t in batch.column(1)), n):
                 held.append(values.tobytes())
                 size += len(values)
-                if size >= 1 << 20:
+                if size >= HELD:
                     yield pack(batch.column(0).slice(at, len(held)), held)
                     at, held, size = at + len(held), [], 0
             if held:

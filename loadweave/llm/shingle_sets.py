@@ -10,7 +10,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+#: Texts hashed at once. A block's arrays take some 60 bytes a byte, which a worker that lives on keeps from the system.
+BLOCK_BYTES = 1 << 18
 
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -52,6 +52,8 @@ LETTER_DECAY, OTHER_DECAY = 0.5, 0.95
 SHORTEST, LONGEST, RARER = 4, 10, 10
 THRESHOLD = 0.7
 CACHED_WORDS = 300_000
+#: Strings whose kernel values are computed at once; one of ten letters takes up to some 20 kB of arrays meanwhile.
+AT_ONCE = 1_024
 
 _SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -129,8 +131,8 @@ class SubsequenceKernel:
             first, middle, last = _triples(length)
             if not len(first):
                 continue
-            for low in range(0, len(places), 4_096):
-                part = places[low: low + 4_096]
+            for low in range(0, len(places), AT_ONCE):
+                part = places[low: low + AT_ONCE]
                 points = np.frombuffer("".join(strings[p] for p in part).encode("utf-32-le", "surrogatepass"), "<u4")
                 kinds, decay = _character_tables(points)
                 kinds, decay = kinds.reshape(-1, length), decay.reshape(-1, length)

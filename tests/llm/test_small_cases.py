@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -941,3 +942,32 @@ def test_long_lists_of_children_have_the_best_matching_too(monkeypatch):
         expected = wrappers.align(root, reference, depth)
         monkeypatch.setattr(wrappers, "CELLS", 0)
         assert wrappers.align(root, reference, depth) == expected
+
+
+def test_a_stage_run_alone_sends_small_batches(spark, monkeypatch):
+    seen = []
+
+    def sizes(docs, id_col):
+        found = docs.coalesce(1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long"
+        )
+        seen.extend(r.n for r in found.collect())
+        return docs.selectExpr(f"`{id_col}` AS doc_id", "true AS kept")
+
+    monkeypatch.setattr(corpus_pipeline.near_dedup, "near_duplicates", sizes)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        docs = spark.range(2_500).selectExpr("id AS doc_id", "'a' AS text")
+        assert dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "").count() == 2_500
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sum(seen) == 2_500 and max(seen) <= 1_000
+
+
+def test_sets_do_not_depend_on_the_block(monkeypatch):
+    from loadweave.llm import shingle_sets as module
+
+    texts = [" ".join(f"w{(k * k) % 97}{n}" for k in range(n)) for n in (0, 1, 4, 5, 40, 700)] + [None, "  "]
+    one = [v.tolist() for v in module.shingle_sets(texts, 5)]
+    monkeypatch.setattr(module, "BLOCK_BYTES", 64)
+    assert [v.tolist() for v in module.shingle_sets(texts, 5)] == one
