@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -193,11 +194,14 @@ class RunLog:
 
     def __init__(self, spark: SparkSession, path: str, schema_name: str = "CURATED"):
         self.spark, self.path, self.schema_name = spark, path, schema_name
+        #: Two appends at once would clear each other's unfinished files.
+        self._writing = threading.Lock()
 
     def append(self, *rows: dict) -> None:
         """Rows by column name; columns that are not named are null."""
         made = [tuple({"schema_name": self.schema_name, **row}.get(f.name) for f in RUN_AUDIT) for row in rows]
-        self.spark.createDataFrame(made, RUN_AUDIT).coalesce(1).write.mode("append").parquet(self.path)
+        with self._writing:
+            self.spark.createDataFrame(made, RUN_AUDIT).coalesce(1).write.mode("append").parquet(self.path)
 
     def run(self, pipeline: str, job: Callable[[], int | dict], action: str | None = None) -> int:
         """Run ``job`` between a start and an end record.

@@ -31,6 +31,37 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+#: Which part of a day's keys a row belongs to (see ``deal``).
+SHARE = "_share"
+#: Stored bytes of a day that make one share: at most, and at least if there is more than one.
+SHARE_BYTES, LEAST_SHARE_BYTES = 32 << 20, 1 << 20
+
+
+def shares_of(spark: SparkSession, path: str, by: str, days: Sequence[dt.date]) -> dict[dt.date, int]:
+    """Into how many shares each day of a table is dealt: by its stored size, so that all days together keep all cores busy."""
+    wanted = -(-4 * spark.sparkContext.defaultParallelism // max(len(days), 1))
+
+    def size(day: dt.date) -> int:
+        fs, p = _fs(spark, f"{path}/{by}={day}")
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+    sizes = {d: size(d) for d in days}
+    return {d: max(1, min(wanted, n // LEAST_SHARE_BYTES), -(-n // SHARE_BYTES)) for d, n in sizes.items()}
+
+
+def deal(df: DataFrame, by: str, keys: Sequence[str], shares: dict[dt.date, int]) -> DataFrame:
+    """Rows dealt once by day and share of ``keys``, which is added as ``SHARE``.
+
+    An aggregation by ``by``, ``SHARE`` and others needs no further exchange, and its rows can be written as they lie:
+    a share of a day is one file. A big day has more shares, so that it is still written by many tasks; no one value of the
+    keys may have a great part of a day's rows.
+    """
+    usual = min(shares.values(), default=1)
+    more = [F.lit(x) for day, n in shares.items() if n > usual for x in (day, n)]
+    number = F.coalesce(F.element_at(F.create_map(*more), F.col(by)), F.lit(usual)) if more else F.lit(usual)
+    return df.withColumn(SHARE, F.pmod(F.hash(*keys), number)).repartition(max(sum(shares.values()), 1), by, SHARE)
+
+
 def _laid_out(df: DataFrame, by: str, cluster: Sequence[str], days: int = 0) -> DataFrame:
     """Rows of a partition together, in cluster order.
 
@@ -50,26 +81,30 @@ def _laid_out(df: DataFrame, by: str, cluster: Sequence[str], days: int = 0) ->
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: str, mode: str = "append", cluster: Sequence[str] = (), days: int = 0
+    df: DataFrame, path: str, by: str, mode: str = "append", cluster: Sequence[str] = (), days: int = 0, dealt: bool = False
 ) -> None:
-    """Write one directory per value of ``by``, of which there are ``days`` if that is known."""
-    _laid_out(df, by, cluster, days).write.mode(mode).partitionBy(by).parquet(path)
+    """Write one directory per value of ``by``, of which there are ``days`` if that is known.
+
+    Rows that are ``dealt`` by day already are written as they lie, in cluster order."""
+    if dealt:
+        rows = df.sortWithinPartitions(by, *cluster) if cluster else df
+    else:
+        rows = _laid_out(df, by, cluster, days)
+    rows.write.mode(mode).partitionBy(by).parquet(path)
 
 
 def replace_partitions(
-    df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), expected: Sequence[dt.date] = ()
+    df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), expected: Sequence[dt.date] = (), dealt: bool = False
 ) -> None:
     """Replace the partitions that occur in ``df``; all others stay as they are.
 
     ``expected`` names partitions that ``df`` is the whole new content of: one that it has no row for is dropped, as its
-    old rows are no longer true.
+    old rows are no longer true. Rows that were ``dealt`` by day already are written as they lie.
     """
     spark = df.sparkSession
     before = {d: _file_names(spark, f"{path}/{by}={d}") for d in expected}
-    (
-        _laid_out(df, by, cluster, len(expected)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by).parquet(path)
-    )
+    rows = df if dealt else _laid_out(df, by, cluster, len(expected))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     for d, names in before.items():
         # A partition that was written anew has new file names.
         if names and names == _file_names(spark, f"{path}/{by}={d}"):
@@ -122,10 +157,10 @@ def publish(spark: SparkSession, staged: str, path: str, by: str, expected: Sequ
             _move(spark, f"{staged}/{name}", f"{path}/{name}")
 
 
-def stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), days: int = 0) -> None:
+def stage(df: DataFrame, path: str, by: str, cluster: Sequence[str] = (), days: int = 0, dealt: bool = False) -> None:
     """Write a folder of partitions (``days`` of them, if that is known), unless an earlier attempt has finished it."""
     if not exists(df.sparkSession, f"{path}/_SUCCESS"):
-        write_partitioned(df, path, by, mode="overwrite", cluster=cluster, days=days)
+        write_partitioned(df, path, by, mode="overwrite", cluster=cluster, days=days, dealt=dealt)
 
 
 def changes_of(spark: SparkSession, staging: str, by: str) -> DataFrame | None:

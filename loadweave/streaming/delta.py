@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loadweave.functions import day_floor, hour_floor, month_floor, pct
 from loadweave.sources import tables
 from loadweave.sources.reference import READY_COMPLETENESS_PCT, READY_VEE_PCT
-from loadweave.streaming.refresh import MartTables
+from loadweave.streaming.refresh import MartTables, at_once
 
 PART = "part_date"
 
@@ -294,11 +294,8 @@ class DeltaMarts(MartTables):
         self._others(days)
 
     def _others(self, days: list[dt.date]) -> None:
-        if self.dims is not None:
-            self._refresh_wider(self.read("canonical").filter(F.col("read_date").isin(days)), days, self.dims)
-
-    def _refresh_billing(self, days: list[dt.date], d) -> None:
-        """Billing periods are a level."""
+        if jobs := self._wider_jobs(self.read("canonical").filter(F.col("read_date").isin(days)), days):
+            at_once(self.spark, *jobs)
 
     def _below(self, name: str) -> Callable[[list[dt.date]], DataFrame]:
         """The rows below a level's partitions: of the same days, of the months' days, or of the periods' days."""

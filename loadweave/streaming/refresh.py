@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from loadweave.operators import billing, channels, quality, rollups, tou
@@ -35,6 +38,19 @@ class Dimensions:
 WIDER = ("channels", "charges", "sla", "dq", "billing")
 
 
+def at_once(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run refreshes that do not need each other side by side, so that one fills the cores another's last tasks leave idle.
+
+    All are waited for; the first error, if any, is raised then.
+    """
+    if len(jobs) == 1:
+        return jobs[0]()
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 @dataclass
 class MartTables:
     """Materialised canonical reads and marts below one folder.
@@ -76,15 +92,16 @@ class MartTables:
     def _store(self, mart: str, df: DataFrame, day: str, days: list[dt.date]) -> None:
         """Replace the partitions ``days`` of a mart, also those that are empty now."""
 
-        dated = df.withColumn("part_date", F.to_date(day))
+        dealt = tables.SHARE in df.columns
+        dated = df.drop(tables.SHARE) if dealt else df.withColumn("part_date", F.to_date(day))
         if not self.log:
-            return tables.replace_partitions(dated, self.path(mart), "part_date", expected=days)
+            return tables.replace_partitions(dated, self.path(mart), "part_date", expected=days, dealt=dealt)
 
         def job() -> int:
             # Counted while it is written, not read back.
             seen = Observation()
             counted = dated.observe(seen, F.count(F.lit(1)).alias("rows"))
-            tables.replace_partitions(counted, self.path(mart), "part_date", expected=days)
+            tables.replace_partitions(counted, self.path(mart), "part_date", expected=days, dealt=dealt)
             return seen.get["rows"]
 
         action = "INCREMENTAL" if tables.exists(self.spark, self.path(mart)) else "FULL"
@@ -105,30 +122,43 @@ class MartTables:
         scan is limited to the partitions concerned.
         """
         reads = self.read("canonical").filter(F.col("read_date").isin(days))
-        self._store("hourly", rollups.hourly(reads, self.expected_per_hour), "rollup_ts", days)
-        self._store("daily", rollups.daily(self._days("hourly", days), self.expected_per_day), "rollup_ts", days)
-        firsts = sorted({d.replace(day=1) for d in days})
-        months = self.read("daily").filter(F.trunc("part_date", "month").isin(firsts))
-        self._store("monthly", rollups.monthly(months.drop("part_date")), "rollup_ts", firsts)
-        if self.dims is not None:
-            self._refresh_wider(reads, days, self.dims)
-
-    def _refresh_wider(self, reads: DataFrame, days: list[dt.date], d: Dimensions) -> None:
-        if "channels" in self.wider:
-            long = channels.unpivot(reads, d.meters)
-            hours = channels.channel_hourly(long, d.meter_channels, self.expected_per_hour)
+
+        def rolled() -> None:
+            self._store("hourly", rollups.hourly(reads, self.expected_per_hour), "rollup_ts", days)
+            self._store("daily", rollups.daily(self._days("hourly", days), self.expected_per_day), "rollup_ts", days)
+            firsts = sorted({d.replace(day=1) for d in days})
+            months = self.read("daily").filter(F.trunc("part_date", "month").isin(firsts))
+            self._store("monthly", rollups.monthly(months.drop("part_date")), "rollup_ts", firsts)
+            if self.dims is not None and "billing" in self.wider:
+                self._refresh_billing(days, self.dims)
+
+        at_once(self.spark, rolled, *self._wider_jobs(reads, days))
+
+    def _wider_jobs(self, reads: DataFrame, days: list[dt.date]) -> list[Callable[[], None]]:
+        """Refreshes of marts that are computed from reads alone, none of which needs another."""
+        if self.dims is None:
+            return []
+        d = self.dims
+
+        def channel_marts() -> None:
+            # An hour's reads are fewer and narrower than the channel rows it makes, so they are dealt, and the rows stay.
+            ruled = channels.with_rules(reads, d.meters, d.meter_channels).withColumn("part_date", F.to_date("read_ts"))
+            dealt = tables.deal(ruled, "part_date", ["meter_id"], tables.shares_of(self.spark, self.canonical, "read_date", days))
+            hours = channels.channel_hours(dealt, self.expected_per_hour, ("part_date", tables.SHARE))
             self._store("channel_hourly", hours, "rollup_ts", days)
             per_day = channels.channel_daily(self._days("channel_hourly", days), self.expected_per_day)
             self._store("channel_daily", per_day, "rollup_date", days)
-        if "charges" in self.wider:
+
+        def charges() -> None:
             lines = tou.charge(tou.tag(reads, tou.current_plans(d.links, d.customers), d.windows))
             self._store("charges", lines, "read_ts", days)
-        if "sla" in self.wider:
-            self._store("sla", quality.sla(reads), "date_key", days)
-        if "dq" in self.wider:
-            self._store("dq", quality.data_quality(reads, self.expected_per_day), "date_key", days)
-        if "billing" in self.wider:
-            self._refresh_billing(days, d)
+
+        jobs = {
+            "channels": channel_marts, "charges": charges,
+            "sla": lambda: self._store("sla", quality.sla(reads), "date_key", days),
+            "dq": lambda: self._store("dq", quality.data_quality(reads, self.expected_per_day), "date_key", days),
+        }
+        return [jobs[w] for w in jobs if w in self.wider]
 
     def _refresh_billing(self, days: list[dt.date], d: Dimensions) -> None:
         """Every period that shares its start with one the touched days reach."""

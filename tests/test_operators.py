@@ -432,3 +432,34 @@ def test_flat_documents_without_schedules_hours_or_rates(spark):
         ("B", "DEMAND", "WEEKEND", 1, 0, 1, 0, 2, D("3"), None, D("4"), "KW"),
         ("B", "FIXED", "ALL", None, 0, 23, None, None, None, None, D("1.5"), "MONTH"),
     }
+
+
+def test_channel_hours_equal_hours_of_unfolded_reads(spark):
+    """Odd rows included: null and negative export, meters listed twice, rules given twice or for no channel of a read."""
+    at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    wide = spark.createDataFrame(
+        [("A", at(0, 0), 1.5, 0.0, 2.25, 230.1, "VALID", "NE"), ("A", at(0, 15), None, None, None, None, "FAILED", "NE"),
+         ("A", at(0, 15), 3.0, -2.0, None, 1.0, "VALID", None), ("B", at(0, 0), 1.0, 0.0, 2.0, 3.0, "VALID", "NE"),
+         ("B", at(0, 15), 1.0, 7.0, 2.0, 3.0, "FAILED", "NE"), ("B", at(0, 30), 1.0, -1.0, 2.0, 3.0, "VALID", "NE"),
+         ("B", at(1, 30), 1.0, 0.0, 2.0, 3.0, "VALID", "NE"), ("C", at(0, 0), 1.0, None, 2.0, 3.0, "VALID", "NE"),
+         ("C", at(0, 20), 5.0, 1.0, 7.0, 8.0, None, "NE"), (None, at(0, 0), 1.0, None, 2.0, 3.0, "VALID", "NE"),
+         ("D", at(0, 0), 1.0, 2.0, 2.0, 3.0, "VALID", "NE"), ("E", at(2, 0), 1.0, 2.0, 2.0, 3.0, "VALID", "NE")],
+        "meter_id string, read_ts timestamp_ntz, del double, rec double, kw double, volt double, vee_status string, utility_territory string",
+    ).selectExpr(
+        "meter_id", "read_ts", "cast(del as decimal(14,4)) kwh_delivered", "cast(rec as decimal(14,4)) kwh_received",
+        "cast(kw as decimal(10,4)) demand_kw", "cast(volt as decimal(6,2)) voltage_v", "vee_status", "utility_territory",
+        *[f"cast(null as string) {c}" for c in channels.CARRIED if c not in ("vee_status", "utility_territory")],
+    )
+    meters = spark.createDataFrame(
+        [("A", True), ("C", True), ("C", True), ("B", False), ("B", None), (None, True), ("D", False)], "meter_id string, has_der boolean"
+    )
+    usual = [("KWH_DEL", "SUM"), ("KW_DEM", "MAX"), ("VOLT_AVG", "AVG"), ("KWH_REC", "SUM")]
+    rules = spark.createDataFrame(
+        [(m, *r) for m in "ABC" for r in usual] + [("B", "KWH_REC", a) for a in ("MIN", "MAX", "AVG")]
+        + [("B", "KWH_DEL", "SUM"), ("D", "KWH_DEL", None), ("D", "OTHER", "SUM"), (None, "KWH_DEL", "SUM"), ("D", None, "SUM")],
+        "meter_id string, channel_code string, aggregation string",
+    )
+    unfolded = channels.channel_hourly(channels.unpivot(wide, meters), rules, 4)
+    beside = channels.channel_hours(channels.with_rules(wide, meters, rules), 4)
+    assert beside.schema == unfolded.schema
+    assert sorted(map(str, beside.collect())) == sorted(map(str, unfolded.collect())) and unfolded.count() == 25
