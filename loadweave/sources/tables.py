@@ -191,26 +191,31 @@ def upsert(
     dates = partition_days(spark, f"{staging}/incoming", by)
     if not dates:
         return []
-    in_days = F.col(by).isin(dates)
 
-    def old() -> DataFrame:
-        empty = spark.createDataFrame([], batch.schema)
-        return spark.read.schema(batch.schema).parquet(path).filter(in_days) if exists(spark, path) else empty
+    def old(days: list[dt.date]) -> DataFrame:
+        return spark.read.schema(batch.schema).parquet(path).filter(F.col(by).isin(days))
 
     if not exists(spark, f"{staging}/merged/_SUCCESS"):
         incoming = spark.read.schema(batch.schema).parquet(f"{staging}/incoming")
+        held = set(partition_days(spark, path, by))
         after = incoming.select(*keys, by, F.struct(*rest).alias("after"), order.alias("_new"))
-        before = old().select(*keys, by, F.struct(*rest).alias("before"), order.alias("_old"))
-        found = after.join(before, [*keys, by], "left").filter("before is null or _new > _old").drop("_new", "_old")
-        stage(found, f"{staging}/changes", by, days=len(dates))
+        if compared := sorted(held.intersection(dates)):
+            before = old(compared).select(*keys, by, F.struct(*rest).alias("before"), order.alias("_old"))
+            found = after.join(before, [*keys, by], "left").filter("before is null or _new > _old").drop("_new", "_old")
+        else:
+            # Nothing to compare with: the staged rows are the changes, and lie by day already.
+            unknown = F.lit(None).cast(T.StructType([f for f in batch.schema if f.name in rest]))
+            found = after.select(*keys, by, "after", unknown.alias("before"))
+        stage(found, f"{staging}/changes", by, days=len(dates), dealt=not compared)
         changed = partition_days(spark, f"{staging}/changes", by)
         if not changed:
             return dates
         new = spark.read.schema(found.schema).parquet(f"{staging}/changes")
-        touched_days = F.col(by).isin(changed)
-        kept = old().filter(touched_days).join(new.select(*keys, by), [*keys, by], "left_anti")
-        merged = kept.select(*columns).unionByName(new.select(*keys, by, "after.*").select(*columns))
-        stage(merged, f"{staging}/merged", by, cluster=keys, days=len(changed))
+        merged = new.select(*keys, by, "after.*").select(*columns)
+        if replaced := sorted(held.intersection(changed)):
+            kept = old(replaced).join(new.select(*keys, by), [*keys, by], "left_anti")
+            merged = kept.select(*columns).unionByName(merged)
+        stage(merged, f"{staging}/merged", by, cluster=keys, days=len(changed), dealt=not replaced)
     publish(spark, f"{staging}/merged", path, by)
     return dates
 

@@ -12,7 +12,7 @@ from loadweave.plans import catalog, reports
 from loadweave.plans.marts import Marts
 from loadweave.sources import tables
 from loadweave.streaming import hot, pipeline
-from loadweave.streaming.refresh import Dimensions, MartTables, score_pass
+from loadweave.streaming.refresh import Dimensions, MartTables, at_once, score_pass
 
 SCHEMA = "meter_id string, read_ts timestamp_ntz, value int, ingested_at timestamp_ntz, event_id bigint, read_date date"
 T0 = dt.datetime(2024, 1, 3)
@@ -210,3 +210,42 @@ def test_stored_scores_answer_reports(spark, root, tmp_path):
     for report in (reports.anomaly_kpi, reports.top_meter_anomalies, reports.anomalies_per_day, reports.forecast_band):
         files = "".join(report(kept).inputFiles())
         assert "_scores/" in files and "/canonical/" not in files and "events.parquet" not in files
+
+
+def test_a_batch_of_new_days_is_compared_with_nothing(spark, tmp_path, monkeypatch):
+    path, work = str(tmp_path / "t"), str(tmp_path / "s")
+    frame = batch(spark, ("A", 0, 1, 1), ("A", 0, 2, 2), ("B", 1, 3, 1))
+    joined = []
+    real = type(frame).join
+    monkeypatch.setattr(type(frame), "join", lambda self, *a, **k: joined.append(1) or real(self, *a, **k))
+    merge(frame, path, f"{work}/0")
+    merge(batch(spark, ("A", 2, 5, 1)), path, f"{work}/1")
+    assert not joined and values(spark, path) == {("A", 3): 2, ("B", 4): 3, ("A", 5): 5}
+    found = tables.changes_of(spark, f"{work}/0", "read_date").collect()
+    assert sorted(r.after.value for r in found) == [2, 3] and all(r.before is None for r in found)
+    merge(batch(spark, ("A", 2, 6, 2), ("C", 3, 7, 1)), path, f"{work}/2")
+    assert joined and values(spark, path) == {("A", 3): 2, ("B", 4): 3, ("A", 5): 6, ("C", 6): 7}
+
+
+def test_dealt_rows_lie_by_day_and_share(spark):
+    days = [T0.date() + dt.timedelta(days=d) for d in range(3)]
+    frame = spark.range(3000).selectExpr("cast(id as string) meter_id", f"date_add(date'{days[0]}', cast(id % 3 as int)) as day")
+    shares = {days[0]: 1, days[1]: 4, days[2]: 1}
+    dealt = tables.deal(frame, "day", ["meter_id"], shares)
+    placed = dealt.withColumn("part", F.spark_partition_id())
+    lie = placed.groupBy("day", tables.SHARE).agg(F.count_distinct("part").alias("parts"), F.count("*").alias("n")).collect()
+    assert all(r.parts == 1 for r in lie) and sum(r.n for r in lie) == 3000
+    assert {d: sum(r.day == d for r in lie) for d in days} == shares
+    grouped = dealt.groupBy("meter_id", "day", tables.SHARE).count()
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_refreshes_side_by_side_are_all_done_before_an_error_is_raised(spark):
+    done = []
+
+    def fails():
+        raise ValueError("one mart")
+
+    with pytest.raises(ValueError):
+        at_once(spark, fails, lambda: done.append(spark.range(3).count()), lambda: done.append(2))
+    assert sorted(done) == [2, 3]
